@@ -42,11 +42,13 @@ FLUSH = 3_000_000
 HOT = 150_000
 MAX_HOT = 100_000
 _NULL_ID = -(1 << 63)
+#: Sums of logarithms travel as whole numbers of this unit.
+SCALE = 1e8
 
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = out = max(3, xxhash.xxh64_intdigest(word))
         return out
@@ -58,13 +60,19 @@ def _spread(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def _dump(*arrays: np.ndarray) -> bytes:
-    """Arrays, whole numbers below 2**32 in their smallest type, compressed."""
+    """Arrays, compressed: small whole numbers in their smallest type, others by byte planes.
+
+    Sorted hashes go as differences, so their upper byte planes are nearly empty.
+    """
     out = []
     for a in arrays:
+        step = a.dtype == np.uint64 and len(a) > 1 and bool((a[1:] >= a[:-1]).all())
+        if step:
+            a = np.concatenate((a[:1], a[1:] - a[:-1]))
         if a.dtype.kind in "ui" and len(a) and a.min() >= 0 and a.max() < 1 << 32:
             a = a.astype(np.min_scalar_type(int(a.max())))
-        out.append(np.frombuffer(f"{a.dtype.str:<4}{len(a):<12}".encode(), np.uint8))
-        out.append(np.ascontiguousarray(a).view(np.uint8))
+        out.append(np.frombuffer(f"{a.dtype.str:<4}{len(a):<11}{'+' if step else '='}".encode(), np.uint8))
+        out.append(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T.ravel())
     return zstandard.ZstdCompressor(level=1).compress(np.concatenate(out).tobytes())
 
 
@@ -72,9 +80,11 @@ def _load(data: bytes) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(bytes(data))
     out, at = [], 0
     while at < len(raw):
-        kind, n = np.dtype(raw[at : at + 4].decode().strip()), int(raw[at + 4 : at + 16])
+        kind, n, step = np.dtype(raw[at : at + 4].decode().strip()), int(raw[at + 4 : at + 15]), raw[at + 15 : at + 16]
         at += 16
-        out.append(np.frombuffer(raw, kind, n, at))
+        planes = np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
+        a = np.ascontiguousarray(planes.T).view(kind).ravel()
+        out.append(np.cumsum(a, dtype=np.uint64) if step == b"+" else a)
         at += n * kind.itemsize
     return out
 
@@ -187,7 +197,7 @@ def _packer(words: Words, buckets: int):
 
     def flush(ids, train, w, u, sizes):
         w, u = np.concatenate(w), np.concatenate(u)
-        doc = np.repeat(np.arange(len(ids)), sizes)
+        doc = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
         hot, _ = words.is_hot(w)
         bucket = _spread(np.where(hot, w ^ (u * np.uint64(0xC2B2AE3D27D4EB4F)), w), buckets)
         order = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
@@ -265,6 +275,7 @@ def _evaluate(words: Words, buckets: int):
         n = len(docs)
         counted = c[word]
         add = lambda x: np.bincount(d, x, minlength=n)
+        fixed = lambda x: np.rint(add(x) * -SCALE).astype(np.int64)
         base = np.log10((counted + 1) / (words.tokens + words.types + 1))
         own = np.where((w != END) & (counted > 0), -np.log10(np.maximum(counted, 1)), 0.0)
         seen = r[pair]
@@ -274,7 +285,7 @@ def _evaluate(words: Words, buckets: int):
         hist = np.bincount(d[low] * K + seen[low] - 1, minlength=n * K)
         rows = [("doc", t, data) for t, data in _by_target(
             _spread(docs.view(np.uint64), buckets), buckets,
-            [docs, np.bincount(d, minlength=n), add(counted > 0).astype(np.int64), add(base), add(own),
+            [docs, np.bincount(d, minlength=n), add(counted > 0).astype(np.int64), fixed(base), fixed(own),
              *hist.reshape(n, K).T])]
 
         first = np.flatnonzero(new_pair)
@@ -309,6 +320,7 @@ def _finish(words: Words, stars: np.ndarray):
         join = lambda k: [np.concatenate(x) for x in zip(*kinds[k], strict=True)]
         if kinds["doc"]:
             ids, tokens, known, base, own, *hist = join("doc")
+            base, own = base / -SCALE, own / -SCALE
             own = own + sum(h * g for h, g in zip(hist, logs, strict=True))
             docs, at = np.unique(ids.astype(np.int64), return_inverse=True)
             sums = [np.bincount(at, x) for x in (tokens, known, base, own)]
