@@ -1,0 +1 @@
+"""Spark-native analytics for coding-agent session history."""

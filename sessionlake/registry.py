@@ -1,4 +1,571 @@
-"""Registered queries and their SQL."""
+"""Registered queries over the driver's tables, and their SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sessionlake.functions import text as tx
+from sessionlake.operators import delivery, facts, ledger, normalize, sessions
+from sessionlake.operators.policy import Policy
+from sessionlake.plans import build, presets, sql, testbed
+from sessionlake.sources import chat, files
+
+
+def _as_of():
+    return F.lit(testbed.AS_OF).cast("timestamp")
+
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+
+# The mapped events, with all identifiers, as DuckDB computes them.
+_EV = """
+m as (select event_id + 1 ledger_offset, 'machine-a' machine_id, 'test_local' source_type, 'src-' || (user_id % 3) inst,
+  user_id || '-' || strftime(ts, '%Y-%m-%d') ssk, 'repo://p' || (user_id % 5) proj, ts,
+  case event_type when 'signup' then 'session.started' when 'view' then 'message.user' when 'click' then 'command.started'
+    when 'purchase' then 'command.finished' else 'tool.failed' end kind, event_type,
+  cast(json_extract_string(props, '$.k') as bigint) k from events),
+n as (select *, case when k % 3 = 0 then '' else 'c' || (k % 4) end call_id,
+  case when kind = 'command.finished' and k % 5 = 0 then k * 10 end duration_ms,
+  case when kind = 'command.finished' then k % 3 end exit_code,
+  case when event_type = 'view' then 'view ' || k end txt from m),
+p as (select *, '{"call_id":"' || call_id || '",' || case when duration_ms is not null then '"duration_ms":' || duration_ms || ',' else '' end ||
+  case when exit_code is not null then '"exit_code":' || exit_code || ',' else '' end || '"project":"' || proj || '","session_id":"' || ssk || '",' ||
+  case when txt is not null then '"text":"' || txt || '",' else '' end || '"type":"' || kind || '"}' payload from n),
+q as (select *, 'sha256:' || sha256(payload) chash, 'sess_' || substr(sha256(inst || chr(31) || ssk), 1, 16) session_key,
+  'gasess_' || substr(sha256(machine_id || chr(31) || inst || chr(31) || ssk), 1, 16) gs,
+  'proj_' || substr(sha256(proj), 1, 16) project_key from p),
+r as (select *, 'env_' || substr(sha256(concat_ws(chr(31), source_type, inst, 'events-' || inst, 'line', ledger_offset, chash)), 1, 16) envelope_id,
+  row_number() over (partition by session_key order by ledger_offset) seq,
+  strftime(ts, '%Y-%m-%dT%H:%M:%S') || regexp_replace('.' || strftime(ts, '%f'), '[.]?0*$', '') || 'Z' stamp from q),
+ev as (select *, 'evt_' || substr(sha256(concat_ws(chr(31), source_type, inst, session_key, seq, kind, stamp, chash)), 1, 16) event_id,
+  'gaenv_' || substr(sha256(machine_id || chr(31) || envelope_id), 1, 16) ge,
+  case when kind = 'message.user' then 'user' when kind like 'command.%' or kind like 'tool.%' then 'shell' else source_type end actor_name,
+  case when kind = 'message.user' then 'user' when kind like 'command.%' or kind like 'tool.%' then 'tool' else 'system' end actor_kind from r),
+ek as (select *, 'gaevt_' || substr(sha256(machine_id || chr(31) || event_id), 1, 16) gk from ev)
+"""
+
+# The sequential pairing rule, one event of each session at a time.
+_PAIRS = """
+cmd as (select gs, gk, kind = 'command.started' st, call_id, row_number() over (partition by gs order by seq, ts, gk) n from ek
+  where kind in ('command.started', 'command.finished')),
+fold(gs, n, ids, calls, s, f) as (
+  select gs, 0::bigint, []::varchar[], []::varchar[], null::varchar, null::varchar from (select distinct gs from cmd)
+  union all
+  select gs, n, case when st then list_append(ids, gk) when pos > 0 then list_concat(ids[: pos - 1], ids[pos + 1 :]) else ids end,
+    case when st then list_append(calls, call_id) when pos > 0 then list_concat(calls[: pos - 1], calls[pos + 1 :]) else calls end,
+    case when not st and pos > 0 then ids[pos] end, case when not st then gk end
+  from (select fold.gs, c.n, c.gk, c.st, c.call_id, fold.ids, fold.calls,
+      case when c.call_id <> '' and list_position(fold.calls, c.call_id) > 0 then list_position(fold.calls, c.call_id)
+        when len(fold.ids) > 0 then 1 else 0 end pos
+    from fold join cmd c on c.gs = fold.gs and c.n = fold.n + 1)),
+pairs as (select gs, s, f from fold where f is not null union all
+  select gs, unnest(ids) s, null f from fold where (gs, n) in (select (gs, max(n)) from fold group by gs)),
+cr as (select p.gs, s.ge sge, f.ge fge, p.s, p.f, coalesce(s.machine_id, f.machine_id) machine_id, coalesce(s.inst, f.inst) inst, coalesce(s.ssk, f.ssk) ssk,
+    case when p.s is not null and p.f is not null then 'completed' when p.s is not null then 'start_only' else 'finish_only' end status,
+    'shell' tool_name, case when coalesce(s.call_id, '') <> '' then s.call_id else coalesce(f.call_id, '') end call_id,
+    s.seq start_sequence, f.seq finish_sequence, s.ts start_timestamp, f.ts finish_timestamp, f.exit_code,
+    case when f.duration_ms is not null then f.duration_ms when p.s is not null and p.f is not null and f.ts >= s.ts
+      then (epoch_us(f.ts) - epoch_us(s.ts)) // 1000 end duration_ms
+  from pairs p left join ek s on s.gk = p.s left join ek f on f.gk = p.f),
+crk as (select *, 'gacmd_' || substr(sha256(concat_ws(chr(31), machine_id, '1', coalesce(sge, 'none'), coalesce(fge, 'none'))), 1, 16) ck from cr)
+"""
+_SESSIONS = """
+sr as (select gs, any_value(machine_id) machine_id, any_value(source_type) source_type, any_value(inst) inst, any_value(session_key) session_key,
+    any_value(ssk) ssk, any_value(project_key) project_key, any_value(proj) proj, min(ts) first_timestamp, max(ts) last_timestamp,
+    (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000 duration_ms, count(*) event_count, count(*) filter (kind = 'message.user') um, 0::bigint am, 0::bigint sm,
+    count(*) filter (kind like 'command.%') cec, count(*) filter (kind = 'tool.failed') tf, 0::bigint fp,
+    count(*) filter (kind = 'tool.failed') + count(*) filter (kind = 'command.finished' and exit_code <> 0) fs, 0::bigint pf from ek group by gs),
+cc as (select gs, count(*) c, count(*) filter (exit_code <> 0) fc, count(*) filter (status <> 'completed') ic from crk group by gs),
+sx as (select sr.*, coalesce(c, 0) c, coalesce(fc, 0) fc, coalesce(ic, 0) ic from sr left join cc using (gs))
+"""
+_ALL = f"with recursive {_EV}, {_PAIRS}, {_SESSIONS} "
+_E = f"with {_EV} "
+
+
+def query(name: str, oracle: str | None = None):
+    def add(run):
+        QUERIES[name] = run
+        if oracle is not None:
+            ORACLE_SQL[name] = oracle
+        return run
+
+    return add
+
+
+def _events(spark: SparkSession, sf: str, version: int = 1) -> DataFrame:
+    return normalize.normalize(testbed.ledger(spark, sf), version=version)
+
+
+# --- sources and ledger -------------------------------------------------------------------
+
+_LINES = """
+with m as (select event_id + 1 line, 'src-' || (user_id % 3) art, user_id || '-' || strftime(ts, '%Y-%m-%d') ssk, 'repo://p' || (user_id % 5) proj, ts,
+  cast(json_extract_string(props, '$.k') as bigint) k, case event_type when 'signup' then 'session.started' when 'view' then 'message.user'
+  when 'click' then 'command.started' when 'purchase' then 'command.finished' else 'tool.failed' end kind from events),
+v as (select *, k % 11 = 10 bad, case when k % 11 <> 10 and k % 4 = 0 then ssk end s, case when k % 11 <> 10 and k % 7 = 0 then proj end pr from m),
+w as (select *, case when bad then '{"raw_text":"not json ' || k || '"}' else '{' || case when s is not null then '"conversation_id":"' || s || '",' else '' end ||
+  '"created_at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ') || '","kind":"' || kind || '"' || case when pr is not null then ',"workspace":"' || pr || '"' else '' end || '}' end payload from v)
+"""
+
+
+@query("a2_a9_line_envelopes", _LINES + """
+select 'env_' || substr(sha256(concat_ws(chr(31), 'flat_local', art, art, 'line', line, 'sha256:' || sha256(payload))), 1, 16) envelope_id, line,
+  case when bad then 'unknown' else kind end raw_kind, payload raw_payload,
+  coalesce(last_value(s ignore nulls) over (partition by art order by line rows unbounded preceding), art) hint_session,
+  coalesce(last_value(pr ignore nulls) over (partition by art order by line rows unbounded preceding), '/logs') hint_project,
+  case when not bad then date_trunc('second', ts) end source_timestamp, 'sha256:' || sha256(payload) content_hash
+from w""")
+def line_envelopes(spark, sf):
+    rows = files.envelopes(testbed.lines(spark, sf), files.flat_resolver, "flat_local", F.col("source_instance_id"), "machine-a", ["messages"],
+                           F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    return rows.select("envelope_id", "line", "raw_kind", "raw_payload", "hint_session", "hint_project", "source_timestamp", "content_hash")
+
+
+@query("a10_a12_chat_records", """
+with c as (select conv_id * 1000 + turn + 1 id, cast(conv_id as varchar) session_id, 'message.' || role raw_kind,
+  make_timestamp(((1704067200 + conv_id * 60 + turn) * 1000000)::bigint) source_timestamp, conv_id, text, 'thought' th from conversations)
+select id, session_id, raw_kind, source_timestamp, conv_id % 5 <> 4 has_session, text content, null::varchar reasoning,
+  case when conv_id % 5 <> 4 then 'chat ' || conv_id end title from c where id > 5000""")
+def chat_records(spark, sf):
+    messages, sessions_ = testbed.chat_tables(spark, sf)
+    rows = chat.chat_records(messages, sessions_, after=5000)
+    get = lambda p: F.get_json_object("raw_payload", p)
+    return rows.select("id", "session_id", "raw_kind", "source_timestamp", get("$.session.id").isNotNull().alias("has_session"),
+                       get("$.content").alias("content"), get("$.reasoning").alias("reasoning"), get("$.session.title").alias("title"))
+
+
+@query("a15_checkpointed_lines", """
+with l as (select 'src-' || (user_id % 3) artifact_id, event_id + 1 line from events), c as (select artifact_id, (max(line) // 2)::bigint c from l group by 1)
+select artifact_id, count(*) n, max(line) next_cursor from l join c using (artifact_id) where line > c group by artifact_id""")
+def checkpointed(spark, sf):
+    lines = testbed.lines(spark, sf)
+    half = files.next_checkpoints(lines).withColumn("cursor", F.expr("cursor div 2"))
+    new = files.after_checkpoint(lines, half)
+    return new.groupBy("artifact_id").agg(F.count(F.lit(1)).alias("n")).join(
+        files.next_checkpoints(new).withColumnRenamed("cursor", "next_cursor"), "artifact_id")
+
+
+@query("a17_ledger_append", """
+select 'src-' || (user_id % 3) artifact_id, event_id + 1 line, row_number() over (order by 'src-' || (user_id % 3), event_id) + 100 ledger_offset from events""")
+def ledger_append(spark, sf):
+    return ledger.append(testbed.lines(spark, sf).select("artifact_id", "line"), ["artifact_id", "line"], after=100)
+
+
+@query("a18_a19_scan_bounds", "select min(event_id + 1) min_offset, max(event_id + 1) max_offset from events where event_id + 1 > 1000")
+def scan_bounds(spark, sf):
+    return ledger.bounds(ledger.scan(testbed.ledger(spark, sf), after=1000))
+
+
+@query("a20_retention", _E + """, s as (select least(max(ledger_offset), max(ledger_offset) // 2)::bigint safe from ev)
+select source_type, count(*) kept, min(ledger_offset) first_kept from ev, s where ledger_offset > safe group by 1""")
+def retention(spark, sf):
+    rows = testbed.ledger(spark, sf)
+    half = rows.agg(F.expr("max(ledger_offset) div 2").alias("terminal_contiguous_offset"), F.max("ledger_offset").alias("checkpoint"))
+    top = ledger.bounds(rows).first()["max_offset"]
+    safe = ledger.safe_offset(top, half.select(F.lit("s").alias("sink_id"), "terminal_contiguous_offset", "checkpoint")).first()[0]
+    return ledger.prune(rows, safe).groupBy("source_type").agg(F.count(F.lit(1)).alias("kept"), F.min("ledger_offset").alias("first_kept"))
+
+
+@query("a16_a22_machine_binding", _E + """
+select case when ledger_offset % 10 = 0 then 'machine ids differ' else 'bound' end state, count(*) n from ev group by 1""")
+def machine_dead_letters(spark, sf):
+    rows = testbed.ledger(spark, sf).withColumn("machine_id", F.when(F.col("ledger_offset") % 10 == 0, "other").when(F.col("ledger_offset") % 3 == 0, "").otherwise(F.col("machine_id")))
+    good, dead = ledger.bind_machine(rows, F.lit("machine-a"))
+    return good.select(F.lit("bound").alias("state")).unionByName(dead.select(F.col("message").alias("state"))).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- normalization ------------------------------------------------------------------------
+
+_CANON = """select event_id, session_key, seq sequence, ts "timestamp", kind, actor_kind, actor_name, project_key, ssk source_session_key, ledger_offset,
+  envelope_id, 'ok' parse_status from ev"""
+
+
+@query("b1_normalize", _E + _CANON)
+def normalized(spark, sf):
+    return _events(spark, sf).select("event_id", "session_key", "sequence", "timestamp", "kind", "actor_kind", "actor_name", "project_key",
+                                     "source_session_key", "ledger_offset", "envelope_id", "parse_status")
+
+
+@query("b3_continued_sequence", _E + "select session_key event_id, max(seq) + 7 sequence from ev group by 1")
+def continued(spark, sf):
+    rows = testbed.ledger(spark, sf)
+    before = normalize.normalize(rows).select("session_key").distinct().withColumn("sequence", F.lit(7).cast("bigint"))
+    out = normalize.normalize(rows, previous=before)
+    return out.groupBy(F.col("session_key").alias("event_id")).agg(F.max("sequence").alias("sequence"))
+
+
+@query("b13_call_names", _E + """
+select ledger_offset, call_id, case when own <> '' then own when call_id = '' then '' else coalesce(last_value(nullif(own, '') ignore nulls)
+  over (partition by call_id order by ledger_offset rows between unbounded preceding and 1 preceding), '') end call_name
+from (select *, case when kind = 'command.started' then 'tool-' || (k % 6) else '' end own from ev)""")
+def call_names(spark, sf):
+    from sessionlake.operators import nested
+
+    rows = testbed._mapped(spark, sf).withColumn("own_name", F.when(F.col("kind") == "command.started", F.concat(F.lit("tool-"), (F.col("k") % 6).cast("string"))).otherwise(""))
+    return nested.call_names(rows).select("ledger_offset", "call_id", "call_name")
+
+
+@query("b10_b18_nested_records", _E + """
+select ledger_offset, case event_type when 'signup' then 'session.started' when 'view' then 'message.user' when 'click' then 'command.started'
+  when 'purchase' then 'command.finished' else 'usage.reported' end kind,
+  case event_type when 'click' then 'run ' || k when 'purchase' then 'cmd ' || k end command, case when event_type = 'purchase' then k % 3 end exit_code,
+  case event_type when 'view' then 'view ' || k end said, case when event_type in ('click', 'purchase') then 'shell' when event_type = 'view' then 'user' else 'test_local' end actor_name
+from ev""")
+def nested_records(spark, sf):
+    from sessionlake.operators import nested
+
+    m = testbed._mapped(spark, sf)
+    k = F.col("k").cast("string")
+    call = F.concat(F.lit("x"), F.col("ledger_offset").cast("string"))
+    body = (F.when(F.col("kind") == "session.started", F.to_json(F.struct(F.lit("session_meta").alias("type"), F.struct(F.col("session").alias("id")).alias("payload"))))
+            .when(F.col("kind") == "message.user", F.to_json(F.struct(F.lit("response_item").alias("type"), F.struct(
+                F.lit("message").alias("type"), F.lit("user").alias("role"), F.array(F.struct(F.lit("input_text").alias("type"), F.concat(F.lit("view "), k).alias("text"))).alias("content")).alias("payload"))))
+            .when(F.col("kind") == "command.started", F.to_json(F.struct(F.lit("response_item").alias("type"), F.struct(
+                F.lit("function_call").alias("type"), F.lit("exec_command").alias("name"), F.to_json(F.struct(F.concat(F.lit("run "), k).alias("cmd"))).alias("arguments"), call.alias("call_id")).alias("payload"))))
+            .when(F.col("kind") == "command.finished", F.to_json(F.struct(F.lit("response_item").alias("type"), F.struct(
+                F.lit("function_call_output").alias("type"), F.lit("exec_command").alias("name"), call.alias("call_id"),
+                F.concat(F.lit("Command: /bin/bash -lc 'cmd "), k, F.lit("'\nProcess exited with code "), (F.col("k") % 3).cast("string"), F.lit("\nOutput:\ndone")).alias("output")).alias("payload"))))
+            .otherwise(F.to_json(F.struct(F.lit("event_msg").alias("type"), F.struct(F.lit("token_count").alias("type"), F.struct(F.col("k").alias("total")).alias("info")).alias("payload")))))
+    rows = testbed.ledger(spark, sf).drop("raw_payload", "raw_kind").join(
+        m.select("ledger_offset", body.alias("raw_payload"), F.get_json_object(body, "$.type").alias("raw_kind")), "ledger_offset")
+    out = normalize.normalize(rows, nested.classify)
+    get = lambda p: F.get_json_object("payload", p)
+    return out.select("ledger_offset", "kind", get("$.command").alias("command"), get("$.exit_code").cast("bigint").alias("exit_code"), get("$.text").alias("said"), "actor_name")
+
+
+@query("b21_event_versions", _E + """
+select envelope_id, 2 event_version, 'sess_' || substr(sha256(concat_ws(chr(31), machine_id, inst, ssk)), 1, 16) session_key,
+ 'evt_' || substr(sha256(concat_ws(chr(31), source_type, machine_id, inst, 'sess_' || substr(sha256(concat_ws(chr(31), machine_id, inst, ssk)), 1, 16), seq, kind, stamp, chash)), 1, 16) event_id
+from ev""")
+def event_versions(spark, sf):
+    rows = testbed.ledger(spark, sf)
+    return normalize.rewrite(normalize.normalize(rows), "v2", rows).select("envelope_id", "event_version", "session_key", "event_id")
+
+
+# --- policy -------------------------------------------------------------------------------
+
+_POLICY = Policy(redact_keys=("session_id",), regexes=((r"view (\d+)", "seen $1"),), denied_paths=("repo://p1",))
+
+
+@query("c1_c4_redaction", _E + """
+select ledger_offset, regexp_replace(regexp_replace(payload, '"session_id":"[^"]*"', '"session_id":"[REDACTED]"'), '"view ([0-9]+)"', '"seen \\1"') payload
+from ev where proj <> 'repo://p1'""")
+def redaction(spark, sf):
+    from sessionlake.operators import policy
+
+    return policy.apply(_POLICY, _events(spark, sf)).select("ledger_offset", "payload")
+
+
+# --- facts and rollups --------------------------------------------------------------------
+
+
+@query("d1_envelope_facts", _E + """
+select ge global_envelope_key, machine_id, 'ledger-1' ledger_instance_id, ledger_offset, envelope_id, source_type, inst source_instance_id, 'events-' || inst artifact_id,
+ 'events-' || inst artifact_locator, proj project_locator, project_key, ssk source_session_key, gs global_session_key, 'line' cursor_kind, cast(ledger_offset as varchar) cursor_value,
+ ts observed_at, ts source_timestamp, kind raw_kind, chash content_hash, cast(strlen(payload) as bigint) payload_bytes, 'messages,commands' capabilities_csv, 0.8::double parse_confidence from ev""")
+def envelope_facts(spark, sf):
+    return facts.envelope_facts(testbed.ledger(spark, sf), testbed.LEDGER_INSTANCE)
+
+
+@query("d2_event_facts", _E + """
+select gk global_event_key, ge global_envelope_key, machine_id, 'ledger-1' ledger_instance_id, ledger_offset, event_id, 1 event_version, source_type, inst source_instance_id,
+ session_key, ssk source_session_key, gs global_session_key, project_key, proj project_locator, seq sequence, ts "timestamp", kind, actor_kind, actor_name, 'ok' parse_status,
+ 'messages,commands' capabilities_csv, actor_name tool_name, call_id, exit_code, duration_ms, envelope_id from ek""")
+def event_facts(spark, sf):
+    return testbed.tables(spark, sf).event_facts
+
+
+@query("d3_d4_command_rollups", _ALL + """
+select ck global_command_rollup_key, '1' derivation_version, machine_id, gs global_session_key, inst source_instance_id, ssk source_session_key, status, tool_name,
+ tool_name actor_name, call_id, coalesce(s, '') start_global_event_key, coalesce(f, '') finish_global_event_key, coalesce(sge, '') start_global_envelope_key,
+ coalesce(fge, '') finish_global_envelope_key, start_sequence, finish_sequence, start_timestamp, finish_timestamp, exit_code, duration_ms from crk""")
+def command_rollups(spark, sf):
+    return testbed.tables(spark, sf).command_rollups
+
+
+@query("d5_session_rollups", _ALL + """
+select gs global_session_key, '1' derivation_version, machine_id, source_type, inst source_instance_id, session_key, ssk source_session_key, project_key, proj project_locator,
+ first_timestamp, last_timestamp, duration_ms, event_count, um user_message_count, am agent_message_count, sm system_message_count, cec command_event_count, c command_rollup_count,
+ fc failed_command_rollup_count, ic incomplete_command_rollup_count, tf tool_failure_count, fp file_patch_count, fs failure_signal_count, pf parse_failure_count from sx""")
+def session_rollups(spark, sf):
+    return testbed.tables(spark, sf).session_rollups
+
+
+@query("d6_d7_incremental_build", _E + "select kind, count(*) n, max(seq) top, cast(sum(seq) as bigint) total from ev group by kind")
+def incremental(spark, sf):
+    rows = testbed.ledger(spark, sf)
+    middle = rows.agg(F.expr("max(ledger_offset) div 2")).first()[0]
+    first = build.tables(rows.where(F.col("ledger_offset") <= middle), testbed.LEDGER_INSTANCE)
+    second = build.tables(rows, testbed.LEDGER_INSTANCE, previous=first)
+    return second.event_facts.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.max("sequence").alias("top"), F.sum("sequence").alias("total"))
+
+
+@query("d8_duplicate_keys", _E + "select ge global_envelope_key, 2::bigint n from ev where ledger_offset % 50 = 0")
+def duplicate_keys(spark, sf):
+    rows = facts.envelope_facts(testbed.ledger(spark, sf), testbed.LEDGER_INSTANCE)
+    return facts.duplicates(rows.unionByName(rows.where("ledger_offset % 50 = 0")), "global_envelope_key")
+
+
+@query("d9_machine_scan", "select count(*) present, 0::bigint missing, 'captured' origin, '' problem from events")
+def machine_scan(spark, sf):
+    return build.machine_binding(testbed.ledger(spark, sf), "machine-a")
+
+
+@query("d10_coverage_modes", """
+select u % 4 c, case u % 4 when 0 then 'complete_history' when 1 then 'retained_window_only' when 2 then 'cache_preserved_history' else 'cache_preserved_history' end as mode, count(*) n
+from (select user_id u from events) group by 1, 2""")
+def coverage_modes(spark, sf):
+    u = F.col("user_id") % 4
+    cache = F.when(u == 0, 1).when(u == 1, 5).when(u == 2, 2).otherwise(3)
+    kept = F.when(u == 0, 1).when(u == 1, 5).when(u == 2, 9)
+    return testbed.table(spark, sf, "events").select(u.alias("c"), presets.coverage_mode(cache, kept).alias("mode")).groupBy("c", "mode").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("d13_status", _ALL + """select 'envelope_facts' table_name, count(*) row_count from ev union all select 'event_facts', count(*) from ev
+ union all select 'command_rollups', count(*) from crk union all select 'session_rollups', count(*) from sx""")
+def status(spark, sf):
+    return presets.row_counts(testbed.tables(spark, sf))
+
+
+@query("d15_snapshot_merge", _E + "select kind, count(*) n, count(*) filter (ledger_offset % 2 = 0) newer from ev group by kind")
+def snapshot_merge(spark, sf):
+    rows = testbed.tables(spark, sf).event_facts.select("global_event_key", "kind", "ledger_offset")
+    old, new = rows.withColumn("v", F.lit(1)), rows.where("ledger_offset % 2 = 0").withColumn("v", F.lit(2))
+    merged = build.merge([("2024-01-01", old), ("2024-01-02", new)], "global_event_key")
+    return merged.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("v") == 2).alias("newer"))
+
+
+# --- presets ------------------------------------------------------------------------------
+
+_MS = "case when {0} is null or {0} <= 0 then '0s' when {0} < 1000 then {0} || 'ms' when {0} < 60000 then ({0} // 1000) || 's' when {0} < 3600000 then ({0} // 60000) || 'm' when {0} < 86400000 then ({0} // 3600000) || 'h' else ({0} // 86400000) || 'd' end"
+_AGE = _MS.format(f"((epoch_us(timestamp '{testbed.AS_OF}') - epoch_us(last_timestamp)) // 1000)")
+_T = "strftime({0}, '%Y-%m-%dT%H:%M:%SZ')"
+_SESS = "source_type || '/' || inst || '#' || substr(ssk, 1, 12)"
+
+
+def _preset(name: str):
+    return lambda spark, sf: presets.preset(name, testbed.tables(spark, sf), _as_of())
+
+
+query("e1_overview", _ALL + """select (select count(*) from ev) envelopes, (select count(*) from ev) events, (select count(*) from sx) sessions,
+ (select count(*) from crk) command_rollups, (select count(*) from sx where fs > 0) sessions_with_failures, 'complete_history' coverage""")(_preset("overview"))
+query("e2_attention", _ALL + f"""select gs global_session_key, {_SESS} as session, source_type || '/' || inst source, proj project,
+ case when fs > 0 then 'failed' when ic > 0 then 'incomplete' else 'clean' end status, fs failures, fc failed_cmds, ic incomplete_cmds, {_T.format('last_timestamp')} last_seen,
+ {_AGE} age, {_MS.format('duration_ms')} span from sx where fs > 0 or ic > 0 order by fs desc, ic desc, last_timestamp desc, gs limit 20""")(_preset("attention"))
+query("e3_recent_sessions", _ALL + f"""select gs global_session_key, {_SESS} as session, source_type || '/' || inst source, proj project, event_count events, um user_msgs, am agent_msgs,
+ c commands, {_T.format('last_timestamp')} last_seen, {_AGE} age, {_MS.format('duration_ms')} span from sx order by last_timestamp desc, gs limit 20""")(_preset("recent_sessions"))
+query("e4_projects", _ALL + f"""select proj project, count(*) sessions, sum(event_count)::bigint events, count(*) filter (fs > 0) failures, sum(c)::bigint commands,
+ {_T.format('max(last_timestamp)')} last_seen from sx group by proj, project_key order by max(last_timestamp) desc limit 20""")(_preset("projects"))
+query("e5_sources", _ALL + f"""select source_type || '/' || inst source, count(*) sessions, sum(event_count)::bigint events, count(*) filter (fs > 0) failures, sum(c)::bigint commands,
+ sum(tf)::bigint tool_failures, {_T.format('max(last_timestamp)')} last_seen from sx group by source_type, inst order by max(last_timestamp) desc limit 20""")(_preset("sources"))
+query("e6_command_health", _ALL + f"""select {_SESS.replace('ssk', 'sx.ssk').replace('inst', 'sx.inst')} as session, proj project, tool_name tool,
+ case when exit_code <> 0 then 'failed' when status <> 'completed' then 'incomplete' else 'clean' end status, coalesce(cast(exit_code as varchar), '-') exit_code,
+ {_MS.format('crk.duration_ms')} duration, {_T.format('coalesce(finish_timestamp, start_timestamp)')} finished_at
+ from crk join sx using (gs) order by coalesce(finish_timestamp, start_timestamp) desc, ck limit 20""")(_preset("command_health"))
+query("e7_timeline", _E + f"""select {_T.format("date_trunc('day', ts)")} bucket_start, count(*) events, count(*) filter (kind = 'session.started') sessions_started,
+ count(*) filter (kind = 'command.finished') commands_finished, count(*) filter (kind = 'tool.failed') + count(*) filter (kind = 'command.finished' and exit_code <> 0) failures
+ from ev group by date_trunc('day', ts) order by 1 desc limit 30""")(_preset("timeline"))
+
+
+@query("e8_coverage", _E + """select 'machine-a' machine, 'ledger-1' ledger_instance, 'cache_preserved_history' coverage, '1..' || max(ledger_offset) cache_offsets,
+ '101..' || max(ledger_offset) retained_offsets, max(ledger_offset) last_clean_offset, '2024-02-15T00:00:00Z' built_at, '1.5 MiB' db_size from ev""")
+def coverage(spark, sf):
+    rows = testbed.ledger(spark, sf)
+    return presets.coverage(testbed.tables(spark, sf), ledger.scan(rows, 100), _as_of(), 3 << 19)
+
+
+@query("e9_e10_previews", _ALL + """, top as (select gs from sx order by last_timestamp desc, gs limit 20),
+u as (select gs, arg_min(txt, ledger_offset) t from ek where kind = 'message.user' group by gs)
+select gs global_session_key, coalesce('seen ' || substr(t, 6), '-') first_user, '-' last_agent,
+ case when proj = 'repo://p1' then 'filtered' when t is not null then 'redacted' else 'empty' end content_status from top join sr using (gs) left join u using (gs) where proj <> 'repo://p1'
+union all select gs, '-', '-', 'filtered' from top join sr using (gs) where proj = 'repo://p1'""")
+def previews(spark, sf):
+    t = testbed.tables(spark, sf)
+    keys = presets.recent_sessions(t, 20, _as_of())
+    events = _events(spark, sf).join(t.event_facts.select("event_id", "global_session_key"), "event_id")
+    return presets.previews(t, keys, events, _POLICY)
+
+
+_CUSTOM = """select kind, source_instance_id, count(*) as n, sum(case when exit_code <> 0 then 1 else 0 end) as bad
+from event_facts group by grouping sets ((kind, source_instance_id), (kind))"""
+
+
+@query("e11_custom_sql", _E + ", event_facts as (select kind, inst source_instance_id, exit_code from ev) " + _CUSTOM)
+def custom_sql(spark, sf):
+    return sql.run(spark, testbed.tables(spark, sf), _CUSTOM)
+
+
+@query("e13_e14_display", """select doc_id, case when n_chars <= 0 then '0 B' when n_chars >= 1024 then printf('%.1f KiB', n_chars / 1024.0) else n_chars || ' B' end size,
+ case when mod(doc_id, 3) = 0 then '.../' || source || '/' || lang when mod(doc_id, 3) = 1 then 'repo://' || source else source end project from documents""")
+def displays(spark, sf):
+    deep = F.concat(F.lit("/a/very/long/path/of/many/folders/that/is/cut/"), "source", F.lit("/"), "lang")
+    locator = F.when(F.col("doc_id") % 3 == 0, deep).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("repo://"), "source")).otherwise(F.col("source"))
+    return testbed.table(spark, sf, "documents").select("doc_id", tx.format_bytes(F.col("n_chars")).alias("size"), tx.display_project(locator, F.lit("")).alias("project"))
+
+
+# --- sessions -----------------------------------------------------------------------------
+
+_SUM = """, sm as (select session_key, count(*) events, count(*) filter (kind = 'tool.failed' or (kind = 'command.finished' and exit_code <> 0)) failures, min(ts) first_timestamp,
+ max(ts) last_timestamp, (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000 duration_s, string_agg(distinct kind, ',' order by kind) kinds, any_value(source_type) source_type,
+ any_value(inst) source_instance_id, any_value(ssk) source_session_key, any_value(proj) project_locator, min(ledger_offset) "position" from ev group by session_key)"""
+
+
+@query("g1_summaries", _E + _SUM + " select * from sm")
+def summaries(spark, sf):
+    return sessions.summarize(_events(spark, sf))
+
+
+@query("g2_failed_summaries", _E + _SUM + " select session_key, events, failures from sm where failures > 0 order by failures desc, last_timestamp desc, events desc, position limit 25")
+def failed_summaries(spark, sf):
+    return sessions.order_summaries(sessions.summarize(_events(spark, sf)), "failed", True, 25).select("session_key", "events", "failures")
+
+
+@query("g3_headers", _E + _SUM + " select session_key, source_type, source_instance_id, source_session_key, project_locator, events, first_timestamp, last_timestamp, duration_s from sm")
+def headers(spark, sf):
+    return sessions.inspect_header(_events(spark, sf))
+
+
+@query("g4_kind_histogram", _E + "select session_key, kind, count(*) n from ev group by 1, 2")
+def histogram(spark, sf):
+    return sessions.kind_histogram(_events(spark, sf))
+
+
+@query("g6_g7_collapsed_commands")
+def collapsed(spark, sf):
+    return sessions.filter_commands(sessions.collapsed_commands(_events(spark, sf)), "attention")
+
+
+@query("g8_head_tail", _E + """select session_key, sequence, omitted from (select session_key, seq sequence, greatest(count(*) over (partition by session_key) - 4, 0) omitted,
+ count(*) over (partition by session_key) a from ev) where a <= 4 or sequence <= 2 or sequence > a - 2""")
+def head_tail(spark, sf):
+    return sessions.head_tail(_events(spark, sf).select("session_key", "sequence"), 4)
+
+
+@query("g9_tool_failures", _E + "select session_key, seq sequence, 'shell' tool, null::bigint exit_code, '' summary from ev where kind = 'tool.failed'")
+def tool_failures(spark, sf):
+    return sessions.tool_failures(_events(spark, sf))
+
+
+@query("g10_attention_events", _E + """select session_key, seq sequence, kind, exit_code, '' detail from ev where kind = 'tool.failed' or (kind = 'command.finished' and exit_code <> 0)""")
+def attention_events(spark, sf):
+    return sessions.attention_events(_events(spark, sf))
+
+
+@query("g11_g13_timeline", _E + """select session_key, seq sequence, ts "timestamp", kind, case when kind = 'message.user' then txt
+ when kind = 'command.finished' then '(exit ' || exit_code || ')' else '' end summary from ev""")
+def session_timeline(spark, sf):
+    return sessions.timeline(_events(spark, sf))
+
+
+# --- delivery -----------------------------------------------------------------------------
+
+_SINKS = {"archive": Policy(), "lake": Policy(denied_paths=("repo://p1",))}
+_BOX = """, box as (select s sink_id, ledger_offset, case when s = 'lake' and proj = 'repo://p1' then 'skipped' else 'pending' end status, payload, event_id last_event_id, ts created_at
+  from ev cross join (values ('archive'), ('lake')) t(s)),
+isl as (select *, ledger_offset - row_number() over (partition by sink_id order by ledger_offset) i from box where status = 'pending'),
+bat as (select *, (row_number() over (partition by sink_id, i order by ledger_offset) - 1) // 50 b from isl)"""
+
+
+@query("h1_outbox", _E + _BOX + " select sink_id, ledger_offset, status, last_event_id, cast(case when status = 'pending' then strlen(payload) else 0 end as bigint) payload_bytes from box")
+def outbox(spark, sf):
+    return delivery.outbox(_events(spark, sf), _SINKS).select("sink_id", "ledger_offset", "status", "last_event_id", "payload_bytes")
+
+
+@query("h2_h6_sealed_batches", _E + _BOX + """, s as (select sink_id, min(ledger_offset) lo, max(ledger_offset) hi, count(*) n, string_agg(payload, chr(10) order by ledger_offset) body from bat group by sink_id, i, b)
+select sink_id, lo ledger_min_offset, hi ledger_max_offset, n event_count, sha256(body) payload_sha256, cast(strlen(body) as bigint) payload_bytes,
+ 'batches/' || sink_id || '/batch_' || substr(sha256(concat_ws(chr(31), sink_id, lo, hi)), 1, 16) || '.jsonl' object_key from s""")
+def sealed(spark, sf):
+    return delivery.seal(delivery.batches(delivery.outbox(_events(spark, sf), _SINKS), 50)).select(
+        "sink_id", "ledger_min_offset", "ledger_max_offset", "event_count", "payload_sha256", "payload_bytes", "object_key")
+
+
+@query("h2_byte_capped_batches")
+def byte_capped(spark, sf):
+    rows = delivery.byte_capped(delivery.outbox(_events(spark, sf), {"lake": _SINKS["lake"]}), 1000)
+    return rows.select("sink_id", "ledger_offset", "payload_bytes", "batch_no")
+
+
+@query("h3_release_windows", """select event_id, epoch(timestamp '2024-01-16 00:00:00')::bigint >= ((epoch_us(ts) // 1000000 - 600) // 3600 + 1) * 3600 + 600 released from events""")
+def release(spark, sf):
+    at = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    return testbed.table(spark, sf, "events").select("event_id", delivery.released(F.col("ts"), at, 3600, 600).alias("released"))
+
+
+def _attempts(spark, sf):
+    return testbed._mapped(spark, sf).select(
+        F.concat(F.lit("sink-"), (F.col("k") % 3).cast("string")).alias("sink_id"), F.concat(F.lit("b"), (F.col("ledger_offset") % 500).cast("string")).alias("batch_id"),
+        F.col("ts").alias("attempted_at"), F.col("ledger_offset").alias("attempt"), (F.col("k") + 1).alias("event_count"), (F.col("k") * 10).alias("payload_bytes"),
+        delivery.classify_response(F.when(F.col("k") % 10 < 5, 200).when(F.col("k") % 10 < 7, 503).when(F.col("k") % 10 == 7, 401).when(F.col("k") % 10 == 8, 403).otherwise(404), F.col("k") % 2 == 0).alias("outcome"))
+
+
+_ATT = """, att as (select 'sink-' || (k % 3) sink_id, 'b' || (ledger_offset % 500) batch_id, ts, ledger_offset a, k + 1 ec, k * 10 pb,
+ case when k % 10 < 5 then 'success' when k % 10 < 7 then 'retry' when k % 10 = 7 then 'blocked_auth' when k % 10 = 8 and k % 2 <> 0 then 'blocked_auth' when k % 10 = 8 then 'blocked_config' else 'permanent' end outcome from ev),
+st as (select sink_id, batch_id, arg_max(outcome, (ts, a)) outcome, count(*) attempt_count, max(ts) last_attempt from att group by 1, 2),
+st2 as (select *, case when outcome = 'success' then 'acked' when outcome = 'permanent' or attempt_count >= 20 then 'quarantined' when outcome like 'blocked%' then outcome else 'retrying' end status,
+ least(300.0, 10.0 * pow(2.0, attempt_count - 1)) wait from st),
+st3 as (select *, case when status not in ('acked', 'quarantined') then last_attempt + to_seconds(wait::bigint) end next_attempt_at from st2)"""
+
+
+@query("h7_h9_batch_states", _E + _ATT + " select sink_id, batch_id, outcome, attempt_count, last_attempt, status, next_attempt_at from st3")
+def batch_states(spark, sf):
+    return delivery.batch_states(_attempts(spark, sf))
+
+
+@query("h10_due_batches", _E + _ATT + f""" select sink_id, batch_id, next_attempt_at from st3 where status not in ('acked', 'quarantined') and next_attempt_at <= timestamp '{testbed.AS_OF}'
+ order by next_attempt_at, sink_id, batch_id limit 128""")
+def due(spark, sf):
+    return delivery.due(delivery.batch_states(_attempts(spark, sf)), _as_of()).select("sink_id", "batch_id", "next_attempt_at")
+
+
+@query("h11_h12_requeue", _E + _ATT + """ select sink_id, case when status = 'quarantined' and substr(batch_id, 2)::int % 2 = 0 then 'pending' else status end status, count(*) n from st3 group by 1, 2""")
+def requeue(spark, sf):
+    states = delivery.batch_states(_attempts(spark, sf))
+    chosen = states.where("cast(substring(batch_id, 2) as int) % 2 = 0").select("batch_id").distinct()
+    return delivery.requeue(states, chosen).groupBy("sink_id", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("h13_frontier", _E + """, it as (select 'sink-' || s sink_id, ledger_offset o, case when s = 0 and ledger_offset = 700 then 'pending' when s = 1 and ledger_offset = 300 then 'quarantined'
+ when s = 1 and ledger_offset = 900 then 'pending' when ledger_offset % 9 = 0 then 'skipped' else 'acked' end status from ev cross join (values (0), (1), (2)) t(s) where not (s = 2 and ledger_offset = 500)),
+x as (select *, o <> row_number() over (partition by sink_id order by o) g from it),
+y as (select sink_id, min(o) filter (g or status not in ('acked', 'skipped')) a, min(o) filter (g or status not in ('acked', 'skipped', 'quarantined')) t, max(o) filter (not g) w from x group by sink_id)
+select sink_id, coalesce(least(w, a - 1), w) acked_contiguous_offset, coalesce(least(w, t - 1), w) terminal_contiguous_offset, coalesce(least(w, t - 1), w) - coalesce(least(w, a - 1), w) gap_count from y""")
+def frontier(spark, sf):
+    o = F.col("ledger_offset")
+    rows = testbed._mapped(spark, sf).select("ledger_offset", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("s")).where(~((F.col("s") == 2) & (o == 500)))
+    status_ = (F.when((F.col("s") == 0) & (o == 700), "pending").when((F.col("s") == 1) & (o == 300), "quarantined").when((F.col("s") == 1) & (o == 900), "pending")
+               .when(o % 9 == 0, "skipped").otherwise("acked"))
+    return delivery.frontier(rows.select(F.concat(F.lit("sink-"), F.col("s").cast("string")).alias("sink_id"), "ledger_offset", status_.alias("status")))
+
+
+@query("h14_delivery_summary", _E + _ATT + """, dq as (select 'sink-' || (k % 3) sink_id, count(*) queue_depth, min(ts) oldest_pending, count(*) pending, 0::bigint acked, 0::bigint skipped, 0::bigint quarantined from ev group by 1),
+rc as (select sink_id, sum(ec)::bigint e, count(*) n, count(*) filter (outcome = 'success') s, max(pb) m from att where ts <= timestamp '2024-01-16 00:00:00' and epoch_us(ts) // 1000000 > epoch(timestamp '2024-01-16 00:00:00')::bigint - 60 group by 1)
+select dq.*, coalesce(e, 0) events_last_minute, coalesce(n, 0) attempts_last_minute, coalesce(s, 0) successes_last_minute, coalesce(m, 0) max_bytes_last_minute from dq left join rc using (sink_id)""")
+def delivery_summary(spark, sf):
+    items = testbed._mapped(spark, sf).select(F.concat(F.lit("sink-"), (F.col("k") % 3).cast("string")).alias("sink_id"), F.lit("pending").alias("status"), F.col("ts").alias("created_at"))
+    return delivery.summary(items, _attempts(spark, sf), F.lit("2024-01-16 00:00:00").cast("timestamp"))
+
+
+@query("h15_provider_stats", """select 'sink-' || (user_id % 3) sink_id, event_type provider, count(*) + count(*) filter (event_id % 2 = 0) successful_resolutions, 0::bigint auth_failures, 0::bigint config_failures,
+ max(ts) updated_at from events group by 1, 2""")
+def provider_stats(spark, sf):
+    rows = testbed.table(spark, sf, "events")
+    stat = lambda df: df.groupBy(F.concat(F.lit("sink-"), (F.col("user_id") % 3).cast("string")).alias("sink_id"), F.col("event_type").alias("provider")).agg(
+        F.count(F.lit(1)).alias("successful_resolutions"), F.lit(0).cast("bigint").alias("auth_failures"), F.lit(0).cast("bigint").alias("config_failures"), F.max("ts").alias("updated_at"))
+    return delivery.provider_stats(stat(rows), stat(rows.where("event_id % 2 = 0")))
+
+
+@query("h16_replay_plan", """select 'sink-' || user_id sink_id, case user_id % 3 when 0 then true else false end included,
+ case user_id % 3 when 0 then 'idempotent' when 1 then 'append_only sink skipped' else 'side_effecting sink skipped' end reason from (select distinct user_id from events)""")
+def replay_plan(spark, sf):
+    u = F.col("user_id") % 3
+    rows = testbed.table(spark, sf, "events").select("user_id").distinct().select(
+        F.concat(F.lit("sink-"), F.col("user_id").cast("string")).alias("sink_id"), F.when(u == 0, "idempotent").when(u == 1, "append_only").otherwise("side_effecting").alias("delivery_class"))
+    return delivery.replay_plan(rows)
+
+
+@query("h18_export_lines", _E + "select ledger_offset, event_id, kind, txt from ev")
+def export_lines(spark, sf):
+    get = lambda p: F.get_json_object("value", p)
+    return delivery.export_lines(_events(spark, sf)).select("ledger_offset", get("$.event_id").alias("event_id"), get("$.kind").alias("kind"), get("$.payload.text").alias("txt"))
