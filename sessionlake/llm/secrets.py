@@ -43,7 +43,8 @@ MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 SAMPLE_DOCS = 4000
 #: A run counts as random from this log-likelihood ratio on, in total and per character.
 MIN_TOTAL, MIN_MEAN = 6.0, 0.25
-ALPHABET = 68
+#: Weight of the single characters' shares in the pairs' shares, in counts.
+PRIOR = 20
 
 
 def _prefix_sums(a: Column) -> Column:
@@ -128,11 +129,15 @@ def train(labelled: DataFrame) -> list[float]:
     for r in counts:
         table[r["random"]][r["a"], r["b"]] = r["count"]
     out = [0.0] * (128 * 128)
+    rows = {x: {a: sum(table[x].get((a, b), 0) for b in key) for a in key} for x in (True, False)}
+    alone = {
+        x: {b: (sum(table[x].get((a, b), 0) for a in key) + 0.5) / (sum(rows[x].values()) + 0.5 * len(key)) for b in key}
+        for x in (True, False)
+    }
+    smooth = lambda x, a, b: (table[x].get((a, b), 0) + PRIOR * alone[x][b]) / (rows[x][a] + PRIOR)
     for a in key:
-        total = {x: sum(table[x].get((a, b), 0) for b in key) for x in (True, False)}
         for b in key:
-            p, q = ((table[x].get((a, b), 0) + 0.5) / (total[x] + 0.5 * len(key)) for x in (True, False))
-            out[128 * a + b] = round(math.log(p / q), 4)
+            out[128 * a + b] = round(math.log(smooth(True, a, b) / smooth(False, a, b)), 4)
     return out
 
 
