@@ -9,11 +9,12 @@ and all subsets of n2 - k2 sub-parts are enumerated: on one of those the sets ag
 fully.  A signature is the hash of a set's elements in such a subset, so similar
 sets share one.  Each set signs for its own band and for the next.
 
-Sets that share signatures are compared exactly.  Copies (equal sets) count once.
-Groups are not expanded into pairs: in each group the members are compared with a
-pivot (the member that shares most signatures), links are joined to components,
-and only groups that still span several components go on, with other pivots; what
-is left after ``ROUNDS`` is compared where prefixes of the sets also meet.
+Sets that share signatures are compared exactly, unless their sizes or parity
+sketches already rule a link out.  Copies (equal sets) count once.  Groups are not
+expanded into pairs: in each group the members are compared with a pivot (the one
+that shares most signatures), links are joined to components, and only groups that
+still span several components go on, without that pivot; what is left after
+``ROUNDS`` is compared where prefixes of the sets also meet.
 
 Rules: a text with fewer words than a shingle is one shingle; null or wordless
 texts have empty sets and no links.  Rows that share an id are one document.
@@ -40,8 +41,10 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 #: Up to this many differing elements, parts are cut in three instead of two.
 FINE = 15
-ROUNDS = 3
-#: Ids of compared documents up to which they are broadcast (8 bytes each).
+ROUNDS = 4
+#: Bits of the sketches that rule pairs out.
+SKETCH_BITS = 1024
+#: Ids or pairs of compared documents up to which they are broadcast (16 bytes each).
 BROADCAST_IDS = 1_000_000
 
 
@@ -121,10 +124,16 @@ def _text_bytes(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary").alias("text"))
 
 
+def _sketch(elements: np.ndarray) -> np.ndarray:
+    """Parities of the elements per hash bucket; sketches differ in at most as many bits as sets in elements."""
+    counts = np.bincount((_mix(elements, 6) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def set_digests(docs: DataFrame, measure: Measure) -> DataFrame:
-    """(doc_id, n_shingles, digest) for each row; the digest of an empty set is null."""
+    """(doc_id, n_shingles, digest, sketch) for each row; the digest of an empty set is null."""
 
-    @F.pandas_udf("n long, digest binary")
+    @F.pandas_udf("n long, digest binary, sketch array<bigint>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = _Hashes()
         for batch in batches:
@@ -132,10 +141,11 @@ def set_digests(docs: DataFrame, measure: Measure) -> DataFrame:
             yield pd.DataFrame({
                 "n": [len(s) for s in sets],
                 "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
+                "sketch": [_sketch(s) for s in sets],
             })
 
     return _text_bytes(docs).select("doc_id", of("text").alias("s")).select(
-        "doc_id", F.col("s.n").alias("n_shingles"), "s.digest")
+        "doc_id", F.col("s.n").alias("n_shingles"), "s.digest", "s.sketch")
 
 
 def signed(docs: DataFrame, measure: Measure) -> DataFrame:
@@ -170,34 +180,48 @@ def _rows(ids: list, sigs: list[np.ndarray]) -> pd.DataFrame:
     })
 
 
-def set_arrays(docs: DataFrame, measure: Measure) -> DataFrame:
-    """(doc_id, elements) of the given documents."""
+def set_arrays(rows: DataFrame, measure: Measure) -> DataFrame:
+    """``rows`` with ``elements``, the set of their ``text``, in its place."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("array<bigint>")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = _Hashes()
         for batch in batches:
-            sets = [shingles(t, measure.n, known).view(np.int64) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "elements": sets})
+            yield pd.Series([shingles(t, measure.n, known).view(np.int64) for t in batch])
 
-    return _text_bytes(docs).mapInPandas(run, "doc_id long, elements array<bigint>")
+    return rows.withColumn("elements", of(F.col("text").cast("binary"))).drop("text")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
-    """Pairs (a, b) with whether they link."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    return (
-        pairs.join(left, "a").join(right, "b")
-        .select("a", "b", measure.linked(common, F.size("x"), F.size("y")).alias("linked"))
-        .groupBy("a", "b").agg(F.max("linked").alias("linked"))
-    )
+def _possible(pairs: DataFrame, sketches: DataFrame, measure: Measure) -> DataFrame:
+    """Pairs (a, b) that sizes and sketches do not rule out.  Nothing similar is lost:
+    sketches differ in no more bits than the sets in elements."""
+    side = lambda k: sketches.select(F.col("doc_id").alias(k), F.col("n").alias(f"n_{k}"), F.col("sketch").alias(f"s_{k}"))
+    apart = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    both = F.col("n_a") + F.col("n_b")
+    close = (apart * (measure.den + measure.num) <= both * (measure.den - measure.num)) & (
+        F.least("n_a", "n_b") * measure.den >= F.greatest("n_a", "n_b") * measure.num)
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(close).select("a", "b").distinct()
 
 
-def links(docs: DataFrame, measure: Measure, members: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, measure: Measure) -> DataFrame:
+    """The pairs (a, b) whose sets are similar.
+
+    Sets are made where the texts lie and sent once, to the first of each pair.
+    """
+    small = pairs.count() <= BROADCAST_IDS
+    near = (lambda df: F.broadcast(df)) if small else (lambda df: df)
+    text = docs.select("doc_id", "text")
+    there = set_arrays(text.withColumnRenamed("doc_id", "b").join(near(pairs), "b"), measure)
+    here = set_arrays(text.withColumnRenamed("doc_id", "a").join(near(pairs.select("a").distinct()), "a", "left_semi"), measure)
+    joined = there.join(here.withColumnRenamed("elements", "others"), "a")
+    common = F.size(F.array_intersect("elements", "others"))
+    return joined.where(measure.linked(common, F.size("elements"), F.size("others"))).select("a", "b").distinct()
+
+
+def links(docs: DataFrame, measure: Measure, named: DataFrame) -> DataFrame:
     """(node, component) of the documents that stand for their copies and have links.
 
-    ``members`` has (doc_id, representative); every exact copy maps to one id.
+    ``named`` has (doc_id, representative, n, sketch) of nonempty sets; copies map to one id.
     """
     by_sig = Window.partitionBy("signature")
     shared = (
@@ -206,6 +230,7 @@ def links(docs: DataFrame, measure: Measure, members: DataFrame) -> DataFrame:
         .where("n > 1")
         .select("signature", "doc_id")
     )
+    members = named.select("doc_id", "representative").distinct()
     shared = (
         shared.join(members, "doc_id")
         .select("signature", F.col("representative").alias("doc_id"))
@@ -214,49 +239,43 @@ def links(docs: DataFrame, measure: Measure, members: DataFrame) -> DataFrame:
         .where("n > 1")
     )
     shared = cut(shared)
-    ids = cut(shared.groupBy("doc_id").agg(F.sum("n").alias("weight")))
-    sets = cut(set_arrays(
-        docs.select("doc_id", "text").join(broadcast_if_small(ids, BROADCAST_IDS), "doc_id", "left_semi"), measure
-    ))
-    live = shared.join(ids, "doc_id").select("signature", "doc_id", "weight")
-    tested = found = None
+    weights = shared.groupBy("doc_id").agg(F.sum("n").alias("weight"))
+    sketches = cut(named.where("doc_id = representative").select("doc_id", "n", "sketch").join(
+        weights.select("doc_id"), "doc_id", "left_semi").distinct())
+    live = cut(shared.drop("n").join(weights, "doc_id"))
+    found: DataFrame | None = None
     parts: DataFrame | None = None
     for turn in range(ROUNDS + 1):
+        own = F.col("doc_id")
         rows = live
         if parts is not None:
             rows = rows.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-            rows = rows.withColumn("component", F.coalesce("component", "doc_id"))
-        else:
-            rows = rows.withColumn("component", F.col("doc_id"))
+            own = F.coalesce("component", "doc_id")
+        rows = rows.withColumn("component", own)
         rows = rows.withColumns({
             "low": F.min("component").over(by_sig), "high": F.max("component").over(by_sig)
-        }).where("low < high")
+        }).where("low < high").drop("low", "high")
         if turn < ROUNDS:
-            rank = F.struct("weight", -F.col("doc_id")) if turn == 0 else F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id")
-            top = rows.withColumn("top", F.max(F.struct(
-                rank.alias("rank"), F.col("doc_id").alias("id"), F.col("component").alias("part"))).over(by_sig))
-            pairs = top.where("component != top.part").select(
-                F.least("doc_id", "top.id").alias("a"), F.greatest("doc_id", "top.id").alias("b")
-            )
+            top = F.max(F.struct("weight", F.col("doc_id").alias("id"), F.col("component").alias("part"))).over(by_sig)
+            rows = cut(rows.withColumn("top", top))
+            pairs = rows.where("component <> top.part").select(
+                F.least("doc_id", "top.id").alias("a"), F.greatest("doc_id", "top.id").alias("b"))
+            # Compared with all others, a pivot has done its part in the group.
+            live = rows.where("doc_id <> top.id").select("signature", "doc_id", "weight")
         else:
-            pairs = _prefix_pairs(rows, sets, measure)
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        done = cut(_verified(pairs, sets, measure))
-        if done.isEmpty():
-            if turn < ROUNDS and parts is not None and rows.isEmpty():
-                break
-            continue
-        tested = done.select("a", "b") if tested is None else tested.unionByName(done.select("a", "b"))
-        new = done.where("linked").select("a", "b")
-        found = new if found is None else found.unionByName(new)
-        parts = cut(components(found))
-    return parts if parts is not None else ids.select(
+            rows = cut(rows)
+            pairs = _prefix_pairs(rows, docs, measure)
+        if rows.isEmpty():
+            break
+        new = cut(_verified(cut(_possible(pairs.distinct(), sketches, measure)), docs, measure))
+        if not new.isEmpty():
+            found = new if found is None else found.unionByName(new)
+            parts = cut(components(found))
+    return parts if parts is not None else weights.select(
         F.col("doc_id").alias("node"), F.col("doc_id").alias("component")).where(F.lit(False))
 
 
-def _prefix_pairs(rows: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
+def _prefix_pairs(rows: DataFrame, docs: DataFrame, measure: Measure) -> DataFrame:
     """Pairs of a group, over components, whose prefixes meet.
 
     Similar sets share an element among the first size - ceil(t * size) + 1 of
@@ -264,26 +283,25 @@ def _prefix_pairs(rows: DataFrame, sets: DataFrame, measure: Measure) -> DataFra
     """
     size = F.size("elements")
     keep = size - F.ceil(size * measure.num / F.lit(measure.den)).cast("int") + 1
-    keyed = rows.select("signature", "doc_id", "component").join(
-        sets.select("doc_id", F.slice(F.sort_array("elements"), F.lit(1), keep).alias("head")), "doc_id"
-    ).withColumn("e", F.explode("head")).drop("head")
+    ids = cut(rows.select("doc_id").distinct())
+    sets = set_arrays(docs.select("doc_id", "text").join(broadcast_if_small(ids, BROADCAST_IDS), "doc_id", "left_semi"), measure)
+    heads = sets.select("doc_id", F.explode(F.slice(F.sort_array("elements"), F.lit(1), keep)).alias("e"))
+    keyed = rows.select("signature", "doc_id", "component").join(heads, "doc_id")
     other = keyed.select("signature", "e", F.col("doc_id").alias("b"), F.col("component").alias("other"))
     return (
         keyed.withColumnRenamed("doc_id", "a").join(other, ["signature", "e"])
-        .where("a < b and component != other").select("a", "b")
+        .where("a < b and component <> other").select("a", "b")
     )
 
 
 def join_components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``."""
     digests = cut(set_digests(docs, measure))
-    first = digests.where("digest is not null and doc_id is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("representative"))
-    named = digests.join(first, "digest", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("representative", "doc_id")).alias("representative"))
-    named = cut(named)
-    members = named.where("n_shingles > 0 and doc_id is not null").select("doc_id", "representative").distinct()
-    parts = links(docs, measure, members)
-    return named.join(parts.withColumnRenamed("node", "representative"), "representative", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "representative").alias("component_id"))
+    usable = digests.where("digest is not null and doc_id is not null")
+    first = usable.groupBy("digest").agg(F.min("doc_id").alias("representative"))
+    named = cut(digests.join(first, "digest", "left").select(
+        "doc_id", F.col("n_shingles").alias("n"), "sketch",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("representative", "doc_id")).alias("representative")))
+    parts = links(docs, measure, named.where("n > 0 and doc_id is not null"))
+    return named.drop("sketch").join(parts.withColumnRenamed("node", "representative"), "representative", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "representative").alias("component_id"))
