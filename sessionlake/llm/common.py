@@ -60,6 +60,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """Keeps Arrow batches of whole texts small, where the session has the default size."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(name) == "10000":
+        df.sparkSession.conf.set(name, str(rows))
+    return df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only after counting; beyond the bound Spark shuffles.
 

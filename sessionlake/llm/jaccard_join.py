@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import broadcast_if_small, cut
+from sessionlake.llm.common import broadcast_if_small, cut, small_batches
 from sessionlake.llm.components import components
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -57,7 +57,7 @@ class _Hashes(dict):
     """Hash of a word, remembered; bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = out = xxhash.xxh64_intdigest(word)
         return out
@@ -164,7 +164,7 @@ def signed(docs: DataFrame, measure: Measure) -> DataFrame:
                 ids.append(doc)
                 sigs.append(measure.signatures(s))
                 rows += len(sigs[-1])
-                if rows > 400_000:
+                if rows > 200_000:
                     yield _rows(ids, sigs)
                     ids, sigs, rows = [], [], 0
             if ids:
@@ -296,7 +296,7 @@ def _prefix_pairs(rows: DataFrame, docs: DataFrame, measure: Measure) -> DataFra
 
 def join_components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``."""
-    digests = cut(set_digests(docs, measure))
+    digests = cut(set_digests(small_batches(docs), measure))
     usable = digests.where("digest is not null and doc_id is not null")
     first = usable.groupBy("digest").agg(F.min("doc_id").alias("representative"))
     named = cut(digests.join(first, "digest", "left").select(

@@ -32,6 +32,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionlake.llm.common import small_batches
+
 K = 5
 #: What counts above K lose.
 TAIL = 0.1
@@ -348,7 +350,7 @@ def score(docs: DataFrame) -> DataFrame:
     ``docs`` has doc_id, text and train (whether the model learns from the row).
     """
     spark = docs.sparkSession
-    rows = _token_rows(docs)
+    rows = _token_rows(small_batches(docs))
     words = word_table(rows.where("train"))
     share = docs.agg(F.sum(F.char_length("text")).alias("all"),
                      F.sum(F.when(F.col("train"), F.char_length("text"))).alias("train")).first()

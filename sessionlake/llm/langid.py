@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionlake.llm.common import small_batches
+
 BUCKETS = 1 << 15
 #: Most cells (labels x buckets) of the broadcast matrix: 64 MB.
 MAX_CELLS = 1 << 24
@@ -116,7 +118,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def train(rows: DataFrame, text: str = "text", label: str = "lang") -> Model:
     """Fit on all rows whose text and label are given."""
-    used = rows.select(F.col(text).alias("text"), F.col(label).alias("lang")).dropna()
+    used = small_batches(rows).select(F.col(text).alias("text"), F.col(label).alias("lang")).dropna()
     counts = (
         used.mapInPandas(_count, "lang string, bucket int, n long")
         .groupBy("lang", "bucket")
@@ -140,7 +142,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``."""
     if not model.labels:
         return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("label string, score double")
     def best(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionlake.llm.common import small_batches
+
 # Base phrases and their labels.
 BASE = [
     ("mit license", "mit"),
@@ -232,5 +234,5 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
             out = pd.DataFrame(rows, columns=[x.split()[0] for x in _RESULT.split(", ")])
             yield out.astype({"first_word": "Int64", "last_word": "Int64"})
 
-    found = docs.withColumn("__found", run(F.col(text).cast("binary")))
+    found = small_batches(docs).withColumn("__found", run(F.col(text).cast("binary")))
     return found.drop(text).select("*", "__found.*").drop("__found")

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import cut
+from sessionlake.llm.common import cut, small_batches
 
 MIN_WORDS = 8
 _LINES = re.compile(r"[^\n]+")
@@ -49,7 +49,7 @@ def units(docs: DataFrame, sentences: bool = True, min_words: int = MIN_WORDS) -
                 out.append(rows)
             yield pd.Series(out)
 
-    return docs.select("doc_id", F.explode(cut_up("text")).alias("u")).select("doc_id", "u.*")
+    return small_batches(docs).select("doc_id", F.explode(cut_up("text")).alias("u")).select("doc_id", "u.*")
 
 
 def repeated_units(docs: DataFrame, sentences: bool = True, min_words: int = MIN_WORDS) -> DataFrame:
