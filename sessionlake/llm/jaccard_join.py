@@ -42,7 +42,7 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
 #: Up to this many differing elements, parts are cut in three instead of two.
 FINE = 15
 ROUNDS = 4
-#: Bits of the sketches that rule pairs out.
+#: Fewest bits of the sketches that rule pairs out.
 SKETCH_BITS = 1024
 #: Ids or pairs of compared documents up to which they are broadcast (16 bytes each).
 BROADCAST_IDS = 1_000_000
@@ -125,8 +125,13 @@ def _text_bytes(docs: DataFrame) -> DataFrame:
 
 
 def _sketch(elements: np.ndarray) -> np.ndarray:
-    """Parities of the elements per hash bucket; sketches differ in at most as many bits as sets in elements."""
-    counts = np.bincount((_mix(elements, 6) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
+    """Parities of the elements per hash bucket, a power of two of at least the set's size.
+
+    Sketches differ in at most as many bits as sets in elements.  Folding one by
+    half gives the sketch of half the size.
+    """
+    bits = max(SKETCH_BITS, 1 << (len(elements) - 1).bit_length()) if len(elements) else SKETCH_BITS
+    counts = np.bincount((_mix(elements, 6) % np.uint64(bits)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
@@ -196,7 +201,11 @@ def _possible(pairs: DataFrame, sketches: DataFrame, measure: Measure) -> DataFr
     """Pairs (a, b) that sizes and sketches do not rule out.  Nothing similar is lost:
     sketches differ in no more bits than the sets in elements."""
     side = lambda k: sketches.select(F.col("doc_id").alias(k), F.col("n").alias(f"n_{k}"), F.col("sketch").alias(f"s_{k}"))
-    apart = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    half = lambda x: (F.size(x) / 2).cast("int")
+    folded = lambda x, y: F.when(F.size(x) <= F.size(y), x).otherwise(F.zip_with(
+        F.slice(x, F.lit(1), half(x)), F.slice(x, half(x) + 1, half(x)), lambda p, q: p.bitwiseXOR(q)))
+    a, b = F.col("s_a"), F.col("s_b")
+    apart = F.aggregate(F.zip_with(folded(a, b), folded(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     both = F.col("n_a") + F.col("n_b")
     close = (apart * (measure.den + measure.num) <= both * (measure.den - measure.num)) & (
         F.least("n_a", "n_b") * measure.den >= F.greatest("n_a", "n_b") * measure.num)
