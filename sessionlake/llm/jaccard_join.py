@@ -3,18 +3,18 @@
 Sets of word shingles are put in bands of size: from l to l / threshold.  Two
 sets that are similar enough lie in the same or in neighbouring bands, and differ
 in at most k elements, where k follows from the upper end of the larger one's
-band.  The domain of elements is cut in n1 parts by hash; in one of them two such
-sets differ in at most k2 = k // n1 elements.  Each part is cut in n2 sub-parts,
-and all subsets of n2 - k2 sub-parts are enumerated: on one of those the sets agree
-fully.  A signature is the hash of a set's elements in such a subset, so similar
+band.  The domain of elements is cut in n1 parts by hash, a few more than k / 2, so
+in some of them two such sets differ in at most one element (k2 = 1).  Each part is
+cut in n2 sub-parts, and all subsets of n2 - k2 sub-parts are enumerated: on one of
+those the sets agree fully.  A signature is the hash of a set's elements in such a subset, so similar
 sets share one.  Each set signs for its own band and for the next.
 
 Sets that share signatures are compared exactly, unless their sizes or parity
 sketches already rule a link out.  Copies (equal sets) count once.  Groups are not
 expanded into pairs: in each group the members are compared with a pivot (the one
 that shares most signatures), links are joined to components, and only groups that
-still span several components go on, without that pivot; what is left after
-``ROUNDS`` is compared where prefixes of the sets also meet.
+still span several components go on, without that pivot.  The documents of groups
+that are left after ``ROUNDS`` are compared where prefixes of their sets meet.
 
 Rules: a text with fewer words than a shingle is one shingle; null or wordless
 texts have empty sets and no links.  Rows that share an id are one document.
@@ -41,7 +41,9 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 #: Up to this many differing elements, parts are cut in three instead of two.
 FINE = 15
-ROUNDS = 4
+ROUNDS = 2
+#: Buckets of the table of element frequencies that orders prefixes (2 MB).
+ORDER_BUCKETS = 1 << 18
 #: Fewest bits of the sketches that rule pairs out.
 SKETCH_BITS = 1024
 #: Ids or pairs of compared documents up to which they are broadcast (16 bytes each).
@@ -102,11 +104,16 @@ class Measure:
         for i in (band, band + 1):
             top = int(lows[i]) * self.den // self.num
             k = 2 * (self.den - self.num) * top // (self.den + self.num)
-            n1 = k // 2 + 1
-            k2 = k // n1
+            # Of n1 parts, spare + 1 at least hold one difference or none.
+            spare = 0 if k <= FINE else (k // 2 + 1) // 8 + 1
+            n1 = k // 2 + 1 + spare
+            k2 = min(k, 1)
             n2 = 1 if k == 0 else 3 if k <= FINE else 2
             x = _mix(elements, 3)
             cell = (x % np.uint64(n1)) * np.uint64(n2) + _mix(elements, 4) % np.uint64(n2)
+            full = np.bincount(cell.astype(np.int64), minlength=n1 * n2).reshape(n1, n2) > 0
+            # If few parts have an empty sub-part, one of the others will match: empty ones need not sign.
+            skip = (~full).any(axis=1).sum() <= spare
             sums = np.zeros(n1 * n2, np.uint64)
             np.add.at(sums, cell.astype(np.int64), _mix(elements, 5))
             sums = sums.reshape(n1, n2)
@@ -116,7 +123,7 @@ class Measure:
                 total = tag
                 for q in subset:
                     total = _mix(total + _mix(sums[:, q], q), 2)
-                out.append(total)
+                out.append(total[full[:, list(subset)].any(axis=1)] if skip else total)
         return np.concatenate(out)
 
 
@@ -251,7 +258,7 @@ def links(docs: DataFrame, measure: Measure, named: DataFrame) -> DataFrame:
     weights = shared.groupBy("doc_id").agg(F.sum("n").alias("weight"))
     sketches = cut(named.where("doc_id = representative").select("doc_id", "n", "sketch").join(
         weights.select("doc_id"), "doc_id", "left_semi").distinct())
-    live = cut(shared.drop("n").join(weights, "doc_id"))
+    live = shared.drop("n").join(weights, "doc_id")
     found: DataFrame | None = None
     parts: DataFrame | None = None
     for turn in range(ROUNDS + 1):
@@ -266,13 +273,13 @@ def links(docs: DataFrame, measure: Measure, named: DataFrame) -> DataFrame:
         }).where("low < high").drop("low", "high")
         if turn < ROUNDS:
             top = F.max(F.struct("weight", F.col("doc_id").alias("id"), F.col("component").alias("part"))).over(by_sig)
-            rows = cut(rows.withColumn("top", top))
-            pairs = rows.where("component <> top.part").select(
-                F.least("doc_id", "top.id").alias("a"), F.greatest("doc_id", "top.id").alias("b"))
+            rows = cut(rows.withColumn("top", top).select(
+                "signature", "doc_id", "weight", F.col("top.id").alias("pivot"), (F.col("component") != F.col("top.part")).alias("apart")))
+            pairs = rows.where("apart").select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b"))
             # Compared with all others, a pivot has done its part in the group.
-            live = rows.where("doc_id <> top.id").select("signature", "doc_id", "weight")
+            live = rows.where("doc_id <> pivot").select("signature", "doc_id", "weight")
         else:
-            rows = cut(rows)
+            rows = cut(rows.select("doc_id", "component").distinct())
             pairs = _prefix_pairs(rows, docs, measure)
         if rows.isEmpty():
             break
@@ -285,22 +292,46 @@ def links(docs: DataFrame, measure: Measure, named: DataFrame) -> DataFrame:
 
 
 def _prefix_pairs(rows: DataFrame, docs: DataFrame, measure: Measure) -> DataFrame:
-    """Pairs of a group, over components, whose prefixes meet.
+    """Pairs of documents in different components whose prefixes meet.
 
-    Similar sets share an element among the first size - ceil(t * size) + 1 of
-    their sorted elements.
+    Similar sets share an element among the first size - ceil(t * size) + 1 of their
+    elements in any fixed order.  Rare elements go first, so passages that many
+    documents share do not make pairs; how rare is read off a table of bounded size.
+    Elements whose documents all lie in one component are dropped before the join.
     """
-    size = F.size("elements")
-    keep = size - F.ceil(size * measure.num / F.lit(measure.den)).cast("int") + 1
-    ids = cut(rows.select("doc_id").distinct())
-    sets = set_arrays(docs.select("doc_id", "text").join(broadcast_if_small(ids, BROADCAST_IDS), "doc_id", "left_semi"), measure)
-    heads = sets.select("doc_id", F.explode(F.slice(F.sort_array("elements"), F.lit(1), keep)).alias("e"))
-    keyed = rows.select("signature", "doc_id", "component").join(heads, "doc_id")
-    other = keyed.select("signature", "e", F.col("doc_id").alias("b"), F.col("component").alias("other"))
-    return (
-        keyed.withColumnRenamed("doc_id", "a").join(other, ["signature", "e"])
-        .where("a < b and component <> other").select("a", "b")
-    )
+    near = broadcast_if_small(rows, BROADCAST_IDS)
+    some = set_arrays(docs.select("doc_id", "text").join(near, "doc_id"), measure)
+    spark, slots = docs.sparkSession, ORDER_BUCKETS
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(slots, np.int64)
+        for batch in batches:
+            for e in batch["elements"]:
+                np.add.at(total, (e.view(np.uint64) % np.uint64(slots)).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"slot": at, "n": total[at]})
+
+    counts = some.select("elements").mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    order = np.zeros(slots, np.int64)  # at most ORDER_BUCKETS rows came
+    order[counts["slot"]] = counts["n"]
+    shared = spark.sparkContext.broadcast(order)
+
+    @F.pandas_udf("array<bigint>")
+    def head(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        rank = shared.value
+        for batch in batches:
+            out = []
+            for e in batch:
+                keep = len(e) + (-len(e) * measure.num // measure.den) + 1
+                out.append(e[np.lexsort((e, rank[(e.view(np.uint64) % np.uint64(slots)).astype(np.int64)]))[:keep]])
+            yield pd.Series(out)
+
+    keyed = some.select("doc_id", "component", F.explode(head("elements")).alias("e"))
+    group = Window.partitionBy("e")
+    keyed = keyed.withColumns({"low": F.min("component").over(group), "high": F.max("component").over(group)})
+    keyed = cut(keyed.where("low < high").select("doc_id", "component", "e"))
+    other = keyed.select("e", F.col("doc_id").alias("b"), F.col("component").alias("other"))
+    return keyed.withColumnRenamed("doc_id", "a").join(other, "e").where("a < b and component <> other").select("a", "b")
 
 
 def join_components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
