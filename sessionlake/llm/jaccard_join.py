@@ -42,8 +42,6 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
 #: Up to this many differing elements, parts are cut in three instead of two.
 FINE = 15
 ROUNDS = 2
-#: Buckets of the table of element frequencies that orders prefixes (2 MB).
-ORDER_BUCKETS = 1 << 18
 #: Fewest bits of the sketches that rule pairs out.
 SKETCH_BITS = 1024
 #: Ids or pairs of compared documents up to which they are broadcast (16 bytes each).
@@ -294,44 +292,31 @@ def links(docs: DataFrame, measure: Measure, named: DataFrame) -> DataFrame:
 def _prefix_pairs(rows: DataFrame, docs: DataFrame, measure: Measure) -> DataFrame:
     """Pairs of documents in different components whose prefixes meet.
 
-    Similar sets share an element among the first size - ceil(t * size) + 1 of their
-    elements in any fixed order.  Rare elements go first, so passages that many
-    documents share do not make pairs; how rare is read off a table of bounded size.
-    Elements whose documents all lie in one component are dropped before the join.
+    The elements of each set stand in one order, rarest among these documents first,
+    so passages that many documents share do not make pairs.  Of similar sets x and y,
+    x not larger, the first common element is among the first n - ceil(2nt / (1 + t)) + 1
+    of x (n elements, threshold t) and the first n - ceil(nt) + 1 of y, and neither has
+    too few elements from there on to reach the overlap that the sizes ask for.
+    Elements whose documents all lie in one component make no pairs.
     """
     near = broadcast_if_small(rows, BROADCAST_IDS)
     some = set_arrays(docs.select("doc_id", "text").join(near, "doc_id"), measure)
-    spark, slots = docs.sparkSession, ORDER_BUCKETS
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(slots, np.int64)
-        for batch in batches:
-            for e in batch["elements"]:
-                np.add.at(total, (e.view(np.uint64) % np.uint64(slots)).astype(np.int64), 1)
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"slot": at, "n": total[at]})
-
-    counts = some.select("elements").mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    order = np.zeros(slots, np.int64)  # at most ORDER_BUCKETS rows came
-    order[counts["slot"]] = counts["n"]
-    shared = spark.sparkContext.broadcast(order)
-
-    @F.pandas_udf("array<bigint>")
-    def head(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        rank = shared.value
-        for batch in batches:
-            out = []
-            for e in batch:
-                keep = len(e) + (-len(e) * measure.num // measure.den) + 1
-                out.append(e[np.lexsort((e, rank[(e.view(np.uint64) % np.uint64(slots)).astype(np.int64)]))[:keep]])
-            yield pd.Series(out)
-
-    keyed = some.select("doc_id", "component", F.explode(head("elements")).alias("e"))
-    group = Window.partitionBy("e")
-    keyed = keyed.withColumns({"low": F.min("component").over(group), "high": F.max("component").over(group)})
-    keyed = cut(keyed.where("low < high").select("doc_id", "component", "e"))
-    other = keyed.select("e", F.col("doc_id").alias("b"), F.col("component").alias("other"))
-    return keyed.withColumnRenamed("doc_id", "a").join(other, "e").where("a < b and component <> other").select("a", "b")
+    # Rows that share an id keep their places apart; repeated rows get equal ones.
+    cells = cut(some.select("doc_id", "component", F.size("elements").alias("n"), F.xxhash64("elements").alias("set"), F.explode("elements").alias("e")))
+    counts = cells.groupBy("e").agg(
+        F.count(F.lit(1)).alias("docs"), (F.min("component") < F.max("component")).alias("mixed")).where("docs > 1")
+    num, den, n = measure.num, measure.den, F.col("n")
+    # Elements of one document only go first and are left out, so places are counted from the end.
+    rest = F.dense_rank().over(Window.partitionBy("doc_id", "set").orderBy(F.desc("docs"), F.desc("e"))).alias("rest")
+    placed = cells.join(counts, "e").select("doc_id", "component", "n", "e", "mixed", rest)
+    keyed = cut(placed.where(F.col("mixed") & (F.col("rest") * den >= n * num)).select("doc_id", "component", "n", "e", "rest").distinct())
+    side = lambda k: [F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "component", "n", "rest")]
+    x = keyed.where(F.col("rest") * (num + den) >= 2 * num * n).select("e", *side("x"))
+    y = keyed.select("e", *side("y"))
+    ordered = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("doc_id_x") < F.col("doc_id_y")))
+    enough = F.least("rest_x", "rest_y") * (num + den) >= (F.col("n_x") + F.col("n_y")) * num
+    return x.join(y, "e").where(ordered & enough & (F.col("component_x") != F.col("component_y"))).select(
+        F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b"))
 
 
 def join_components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:

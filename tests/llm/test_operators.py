@@ -188,8 +188,9 @@ def brute_components(texts, n, num, den):
     return {i: (len(s), find(i)) for i, s in enumerate(sets)}
 
 
-@pytest.mark.parametrize("measure", [jaccard_join.Measure(), jaccard_join.Measure(5, 80, 100)])
-def test_jaccard_join_equals_brute_force(spark, measure):
+@pytest.mark.parametrize("measure,rounds", [(jaccard_join.Measure(), 2), (jaccard_join.Measure(5, 80, 100), 2), (jaccard_join.Measure(), 0), (jaccard_join.Measure(5, 80, 100), 0)])
+def test_jaccard_join_equals_brute_force(spark, measure, rounds, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)  # without rounds, prefixes find all links
     rnd = random.Random(7)
     texts = [None, "", "one", "one", "one two", "One\tTWO"]
     for size in (3, 8, 12, 25, 60, 150):
