@@ -1,7 +1,7 @@
 """Language-model scoring by Katz backoff (words, then word pairs).
 
-Counts are Good-Turing discounted up to ``K``; larger counts lose a fixed tenth of
-a count, so every context keeps mass for unseen words.  Backoff weights make each
+Counts are Good-Turing discounted up to ``K``, from smoothed counts of counts; larger
+counts lose a fixed tenth of a count, so every context keeps mass for unseen words.  Backoff weights make each
 distribution sum to one exactly; words never met in training are one event.
 
 The tables are kept partitioned by hashed word and are never gathered.  Tokens are
@@ -91,22 +91,41 @@ def _load(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def smoothed(counts: np.ndarray) -> np.ndarray | None:
+    """Counts of counts 1..K+1 on a line in the logarithms (Simple Good-Turing), if there is one.
+
+    Each count of counts is averaged over the gap around it first.  Only counts up to
+    K + 1 are fitted, as only these make ratios.
+    """
+    r = np.flatnonzero(counts) + 1.0
+    if len(r) < 2:
+        return None
+    before = np.concatenate(([0.0], r[:-1]))
+    after = np.concatenate((r[1:], [2 * r[-1] - before[-1]]))
+    x, y = np.log(r), np.log(2 * counts[counts > 0] / (after - before))
+    x0, y0 = x.mean(), y.mean()
+    slope = ((x - x0) * (y - y0)).sum() / ((x - x0) ** 2).sum()
+    return np.exp(y0 + slope * (np.log(np.arange(1.0, K + 2)) - x0))
+
+
 def discounted(counts: np.ndarray) -> np.ndarray:
     """What counts 0..K+1 become; ``counts`` has how many events have count 1..K+1.
 
-    Where the Good-Turing ratios are not usable (gaps, or not decreasing mass),
-    as in tiny corpora, half a count is taken instead.
+    Good-Turing ratios of the smoothed counts of counts: copies of documents make some
+    counts frequent, and plain ratios then leave (0, 1).  A count whose fitted
+    discount is still not usable (no line, or one that falls too slowly) loses half.
     """
-    n = np.concatenate(([0.0], counts.astype(float)))
     out = np.arange(K + 2, dtype=float)
+    out[1 : K + 1] -= 0.5
     out[K + 1] -= TAIL
-    cut = (K + 1) * n[K + 1] / n[1] if n[1] else 1.0
+    n = smoothed(np.asarray(counts, float))
+    if n is None:
+        return out
+    cut = (K + 1) * n[K] / n[0]
     for r in range(1, K + 1):
-        ratio = (r + 1) * n[r + 1] / n[r] / r if n[r] else 0.0
-        d = (ratio - cut) / (1 - cut) if cut < 1 else 0.0
-        if not 0 < d < 1:
-            return np.concatenate(([0.0], np.arange(1, K + 1) - 0.5, [K + 1 - TAIL]))
-        out[r] = r * d
+        d = ((r + 1) * n[r] / n[r - 1] / r - cut) / (1 - cut) if cut < 1 else 0.0
+        if 0 < d < 1:
+            out[r] = r * d
     return out
 
 

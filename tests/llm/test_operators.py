@@ -355,6 +355,38 @@ def test_katz_equals_brute_force(spark, hot, bucket):
         assert (r["base_score"], r["score"]) == (pytest.approx(base, abs=1e-5), pytest.approx(score, abs=1e-5))
 
 
+def simple_good_turing(counts):
+    """Discounts by the slope of the fitted line alone; None without a usable line."""
+    some = [r for r in range(1, 7) if counts[r - 1]]
+    z = {}
+    for i, r in enumerate(some):
+        low = some[i - 1] if i else 0
+        high = some[i + 1] if i + 1 < len(some) else 2 * r - low
+        z[r] = counts[r - 1] / ((high - low) / 2)
+    slope = np.polyfit([math.log(r) for r in z], [math.log(v) for v in z.values()], 1)[0]
+    cut = 6 ** (slope + 1)
+    return [0.0, *(r * (((r + 1) / r) ** (slope + 1) - cut) / (1 - cut) for r in range(1, 6)), 6 - katz.TAIL]
+
+
+def test_good_turing_survives_copies(spark, monkeypatch):
+    for counts in ([193655, 25105, 6496, 2179, 2497, 618], [207344, 59772, 25017, 14274, 13493, 7080], [90, 20, 0, 9, 4, 2]):
+        got = katz.discounted(np.array(counts))
+        assert got == pytest.approx(simple_good_turing(counts))
+        assert all(0 < got[r] < r for r in range(1, 6)) and all(got[r] < got[r + 1] for r in range(6))
+    flat = [0, 0.5, 1.5, 2.5, 3.5, 4.5, 5.9]
+    for counts in ([0] * 6, [9, 0, 0, 0, 0, 0], [1, 2, 3, 4, 5, 6]):
+        assert katz.discounted(np.array(counts)) == pytest.approx(flat)
+    rnd = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(400)]
+    docs = [(i, " ".join(rnd.choices(vocabulary, weights=[1 / (j + 1) for j in range(400)], k=25)), i % 7 != 2) for i in range(60)]
+    docs += [(100 + i, docs[i % 5][1], True) for i in range(20)]
+    got = {r["doc_id"]: r for r in katz.score(spark.createDataFrame(docs, "doc_id long, text string, train boolean")).collect()}
+    monkeypatch.setattr(katz, "discounted", lambda c: np.array(simple_good_turing(c)))
+    want, total = brute_katz(docs)
+    assert total == pytest.approx(1.0)
+    assert all(got[d]["score"] == pytest.approx(x[-1], abs=1e-5) for d, x in want.items())
+
+
 def test_katz_without_training_rows(spark):
     df = odd(spark).select("doc_id", "text", F.lit(False).alias("train"))
     got = katz.score(df).collect()
