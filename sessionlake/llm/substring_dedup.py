@@ -1,10 +1,18 @@
-"""Substring deduplication by hashing lines and sentences.
+"""Substring deduplication by hashing lines, sentences and runs of short ones.
 
 Texts are cut in units at line breaks and, by default, also after sentence ends.
 A unit is normalised (case, white space) and hashed; digests are grouped over all
 documents; the earliest occurrence by (doc_id, offset) stays, the others are
-removed.  Offsets are code points in the original text.  Units of fewer than
-``min_words`` words are never removed: short ones repeat by chance.
+removed.  Offsets are code points in the original text.
+
+Short units repeat by chance, so ``min_words`` applies to what is repeated: units
+of fewer words are hashed together with their neighbours, over line breaks too, as
+the shortest passages of enough words that begin or end with them.  A unit is
+removed if it lies in such a passage that occurs before.  Any run of consecutive
+units that is repeated as a whole and has enough words is covered by such passages,
+whole lines of short sentences included.  Where a passage overlaps its own first
+occurrence, only what lies behind that is removed.  Without ``sentences`` each line
+counts alone, and lines of fewer words stay.
 
 Rules: null and empty texts have no units.  Repeats inside a document count.
 Rows without id come after all others.  Rows that share an id count as one place:
@@ -26,49 +34,84 @@ from sessionlake.llm.common import cut, small_batches
 MIN_WORDS = 8
 _LINES = re.compile(r"[^\n]+")
 _SENTENCES = re.compile(r"[^\n]+?(?:[.!?]+(?=[ \n])|(?=\n)|$)", re.S)
-_UNITS = "array<struct<start:int,end:int,n_words:int,digest:binary>>"
-
-
-def units(docs: DataFrame, sentences: bool = True, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, start, end, n_words, digest) of the units long enough."""
+#: Passages; ``spans`` has start, end and number of words of each unit in turn.
+_PASSAGES = "array<struct<spans:array<int>,digest:binary>>"
+
+
+def _windows(sizes: list[int], least: int) -> list[tuple[int, int]]:
+    """First and last unit of the shortest passages of ``least`` words from each unit on and up to it."""
+    out, low, total = set(), 0, 0
+    for high, size in enumerate(sizes):
+        total += size
+        up_to = None
+        while total >= least:
+            out.add((low, high))
+            up_to, total, low = low, total - sizes[low], low + 1
+        if up_to is None and low:
+            back, words = low, total
+            while words < least:
+                back -= 1
+                words += sizes[back]
+            up_to = back
+        if up_to is not None:
+            out.add((up_to, high))
+    return sorted(out)
+
+
+def passages(docs: DataFrame, sentences: bool = True, min_words: int = MIN_WORDS) -> DataFrame:
+    """(row, doc_id, spans, digest) of the units and runs of units long enough; ``row`` tells rows of ``docs`` apart."""
     pattern = _SENTENCES if sentences else _LINES
 
-    @F.pandas_udf(_UNITS)
+    @F.pandas_udf(_PASSAGES)
     def cut_up(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             out = []
             for text in batch:
-                rows = []
+                spans, plain, sizes = [], [], []
                 for m in pattern.finditer(text or ""):
                     words = m.group().lower().split()
-                    if len(words) >= min_words:
+                    if words:
                         lead = len(m.group()) - len(m.group().lstrip())
-                        plain = " ".join(words).encode("utf-8", "surrogatepass")
-                        digest = hashlib.blake2b(plain, digest_size=16).digest()
-                        rows.append({"start": m.start() + lead, "end": m.end(), "n_words": len(words), "digest": digest})
-                out.append(rows)
+                        spans.append((m.start() + lead, m.end(), len(words)))
+                        plain.append(" ".join(words))
+                        sizes.append(len(words))
+                ranges = _windows(sizes, min_words) if sentences else [(i, i) for i, n in enumerate(sizes) if n >= min_words]
+                out.append([{
+                    "spans": [x for span in spans[i : j + 1] for x in span],
+                    "digest": hashlib.blake2b(" ".join(plain[i : j + 1]).encode("utf-8", "surrogatepass"), digest_size=16).digest(),
+                } for i, j in ranges])
             yield pd.Series(out)
 
-    return small_batches(docs).select("doc_id", F.explode(cut_up("text")).alias("u")).select("doc_id", "u.*")
+    rows = small_batches(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    return rows.select("row", "doc_id", F.explode(cut_up("text")).alias("u")).select("row", "doc_id", "u.*")
 
 
 def repeated_units(docs: DataFrame, sentences: bool = True, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per unit to remove, with the occurrence that stays.
 
+    ``unit_hash``, ``n_occurrences`` and the first place are those of the unit if it is
+    long enough and repeated on its own, else of the repeated passage it lies in.
+
     Digests are counted with partial aggregation, so a unit that a third of the
     documents share is reduced before the shuffle; only then are its occurrences
     joined to the first one.
     """
-    all_units = cut(units(docs, sentences, min_words))
-    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "start")
-    first = all_units.groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = all_units.join(first, "digest").withColumn(
-        "is_first", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("start") == F.col("first.start")))
-    removed = later.where(~F.col("is_first")).select(
-        "doc_id", "start", "end", "n_words",
-        F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start"),
-        F.lower(F.hex("digest")).alias("unit_hash"), F.col("n").alias("n_occurrences"))
-    return removed
+    found = cut(passages(docs, sentences, min_words))
+    start, end = F.col("spans")[0], F.element_at("spans", -2)
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", start.alias("start"), end.alias("end"), "row")
+    first = found.groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (start == F.col("first.start"))
+    later = found.join(first, "digest").where(~is_first)
+    unit = F.explode(F.transform(
+        F.sequence(F.lit(0), F.size("spans") - 3, F.lit(3)),
+        lambda i: F.struct(F.get("spans", i).alias("start"), F.get("spans", i + 1).alias("end"), F.get("spans", i + 2).alias("n_words"))))
+    marked = later.select("row", "doc_id", "digest", "first", "n", F.size("spans").alias("size"), unit.alias("unit"))
+    marked = marked.where((F.col("row") != F.col("first.row")) | (F.col("unit.start") >= F.col("first.end")))
+    best = F.min(F.struct("size", "first", "digest", "n", "doc_id", "unit")).alias("b")
+    return marked.groupBy("row", F.col("unit.start").alias("start")).agg(best).select(
+        "b.doc_id", "b.unit.start", "b.unit.end", "b.unit.n_words",
+        F.col("b.first.doc_id").alias("first_doc_id"), F.col("b.first.start").alias("first_start"),
+        F.lower(F.hex("b.digest")).alias("unit_hash"), F.col("b.n").alias("n_occurrences"))
 
 
 def without_repeats(docs: DataFrame, sentences: bool = True, min_words: int = MIN_WORDS) -> DataFrame:

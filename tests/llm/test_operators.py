@@ -303,6 +303,35 @@ def test_substring_dedup_equals_brute_force(spark):
     assert (row["doc_id"], row["first_doc_id"], texts[0] is not None) == (1, 0, True) and row["n_words"] == 9
 
 
+def test_substring_dedup_finds_runs_of_short_units(spark):
+    rnd = random.Random(16)
+    pool = [" ".join(f"u{i}w{j}" for j in range(rnd.randrange(1, 11))) + "." for i in range(14)]
+    docs = [rnd.sample(pool, rnd.randrange(1, 9)) for _ in range(40)]
+    places = {}
+    for d, units in enumerate(docs):
+        for i in range(len(units)):
+            for j in range(i + 1, len(units) + 1):
+                if sum(len(u.split()) for u in units[i:j]) >= 8:
+                    places.setdefault(tuple(units[i:j]), []).append((d, i, j))
+    want = {(d, q) for found in places.values() for d, i, j in found[1:] for q in range(i, j)}
+    texts, at = [], {}
+    for d, units in enumerate(docs):
+        text = ""
+        for q, u in enumerate(units):
+            at[d, len(text), len(text) + len(u)] = (d, q)
+            text += u + rnd.choice([" ", "\n", "\n\n"])
+        texts.append(text)
+    got = [at[r["doc_id"], r["start"], r["end"]] for r in substring_dedup.repeated_units(frame(spark, texts).repartition(4)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and any(len(docs[d][q].split()) < 8 for d, q in want)
+    verse = "one two three four\nfive six seven eight!\nnine ten eleven twelve"
+    short = "the and attion! to the be, an. er."
+    texts = [f"Begin. {verse}\nx y.", f"{verse} z", f"p q. {short}", f"r s.\n{short}", "x y. p q.", "p q. x y.", "ha ha. " * 10]
+    kept = {r["doc_id"]: r["text"] for r in substring_dedup.without_repeats(frame(spark, texts)).collect()}
+    assert [kept[i] for i in (0, 2, 4, 5)] == [texts[i] for i in (0, 2, 4, 5)]
+    assert kept[1].split() == "nine ten eleven twelve z".split() and kept[3].split() == ["r", "s."]
+    assert kept[6].split() == ["ha", "ha."] * 4
+
+
 def brute_katz(docs):
     uni, bi, first = Counter(), Counter(), 0
     cut = lambda t: (t or "").lower().split() + ["</s>"]
