@@ -3,7 +3,8 @@
 Rules are regular expressions over a text's words (lower-cased, joined by single
 spaces).  They are written as families (names, versions) and phrases, ordered by
 priority: identifiers before notices, notices before names with versions, those
-before plain names.  A rule runs only where its keyword occurs.  Detections that
+before plain names.  A rule runs only where its keyword, a literal part of
+its pattern, occurs.  Detections that
 lie inside one of a better or the same priority are dropped; the rest stays.
 
 Rules for odd input: null counts as empty, texts without words have no places and
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import groupby
+from re import _parser as sre_parse
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,77 +35,77 @@ BASE = [
     ("general public license", "gpl"),
 ]
 
-# Label, keyword, names (patterns over words), versions (words).
+# Label, names (words), versions (words).
 FAMILIES = [
-    ("mit", "mit", [r"mit", r"mit expat", r"expat mit"], []),
-    ("expat", "expat", [r"expat"], []),
-    ("x11", "x11", [r"x11", r"mit x11"], []),
-    ("isc", "isc", [r"isc", r"internet systems consortium"], []),
-    ("apache", "apache", [r"apache", r"apache software", r"asl"], ["1 0", "1 1", "2 0", "2"]),
-    ("gpl", "gpl", [r"gpl", r"gnu gpl"], ["1", "2", "3", "1 0", "2 0", "3 0"]),
-    ("gpl", "general", [r"gnu general public", r"general public"], ["1", "2", "3", "2 0", "3 0"]),
-    ("lgpl", "lgpl", [r"lgpl", r"gnu lgpl"], ["2", "2 0", "2 1", "3", "3 0"]),
-    ("lgpl", "lesser", [r"gnu lesser general public", r"lesser general public"], ["2 1", "3", "3 0"]),
-    ("lgpl", "library", [r"gnu library general public", r"library general public"], ["2", "2 0"]),
-    ("agpl", "agpl", [r"agpl", r"gnu agpl"], ["1", "3", "3 0"]),
-    ("agpl", "affero", [r"gnu affero general public", r"affero general public"], ["1", "3", "3 0"]),
-    ("gfdl", "documentation", [r"gnu free documentation", r"free documentation"], ["1 1", "1 2", "1 3"]),
-    ("bsd", "bsd", [r"bsd", r"berkeley software distribution", r"modified bsd", r"simplified bsd", r"new bsd", r"freebsd"], []),
-    ("bsd-2-clause", "bsd", [r"bsd 2 clause", r"2 clause bsd", r"two clause bsd"], []),
-    ("bsd-3-clause", "bsd", [r"bsd 3 clause", r"3 clause bsd", r"three clause bsd"], []),
-    ("bsd-4-clause", "bsd", [r"bsd 4 clause", r"4 clause bsd", r"four clause bsd"], []),
-    ("0bsd", "0bsd", [r"0bsd", r"zero clause bsd"], []),
-    ("mpl", "mozilla", [r"mozilla public"], ["1 0", "1 1", "2 0"]),
-    ("mpl", "mpl", [r"mpl"], ["1 0", "1 1", "2 0"]),
-    ("epl", "eclipse", [r"eclipse public"], ["1 0", "2 0"]),
-    ("epl", "epl", [r"epl"], ["1 0", "2 0"]),
-    ("edl", "eclipse", [r"eclipse distribution"], ["1 0"]),
-    ("cddl", "cddl", [r"cddl"], ["1 0", "1 1"]),
-    ("cddl", "development", [r"common development and distribution"], ["1 0", "1 1"]),
-    ("cpl", "common", [r"common public"], ["1 0"]),
-    ("eupl", "european", [r"european union public"], ["1 0", "1 1", "1 2"]),
-    ("eupl", "eupl", [r"eupl"], ["1 0", "1 1", "1 2"]),
-    ("artistic", "artistic", [r"artistic", r"perl artistic"], ["1 0", "2 0"]),
-    ("bsl", "boost", [r"boost software"], ["1 0"]),
-    ("busl", "business", [r"business source"], ["1 1"]),
-    ("zlib", "zlib", [r"zlib", r"zlib libpng"], []),
-    ("unlicense", "unlicense", [r"unlicense", r"the unlicense"], []),
-    ("wtfpl", "wtfpl", [r"wtfpl"], ["1", "2"]),
-    ("psf", "python", [r"python software foundation", r"python"], ["2", "2 0"]),
-    ("php", "php", [r"php"], ["3 0", "3 01"]),
-    ("openssl", "openssl", [r"openssl"], []),
-    ("ofl", "sil", [r"sil open font", r"sil ofl"], ["1 0", "1 1"]),
-    ("ms-pl", "microsoft", [r"microsoft public"], []),
-    ("ms-rl", "microsoft", [r"microsoft reciprocal"], []),
-    ("osl", "open", [r"open software"], ["1 0", "2 0", "2 1", "3 0"]),
-    ("afl", "academic", [r"academic free"], ["1 1", "2 0", "2 1", "3 0"]),
-    ("qpl", "q", [r"q public"], ["1 0"]),
-    ("odbl", "database", [r"open database", r"open data commons open database"], ["1 0"]),
-    ("cc-by", "attribution", [r"creative commons attribution", r"cc attribution"], ["1 0", "2 0", "2 5", "3 0", "4 0"]),
-    ("cc-by-sa", "sharealike", [r"creative commons attribution sharealike"], ["2 0", "2 5", "3 0", "4 0"]),
-    ("cc-by-nc", "noncommercial", [r"creative commons attribution noncommercial"], ["2 0", "3 0", "4 0"]),
-    ("cc-by-nd", "noderivatives", [r"creative commons attribution noderivatives"], ["2 0", "3 0", "4 0"]),
-    ("cc-by", "cc", [r"cc by"], ["2 0", "2 5", "3 0", "4 0"]),
-    ("cc-by-sa", "cc", [r"cc by sa"], ["2 0", "2 5", "3 0", "4 0"]),
-    ("cc-by-nc", "cc", [r"cc by nc"], ["2 0", "3 0", "4 0"]),
-    ("cc-by-nc-sa", "cc", [r"cc by nc sa"], ["2 0", "3 0", "4 0"]),
-    ("cc0", "cc0", [r"cc0"], ["1 0"]),
-    ("sspl", "sspl", [r"sspl"], ["1", "1 0"]),
-    ("sspl", "server", [r"server side public"], ["1", "1 0"]),
-    ("elastic", "elastic", [r"elastic"], ["1 0", "2 0"]),
-    ("polyform", "polyform", [r"polyform noncommercial", r"polyform small business"], ["1 0 0"]),
+    ("mit", [r"mit", r"mit expat", r"expat mit"], []),
+    ("expat", [r"expat"], []),
+    ("x11", [r"x11", r"mit x11"], []),
+    ("isc", [r"isc", r"internet systems consortium"], []),
+    ("apache", [r"apache", r"apache software", r"asl"], ["1 0", "1 1", "2 0", "2"]),
+    ("gpl", [r"gpl", r"gnu gpl"], ["1", "2", "3", "1 0", "2 0", "3 0"]),
+    ("gpl", [r"gnu general public", r"general public"], ["1", "2", "3", "2 0", "3 0"]),
+    ("lgpl", [r"lgpl", r"gnu lgpl"], ["2", "2 0", "2 1", "3", "3 0"]),
+    ("lgpl", [r"gnu lesser general public", r"lesser general public"], ["2 1", "3", "3 0"]),
+    ("lgpl", [r"gnu library general public", r"library general public"], ["2", "2 0"]),
+    ("agpl", [r"agpl", r"gnu agpl"], ["1", "3", "3 0"]),
+    ("agpl", [r"gnu affero general public", r"affero general public"], ["1", "3", "3 0"]),
+    ("gfdl", [r"gnu free documentation", r"free documentation"], ["1 1", "1 2", "1 3"]),
+    ("bsd", [r"bsd", r"berkeley software distribution", r"modified bsd", r"simplified bsd", r"new bsd", r"freebsd"], []),
+    ("bsd-2-clause", [r"bsd 2 clause", r"2 clause bsd", r"two clause bsd"], []),
+    ("bsd-3-clause", [r"bsd 3 clause", r"3 clause bsd", r"three clause bsd"], []),
+    ("bsd-4-clause", [r"bsd 4 clause", r"4 clause bsd", r"four clause bsd"], []),
+    ("0bsd", [r"0bsd", r"zero clause bsd"], []),
+    ("mpl", [r"mozilla public"], ["1 0", "1 1", "2 0"]),
+    ("mpl", [r"mpl"], ["1 0", "1 1", "2 0"]),
+    ("epl", [r"eclipse public"], ["1 0", "2 0"]),
+    ("epl", [r"epl"], ["1 0", "2 0"]),
+    ("edl", [r"eclipse distribution"], ["1 0"]),
+    ("cddl", [r"cddl"], ["1 0", "1 1"]),
+    ("cddl", [r"common development and distribution"], ["1 0", "1 1"]),
+    ("cpl", [r"common public"], ["1 0"]),
+    ("eupl", [r"european union public"], ["1 0", "1 1", "1 2"]),
+    ("eupl", [r"eupl"], ["1 0", "1 1", "1 2"]),
+    ("artistic", [r"artistic", r"perl artistic"], ["1 0", "2 0"]),
+    ("bsl", [r"boost software"], ["1 0"]),
+    ("busl", [r"business source"], ["1 1"]),
+    ("zlib", [r"zlib", r"zlib libpng"], []),
+    ("unlicense", [r"unlicense", r"the unlicense"], []),
+    ("wtfpl", [r"wtfpl"], ["1", "2"]),
+    ("psf", [r"python software foundation", r"python"], ["2", "2 0"]),
+    ("php", [r"php"], ["3 0", "3 01"]),
+    ("openssl", [r"openssl"], []),
+    ("ofl", [r"sil open font", r"sil ofl"], ["1 0", "1 1"]),
+    ("ms-pl", [r"microsoft public"], []),
+    ("ms-rl", [r"microsoft reciprocal"], []),
+    ("osl", [r"open software"], ["1 0", "2 0", "2 1", "3 0"]),
+    ("afl", [r"academic free"], ["1 1", "2 0", "2 1", "3 0"]),
+    ("qpl", [r"q public"], ["1 0"]),
+    ("odbl", [r"open database", r"open data commons open database"], ["1 0"]),
+    ("cc-by", [r"creative commons attribution", r"cc attribution"], ["1 0", "2 0", "2 5", "3 0", "4 0"]),
+    ("cc-by-sa", [r"creative commons attribution sharealike"], ["2 0", "2 5", "3 0", "4 0"]),
+    ("cc-by-nc", [r"creative commons attribution noncommercial"], ["2 0", "3 0", "4 0"]),
+    ("cc-by-nd", [r"creative commons attribution noderivatives"], ["2 0", "3 0", "4 0"]),
+    ("cc-by", [r"cc by"], ["2 0", "2 5", "3 0", "4 0"]),
+    ("cc-by-sa", [r"cc by sa"], ["2 0", "2 5", "3 0", "4 0"]),
+    ("cc-by-nc", [r"cc by nc"], ["2 0", "3 0", "4 0"]),
+    ("cc-by-nc-sa", [r"cc by nc sa"], ["2 0", "3 0", "4 0"]),
+    ("cc0", [r"cc0"], ["1 0"]),
+    ("sspl", [r"sspl"], ["1", "1 0"]),
+    ("sspl", [r"server side public"], ["1", "1 0"]),
+    ("elastic", [r"elastic"], ["1 0", "2 0"]),
+    ("polyform", [r"polyform noncommercial", r"polyform small business"], ["1 0 0"]),
 ]
-# Label, keyword, pattern, confidence of notices without a family.
+# Label, pattern, confidence of notices without a family.
 NOTICES = [
-    ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy", 0.95),
-    ("isc", "fee", r"permission to use copy modify and or distribute this software for any purpose with or without fee", 0.95),
-    ("bsd", "redistribution", r"redistribution and use in source and binary forms with or without modification", 0.9),
-    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain", 0.95),
-    ("gpl", "warranty", r"this program is free software you can redistribute it and or modify it under the terms of the gnu", 0.9),
-    ("public-domain", "domain", r"(?:released|placed|dedicated|in)(?: in| into| to)? the public domain", 0.8),
-    ("proprietary", "reserved", r"all rights reserved", 0.4),
-    ("proprietary", "confidential", r"proprietary and confidential", 0.8),
-    ("copyright", "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}", 0.3),
+    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy", 0.95),
+    ("isc", r"permission to use copy modify and or distribute this software for any purpose with or without fee", 0.95),
+    ("bsd", r"redistribution and use in source and binary forms with or without modification", 0.9),
+    ("unlicense", r"this is free and unencumbered software released into the public domain", 0.95),
+    ("gpl", r"this program is free software you can redistribute it and or modify it under the terms of the gnu", 0.9),
+    ("public-domain", r"(?:released|placed|dedicated|in)(?: in| into| to)? the public domain", 0.8),
+    ("proprietary", r"all rights reserved", 0.4),
+    ("proprietary", r"proprietary and confidential", 0.8),
+    ("copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}", 0.3),
 ]
 _DELIMITERS = bytes(c for c in range(128) if not (chr(c).isdigit() or "a" <= chr(c) <= "z"))
 _TO_SPACE = bytes.maketrans(_DELIMITERS, b" " * len(_DELIMITERS))
@@ -118,6 +120,17 @@ class Rule:
     confidence: float
 
 
+def _literal(body: str) -> str:
+    """The longest literal that every match of a pattern contains."""
+    runs = [""]
+    for kind, value in sre_parse.parse(body):
+        if kind is sre_parse.LITERAL:
+            runs[-1] += chr(value)
+        else:
+            runs.append("")
+    return max(runs, key=len)
+
+
 @lru_cache(maxsize=1)
 def rules() -> tuple[Rule, ...]:
     """The families' phrases in order of priority; a few hundred patterns."""
@@ -127,9 +140,10 @@ def rules() -> tuple[Rule, ...]:
         pattern = re.compile(b"(?<= )" + body.encode() + b"(?= )")
         out.append(Rule(priority, label, keyword.encode(), pattern, confidence))
 
-    for label, keyword, names, versions in FAMILIES:
+    for label, names, versions in FAMILIES:
         under = r"(?:licensed|released|distributed|available|provided|published) under (?:the )?(?:terms of )?(?:the )?"
         for name in names:
+            keyword = _literal(name)
             for v in versions:
                 tagged = f"{label}-{v.replace(' ', '.')}"
                 later = r"(?: or (?:any )?later| or newer)?"
@@ -139,8 +153,8 @@ def rules() -> tuple[Rule, ...]:
             add(1, label, keyword, rf"spdx licen[sc]e identifier {name}", 1.0)
             add(2, label, keyword, rf"{under}{name} licen[sc]e", 0.95)
             add(4, label, keyword, rf"{name} licen[sc]e", 0.8)
-    for label, keyword, body, confidence in NOTICES:
-        add(2 if confidence >= 0.8 else 5, label, keyword, body, confidence)
+    for label, body, confidence in NOTICES:
+        add(2 if confidence >= 0.8 else 5, label, _literal(body), body, confidence)
     return tuple(sorted(out, key=lambda r: r.priority))
 
 

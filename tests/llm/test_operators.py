@@ -441,6 +441,43 @@ def test_licenses_base_equals_brute_force_and_rules_resolve(spark):
     assert licenses.scan(odd(spark).drop("score")).count() == 6
 
 
+def accepted(tree, rnd):
+    """A random string that a parsed pattern accepts."""
+    out = ""
+    for kind, value in tree:
+        kind = str(kind)
+        if kind == "LITERAL":
+            out += chr(value)
+        elif kind == "MAX_REPEAT":
+            out += "".join(accepted(value[2], rnd) for _ in range(rnd.randint(value[0], min(value[1], value[0] + 2))))
+        elif kind == "SUBPATTERN":
+            out += accepted(value[3], rnd)
+        elif kind == "BRANCH":
+            out += accepted(rnd.choice(value[1]), rnd)
+        elif kind == "IN":
+            kind, value = rnd.choice(value)
+            out += chr(rnd.randint(*value) if str(kind) == "RANGE" else value)
+        else:
+            assert kind in ("ASSERT",), kind
+    return out
+
+
+def test_license_keywords_are_in_every_match():
+    rnd = random.Random(8)
+    for rule in licenses.rules():
+        tree = re._parser.parse(rule.pattern.pattern.decode())
+        assert rule.keyword
+        for _ in range(20):
+            line = f" {accepted(tree, rnd)} ".encode()
+            assert rule.pattern.search(line) and rule.keyword in line, (rule, line)
+    labels = lambda t: [d.label for d in licenses.detect(licenses.normalised(t.encode()))]
+    assert labels("Berkeley Software Distribution license") == ["bsd"]
+    assert labels("the Internet Systems Consortium License") == ["isc"]
+    assert labels("under ASL 2.0 only") == ["apache-2.0"]
+    assert labels("Zero-Clause BSD License") == ["0bsd"]
+    assert labels("This program is free software: you can redistribute it and/or modify it under the terms of the GNU ...") == ["gpl"]
+
+
 def test_mixing_budgets_and_prefixes(spark):
     leaves = [("d1", "en", "a", 100), ("d1", "en", "b", 10), ("d1", "fr", "a", 1000), ("d2", "en", "a", 5), ("", "", "", 0)]
     df = spark.createDataFrame(leaves, "domain string, lang string, source string, tokens long")
