@@ -48,24 +48,28 @@ def batches(items: DataFrame, max_events: int = 100) -> DataFrame:
 def byte_capped(items: DataFrame, max_bytes: int, max_events: int = 1000) -> DataFrame:
     """Like :func:`batches`, also capped by bytes; the first item always fits.
 
-    Where a batch ends depends on the one before, so each island is folded; islands
-    are groups of their own.
+    Where a batch ends depends on the one before, so rows are folded as a stream, in
+    order; only the count and bytes of the open batch are kept, however long an
+    island is.
     """
     import pandas as pd
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ledger_offset")
-        numbers, n, size, count = [], 0, 0, 0
-        for b in pdf["payload_bytes"]:
-            if count and (size + b > max_bytes or count >= max_events):
-                n, size, count = n + 1, 0, 0
-            numbers.append(n)
-            size, count = size + b, count + 1
-        return pdf.assign(batch_no=numbers)[["sink_id", "ledger_offset", "__island", "payload_bytes", "batch_no"]]
+    def fold(batches):
+        island, n, size, count = None, 0, 0, 0
+        for pdf in batches:
+            numbers = []
+            for *key, b in zip(pdf["sink_id"], pdf["__island"], pdf["payload_bytes"]):
+                if key != island:
+                    island, n, size, count = key, 0, 0, 0
+                elif size + b > max_bytes or count >= max_events:
+                    n, size, count = n + 1, 0, 0
+                numbers.append(n)
+                size, count = size + b, count + 1
+            yield pdf.assign(batch_no=pd.Series(numbers, dtype="int64"))
 
     rows = batches(items, 1 << 30).select("sink_id", "ledger_offset", "__island", "payload_bytes")
-    return rows.groupBy("sink_id", "__island").applyInPandas(
-        fold, "sink_id string, ledger_offset long, __island long, payload_bytes long, batch_no long")
+    rows = rows.repartition("sink_id", "__island").sortWithinPartitions("sink_id", "__island", "ledger_offset")
+    return rows.mapInPandas(fold, "sink_id string, ledger_offset long, __island long, payload_bytes long, batch_no long")
 
 
 def seal(batched: DataFrame, key_template: str = "{prefix}/{sink_id}/{batch_id}.jsonl", prefix: str = "batches") -> DataFrame:

@@ -483,7 +483,7 @@ def sealed(spark, sf):
 
 @query("h2_byte_capped_batches")
 def byte_capped(spark, sf):
-    rows = delivery.byte_capped(delivery.outbox(_events(spark, sf), {"lake": _SINKS["lake"]}), 1000)
+    rows = delivery.byte_capped(delivery.outbox(_events(spark, sf), _SINKS), 1000)
     return rows.select("sink_id", "ledger_offset", "payload_bytes", "batch_no")
 
 

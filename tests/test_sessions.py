@@ -1,11 +1,13 @@
 """Normalization, pairing, redaction, presets, delivery and sinks on small fixtures."""
 
 import json
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from sessionlake import registry
 from sessionlake.functions import text
 from sessionlake.operators import delivery, facts, ledger, nested, normalize, policy, sessions, sinks
 from sessionlake.plans import build, presets, sql
@@ -162,6 +164,34 @@ def test_byte_cap_lets_the_first_item_pass(spark):
     assert {(o, b) for o, _, b in got} == {(1, 0), (2, 1), (3, 2), (5, 0)}
 
 
+def test_byte_cap_streams_an_unbroken_ledger(spark):
+    rnd = random.Random(5)
+    sizes = {s: [rnd.randrange(1, 90) for _ in range(2500)] for s in ("a", "b")}
+    rows = [(s, i, "pending", b) for s, v in sizes.items() for i, b in enumerate(v, 1) if s == "a" or i % 700]
+    df = spark.createDataFrame(rows, "sink_id string, ledger_offset long, status string, payload_bytes long").repartition(5)
+    want, island, last = {}, None, {}
+    for s, o, _, b in rows:
+        if last.get(s) != o - 1:
+            n = size = count = 0
+        elif size + b > 300 or count >= 6:
+            n, size, count = n + 1, 0, 0
+        want[s, o], size, count, last[s] = n, size + b, count + 1, o
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    out = delivery.byte_capped(df, 300, 6)
+    got = {(r["sink_id"], r["ledger_offset"]): r["batch_no"] for r in out.collect()}
+    plan = out._jdf.queryExecution().toString()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    assert got == want
+    assert "FlatMapGroupsInPandas" not in plan and "MapInPandas" in plan
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
+def test_byte_capped_query_has_the_unfiltered_sink(spark):
+    rows = registry.QUERIES["h2_byte_capped_batches"](spark, "/root/testdata/sf0.001")
+    assert {r["sink_id"] for r in rows.select("sink_id").distinct().collect()} == {"archive", "lake"}
+
+
 def test_sql_guard(spark):
     for good in ("select 1", "with a as (select 1) select * from a"):
         sql.check_read_only(spark, good)
