@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,15 +45,67 @@ def crc_mod(key: Column, modulus: int) -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (local tests) a temporary folder is used.
+    Where the setting is absent, a temporary folder serves a local session; on a
+    cluster that is an error, as executors would not see each other's files.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="sessionlake-")
         spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark reaches."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class Scratch:
+    """Tables that cut the lineage, as Parquet in the shared folder, until they are dropped."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.base = shared_path(spark, "scratch")
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def table(self, df: DataFrame) -> DataFrame:
+        path = f"{self.base}/{uuid.uuid4().hex}"
+        with tidy_shuffles(self.spark):
+            df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = out, path
+        return out
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Delete tables that no later step reads."""
+        for table in tables:
+            if table is not None and id(table) in self.paths:
+                delete(self.spark, self.paths.pop(id(table))[1])
+
+
+@contextmanager
+def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Let Spark delete the shuffle files of each query that ends within."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     spark = df.sparkSession

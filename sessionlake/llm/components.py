@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import cut
+from sessionlake.llm.common import Scratch
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(node, component) for every end of a link (columns a, b); the smallest node names it.
 
-    Each round halves the depth of what remains and ends in a checkpoint; no step
-    gathers links on the driver, and the links of a hub are never all paired.
+    Each round halves the depth of what remains and ends in a table of the shared
+    folder; no step gathers links on the driver, and the links of a hub are never
+    all paired.
     """
-    edges = cut(
+    scratch = scratch or Scratch(links.sparkSession)
+    edges = scratch.table(
         links.where(F.col("a") != F.col("b"))
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
@@ -34,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
             .unionByName(low.select("a", F.col("m").alias("b")))
             .distinct()
         )
-        edges = cut(small)
+        last, edges = edges, scratch.table(small)
+        scratch.drop(last)
         now = edges.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()

@@ -3,11 +3,17 @@
 Sets of word shingles are put in bands of size: from l to l / threshold.  Two
 sets that are similar enough lie in the same or in neighbouring bands, and differ
 in at most k elements, where k follows from the upper end of the larger one's
-band.  The domain of elements is cut in n1 parts by hash, a few more than k / 2, so
-in some of them two such sets differ in at most one element (k2 = 1).  Each part is
-cut in n2 sub-parts, and all subsets of n2 - k2 sub-parts are enumerated: on one of
-those the sets agree fully.  A signature is the hash of a set's elements in such a subset, so similar
-sets share one.  Each set signs for its own band and for the next.
+band.  The domain of elements is cut in n1 parts by hash, about three quarters of
+k, so in a third of them at least two such sets differ in at most one element (k2 = 1).
+Each part is cut in n2 sub-parts, and all subsets of n2 - k2 sub-parts are
+enumerated: on one of those the sets agree fully.  A signature is the hash of a
+set's elements in such a subset.  Each set signs for its own band and for the next.
+
+As more parts than needed are cut, similar sets share not one but a known number
+of signatures, t (those on empty subsets are not counted and need not be made).
+So a set may leave out its t - 1 most frequent signatures: of all that two similar
+sets share, the rarest is kept by both.  Passages that many documents share, which
+alone would put unrelated texts in one group, are left out this way.
 
 Sets that share signatures are compared exactly, unless their sizes or parity
 sketches already rule a link out.  Copies (equal sets) count once.  Groups are not
@@ -16,9 +22,15 @@ that shares most signatures), links are joined to components, and only groups th
 still span several components go on, without that pivot.  The documents of groups
 that are left after ``ROUNDS`` are compared where prefixes of their sets meet.
 
+A signature that many rows of a batch share is one row with a list of their ids
+before it is shuffled.  After signatures of one document only are gone, groups are
+summed with partial aggregation and joined to their members, so that Spark can
+split the large ones.
+
 Rules: a text with fewer words than a shingle is one shingle; null or wordless
-texts have empty sets and no links.  Rows that share an id are one document.
-Rows without id get no component.  Other columns are ignored.
+texts have empty sets and no links.  Rows that share an id are one document: it has
+the links of all of them.  Rows without id get no component.  Other columns are
+ignored, whatever their names.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,22 +38,24 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import broadcast_if_small, cut, small_batches
+from sessionlake.llm.common import Scratch, broadcast_if_small, small_batches
 from sessionlake.llm.components import components
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 #: Up to this many differing elements, parts are cut in three instead of two.
-FINE = 15
-ROUNDS = 2
+FINE = 40
+ROUNDS = 3
 #: Fewest bits of the sketches that rule pairs out.
 SKETCH_BITS = 1024
 #: Ids or pairs of compared documents up to which they are broadcast (16 bytes each).
@@ -95,35 +109,62 @@ class Measure:
         return np.array([*out, out[-1] * self.den // self.num + 1])
 
     def signatures(self, elements: np.ndarray) -> np.ndarray:
-        """Signatures of a nonempty set, for its own band and the next one."""
-        lows = self.bands(len(elements))
-        band = int(np.searchsorted(lows, len(elements), "right")) - 1
+        """Signatures of a nonempty set, for its own band and the next one.
+
+        The lowest bit of a signature is that of its band's number.
+        """
         out = []
-        for i in (band, band + 1):
-            top = int(lows[i]) * self.den // self.num
-            k = 2 * (self.den - self.num) * top // (self.den + self.num)
-            # Of n1 parts, spare + 1 at least hold one difference or none.
-            spare = 0 if k <= FINE else (k // 2 + 1) // 8 + 1
-            n1 = k // 2 + 1 + spare
-            k2 = min(k, 1)
-            n2 = 1 if k == 0 else 3 if k <= FINE else 2
-            x = _mix(elements, 3)
-            cell = (x % np.uint64(n1)) * np.uint64(n2) + _mix(elements, 4) % np.uint64(n2)
-            full = np.bincount(cell.astype(np.int64), minlength=n1 * n2).reshape(n1, n2) > 0
-            # If few parts have an empty sub-part, one of the others will match: empty ones need not sign.
-            skip = (~full).any(axis=1).sum() <= spare
-            sums = np.zeros(n1 * n2, np.uint64)
-            np.add.at(sums, cell.astype(np.int64), _mix(elements, 5))
-            sums = sums.reshape(n1, n2)
+        for i, n1, n2, spare, cell, subsets, full in self._signed_bands(elements):
+            low = np.bincount(cell, (elements & np.uint64(0xFFFFFFFF)).astype(np.float64), n1 * n2)
+            high = np.bincount(cell, (elements >> np.uint64(32)).astype(np.float64), n1 * n2)
+            sums = low.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32))
+            sums = _mix(sums, 5).reshape(n1, n2)
             part = np.arange(n1, dtype=np.uint64)
-            for s, subset in enumerate(combinations(range(n2), n2 - k2)):
-                tag = _mix(part + np.uint64((i * 8 + s + 1) * int(_ODD[0]) % (1 << 64)), 1)
-                total = tag
+            weak = int((~full).any(axis=1).sum())
+            for s, subset in enumerate(subsets):
+                total = _mix(part + np.uint64((i * 8 + s + 1) * int(_ODD[0]) % (1 << 64)), 1)
                 for q in subset:
                     total = _mix(total + _mix(sums[:, q], q), 2)
-                out.append(total[full[:, list(subset)].any(axis=1)] if skip else total)
+                total = (total << np.uint64(1)) | np.uint64(i & 1)
+                out.append(total[full[:, s]] if weak <= spare else total)
         return np.concatenate(out)
 
+    def surplus(self, elements: np.ndarray) -> tuple[int, int]:
+        """How many signatures a set may leave out, of its even and its odd band."""
+        out = [0, 0]
+        for i, _, _, spare, _, _, full in self._signed_bands(elements):
+            weak = int((~full).any(axis=1).sum())
+            # Without signatures on empty subsets a weak part may not count.
+            out[i & 1] = spare - weak if weak <= spare else spare
+        return out[0], out[1]
+
+    def _signed_bands(self, elements: np.ndarray) -> Iterator[tuple]:
+        """Band, parts, sub-parts, spare parts, cell of each element, subsets, which of them are not empty."""
+        band = int(np.searchsorted(lows := self.bands(len(elements)), len(elements), "right")) - 1
+        x, y = _mix(elements, 3) >> np.uint64(32), _mix(elements, 4) >> np.uint64(32)
+        for i in (band, band + 1):
+            top = int(lows[i]) * self.den // self.num
+            k = 2 * (self.den - self.num) * top // (self.den + self.num)
+            n1, n2, spare, subsets = _parts(k)
+            cell = ((x * np.uint64(n1)) >> np.uint64(32)) * np.uint64(n2) + ((y * np.uint64(n2)) >> np.uint64(32))
+            cell = cell.astype(np.int64)
+            some = np.bincount(cell, minlength=n1 * n2).reshape(n1, n2) > 0
+            full = some[:, subsets[0]].any(axis=1)[:, None] if len(subsets) == 1 else np.stack(
+                [some[:, q].any(axis=1) for q in subsets], axis=1)
+            yield i, n1, n2, spare, cell, subsets, full
+
+
+@cache
+def _parts(k: int) -> tuple[int, int, int, list[list[int]]]:
+    """Parts, sub-parts, spare parts and the enumerated subsets for sets that differ in k elements.
+
+    Of n1 parts, spare + 1 at least hold one difference or none.
+    """
+    least = k // 2 + 1
+    spare = least // 2 if k else 0
+    n2, k2 = (1, 0) if k == 0 else (3, 1) if k <= FINE else (2, 1)
+    return least + spare, n2, spare, [list(q) for q in combinations(range(n2), n2 - k2)]
+
 
 def _text_bytes(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary").alias("text"))
@@ -141,53 +182,80 @@ def _sketch(elements: np.ndarray) -> np.ndarray:
 
 
 def set_digests(docs: DataFrame, measure: Measure) -> DataFrame:
-    """(doc_id, n_shingles, digest, sketch) for each row; the digest of an empty set is null."""
+    """(doc_id, n, digest, sketch, even, odd) for each row; the digest of an empty set is null.
+
+    ``even`` and ``odd`` are how many signatures the set may leave out.
+    """
 
-    @F.pandas_udf("n long, digest binary, sketch array<bigint>")
+    @F.pandas_udf("n long, digest binary, sketch array<bigint>, even int, odd int")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = _Hashes()
         for batch in batches:
             sets = [shingles(t, measure.n, known) for t in batch]
+            surplus = [measure.surplus(s) if len(s) else (0, 0) for s in sets]
             yield pd.DataFrame({
                 "n": [len(s) for s in sets],
-                "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
+                "digest": [_digest(s) if len(s) else None for s in sets],
                 "sketch": [_sketch(s) for s in sets],
+                "even": [x for x, _ in surplus],
+                "odd": [x for _, x in surplus],
             })
 
-    return _text_bytes(docs).select("doc_id", of("text").alias("s")).select(
-        "doc_id", F.col("s.n").alias("n_shingles"), "s.digest", "s.sketch")
+    return _text_bytes(docs).select("doc_id", of("text").alias("s")).select("doc_id", "s.*")
+
+
+def _digest(elements: np.ndarray) -> bytes:
+    return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
 
 
 def signed(docs: DataFrame, measure: Measure) -> DataFrame:
-    """(signature, doc_id); sets that a task has met before are not signed again."""
+    """(signature, doc_id, others); sets that a task has met before are not signed again.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    ``others`` lists further documents of the batch with that signature, else it is null.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, met = _Hashes(), set()
         for batch in batches:
             ids, sigs, rows = [], [], 0
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 s = shingles(text, measure.n, known)
-                digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                if not len(s) or digest in met:
+                if not len(s) or (digest := _digest(s)) in met:
                     continue
                 met.add(digest)
                 ids.append(doc)
                 sigs.append(measure.signatures(s))
                 rows += len(sigs[-1])
-                if rows > 200_000:
+                if rows > 300_000:
                     yield _rows(ids, sigs)
                     ids, sigs, rows = [], [], 0
             if ids:
                 yield _rows(ids, sigs)
 
-    return _text_bytes(docs.where(F.col("doc_id").isNotNull())).mapInPandas(run, "signature long, doc_id long")
-
-
-def _rows(ids: list, sigs: list[np.ndarray]) -> pd.DataFrame:
-    return pd.DataFrame({
-        "signature": np.concatenate(sigs).view(np.int64),
-        "doc_id": np.repeat(np.array(ids, np.int64), [len(s) for s in sigs]),
-    })
+    return _text_bytes(docs.where(F.col("doc_id").isNotNull())).mapInArrow(
+        run, "signature long, doc_id long, others array<long>")
+
+
+def _rows(ids: list, sigs: list[np.ndarray]) -> pa.RecordBatch:
+    """One row for each signature: those of one document in its place, others with a list."""
+    signature = np.concatenate(sigs).view(np.int64)
+    doc = np.repeat(np.array(ids, np.int64), [len(s) for s in sigs])
+    order = np.argsort(signature, kind="stable")
+    new = np.concatenate(([True], signature[order][1:] != signature[order][:-1]))
+    first = np.sort(order[new])
+    counts = np.diff(np.append(np.flatnonzero(new), len(order)))
+    more = np.zeros(len(order), np.int64)
+    more[order[new]] = counts - 1
+    more = more[first]
+    # The others of each list, in the order of the rows that hold them.
+    rest = order[~new]
+    owner = np.repeat(order[new], counts - 1)
+    rest = rest[np.argsort(owner, kind="stable")]
+    offsets = np.concatenate(([0], np.cumsum(more))).astype(np.int32)
+    lists = pa.ListArray.from_arrays(
+        pa.array(offsets, pa.int32(), mask=np.append(more == 0, False)), pa.array(doc[rest], pa.int64()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(signature[first]), pa.array(doc[first]), lists], ["signature", "doc_id", "others"])
 
 
 def set_arrays(rows: DataFrame, measure: Measure) -> DataFrame:
@@ -220,7 +288,7 @@ def _possible(pairs: DataFrame, sketches: DataFrame, measure: Measure) -> DataFr
 def _verified(pairs: DataFrame, docs: DataFrame, measure: Measure) -> DataFrame:
     """The pairs (a, b) whose sets are similar.
 
-    Sets are made where the texts lie and sent once, to the first of each pair.
+    Sets are made where the texts lie and sent once for each pair, to the first of it.
     """
     small = pairs.count() <= BROADCAST_IDS
     near = (lambda df: F.broadcast(df)) if small else (lambda df: df)
@@ -232,64 +300,82 @@ def _verified(pairs: DataFrame, docs: DataFrame, measure: Measure) -> DataFrame:
     return joined.where(measure.linked(common, F.size("elements"), F.size("others"))).select("a", "b").distinct()
 
 
-def links(docs: DataFrame, measure: Measure, named: DataFrame) -> DataFrame:
-    """(node, component) of the documents that stand for their copies and have links.
+def shared_signatures(docs: DataFrame, measure: Measure, named: DataFrame, scratch: Scratch) -> DataFrame:
+    """(signature, doc_id) of representatives, without the most frequent ones that they may leave out.
 
-    ``named`` has (doc_id, representative, n, sketch) of nonempty sets; copies map to one id.
+    Signatures that no other document has are gone.
     """
-    by_sig = Window.partitionBy("signature")
-    shared = (
+    others = F.coalesce("others", F.array().cast("array<bigint>"))
+    found = (
         signed(docs, measure)
-        .withColumn("n", F.count(F.lit(1)).over(by_sig))
+        .withColumn("n", F.sum(F.size(others) + 1).over(Window.partitionBy("signature")))
         .where("n > 1")
-        .select("signature", "doc_id")
+        .select("signature", F.explode(F.concat(F.array("doc_id"), others)).alias("doc_id"))
     )
     members = named.select("doc_id", "representative").distinct()
-    shared = (
-        shared.join(members, "doc_id")
-        .select("signature", F.col("representative").alias("doc_id"))
-        .distinct()
-        .withColumn("n", F.count(F.lit(1)).over(by_sig))
-        .where("n > 1")
+    rows = scratch.table(
+        found.join(members, "doc_id").select("signature", F.col("representative").alias("doc_id")).distinct())
+    counts = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    may = named.where("doc_id = representative").groupBy("doc_id").agg(F.min("even").alias("even"), F.min("odd").alias("odd"))
+    parity = F.col("signature").bitwiseAND(F.lit(1))
+    order = Window.partitionBy("doc_id", "parity").orderBy(F.desc("n"), "signature")
+    ranked = (
+        rows.join(counts, "signature").withColumn("parity", parity)
+        .withColumn("place", F.row_number().over(order))
+        .join(may, "doc_id")
+        .where(F.col("place") > F.when(F.col("parity") == 0, F.col("even")).otherwise(F.col("odd")))
     )
-    shared = cut(shared)
-    weights = shared.groupBy("doc_id").agg(F.sum("n").alias("weight"))
-    sketches = cut(named.where("doc_id = representative").select("doc_id", "n", "sketch").join(
+    out = scratch.table(ranked.select("signature", "doc_id"))
+    scratch.drop(rows)
+    return out
+
+
+def links(docs: DataFrame, measure: Measure, named: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """(node, component) of the documents that stand for their copies and have links, if any.
+
+    ``named`` has (doc_id, representative, n, sketch, even, odd) of nonempty sets; copies map to one id.
+    """
+    shared = shared_signatures(docs, measure, named, scratch)
+    weights = shared.groupBy("doc_id").agg(F.count(F.lit(1)).alias("weight"))
+    sketches = scratch.table(named.where("doc_id = representative").select("doc_id", "n", "sketch").join(
         weights.select("doc_id"), "doc_id", "left_semi").distinct())
-    live = shared.drop("n").join(weights, "doc_id")
-    found: DataFrame | None = None
-    parts: DataFrame | None = None
+    live = scratch.table(shared.join(weights, "doc_id"))
+    scratch.drop(shared)
+    # Rows of one id may stand in several groups of copies.
+    found = scratch.table(named.groupBy("doc_id").agg(F.min("representative").alias("a"), F.max("representative").alias("b")).where(
+        "a < b").select("a", "b"))
+    parts = None if found.isEmpty() else scratch.table(components(found, scratch))
     for turn in range(ROUNDS + 1):
-        own = F.col("doc_id")
-        rows = live
+        rows = live.withColumn("component", F.col("doc_id"))
         if parts is not None:
-            rows = rows.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-            own = F.coalesce("component", "doc_id")
-        rows = rows.withColumn("component", own)
-        rows = rows.withColumns({
-            "low": F.min("component").over(by_sig), "high": F.max("component").over(by_sig)
-        }).where("low < high").drop("low", "high")
+            rows = live.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
+                "component", F.coalesce("component", "doc_id"))
+        groups = rows.groupBy("signature").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"),
+            F.max(F.struct("weight", F.col("doc_id").alias("id"), "component")).alias("top"),
+        ).where("low < high").select("signature", "top")
+        open_rows = scratch.table(rows.join(groups, "signature"))
+        scratch.drop(live)
+        if open_rows.isEmpty():
+            break
         if turn < ROUNDS:
-            top = F.max(F.struct("weight", F.col("doc_id").alias("id"), F.col("component").alias("part"))).over(by_sig)
-            rows = cut(rows.withColumn("top", top).select(
-                "signature", "doc_id", "weight", F.col("top.id").alias("pivot"), (F.col("component") != F.col("top.part")).alias("apart")))
-            pairs = rows.where("apart").select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b"))
+            pivot = F.col("top.id")
+            pairs = open_rows.where(F.col("component") != F.col("top.component")).select(
+                F.least("doc_id", pivot).alias("a"), F.greatest("doc_id", pivot).alias("b"))
             # Compared with all others, a pivot has done its part in the group.
-            live = rows.where("doc_id <> pivot").select("signature", "doc_id", "weight")
+            live = scratch.table(open_rows.where(F.col("doc_id") != pivot).select("signature", "doc_id", "weight"))
         else:
-            rows = cut(rows.select("doc_id", "component").distinct())
-            pairs = _prefix_pairs(rows, docs, measure)
-        if rows.isEmpty():
-            break
-        new = cut(_verified(cut(_possible(pairs.distinct(), sketches, measure)), docs, measure))
+            pairs = _prefix_pairs(open_rows.select("doc_id", "component").distinct(), docs, measure, scratch)
+        near = scratch.table(_possible(pairs.distinct(), sketches, measure))
+        new = scratch.table(_verified(near, docs, measure))
+        scratch.drop(open_rows, near)
         if not new.isEmpty():
-            found = new if found is None else found.unionByName(new)
-            parts = cut(components(found))
-    return parts if parts is not None else weights.select(
-        F.col("doc_id").alias("node"), F.col("doc_id").alias("component")).where(F.lit(False))
+            found = scratch.table(found.unionByName(new))
+            parts = scratch.table(components(found, scratch))
+    return parts
 
 
-def _prefix_pairs(rows: DataFrame, docs: DataFrame, measure: Measure) -> DataFrame:
+def _prefix_pairs(rows: DataFrame, docs: DataFrame, measure: Measure, scratch: Scratch) -> DataFrame:
     """Pairs of documents in different components whose prefixes meet.
 
     The elements of each set stand in one order, rarest among these documents first,
@@ -299,17 +385,19 @@ def _prefix_pairs(rows: DataFrame, docs: DataFrame, measure: Measure) -> DataFra
     too few elements from there on to reach the overlap that the sizes ask for.
     Elements whose documents all lie in one component make no pairs.
     """
-    near = broadcast_if_small(rows, BROADCAST_IDS)
+    near = broadcast_if_small(scratch.table(rows), BROADCAST_IDS)
     some = set_arrays(docs.select("doc_id", "text").join(near, "doc_id"), measure)
     # Rows that share an id keep their places apart; repeated rows get equal ones.
-    cells = cut(some.select("doc_id", "component", F.size("elements").alias("n"), F.xxhash64("elements").alias("set"), F.explode("elements").alias("e")))
+    sets = some.select("doc_id", "component", "elements", F.size("elements").alias("n"), F.xxhash64("elements").alias("set"))
+    cells = scratch.table(sets.select("doc_id", "component", "n", "set", F.explode("elements").alias("e")))
     counts = cells.groupBy("e").agg(
         F.count(F.lit(1)).alias("docs"), (F.min("component") < F.max("component")).alias("mixed")).where("docs > 1")
     num, den, n = measure.num, measure.den, F.col("n")
     # Elements of one document only go first and are left out, so places are counted from the end.
     rest = F.dense_rank().over(Window.partitionBy("doc_id", "set").orderBy(F.desc("docs"), F.desc("e"))).alias("rest")
     placed = cells.join(counts, "e").select("doc_id", "component", "n", "e", "mixed", rest)
-    keyed = cut(placed.where(F.col("mixed") & (F.col("rest") * den >= n * num)).select("doc_id", "component", "n", "e", "rest").distinct())
+    keyed = scratch.table(placed.where(F.col("mixed") & (F.col("rest") * den >= n * num)).select("doc_id", "component", "n", "e", "rest").distinct())
+    scratch.drop(cells)
     side = lambda k: [F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "component", "n", "rest")]
     x = keyed.where(F.col("rest") * (num + den) >= 2 * num * n).select("e", *side("x"))
     y = keyed.select("e", *side("y"))
@@ -321,12 +409,16 @@ def _prefix_pairs(rows: DataFrame, docs: DataFrame, measure: Measure) -> DataFra
 
 def join_components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``."""
-    digests = cut(set_digests(small_batches(docs), measure))
+    scratch = Scratch(docs.sparkSession)
+    digests = scratch.table(set_digests(small_batches(docs), measure))
     usable = digests.where("digest is not null and doc_id is not null")
     first = usable.groupBy("digest").agg(F.min("doc_id").alias("representative"))
-    named = cut(digests.join(first, "digest", "left").select(
-        "doc_id", F.col("n_shingles").alias("n"), "sketch",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("representative", "doc_id")).alias("representative")))
-    parts = links(docs, measure, named.where("n > 0 and doc_id is not null"))
-    return named.drop("sketch").join(parts.withColumnRenamed("node", "representative"), "representative", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "representative").alias("component_id"))
+    named = scratch.table(digests.join(first, "digest", "left").drop("digest").withColumn(
+        "representative", F.when(F.col("doc_id").isNotNull(), F.coalesce("representative", "doc_id"))))
+    scratch.drop(digests)
+    parts = links(docs, measure, named.where("n > 0 and doc_id is not null"), scratch)
+    out = named.select("doc_id", F.col("n").alias("n_shingles"), "representative")
+    if parts is None:
+        return out.withColumnRenamed("representative", "component_id")
+    return out.join(parts.withColumnRenamed("node", "representative"), "representative", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "representative").alias("component_id"))
