@@ -1,16 +1,17 @@
 """Language identification by multinomial naive Bayes over hashed character n-grams.
 
 Training counts are made in tasks (a dense array per task), summed by Spark, and
-turned into a log-probability matrix that is broadcast.  Its size is fixed by the
-number of buckets and of labels and is checked.  Scoring works on batches: texts
-are laid end to end as code points, n-grams are hashed with numpy, and the rows of
-the matrix are summed per text.
+turned into a log-probability matrix that is broadcast.  It has at most ``MAX_CELLS``
+cells: with more labels than fit, buckets are halved until it does.  Scoring works on
+batches: texts are laid end to end as code points, n-grams are hashed with numpy, and
+the rows of the matrix are summed per text.
 
 Rules: null texts and texts without a letter get ``und`` and score 0.  Other texts
 get the label of the highest posterior, ties to the smaller label.  The score is
 the posterior after tempering: a text counts as at most ``EVIDENCE`` characters, so
 mixed texts stay below 1.  Without training rows every text is ``und``.  Very long
-texts are scored piecewise.  Further columns pass through unchanged.
+texts are scored piecewise.  Repeated rows each get their row.  Further columns pass
+through unchanged, but those that have the names of the two results are replaced.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from sessionlake.llm.common import small_batches
 BUCKETS = 1 << 15
 #: Most cells (labels x buckets) of the broadcast matrix: 64 MB.
 MAX_CELLS = 1 << 24
+MIN_BUCKETS = 1 << 8
 EVIDENCE = 16
 SEGMENT = 1 << 18
 _TABLE_SIZE = 0x20000
@@ -86,17 +88,24 @@ class Model:
     matrix: np.ndarray  # buckets x labels, log-probabilities
     prior: np.ndarray
 
+    @property
+    def shift(self) -> int:
+        """By how many bits the buckets of n-grams are folded."""
+        return BUCKETS.bit_length() - len(self.matrix).bit_length()
+
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Index of the best label and its tempered posterior for each text."""
         total = np.zeros((len(texts), len(self.labels)))
         chars = np.zeros(len(texts))
         for owners, text, sizes in _pieces(texts):
             grams, starts, counts = _hashed(text, sizes)
+            grams = [g >> np.uint32(self.shift) for g in grams]
             rows = self.matrix[grams[0]] + self.matrix[grams[1]] + self.matrix[grams[2]]
             np.add.at(total, owners, np.add.reduceat(rows, starts, axis=0, dtype=np.float64))
             np.add.at(chars, owners, counts)
-        logits = total * np.minimum(1.0, EVIDENCE / np.maximum(chars, 1))[:, None] + self.prior
+        logits = total + self.prior
         best = logits.argmax(axis=1)
+        logits *= np.minimum(1.0, EVIDENCE / np.maximum(chars, 1))[:, None]
         logits -= logits.max(axis=1, keepdims=True)
         return best, 1.0 / np.exp(logits).sum(axis=1)
 
@@ -124,24 +133,29 @@ def train(rows: DataFrame, text: str = "text", label: str = "lang") -> Model:
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
     )
-    labels = sorted(r["lang"] for r in used.select("lang").distinct().limit(MAX_CELLS // BUCKETS + 1).collect())
-    if len(labels) * BUCKETS > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS // BUCKETS} labels: the matrix would not fit its bound")
+    labels = sorted(r["lang"] for r in used.select("lang").distinct().limit(MAX_CELLS // MIN_BUCKETS + 1).collect())
+    if len(labels) * MIN_BUCKETS > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS // MIN_BUCKETS} labels: the matrix would not fit its bound")
     if not labels:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
-    got = counts.toPandas()  # at most labels x (buckets + 1) rows
-    dense = np.zeros((BUCKETS + 1, len(labels)))
+    shift = 0
+    while (BUCKETS >> shift) * len(labels) > MAX_CELLS:
+        shift += 1
+    buckets = BUCKETS >> shift
+    folded = F.when(F.col("bucket") >= 0, F.shiftright("bucket", shift)).otherwise(F.col("bucket"))
+    got = counts.groupBy("lang", folded.alias("bucket")).agg(F.sum("n").alias("n")).toPandas()  # labels x (buckets + 1) rows at most
+    dense = np.zeros((buckets + 1, len(labels)))
     at = {x: i for i, x in enumerate(labels)}
-    dense[np.where(got["bucket"] < 0, BUCKETS, got["bucket"]), got["lang"].map(at)] = got["n"]
-    grams = dense[:BUCKETS] + 0.5
+    dense[np.where(got["bucket"] < 0, buckets, got["bucket"]), got["lang"].map(at)] = got["n"]
+    grams = dense[:buckets] + 0.5
     logp = np.log(grams) - np.log(grams.sum(axis=0))
-    return Model(labels, logp.astype(np.float32), np.log(dense[BUCKETS] / dense[BUCKETS].sum()))
+    return Model(labels, logp.astype(np.float32), np.log(dense[buckets] / dense[buckets].sum()))
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``."""
+def predict(docs: DataFrame, model: Model, text: str = "text", label: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``docs`` with the columns ``label`` and ``score``."""
     if not model.labels:
-        return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
+        return docs.withColumns({label: F.lit("und"), score: F.lit(0.0)})
     shared = small_batches(docs).sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("label string, score double")
@@ -149,16 +163,16 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         own = shared.value
         names = np.array(own.labels, object)
         for batch in batches:
-            at, score = own.score(batch.tolist())
-            yield pd.DataFrame({"label": names[at], "score": score})
+            at, share = own.score(batch.tolist())
+            yield pd.DataFrame({"label": names[at], "score": share})
 
     column: Column = F.coalesce(F.col(text), F.lit(""))
     known = column.rlike(r"\p{L}")
     return (
         docs.withColumn("__best", best(column))
         .withColumns({
-            "lang_pred": F.when(known, F.col("__best.label")).otherwise("und"),
-            "score": F.when(known, F.col("__best.score")).otherwise(0.0),
+            label: F.when(known, F.col("__best.label")).otherwise("und"),
+            score: F.when(known, F.col("__best.score")).otherwise(0.0),
         })
         .drop("__best")
     )
