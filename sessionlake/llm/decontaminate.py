@@ -111,9 +111,10 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     grams = grams.select("class", "size", "gram", F.col("at").alias("item_at"), F.col("around").alias("item_around"))
     if grams.count() <= BROADCAST_ROWS:
         grams, classes = F.broadcast(grams), F.broadcast(classes)
-    # A row for the document itself goes ahead of its k-grams: it carries n_words.
+    # A row for the document itself goes ahead of its k-grams: it carries n_words.  Its
+    # gram only spreads these rows; no item has a k-gram of no words.
     own = F.array(F.struct(
-        F.lit(0).alias("size"), F.lit(0).cast("bigint").alias("gram"), F.lit(0).alias("at"),
+        F.lit(0).alias("size"), F.xxhash64("doc_id", "text").alias("gram"), F.lit(0).alias("at"),
         F.lit(None).cast("array<bigint>").alias("around"),
     ))
     rows = docs.select(
