@@ -7,12 +7,15 @@ fingerprint; two empty fingerprints are alike (1.0), an empty and another are
 not (0.0).  White space separates tokens, case does not count, CJK characters
 are tokens of their own, and unbroken runs are cut after 64 characters.  Equal
 texts, and texts that differ in white space or case only, have equal
-fingerprints.  Rows with null ``doc_id`` come last; equal ids are ordered by
-text.  Other columns are ignored.  An empty table gives an empty result.
+fingerprints.  Rows with null ``doc_id`` come last; equal ids are ordered by a hash
+of the text, then by text.  Repeated rows each get their row.  Other columns are
+ignored, whatever their names.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,10 +26,11 @@ K = 4
 WINDOW = 8
 _CJK = r"぀-ヿ㐀-鿿가-힯"
 TOKENS = rf"[{_CJK}]|[^\s{_CJK}]{{1,64}}"
-#: Ids in a bucket of the neighbour search, and the most buckets there may be.
-BUCKET_IDS = 512
-MAX_BUCKETS = 200_000
+#: Rows in a bucket of the neighbour search, and the most buckets there may be.
+BUCKET_ROWS = 512
+MAX_BUCKETS = 100_000
 _FIRST = -(1 << 63)
+_PLACE = "struct<k:bigint,h:bigint>"
 
 
 def fingerprint(text: Column, k: int = K, window: int = WINDOW) -> Column:
@@ -55,46 +59,65 @@ def likeness(a: Column, b: Column) -> Column:
     return let(hashes(a), lambda x: let(hashes(b), lambda y: ratio(x, y)))
 
 
+def _place(docs: DataFrame) -> Column:
+    """Place of a row in the order of descending ids, equal ids by a hash of the text."""
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_FIRST))
+    return F.struct(F.bitwise_not(key).alias("k"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+
+
+def bounds(docs: DataFrame) -> list[tuple[int, int]]:
+    """First places of buckets of equal size, in order; at most ``MAX_BUCKETS``.
+
+    Places are sorted by range, without texts, and numbered inside each range; the
+    first of each bucket's worth of numbers is a bound.
+    """
+    count = docs.count()
+    size = max(BUCKET_ROWS, -(-count // (MAX_BUCKETS // 2)))
+    sessions = max(1, min(2000, count // size))
+    places = docs.select(_place(docs).alias("p")).select("p.*").repartitionByRange(sessions, "k", "h").sortWithinPartitions("k", "h")
+    numbered = places.withColumn("bucket", F.floor(F.monotonically_increasing_id() / size))
+    firsts = numbered.groupBy("bucket").agg(F.min(F.struct("k", "h")).alias("p")).select("p.*").distinct()
+    return sorted((r["k"], r["h"]) for r in firsts.collect())
+
+
+def _bucket(place: Column, firsts: list[tuple[int, int]]) -> Column:
+    """How many bounds lie at or before a place, looked up in two steps."""
+    width = max(1, int(len(firsts) ** 0.5))
+    chunks = [firsts[i : i + width] for i in range(0, len(firsts), width)]
+    array = lambda rows, kind: F.from_json(F.lit(json.dumps(rows)), kind)
+    pair = lambda x: {"k": x[0], "h": x[1]}
+    heads = array([pair(c[0]) for c in chunks], f"array<{_PLACE}>")
+    table = array([[pair(x) for x in c] for c in chunks], f"array<array<{_PLACE}>>")
+    up_to = lambda items: F.size(F.filter(items, lambda x: x <= place))
+    return let(up_to(heads), lambda i: (i - 1) * width + up_to(F.get(table, i - 1)))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, bucket, order columns) with each document's follower's text.
 
-    The follower has the next smaller id; that of the last document is the
-    first.  Ids are cut into ranges of equal width, at most ``MAX_BUCKETS``, so a
-    window never spans the table: the head of each range is also sent, as a
-    marked copy, to the range before it.  Those heads are one row per range and
-    can be broadcast.  Columns whose names start with ``__`` are for further
-    windows over the same layout; drop rows where ``__copy`` is true in the end.
+    The follower has the next smaller id; that of the last document is the first.
+    Rows are dealt to buckets of equal size in that order, so a window never spans
+    the table: the head of each bucket is also sent, as a marked copy, to the bucket
+    before it.  Columns whose names start with ``__`` are for further windows over
+    the same layout; drop rows where ``__copy`` is true in the end.
     """
-    base = docs.select(
-        "doc_id",
-        F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce("doc_id", F.lit(_FIRST)).alias("__key"),
-    )
-    low, high, count = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    buckets = max(1, min(MAX_BUCKETS, count // BUCKET_IDS))
-    width = max(1, ((high or 0) - (low or 0) + 1) // buckets)
-    placed = base.withColumn("__bucket", F.expr(f"__key div {min(width, (1 << 62))}"))
-    ranges = Window.orderBy(F.col("__bucket").desc())
-    heads = (
-        placed.groupBy("__bucket")
-        .agg(F.max("__key").alias("__key"))
-        .withColumn(
-            "__to",
-            F.coalesce(F.lag("__bucket").over(ranges), F.last("__bucket").over(
-                ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))),
-        )
-        .select("__key", "__to")
-    )
-    copies = (
-        base.join(F.broadcast(heads), "__key")
-        .select("doc_id", "text", "__key", F.col("__to").alias("__bucket"), F.lit(True).alias("__copy"))
-    )
-    both = placed.withColumn("__copy", F.lit(False)).select(copies.columns).unionByName(copies)
-    return both.withColumn("next_text", F.coalesce(F.lead("text").over(next_window()), F.lit("")))
+    firsts = bounds(docs)
+    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _place(docs).alias("__place"))
+    if not firsts:
+        placed = base.withColumns({"__bucket": F.lit(1), "__copy": F.lit(False)})
+    else:
+        base = base.withColumn("__own", _bucket(F.col("__place"), firsts))
+        head = F.array_contains(F.from_json(F.lit(json.dumps([{"k": k, "h": h} for k, h in firsts])), f"array<{_PLACE}>"), F.col("__place"))
+        to = lambda bucket, copy: F.struct(bucket.alias("bucket"), F.lit(copy).alias("copy"))
+        own = to(F.col("__own"), False)
+        before = to(F.when(F.col("__own") > 1, F.col("__own") - 1).otherwise(F.lit(len(firsts))), True)
+        placed = base.withColumn("__to", F.explode(F.when(head, F.array(own, before)).otherwise(F.array(own)))).select(
+            "doc_id", "text", "__place", F.col("__to.bucket").alias("__bucket"), F.col("__to.copy").alias("__copy"))
+    return placed.withColumn("next_text", F.coalesce(F.lead("text").over(next_window()), F.lit("")))
 
 
 def next_window() -> Window:
-    return Window.partitionBy("__bucket").orderBy(F.col("__copy"), F.col("__key").desc(), F.col("text"))
+    return Window.partitionBy("__bucket").orderBy("__copy", "__place", "text")
 
 
 def edited(text: Column, follower: Column) -> Column:
@@ -105,7 +128,7 @@ def edited(text: Column, follower: Column) -> Column:
 
 def edit_report(docs: DataFrame) -> DataFrame:
     """Fingerprints of all texts and their edited forms, with likenesses."""
-    kept = ["doc_id", "__bucket", "__copy", "__key", "text"]
+    kept = ["doc_id", "__bucket", "__copy", "__place", "text"]
     own = with_next(docs).withColumn("__edited", edited(F.col("text"), F.col("next_text")))
     own = own.select(*kept, "__edited", fingerprint(F.col("text")).alias("__fp"))
     own = own.withColumn("__next_fp", F.lead("__fp").over(next_window()))
