@@ -7,7 +7,8 @@ strings.  The method adds runs of 16 or more key characters that look more like
 random strings than like ordinary identifiers: two character bigram models, one of
 random strings and one of identifiers, are compared by log-likelihood ratio.  They
 are trained from labelled samples: values that the base patterns find anywhere in
-the corpus count as random, words of a bounded sample of documents as ordinary
+the corpus count as random; all other runs of key characters in a bounded sample of
+documents as ordinary, those with digits (numbers, dates, versions, ids, paths) included
 (``SAMPLE_DOCS``; the sample is drawn by hash of the id).  Without samples a model
 is uniform, so the scan still works on a corpus without secrets.
 
@@ -36,7 +37,7 @@ HEX = r"[0-9a-f]+"
 _HEX_SCAN = r"(?<![0-9a-f])[0-9a-f]{24,}+"
 _KEY = "A-Za-z0-9+/_=-"
 RUN = rf"(?<![{_KEY}])[{_KEY}]{{16,}}+"
-_WORD = r"(?<![A-Za-z0-9_])[A-Za-z_]{4,}+(?![0-9])"
+_ORDINARY = rf"(?<![{_KEY}])[{_KEY}]{{4,}}+"
 KINDS = ["assign", "access", "hex", "markov"]
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 #: Documents (expected) whose words train the model of identifiers.
@@ -105,7 +106,9 @@ def samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
         F.crc32(F.concat(F.lit("words:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
         < int(share * (1 << 32))
     )
-    plain = drawn.select(F.explode(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0))).alias("token"))
+    found = let(base_spans(text), lambda b: F.transform(F.filter(
+        _found(text, _ORDINARY, 3, 4), lambda r: ~F.exists(b, lambda x: (x["s"] < r["e"]) & (x["e"] > r["s"]))), lambda r: r["value"]))
+    plain = drawn.select(F.explode(found).alias("token"))
     return secrets.withColumn("random", F.lit(True)).unionByName(plain.withColumn("random", F.lit(False)))
 
 
