@@ -4,19 +4,23 @@ Counts are Good-Turing discounted up to ``K``, from smoothed counts of counts; l
 counts lose a fixed tenth of a count, so every context keeps mass for unseen words.  Backoff weights make each
 distribution sum to one exactly; words never met in training are one event.
 
-The tables are kept partitioned by hashed word and are never gathered.  Tokens are
-shuffled once, packed in arrays, to the partition of their word, where the counts
-of the word and of all pairs that end in it are complete; words that fill a
-partition alone are split by their predecessor, and their counts (a bounded list)
-are broadcast.  There each token is evaluated as far as it can be: a seen pair by
-its discounted count, an unseen one by the word's own probability.  What is left,
-the weight of the context, goes to a second set of partitions, by context, where
-the followers of each context are added up.  The second shuffle is read twice:
-first for the counts of counts of all pairs, then for the weights.
-
-Rules: null text counts as empty and has only its end.  Rows that share an id are
-scored as one document.  Rows without id are one document, never trained on
-differently from id ''.  Without training rows all tokens are unknown.
+The word counts are a table in the shared folder.  Tokens are shuffled once, packed in
+arrays, to the partition of their word, where the counts of the word and of all pairs
+that end in it are complete; words that fill a partition alone are split by their
+predecessor, and pairs that do by document.  The counts of these words and pairs are
+lists of a bounded length and broadcast.  There each token is evaluated as far as it
+can be: a seen pair by its discounted count, an unseen one by the word's own
+probability.  This, the sums of each document and the followers of each context, is
+a second table, partitioned by document and by context.  It is read twice: first for
+the counts of counts of all pairs and the weights of the most frequent contexts, then
+for the weights of all contexts.  Tokens that wait for the weight of a frequent
+context go to the partition of their document, the others to that of the context.
+
+Rules: null text counts as empty and has only its end.  Each row has its row.  Rows
+that share an id and differ in text are one document, scored as a whole; rows that
+are equal count each for itself.  Rows without id are one document, never trained on
+differently from id ''.  Without training rows all tokens are unknown.  Other columns
+are ignored.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,16 +36,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import small_batches
+from sessionlake.llm.common import Scratch, small_batches
 
 K = 5
 #: What counts above K lose.
 TAIL = 0.1
 START, END = 1, 2
-#: Tokens of a bucket, tokens packed at once, and occurrences from which a word is split.
+#: Tokens of a bucket, tokens packed at once, and occurrences from which a word or pair is split.
 BUCKET_TOKENS = 1_500_000
 FLUSH = 3_000_000
 HOT = 150_000
+#: Words, pairs and contexts that are broadcast, at most.
 MAX_HOT = 100_000
 _NULL_ID = -(1 << 63)
 #: Sums of logarithms travel as whole numbers of this unit.
@@ -141,16 +146,33 @@ class Words:
     scale: float = 1.0
     hot: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     hot_counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    #: Hashes of split pairs, their words, contexts and counts.
+    pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    pair_words: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    pair_contexts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    pair_counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     def probability(self, counts: np.ndarray) -> np.ndarray:
         star = np.where(counts > K, counts - TAIL, self.stars[np.minimum(counts, K)])
         return np.where(counts > 0, star * self.scale / max(1, self.tokens), self.unknown)
 
     def is_hot(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.hot):
-            return np.zeros(len(w), bool), np.zeros(len(w), np.int64)
-        at = np.minimum(np.searchsorted(self.hot, w), len(self.hot) - 1)
-        return self.hot[at] == w, self.hot_counts[at]
+        return _found(self.hot, self.hot_counts, w)
+
+    def is_hot_pair(self, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _found(self.pairs, self.pair_counts, _pair_hash(u, w))
+
+
+def _found(names: np.ndarray, counts: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(names):
+        return np.zeros(len(w), bool), np.zeros(len(w), np.int64)
+    at = np.minimum(np.searchsorted(names, w), len(names) - 1)
+    return names[at] == w, counts[at]
+
+
+def _pair_hash(u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    x = (u ^ (u >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F) + w
+    return (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
 
 
 def _token_rows(docs: DataFrame) -> DataFrame:
@@ -181,49 +203,90 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield flush()
 
 
-def word_table(train: DataFrame) -> Words:
+def word_table(train: DataFrame, scratch: Scratch) -> Words:
     """Unigram statistics of the training texts; only sums and split words leave Spark."""
-    table = train.mapInPandas(_count_words, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
-
-    def summary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, tokens, types, texts = np.zeros(K + 1, np.int64), 0, 0, 0
-        for b in batches:
-            n = b["n"].to_numpy()
-            counts += np.bincount(np.minimum(n, K + 2), minlength=K + 3)[1 : K + 2]
-            tokens, types = tokens + int(n.sum()), types + len(n)
-            texts += int(n[b["w"] == END].sum())
-            hot = b[n > HOT]
-            yield pd.DataFrame({"w": hot["w"], "n": hot["n"], "counts": None})
-        yield pd.DataFrame({"w": [0], "n": [0], "counts": [np.array([*counts, tokens, types, texts])]})
-
-    got = table.mapInPandas(summary, "w long, n long, counts array<bigint>").toPandas()
+    table = scratch.table(train.mapInPandas(_count_words, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")))
+    some = [F.count_if(F.col("n") == r) for r in range(1, K + 2)]
+    *counts, tokens, types, texts = table.agg(
+        *some, F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum(F.when(F.col("w") == END, F.col("n"))), F.lit(0))).first()
     own = Words()
-    sums = [np.asarray(x) for x in got["counts"] if x is not None]
-    if not sums or not (sums := np.sum(sums, axis=0))[K + 1]:
+    if not tokens:
         return own
-    own.tokens, own.types, own.texts = (int(x) for x in sums[K + 1 :])
-    own.stars = discounted(sums[: K + 1])
-    left = sum((r - own.stars[r]) * sums[r - 1] for r in range(1, K + 1))
-    left += TAIL * (own.types - sums[:K].sum())
-    own.unknown = left / own.tokens
-    hot = got[(got["n"] > max(HOT, own.tokens // MAX_HOT))].copy()
-    hot["w"] = hot["w"].to_numpy(np.int64).view(np.uint64)
-    hot = hot.sort_values("w")
-    own.hot, own.hot_counts = hot["w"].to_numpy(np.uint64), hot["n"].to_numpy(np.int64)
+    own.tokens, own.types, own.texts = tokens, types, texts
+    own.stars = discounted(np.array(counts))
+    left = sum((r - own.stars[r]) * counts[r - 1] for r in range(1, K + 1))
+    left += TAIL * (types - sum(counts[:K]))
+    own.unknown = left / tokens
+    least = max(HOT, tokens // MAX_HOT)
+    hot = table.where(F.col("n") > least).toPandas()  # MAX_HOT rows at most
+    names, sizes = hot["w"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(np.int64)
+    if texts > least:  # the start is a context, but no token
+        names, sizes = np.append(names, np.uint64(START)), np.append(sizes, texts)
+    order = np.argsort(names)
+    own.hot, own.hot_counts = names[order], sizes[order]
     return own
 
 
+def split_pairs(rows: DataFrame, words: Words) -> Words:
+    """Adds the pairs that are too frequent for one partition; both of their words are.
+
+    Counts in the training texts and in all of them are summed per task before they
+    are shuffled.
+    """
+    if not len(words.hot):
+        return words
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = _Hashes()
+        parts: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> pd.DataFrame:
+            found, n = np.unique(np.concatenate(parts), axis=0, return_counts=True)
+            u, w = words.hot[found[:, 0]].view(np.int64), words.hot[found[:, 1]].view(np.int64)
+            return pd.DataFrame({"u": u, "w": w, "trained": np.where(found[:, 2] > 0, n, 0), "n": n})
+
+        for batch in batches:
+            for text, train in zip(batch["text"], batch["train"], strict=True):
+                w = np.array([START, *(known[x] for x in (text or b"").lower().split()), END], np.uint64)
+                at = np.minimum(np.searchsorted(words.hot, w), len(words.hot) - 1)
+                at = np.where(words.hot[at] == w, at, -1)
+                both = (at[1:] >= 0) & (at[:-1] >= 0)
+                if both.any():
+                    parts.append(np.stack([at[:-1][both], at[1:][both], np.full(both.sum(), int(train))], axis=1).astype(np.int32))
+                    size += len(parts[-1])
+            if size > FLUSH:
+                yield flush()
+                parts, size = [], 0
+        if parts:
+            yield flush()
+
+    sums = rows.mapInPandas(run, "u long, w long, trained long, n long").groupBy("u", "w").agg(
+        F.sum("trained").alias("trained"), F.sum("n").alias("n"))
+    got = sums.where(F.col("n") > max(HOT, words.tokens // MAX_HOT)).toPandas()  # some MAX_HOT rows at most
+    u, w = (got[c].to_numpy(np.int64).view(np.uint64) for c in ("u", "w"))
+    names = _pair_hash(u, w)
+    order = np.argsort(names)
+    words.pairs, words.pair_contexts, words.pair_words = names[order], u[order], w[order]
+    words.pair_counts = got["trained"].to_numpy(np.int64)[order]
+    return words
+
+
 def _packer(words: Words, buckets: int):
     """Tokens of a task, packed by the bucket of their word."""
 
     def flush(ids, train, w, u, sizes):
         w, u = np.concatenate(w), np.concatenate(u)
         doc = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        ids, train = np.array(ids, np.int64), np.array(train, np.uint8)
         hot, _ = words.is_hot(w)
-        bucket = _spread(np.where(hot, w ^ (u * np.uint64(0xC2B2AE3D27D4EB4F)), w), buckets)
+        key = np.where(hot, w ^ (u * np.uint64(0xC2B2AE3D27D4EB4F)), w)
+        if len(words.pairs):
+            wide, _ = words.is_hot_pair(u, w)
+            key = np.where(wide, key ^ (ids[doc].view(np.uint64) * np.uint64(0x165667B19E3779F9)), key)
+        bucket = _spread(key, buckets)
         order = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
         ends = np.cumsum(np.bincount(bucket, minlength=buckets))
-        ids, train = np.array(ids, np.int64), np.array(train, np.uint8)
         for b, part in enumerate(np.split(order, ends[:-1])):
             if not len(part):
                 continue
@@ -267,9 +330,17 @@ def _by_target(target: np.ndarray, buckets: int, arrays: list[np.ndarray]) -> It
 def _evaluate(words: Words, buckets: int):
     """What the tokens of a bucket tell: sums by document, followers by context."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bucket, packed = 0, []
+        for batch in batches:
+            for bucket, data in zip(batch["bucket"], batch["data"], strict=True):
+                packed.append(data)
+        if packed:
+            yield evaluate(int(bucket), packed)
+
+    def evaluate(bucket: int, packed: list[bytes]) -> pd.DataFrame:
         ws, us, ds, ids, trains, offset = [], [], [], [], [], 0
-        for data in pdf["data"]:
+        for data in packed:
             names, counts, before, at, own, train, place = _load(data)
             ws.append(np.repeat(names.astype(np.uint64), counts.astype(np.int64)))
             us.append(before.astype(np.uint64)[at])
@@ -291,6 +362,9 @@ def _evaluate(words: Words, buckets: int):
         hot, hot_counts = words.is_hot(names)
         c = np.where(hot, hot_counts, c)
         r = np.bincount(pair, trained).astype(np.int64)
+        at_pair = np.flatnonzero(new_pair)
+        wide, wide_counts = words.is_hot_pair(u[at_pair], w[at_pair])
+        r = np.where(wide, wide_counts, r)
         p1 = words.probability(c)
 
         n = len(docs)
@@ -309,9 +383,9 @@ def _evaluate(words: Words, buckets: int):
             [docs, np.bincount(d, minlength=n), add(counted > 0).astype(np.int64), fixed(base), fixed(own),
              *hist.reshape(n, K).T])]
 
-        first = np.flatnonzero(new_pair)
-        real = r > 0
-        before, count, p = u[first][real], np.minimum(r[real], K + 1), p1[word[first][real]]
+        # The contexts of split pairs are added once, where all is summed up.
+        real = (r > 0) & ~wide
+        before, count, p = u[at_pair][real], np.minimum(r[real], K + 1), p1[word[at_pair][real]]
         ctx, at = np.unique(before, return_inverse=True)
         kinds = np.bincount(at * (K + 1) + count - 1, minlength=len(ctx) * (K + 1)).reshape(len(ctx), K + 1)
         if len(ctx):
@@ -319,80 +393,141 @@ def _evaluate(words: Words, buckets: int):
                 _spread(ctx, buckets), buckets, [ctx, np.bincount(at, p, minlength=len(ctx)), *kinds.T])]
         fresh = seen == 0
         if fresh.any():
-            rows += [("new", t, data) for t, data in _by_target(
-                _spread(u[fresh], buckets), buckets, [u[fresh], docs[d[fresh]]])]
+            hot, _ = words.is_hot(u)
+            target = np.where(hot, _spread(docs[d].view(np.uint64), buckets), _spread(u, buckets))
+            rows += [("new", t, data) for t, data in _by_target(target[fresh], buckets, [u[fresh], docs[d[fresh]]])]
         of = np.bincount(np.minimum(r[real], K + 2), minlength=K + 3)[1 : K + 2]
-        rows.append(("counts", int(pdf["bucket"].iloc[0]), of.astype(np.int64).tobytes()))
-        return pd.DataFrame(rows, columns=["kind", "target", "data"])
+        rows = [(*row, None) for row in rows]
+        rows.append(("counts", bucket, None, of.astype(np.int64)))
+        hot, _ = words.is_hot(ctx)
+        if hot.any():
+            sums = np.column_stack((np.bincount(at, p, minlength=len(ctx)), kinds))[hot]
+            rows.append(("hot", bucket, _dump(ctx[hot], *sums.T), None))
+        return pd.DataFrame(rows, columns=["kind", "target", "data", "counts"])
 
     return run
 
 
-def _finish(words: Words, stars: np.ndarray):
+def _lost(stars: np.ndarray) -> np.ndarray:
+    """What each of the counts 1..K and more gives up."""
+    return np.concatenate((np.arange(1, K + 1) - stars[1 : K + 1], [TAIL]))
+
+
+def _weights(p: np.ndarray, kinds: list[np.ndarray], stars: np.ndarray) -> np.ndarray:
+    """Logarithms of backoff weights of contexts: the mass left, by that of words not seen."""
+    left = sum(n * x for n, x in zip(kinds, _lost(stars), strict=True))
+    return np.log10(np.maximum(left, 1e-300) / np.maximum(1 - p, 1e-12))
+
+
+def _add_split_pairs(words: Words, names: np.ndarray, p: np.ndarray, kinds: list[np.ndarray]) -> None:
+    """Adds split pairs, which no bucket has told of, to the contexts in ``names`` (sorted)."""
+    of = (words.pair_counts > 0) & np.isin(words.pair_contexts, names)
+    if of.any():
+        at = np.searchsorted(names, words.pair_contexts[of])
+        _, counts = words.is_hot(words.pair_words[of])
+        np.add.at(p, at, words.probability(counts))
+        count = np.minimum(words.pair_counts[of], K + 1)
+        for i, kind in enumerate(kinds):
+            np.add.at(kind, at[count == i + 1], 1)
+
+
+def hot_weights(words: Words, told: DataFrame, stars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts that are split words, and their weights; their sums are made in tasks first."""
+    if not len(words.hot):
+        return np.zeros(0, np.uint64), np.zeros(0)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((len(words.hot), K + 2))
+        for batch in batches:
+            for data in batch["data"]:
+                names, *sums = _load(data)
+                np.add.at(total, np.searchsorted(words.hot, names.astype(np.uint64)), np.column_stack(sums))
+        at = np.flatnonzero(total.any(axis=1))
+        yield pd.DataFrame({"i": at, "sums": pd.Series(list(total[at]), dtype=object)})
+
+    sums = told.where("kind = 'hot'").select("data").mapInPandas(run, "i int, sums array<double>")
+    got = sums.select("i", F.posexplode("sums").alias("k", "x")).groupBy("i", "k").agg(F.sum("x").alias("x")).toPandas()
+    total = np.zeros((K + 2, len(words.hot)))  # MAX_HOT columns at most
+    total[got["k"], got["i"]] = got["x"]
+    p, kinds = total[0], list(total[1:])
+    _add_split_pairs(words, words.hot, p, kinds)
+    return words.hot, np.where(sum(kinds) > 0, _weights(p, kinds, stars), 0.0)
+
+
+def _finish(words: Words, stars: np.ndarray, hot: tuple[np.ndarray, np.ndarray]):
     """Adds the weights of contexts; yields (doc, tokens, known, base, score) in parts."""
     logs = np.log10(np.maximum(stars[1 : K + 1], 1e-300))
-    lost = np.concatenate((np.arange(1, K + 1) - stars[1 : K + 1], [TAIL]))
 
-    def run(rows: Iterator) -> Iterator[tuple]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kinds: dict[str, list] = {"doc": [], "ctx": [], "new": []}
-        for _, (kind, data) in rows:
-            if kind in kinds:
+        for batch in batches:
+            for kind, data in zip(batch["kind"], batch["data"], strict=True):
                 kinds[kind].append(_load(data))
         join = lambda k: [np.concatenate(x) for x in zip(*kinds[k], strict=True)]
+        rows = lambda docs, tokens, known, base, score: pd.DataFrame({
+            "doc_id": docs, "n_tokens": tokens, "n_known": known, "base_score": base, "score": score})
         if kinds["doc"]:
             ids, tokens, known, base, own, *hist = join("doc")
             base, own = base / -SCALE, own / -SCALE
             own = own + sum(h * g for h, g in zip(hist, logs, strict=True))
             docs, at = np.unique(ids.astype(np.int64), return_inverse=True)
             sums = [np.bincount(at, x) for x in (tokens, known, base, own)]
-            for x in zip(docs.tolist(), *(s.tolist() for s in sums), strict=True):
-                yield (x[0], int(x[1]), int(x[2]), x[3], x[4])
-        if kinds["new"] and kinds["ctx"]:
-            ctx, p, *counts = join("ctx")
-            names, at = np.unique(ctx.astype(np.uint64), return_inverse=True)
-            left = np.bincount(at, sum(n * x for n, x in zip(counts, lost, strict=True)))
-            weight = np.log10(left / np.maximum(1 - np.bincount(at, p), 1e-12))
+            yield rows(docs, sums[0].astype(np.int64), sums[1].astype(np.int64), *sums[2:])
+        if kinds["new"]:
             u, ids = join("new")
             u = u.astype(np.uint64)
-            place = np.minimum(np.searchsorted(names, u), len(names) - 1)
-            known = names[place] == u
-            docs, at = np.unique(ids.astype(np.int64)[known], return_inverse=True)
-            for x in zip(docs.tolist(), np.bincount(at, weight[place[known]], minlength=len(docs)).tolist(), strict=True):
-                yield (x[0], 0, 0, 0.0, x[1])
+            weight = np.zeros(len(u))
+            if kinds["ctx"]:
+                ctx, p, *counts = join("ctx")
+                names, at = np.unique(ctx.astype(np.uint64), return_inverse=True)
+                per = [np.bincount(at, n) for n in counts]
+                some, found = _found(names, np.arange(len(names)), u)
+                weight = np.where(some, _weights(np.bincount(at, p), per, stars)[found], 0.0)
+            frequent, found = _found(*hot, u)
+            weight = np.where(frequent, found, weight)
+            docs, at = np.unique(ids.astype(np.int64), return_inverse=True)
+            zero = np.zeros(len(docs), np.int64)
+            yield rows(docs, zero, zero, zero.astype(float), np.bincount(at, weight, minlength=len(docs)))
 
     return run
 
 
 def score(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each id.
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each row.
 
     ``docs`` has doc_id, text and train (whether the model learns from the row).
     """
-    spark = docs.sparkSession
+    scratch = Scratch(docs.sparkSession)
     rows = _token_rows(small_batches(docs))
-    words = word_table(rows.where("train"))
+    words = split_pairs(rows, word_table(rows.where("train"), scratch))
     share = docs.agg(F.sum(F.char_length("text")).alias("all"),
                      F.sum(F.when(F.col("train"), F.char_length("text"))).alias("train")).first()
     total = words.tokens * (share["all"] or 1) / (share["train"] or 1)
     buckets = max(1, math.ceil(max(total, (share["all"] or 0) / 8) / BUCKET_TOKENS))
     packed = rows.mapInPandas(_packer(words, buckets), "bucket int, data binary")
-    told = packed.groupBy("bucket").applyInPandas(
-        _evaluate(words, buckets), "kind string, target int, data binary")
-    parted = told.rdd.map(lambda x: (x[1], (x[0], bytes(x[2])))).partitionBy(buckets, lambda t: t)
-    counts = (
-        parted.filter(lambda x: x[1][0] == "counts")
-        .map(lambda x: np.frombuffer(x[1][1], np.int64))
-        .fold(np.zeros(K + 1, np.int64), lambda a, b: a + b)
-    )
-    done = spark.createDataFrame(
-        parted.mapPartitions(_finish(words, discounted(counts))),
-        "doc_id long, n_tokens long, n_known long, base_score double, score double", verifySchema=False)
+    told = scratch.table(packed.repartitionById(buckets, F.col("bucket")).mapInPandas(
+        _evaluate(words, buckets), "kind string, target int, data binary, counts array<bigint>"))
+    counts = np.bincount(np.minimum(words.pair_counts, K + 2), minlength=K + 3)[1 : K + 2]
+    for i, n in told.where("kind = 'counts'").select(F.posexplode("counts")).groupBy("pos").agg(F.sum("col")).collect():
+        counts[i] += n  # K + 1 rows
+    stars = discounted(counts)
+    hot = hot_weights(words, told, stars)
+    parts = told.where("kind in ('doc', 'ctx', 'new')").repartitionById(buckets, F.col("target"))
+    done = parts.mapInPandas(
+        _finish(words, stars, hot), "doc_id long, n_tokens long, n_known long, base_score double, score double")
     first = math.log10(words.texts) if words.texts else 0.0
-    return done.groupBy("doc_id").agg(
+    scored = done.groupBy("doc_id").agg(
         F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
+        F.sum("base_score").alias("base_score"), F.sum("score").alias("score"))
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    key = F.coalesce("doc_id", F.lit(_NULL_ID))
+    ids = docs.groupBy(key.alias("__id")).agg(
+        F.when(F.min(text) == F.max(text), F.count(F.lit(1))).otherwise(1).alias("copies"), F.count(F.lit(1)).alias("rows"))
+    per = ids.join(scored.withColumnRenamed("doc_id", "__id"), "__id")
+    return per.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))).select(
+        F.when(F.col("__id") != _NULL_ID, F.col("__id")).alias("doc_id"),
+        (F.col("n_tokens") / F.col("copies")).cast("bigint").alias("n_tokens"),
+        (F.col("n_known") / F.col("copies")).cast("bigint").alias("n_known"),
         F.lit(words.tokens).cast("bigint").alias("train_tokens"),
-        F.sum("base_score").alias("base_score"), F.sum("score").alias("score"),
-    ).withColumns({
-        "score": F.col("score") - first,
-        "doc_id": F.when(F.col("doc_id") != _NULL_ID, F.col("doc_id")),
-    })
+        (F.col("base_score") / F.col("copies")).alias("base_score"),
+        ((F.col("score") - F.col("rows") * first) / F.col("copies")).alias("score"))
