@@ -1,7 +1,7 @@
 """License scans with ordered signature rules.
 
 Rules are regular expressions over a text's words (lower-cased, joined by single
-spaces).  They are written as families (names, versions) and phrases, ordered by
+spaces).  They are written as sentences of licences and as names with versions, ordered by
 priority: identifiers before notices, notices before names with versions, those
 before plain names.  A rule runs only where its keyword, a literal part of
 its pattern, occurs.  Detections that
@@ -9,7 +9,8 @@ lie inside one of a better or the same priority are dropped; the rest stays.
 
 Rules for odd input: null counts as empty, texts without words have no places and
 score 0.  The base phrases are counted on their own and their labels are never
-dropped.  Ids and further columns pass through.
+dropped.  Ids and further columns pass through; columns named as a result are replaced.
+Repeated rows each get their row, an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -95,16 +96,130 @@ FAMILIES = [
     ("elastic", [r"elastic"], ["1 0", "2 0"]),
     ("polyform", [r"polyform noncommercial", r"polyform small business"], ["1 0 0"]),
 ]
-# Label, pattern, confidence of notices without a family.
+# Label, pattern, confidence of sentences that stand in one licence or in notices of it.
 NOTICES = [
     ("mit", r"permission is hereby granted free of charge to any person obtaining a copy", 0.95),
+    ("mit", r"to deal in the software without restriction including without limitation the rights", 0.95),
+    ("mit", r"the above copyright notice and this permission notice shall be included in all copies", 0.95),
+    ("mit-0", r"mit no attribution", 0.9),
+    ("x11", r"shall not be used in advertising or otherwise to promote the sale use or other dealings in this software", 0.9),
     ("isc", r"permission to use copy modify and or distribute this software for any purpose with or without fee", 0.95),
-    ("bsd", r"redistribution and use in source and binary forms with or without modification", 0.9),
-    ("unlicense", r"this is free and unencumbered software released into the public domain", 0.95),
+    ("isc", r"the software is provided as is and the author disclaims all warranties", 0.8),
+    ("bsd", r"redistributions? (?:and use )?in source and binary forms with or without modification", 0.9),
+    ("bsd", r"redistributions of source code must retain the above copyright notice", 0.9),
+    ("bsd", r"redistributions in binary form must reproduce the above copyright notice", 0.9),
+    ("bsd-3-clause", r"neither the names? of (?:[a-z0-9]+ ){1,12}nor the names of (?:its|their|any) contributors may be used to endorse", 0.95),
+    ("bsd-4-clause", r"all advertising materials mentioning features or use of this software must display", 0.95),
+    ("0bsd", r"bsd zero clause", 0.9),
+    ("bsd-3-clause-clear", r"no express or implied licenses to any party s patent rights are granted", 0.9),
+    ("apache-2.0", r"you may not use this (?:file|work|software) except in compliance with the license", 0.85),
+    ("apache-2.0", r"apache org licenses license 2 0", 0.95),
+    ("apache-2.0", r"terms and conditions for use reproduction and distribution", 0.85),
+    ("apache-1.1", r"this product includes software developed by the apache software foundation", 0.8),
     ("gpl", r"this program is free software you can redistribute it and or modify it under the terms of the gnu", 0.9),
+    ("gpl", r"this program is distributed in the hope that it will be useful but without any warranty", 0.85),
+    ("gpl", r"either version [123] of the license or at your option any later version", 0.85),
+    ("gpl", r"you should have received a copy of the gnu general public", 0.9),
+    ("gpl-2", r"free software foundation inc 51 franklin st", 0.6),
+    ("gpl-3", r"the gnu general public license is a free copyleft license", 0.95),
+    ("gpl-3", r"gnu org licenses gpl 3 0", 0.9),
+    ("gpl-2", r"gnu org licenses (?:old licenses )?gpl 2 0", 0.9),
+    ("gpl-classpath", r"as a special exception the copyright holders of this library give you permission to link", 0.9),
+    ("gcc-exception", r"gcc runtime library exception", 0.9),
+    ("lgpl", r"this library is free software you can redistribute it and or modify it under the terms of the gnu lesser", 0.95),
+    ("lgpl", r"you should have received a copy of the gnu lesser general public", 0.9),
+    ("lgpl-2", r"this library is free software you can redistribute it and or modify it under the terms of the gnu library", 0.95),
+    ("agpl-3", r"if your software can interact with users remotely through a computer network", 0.9),
+    ("agpl-3", r"you should have received a copy of the gnu affero general public", 0.9),
+    ("gfdl", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation", 0.95),
+    ("gfdl", r"with no invariant sections no front cover texts and no back cover texts", 0.9),
+    ("mpl-2.0", r"this source code form is subject to the terms of the mozilla public", 0.95),
+    ("mpl-1.1", r"the contents of this file are subject to the mozilla public", 0.9),
+    ("mpl-2.0", r"mozilla org mpl 2 0", 0.9),
+    ("npl", r"the contents of this file are subject to the netscape public", 0.95),
+    ("epl", r"this program and the accompanying materials are made available under the terms of the eclipse public", 0.95),
+    ("epl-2.0", r"eclipse org legal epl (?:v20|2 0)", 0.9),
+    ("cddl", r"the contents of this file are subject to the terms of the common development and distribution", 0.95),
+    ("cpl", r"the accompanying program is provided under the terms of this common public", 0.9),
+    ("ipl", r"the accompanying program is provided under the terms of this ibm public", 0.9),
+    ("eupl", r"you may not use this work except in compliance with the licence", 0.85),
+    ("cecill", r"governed by the cecill(?: [bc])? license under french law", 0.95),
+    ("artistic", r"the intent of this document is to state the conditions under which a package may be copied", 0.95),
+    ("perl", r"under the same terms as perl(?: itself)?", 0.9),
+    ("bsl-1.0", r"distributed under the boost software license", 0.95),
+    ("bsl-1.0", r"free of charge to any person or organization obtaining a copy of the software and accompanying documentation", 0.9),
+    ("busl-1.1", r"the licensor may make an additional use grant", 0.9),
+    ("busl-1.1", r"change license (?:[a-z0-9]+ ){1,9}change date", 0.6),
+    ("zlib", r"altered source versions must be plainly marked as such", 0.95),
+    ("zlib", r"this software is provided as is without any express or implied warranty", 0.7),
+    ("libpng", r"the png reference library is supplied as is", 0.9),
+    ("unlicense", r"this is free and unencumbered software released into the public domain", 0.95),
+    ("unlicense", r"anyone is free to copy modify publish use compile sell or distribute this software", 0.95),
+    ("wtfpl", r"do what the fuck you want to", 0.95),
+    ("beerware", r"if we meet some day and you think this stuff is worth it you can buy me a beer", 0.95),
+    ("beerware", r"beer ?ware license", 0.9),
+    ("psf", r"psf is making python available to licensee on an as is basis", 0.95),
+    ("psf", r"python software foundation all rights reserved", 0.7),
+    ("php", r"this product includes php software freely available from", 0.9),
+    ("openssl", r"this product includes software developed by the openssl project", 0.95),
+    ("ssleay", r"this product includes cryptographic software written by eric young", 0.95),
+    ("ofl-1.1", r"this font software is licensed under the sil open font", 0.95),
+    ("ofl-1.1", r"the font software may not be sold by itself", 0.9),
+    ("ubuntu-font", r"ubuntu font licen[sc]e", 0.9),
+    ("ms-pl", r"this license governs use of the accompanying software if you use the software you accept this license", 0.8),
+    ("osl", r"licensed under the open software license version", 0.9),
+    ("afl", r"licensed under the academic free license version", 0.9),
+    ("ncsa", r"university of illinois ncsa open source", 0.95),
+    ("ncsa", r"to deal with the software without restriction", 0.9),
+    ("w3c", r"w3c software notice and license", 0.95),
+    ("w3c", r"by obtaining using and or copying this work you the licensee agree", 0.9),
+    ("icu", r"icu license icu", 0.7),
+    ("unicode", r"unicode inc license agreement data files and software", 0.95),
+    ("unicode", r"unicode license v3", 0.9),
+    ("curl", r"permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted", 0.85),
+    ("hpnd", r"permission to use copy modify and distribute this software and its documentation for any purpose", 0.85),
+    ("postgresql", r"postgresql licen[sc]e", 0.9),
+    ("postgresql", r"in no event shall the university of california be liable to any party for direct indirect", 0.9),
+    ("sleepycat", r"information on how to obtain complete source code for the db software", 0.95),
+    ("tcl", r"this software is copyrighted by the regents of the university of california sun microsystems", 0.9),
+    ("vim", r"there are no restrictions on distributing unmodified copies of vim", 0.95),
+    ("ruby", r"you can redistribute it and or modify it under either the terms of the 2 clause bsdl", 0.95),
+    ("ijg", r"this software is based in part on the work of the independent jpeg group", 0.9),
+    ("ftl", r"portions of this software are copyright (?:[0-9]+ )?the freetype project", 0.9),
+    ("odbl", r"this (?:[a-z0-9]+ ){1,6}is made available under the open database license", 0.95),
+    ("odc-by", r"made available under the open data commons attribution license", 0.95),
+    ("pddl", r"open data commons public domain dedication and license", 0.95),
+    ("cc-by", r"creativecommons org licenses by [1-4] [05]", 0.95),
+    ("cc-by-sa", r"creativecommons org licenses by sa [1-4] [05]", 0.95),
+    ("cc-by-nc", r"creativecommons org licenses by nc [1-4] [05]", 0.95),
+    ("cc-by-nc-sa", r"creativecommons org licenses by nc sa [1-4] [05]", 0.95),
+    ("cc-by-nc-nd", r"creativecommons org licenses by nc nd [1-4] [05]", 0.95),
+    ("cc-by-nd", r"creativecommons org licenses by nd [1-4] [05]", 0.95),
+    ("cc0", r"creativecommons org publicdomain zero 1 0", 0.95),
+    ("cc0", r"to the extent possible under law (?:[a-z0-9]+ ){1,12}has waived all copyright", 0.95),
+    ("cc-mark", r"creativecommons org publicdomain mark 1 0", 0.9),
+    ("sspl-1", r"if you make the functionality of the program or a modified version available to third parties as a service", 0.95),
+    ("elastic-2.0", r"you may not provide the software to third parties as a hosted or managed service", 0.95),
+    ("commons-clause", r"commons clause license condition", 0.95),
+    ("commons-clause", r"the license does not grant to you the right to sell the software", 0.95),
+    ("polyform", r"polyform (?:noncommercial|small business|strict|shield|perimeter) license", 0.9),
+    ("json", r"the software shall be used for good not evil", 0.95),
+    ("hippocratic", r"hippocratic license", 0.9),
+    ("openrail", r"open ?rail(?: [msd])? license", 0.85),
+    ("llama", r"llama (?:2|3|3 1|3 2) community license", 0.95),
+    ("gemma", r"gemma terms of use", 0.9),
+    ("nasa", r"nasa open source agreement", 0.9),
     ("public-domain", r"(?:released|placed|dedicated|in)(?: in| into| to)? the public domain", 0.8),
-    ("proprietary", r"all rights reserved", 0.4),
+    ("public-domain", r"no rights reserved", 0.6),
     ("proprietary", r"proprietary and confidential", 0.8),
+    ("proprietary", r"unauthori[sz]ed copying of this file via any medium is strictly prohibited", 0.95),
+    ("proprietary", r"may not be (?:reproduced|copied|distributed|disclosed) without (?:the )?(?:prior )?(?:express )?written (?:permission|consent)", 0.8),
+    ("proprietary", r"this software is licensed not sold", 0.8),
+    ("proprietary", r"end user licen[sc]e agreement", 0.7),
+    ("non-commercial", r"for non ?commercial (?:use|purposes|research) only", 0.8),
+    ("research-only", r"for (?:academic )?research (?:use|purposes) only", 0.8),
+    ("no-redistribution", r"redistribution is (?:strictly )?prohibited", 0.8),
+    ("proprietary", r"all rights reserved", 0.4),
     ("copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}", 0.3),
 ]
 _DELIMITERS = bytes(c for c in range(128) if not (chr(c).isdigit() or "a" <= chr(c) <= "z"))
@@ -134,7 +249,7 @@ def _literal(body: str) -> str:
 @lru_cache(maxsize=1)
 def rules() -> tuple[Rule, ...]:
     """The families' phrases in order of priority; a few hundred patterns."""
-    out = []
+    out: list[Rule] = []
 
     def add(priority, label, keyword, body, confidence):
         pattern = re.compile(b"(?<= )" + body.encode() + b"(?= )")
@@ -249,4 +364,5 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
             yield out.astype({"first_word": "Int64", "last_word": "Int64"})
 
     found = small_batches(docs).withColumn("__found", run(F.col(text).cast("binary")))
-    return found.drop(text).select("*", "__found.*").drop("__found")
+    results = [x.split()[0] for x in _RESULT.split(", ")]
+    return found.drop(text, *results).select("*", "__found.*").drop("__found")
