@@ -7,14 +7,18 @@ and what it cannot take goes to its siblings by weight, before anything goes up
 the ancestors' siblings.  Each leaf then takes whole epochs and, of the next one,
 a prefix of its documents in the order of a seeded hash, as long as the tokens fit.
 
-All numbers are integers, shares are rounded down, so results do not depend on the
-order of sums.  Budgets are computed over the leaves (a table of their sums) with
-windows.  Prefixes need no sort of a whole leaf: tokens are first summed by hash
-slice, and only the slice in which the budget ends is ordered by document.
+Budgets and tokens are integers and shares are rounded down, so results do not depend
+on the order of sums.  (Only the order in which children fill up compares the doubles
+cap / weight; ties go by cap, weight and name.)  Budgets are computed over the leaves
+(a table of their sums) with windows.  Prefixes need no sort of a whole leaf: tokens
+are first summed by hash slice, and only the slice in which the budget ends is ordered,
+without texts.  A leaf has more slices the more documents it has, so slices stay small.
 
 Rules: null domain, language or source is a leaf of its own, named ''.  Null text
-has no tokens; such documents cost nothing.  A weight that is not given is 1.
-Repeated rows count and are chosen each for itself.  Other columns pass through.
+has no tokens; such documents cost nothing.  A weight that is not given is 1; a node
+of weight 0 gives nothing, not even documents without tokens.  Rows with the same id and size are
+chosen all or none.  Other columns pass through, but ``domain`` is read where it
+exists, and ``n_tokens`` and ``copies`` are replaced.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,15 +26,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import TOKEN, broadcast_if_small, cut
+from sessionlake.llm.common import TOKEN, Scratch, broadcast_if_small
 
 LEVELS = ["domain", "lang", "source"]
 #: Share of all available tokens that is the budget, and passes over a document.
 BUDGET_NUM, BUDGET_DEN = 1, 2
 MAX_EPOCHS = 2
 SEED = "mix-1"
-#: Hash slices of a leaf: 16 ** SLICE_DIGITS.
-SLICE_DIGITS = 3
+#: Documents of a hash slice of a leaf, at most sixteen times as many.
+SLICE_DOCS = 256
 #: Leaves up to which their budgets are broadcast (about 200 bytes each).
 BROADCAST_LEAVES = 100_000
 
@@ -51,7 +55,8 @@ def share_down(children: DataFrame, parent: list[str]) -> DataFrame:
     In the order of cap / weight, children are full as long as the rest of the
     budget, shared by the weights left, covers them; the others share what is left.
     """
-    order = Window.partitionBy(*parent).orderBy(F.col("cap") / F.col("weight"), "cap", "weight", *children.columns[:1])
+    ratio = F.when(F.col("weight") > 0, F.col("cap") / F.col("weight")).otherwise(F.lit(float("inf")))
+    order = Window.partitionBy(*parent).orderBy(ratio, "cap", "weight", *children.columns[:1])
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     onward = order.rowsBetween(0, Window.unboundedFollowing)
     group = Window.partitionBy(*parent)
@@ -60,13 +65,13 @@ def share_down(children: DataFrame, parent: list[str]) -> DataFrame:
         "__weights": F.sum("weight").over(onward),
     })
     rest = F.col("budget") - F.col("__spent")
-    out = out.withColumn("__full", F.col("cap") * F.col("__weights") <= F.col("weight") * rest)
+    out = out.withColumn("__full", (F.col("weight") > 0) & (F.col("cap") * F.col("__weights") <= F.col("weight") * rest))
     # The first child that is not full fixes the share of all that follow.
-    part = F.when(~F.col("__full"), F.struct(F.col("__spent").alias("spent"), F.col("__weights").alias("weights")))
+    part = F.when(~F.col("__full") & (F.col("weight") > 0), F.struct(F.col("__spent").alias("spent"), F.col("__weights").alias("weights")))
     out = out.withColumn("__cut", F.min(part).over(group))
     share = F.expr("(weight * (budget - __cut.spent)) div __cut.weights")
-    return out.withColumn("take", F.when(F.col("__full"), F.col("cap")).otherwise(F.least("cap", share))).drop(
-        "__spent", "__weights", "__full", "__cut")
+    take = F.when(F.col("weight") == 0, 0).when(F.col("__full"), F.col("cap")).otherwise(F.least("cap", share))
+    return out.withColumn("take", take.cast("bigint")).drop("__spent", "__weights", "__full", "__cut")
 
 
 def _weighted(nodes: DataFrame, column: str, weights: dict[str, int] | None) -> DataFrame:
@@ -78,7 +83,7 @@ def _weighted(nodes: DataFrame, column: str, weights: dict[str, int] | None) ->
 
 def budgets(leaves: DataFrame, weights: dict[str, dict[str, int]] | None = None,
             num: int = BUDGET_NUM, den: int = BUDGET_DEN, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """(domain, lang, source, tokens, take): the tokens each leaf gives."""
+    """(domain, lang, source, tokens, take): the tokens each leaf gives; leaves of weight 0 are left out."""
     weights = weights or {}
     total = leaves.agg(F.expr(f"coalesce(sum(tokens), 0) * {num} div {den}").alias("budget"))
     level = None
@@ -87,14 +92,15 @@ def budgets(leaves: DataFrame, weights: dict[str, dict[str, int]] | None = None,
         nodes = leaves.groupBy(*keys).agg((F.sum("tokens") * max_epochs).cast("bigint").alias("cap"))
         nodes = _weighted(nodes, name, weights.get(name)).select(name, *keys[:-1], "cap", "weight")
         if level is None:
-            nodes = nodes.withColumn("__one", F.lit(1)).join(
+            nodes = nodes.withColumns({"__one": F.lit(1), "__on": F.lit(True)}).join(
                 F.broadcast(total.withColumn("__one", F.lit(1))), "__one")
-            level = share_down(nodes.select(name, "cap", "weight", "budget", "__one"), ["__one"])
+            level = share_down(nodes.select(name, "cap", "weight", "budget", "__one", "__on"), ["__one"])
         else:
-            up = level.select(*keys[:-1], F.col("take").alias("budget"))
+            up = level.select(*keys[:-1], F.col("take").alias("budget"), "__on")
             level = share_down(nodes.join(up, keys[:-1]), keys[:-1])
-        level = level.select(*keys, "take")
-    return leaves.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens")).join(level, LEVELS)
+        level = level.withColumn("__on", F.col("__on") & (F.col("weight") > 0)).select(*keys, "take", "__on")
+    sums = leaves.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"))
+    return sums.join(level.where("__on").drop("__on"), LEVELS)
 
 
 def mix(docs: DataFrame, weights: dict[str, dict[str, int]] | None = None, seed: str = SEED,
@@ -103,16 +109,18 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]] | None = None, seed:
 
     ``domain`` is taken from the table where it has such a column.
     """
+    scratch = Scratch(docs.sparkSession)
     named = docs if "domain" in docs.columns else docs.withColumn("domain", domain_of(F.col("source")))
     rows = named.withColumns({
         "n_tokens": n_tokens(F.col("text")),
         **{f"__{c}": F.coalesce(F.col(c).cast("string"), F.lit("")) for c in LEVELS},
     })
     keys = [f"__{c}" for c in LEVELS]
-    sums = rows.groupBy(*keys).agg(F.sum("n_tokens").cast("bigint").alias("tokens"))
-    leaves = cut(sums.select(*[F.col(k).alias(k[2:]) for k in keys], "tokens"))
-    plan = cut(budgets(leaves, weights, num, den, max_epochs).select(
-        *[F.col(c).alias(f"__{c}") for c in LEVELS],
+    sums = rows.groupBy(*keys).agg(F.sum("n_tokens").cast("bigint").alias("tokens"), F.count(F.lit(1)).alias("docs"))
+    leaves = scratch.table(sums.select(*[F.col(k).alias(k[2:]) for k in keys], "tokens", "docs"))
+    digits = F.greatest(F.lit(0), F.least(F.lit(8), F.ceil(F.log(16.0, F.col("docs") / SLICE_DOCS)))).cast("int")
+    plan = scratch.table(budgets(leaves, weights, num, den, max_epochs).join(leaves.select(*LEVELS, "docs"), LEVELS).select(
+        *[F.col(c).alias(f"__{c}") for c in LEVELS], digits.alias("__digits"),
         F.expr("case when tokens > 0 then take div tokens else 1 end").alias("__full"),
         F.expr("case when tokens > 0 then take % tokens else 0 end").alias("__rest"),
     ))
@@ -121,18 +129,24 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]] | None = None, seed:
 
     def placed(plan: DataFrame) -> DataFrame:
         joined = rows.join(broadcast_if_small(plan, BROADCAST_LEAVES), keys).withColumn("__order", order)
-        return joined.withColumn("__slice", F.substring("__order", 1, SLICE_DIGITS))
+        return joined.withColumn("__slice", F.substring("__order", F.lit(1), F.col("__digits")))
 
     ahead = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = placed(plan).groupBy(*keys, "__slice", "__rest").agg(F.sum("n_tokens").alias("__sum"))
     slices = slices.withColumn("__before", F.coalesce(F.sum("__sum").over(ahead), F.lit(0)))
     edges = slices.where("__before + __sum > __rest").groupBy(*keys).agg(
         F.min(F.struct("__slice", "__before")).alias("__edge"))
-    both = placed(cut(plan.join(edges, keys, "left")))
-    at_edge = F.coalesce(F.col("__slice") == F.col("__edge.__slice"), F.lit(False))
-    plain = both.where(~at_edge).withColumn("__in", F.coalesce((F.col("__slice") < F.col("__edge.__slice")).cast("int"), F.lit(0)))
-    inside = Window.partitionBy(*keys).orderBy("__order", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
-    ends = both.where(at_edge).withColumn(
-        "__in", (F.col("__edge.__before") + F.sum("n_tokens").over(inside) <= F.col("__rest")).cast("int"))
-    out = plain.unionByName(ends).withColumn("copies", (F.col("__full") + F.col("__in")).cast("bigint"))
-    return out.where("copies > 0").drop(*[c for c in out.columns if c.startswith("__")])
+    plan = scratch.table(plan.join(edges, keys, "left"))
+    # Of the slice in which the budget ends, the last place that is still within it.
+    at = F.struct(F.col("__order").alias("order"), F.col("n_tokens").alias("n"))
+    inside = Window.partitionBy(*keys).orderBy("__order", "n_tokens")
+    ends = placed(plan).where(F.col("__slice") == F.col("__edge.__slice")).select(*keys, "__order", "n_tokens", "__edge", "__rest")
+    last = (
+        ends.withColumn("__upto", F.col("__edge.__before") + F.sum("n_tokens").over(inside))
+        .where("__upto <= __rest").groupBy(*keys).agg(F.max(at).alias("__last"))
+    )
+    both = placed(scratch.table(plan.join(last, keys, "left")))
+    edge = F.col("__edge.__slice")
+    chosen = (F.col("__slice") < edge) | ((F.col("__slice") == edge) & (at <= F.col("__last")))
+    out = both.withColumn("copies", (F.col("__full") + F.coalesce(chosen, F.lit(False)).cast("int")).cast("bigint"))
+    return out.where("copies > 0").select(*[F.col(f"`{c}`") for c in named.columns if c not in ("n_tokens", "copies")], "n_tokens", "copies")
