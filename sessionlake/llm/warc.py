@@ -4,32 +4,34 @@ Records are written by Spark's text writer: a record is its header lines, an emp
 line and its block, and the writer's line separator is the two line ends that close
 a record, so each part file is a plain WARC 1.1 file (gzip as an option).  Archives
 are read with the binary file source and cut by ``Content-Length``, so payloads may
-hold anything, record marks included.
+hold anything, record marks included.  Files are bounded in bytes: records are written
+by classes of size, and each class has its own number of records in a file, so a file
+holds ``FILE_BYTES`` of payload at most, or one record.
 
 Payloads are deduplicated by headers: digests that occur more than once are
-reduced to their original (largest page id), and only those few are joined to the
-pages, so payloads are not shuffled unless that table is large.
+reduced to their original (largest page id).  Up to ``BROADCAST_ROWS`` of these are
+broadcast to the pages, so payloads are not shuffled.  Beyond that, headers alone are
+joined by digest, and the few fields found there to the payloads by page.
 
 Rules: null payload counts as empty.  Null url becomes the empty URI.  Rows that
 share page id and payload are all written; among records of equal payload and id
 one reads back as they were written: all responses.  Null ids are written as ''
 and read back as null; they sort before all others as originals.  Other columns
-are ignored.
+are ignored, whatever their names.  An empty table gives an empty archive.
 """
 
 from __future__ import annotations
 
 import base64
-import uuid
-from collections.abc import Iterator
-
 import hashlib
+import zlib
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import shared_dir
+from sessionlake.llm.common import Scratch, shared_path
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 #: Date of the records written; archives are reproducible.
@@ -38,8 +40,11 @@ DATE = "2024-01-01T00:00:00Z"
 MIN_BYTES = 0
 #: Repeated digests up to which their originals are broadcast (about 150 bytes each).
 BROADCAST_ROWS = 200_000
-#: Records of an archive file.
-RECORDS_PER_FILE = 5_000
+#: Payload bytes of an archive file, and the upper ends of the classes of record size.
+FILE_BYTES = 64 << 20
+CLASSES = (16 << 10, 256 << 10, 4 << 20, 1 << 40)
+#: Records and bytes of payload that are handed on at once when archives are read.
+READ_ROWS, READ_BYTES = 1_000, 16 << 20
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -81,11 +86,14 @@ def resolve_revisits(records: DataFrame, min_bytes: int = MIN_BYTES) -> DataFram
         .agg(F.max(F.struct("page_id", "url")).alias("original"), F.count(F.lit(1)).alias("n"))
         .where("n > 1").drop("n")
     )
-    if repeated.count() <= BROADCAST_ROWS:
-        repeated = F.broadcast(repeated)
-    joined = records.join(repeated, "digest", "left")
+    repeated = Scratch(records.sparkSession).table(repeated)
     same = F.col("original.page_id").eqNullSafe(F.col("page_id")) | (F.col("bytes") < min_bytes)
-    return joined.withColumn("original", F.when(~same, F.col("original")))
+    if repeated.count() <= BROADCAST_ROWS:
+        return records.join(F.broadcast(repeated), "digest", "left").withColumn("original", F.when(~same, F.col("original")))
+    heads = records.select("page_id", "digest", "bytes").join(repeated, "digest").where(~same).select("page_id", "digest", "original").distinct()
+    heads = heads.select(F.col("page_id").alias("__id"), F.col("digest").alias("__digest"), "original")
+    return records.join(
+        heads, (F.col("digest") == F.col("__digest")) & F.col("page_id").eqNullSafe(F.col("__id")), "left").drop("__id", "__digest")
 
 
 def records_text(resolved: DataFrame) -> DataFrame:
@@ -119,10 +127,19 @@ def records_text(resolved: DataFrame) -> DataFrame:
     return resolved.select(F.concat(head, F.lit("\r\n"), block).alias("value"))
 
 
-def write(resolved: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Archives in a folder; files stay small enough to be read in one task."""
-    (records_text(resolved).write.option("lineSep", "\r\n\r\n").option("compression", compression)
-     .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+def write(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, compression: str = "gzip") -> None:
+    """Deduplicated archives of pages in a folder, one part of it for each class of size."""
+    size = F.octet_length(F.coalesce("html", F.lit("")))
+    resolved = resolve_revisits(headers(pages), min_bytes)
+    kind = F.lit(0)
+    for top in CLASSES[:-1]:
+        kind = kind + (size > top).cast("int")
+    present = sorted(r[0] for r in pages.select(kind.alias("kind")).distinct().collect())  # of CLASSES
+    for i in present or [0]:
+        low = CLASSES[i - 1] if i else -1
+        part = resolved.where((F.col("bytes") > low) & (F.col("bytes") <= CLASSES[i]))
+        (records_text(part).write.option("lineSep", "\r\n\r\n").option("compression", compression)
+         .option("maxRecordsPerFile", max(1, FILE_BYTES // CLASSES[i])).text(f"{path}/class-{i}"))
 
 
 _READ = (
@@ -131,49 +148,97 @@ _READ = (
 )
 
 
-def _parse(data: bytes) -> Iterator[tuple]:
+def _record(head: bytes, block: bytes) -> tuple:
+    version, *lines = head.decode().split("\r\n")
+    if not version.startswith("WARC/"):
+        raise ValueError(f"no WARC record: {version[:40]}")
+    fields = dict(x.split(": ", 1) for x in lines)
+    payload = block.split(b"\r\n\r\n", 1)[1]
+    number = lambda key: int(fields[key]) if fields.get(key) else None
+    kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
+    length = number("X-Payload-Length")
+    if kind == "response":
+        if base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
+            raise ValueError(f"payload of {fields['WARC-Record-ID']} differs from its digest")
+        length = len(payload)
+    return (number("X-Page-ID"), fields["WARC-Target-URI"], fields["WARC-Record-ID"], kind, digest, length,
+            number("X-Refers-To-Page-ID"), payload if kind == "response" else None)
+
+
+def _inflated(data: bytes, step: int = 1 << 16) -> Iterator[bytes]:
+    """The bytes of a file in pieces; gzip members one after another."""
+    if data[:2] != b"\x1f\x8b":
+        yield data
+        return
     at = 0
     while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        version, *lines = data[at:end].decode().split("\r\n")
-        if not version.startswith("WARC/"):
-            raise ValueError(f"no WARC record at byte {at}")
-        head = dict(x.split(": ", 1) for x in lines)
-        size = int(head["Content-Length"])
-        block = data[end + 4 : end + 4 + size]
-        at = end + 4 + size + 4
-        payload = block.split(b"\r\n\r\n", 1)[1]
-        number = lambda key, head=head: int(head[key]) if head.get(key) else None
-        kind, digest = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha1:")
-        length = number("X-Payload-Length")
-        if kind == "response":
-            if base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
-                raise ValueError(f"payload of {head['WARC-Record-ID']} differs from its digest")
-            length = len(payload)
-        yield (number("X-Page-ID"), head["WARC-Target-URI"], head["WARC-Record-ID"], kind, digest, length,
-               number("X-Refers-To-Page-ID"), payload if kind == "response" else None)
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            if at >= len(data):
+                raise ValueError("an archive ends inside a gzip member")
+            given = data[at : at + step]
+            yield member.decompress(given)
+            at += len(given) - len(member.unused_data)
+
+
+def _parse(data: bytes) -> Iterator[tuple]:
+    """Records of an archive; no more than one of them is held beside the file."""
+    held = bytearray()
+    pieces = _inflated(data)
+
+    def fill(enough) -> bool:
+        while not enough():
+            piece = next(pieces, None)
+            if piece is None:
+                return False
+            held.extend(piece)
+        return True
+
+    at = 0
+    while True:
+        if not fill(lambda: held.find(b"\r\n\r\n", at) >= 0):
+            if len(held) > at:
+                raise ValueError("an archive ends inside a record")
+            return
+        end = held.find(b"\r\n\r\n", at)
+        head = bytes(held[at:end])
+        size = int(next(x for x in head.decode().split("\r\n") if x.startswith("Content-Length: "))[16:])
+        stop = end + 4 + size + 4
+        if not fill(lambda: len(held) >= stop):
+            raise ValueError("an archive ends inside a record")
+        yield _record(head, bytes(held[end + 4 : stop - 4]))
+        at = stop
+        if at > READ_BYTES:
+            del held[:at]
+            at = 0
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The records of archives; payloads of responses are checked against digests."""
+    names = [x.split()[0] for x in _READ.split(", ")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import gzip
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "payload_bytes": "Int64", "refers_to": "Int64"})
 
-        names = [x.split()[0] for x in _READ.split(", ")]
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for data in batch["content"]:
-                data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else bytes(data)
-                out = pd.DataFrame(list(_parse(data)), columns=names)
-                yield out.astype({"page_id": "Int64", "payload_bytes": "Int64", "refers_to": "Int64"})
-
-    files = spark.read.format("binaryFile").load(path).select("content")
+                rows, size = [], 0
+                for row in _parse(bytes(data)):
+                    rows.append(row)
+                    size += len(row[-1] or b"")
+                    if len(rows) >= READ_ROWS or size >= READ_BYTES:
+                        yield frame(rows)
+                        rows, size = [], 0
+                yield frame(rows)
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("content")
     return files.mapInPandas(run, _READ)
 
 
 def archive(pages: DataFrame, path: str | None = None, min_bytes: int = MIN_BYTES) -> DataFrame:
     """Write deduplicated archives of ``pages`` and read them back."""
     spark = pages.sparkSession
-    path = path or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
-    write(resolve_revisits(headers(pages), min_bytes), path)
+    path = path or shared_path(spark, "warc")
+    write(pages, path, min_bytes)
     return read(spark, path)
