@@ -411,11 +411,12 @@ def join_components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``."""
     scratch = Scratch(docs.sparkSession)
     digests = scratch.table(set_digests(small_batches(docs), measure))
-    usable = digests.where("digest is not null and doc_id is not null")
-    first = usable.groupBy("digest").agg(F.min("doc_id").alias("representative"))
-    named = scratch.table(digests.join(first, "digest", "left").drop("digest").withColumn(
+    copies = scratch.table(
+        digests.where("digest is not null and doc_id is not null").groupBy("digest")
+        .agg(F.min("doc_id").alias("representative"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies"))
+    named = scratch.table(digests.join(copies, "digest", "left").drop("digest").withColumn(
         "representative", F.when(F.col("doc_id").isNotNull(), F.coalesce("representative", "doc_id"))))
-    scratch.drop(digests)
+    scratch.drop(digests, copies)
     parts = links(docs, measure, named.where("n > 0 and doc_id is not null"), scratch)
     out = named.select("doc_id", F.col("n").alias("n_shingles"), "representative")
     if parts is None:
