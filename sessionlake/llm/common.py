@@ -106,19 +106,17 @@ def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+#: Bytes of an Arrow batch of whole texts.
+BATCH_BYTES = 32 << 20
 
 
 def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
-    """Keeps Arrow batches of whole texts small, where the session has the default size."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if df.sparkSession.conf.get(name) == "10000":
-        df.sparkSession.conf.set(name, str(rows))
+    """Keeps Arrow batches of whole texts small, in rows and bytes, where the session has the defaults."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == f"{64 << 20}b":
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df
 
 
