@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; :func:`run` writes
 the result of each as Parquet and reads it again for the next.
+
+Rules: null, empty and letterless texts go in the first stage.  Further columns
+pass through all stages, whatever their names (the last adds ``domain``, ``n_tokens``
+and ``copies``).  Rows without id have no near duplicates and stay if they are clean.
+Repeated rows: of rows with one id, all stay or all go, but for the mixture, which
+chooses each for itself.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,11 +27,16 @@ MIN_LANGUAGE_SCORE = 0.4
 NEAR = jaccard_join.Measure(5, 80, 100)
 
 
+def _own(docs: DataFrame) -> list:
+    """The columns of ``docs``, whatever their names."""
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known."""
     model = langid.train(docs.where(crc_mod(F.col("doc_id"), 3) != 1))
-    found = langid.predict(docs, model)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(docs.columns)
+    found = langid.predict(docs, model, label="__lang", score="__sure")
+    return found.where((F.col("__lang") != "und") & (F.col("__sure") >= MIN_LANGUAGE_SCORE)).select(*_own(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,19 +44,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = jaccard_join.join_components(docs, NEAR)
     # Only documents that are not the smallest of their group are looked up.
     surplus = groups.where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(surplus, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(surplus, "doc_id", "left_anti").select(*_own(docs))
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     hit = decontaminate.contamination(docs, items).where("contaminated").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(hit, "doc_id", "left_anti").select(*_own(docs))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a marker."""
-    return secrets.redact(docs).select(docs.columns)
+    return secrets.redact(docs).select(*_own(docs))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
