@@ -25,17 +25,15 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlake.llm.common import cut, small_batches
+from sessionlake.llm.common import Scratch, small_batches
 
 MIN_WORDS = 8
 _LINES = re.compile(r"[^\n]+")
 _SENTENCES = re.compile(r"[^\n]+?(?:[.!?]+(?=[ \n])|(?=\n)|$)", re.S)
-#: Passages; ``spans`` has start, end and number of words of each unit in turn.
-_PASSAGES = "array<struct<spans:array<int>,digest:binary>>"
 
 
 def _windows(sizes: list[int], least: int) -> list[tuple[int, int]]:
@@ -59,31 +57,45 @@ def _windows(sizes: list[int], least: int) -> list[tuple[int, int]]:
 
 
 def passages(docs: DataFrame, sentences: bool = True, min_words: int = MIN_WORDS) -> DataFrame:
-    """(row, doc_id, spans, digest) of the units and runs of units long enough; ``row`` tells rows of ``docs`` apart."""
+    """(row, doc_id, spans, digest) of the units and runs of units long enough; ``row`` tells rows of ``docs`` apart.
+
+    ``spans`` has start, end and number of words of each unit in turn.
+    """
     pattern = _SENTENCES if sentences else _LINES
 
-    @F.pandas_udf(_PASSAGES)
-    def cut_up(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def cut_up(text: str, spans: list[int], ends: list[int], digests: list[bytes]) -> int:
+        units, plain, sizes = [], [], []
+        for m in pattern.finditer(text):
+            words = m.group().lower().split()
+            if words:
+                lead = len(m.group()) - len(m.group().lstrip())
+                units.append((m.start() + lead, m.end(), len(words)))
+                plain.append(" ".join(words))
+                sizes.append(len(words))
+        ranges = _windows(sizes, min_words) if sentences else [(i, i) for i, n in enumerate(sizes) if n >= min_words]
+        for i, j in ranges:
+            for unit in units[i : j + 1]:
+                spans.extend(unit)
+            ends.append(len(spans))
+            digests.append(hashlib.blake2b(" ".join(plain[i : j + 1]).encode("utf-8", "surrogatepass"), digest_size=16).digest())
+        return len(ranges)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text in batch:
-                spans, plain, sizes = [], [], []
-                for m in pattern.finditer(text or ""):
-                    words = m.group().lower().split()
-                    if words:
-                        lead = len(m.group()) - len(m.group().lstrip())
-                        spans.append((m.start() + lead, m.end(), len(words)))
-                        plain.append(" ".join(words))
-                        sizes.append(len(words))
-                ranges = _windows(sizes, min_words) if sentences else [(i, i) for i, n in enumerate(sizes) if n >= min_words]
-                out.append([{
-                    "spans": [x for span in spans[i : j + 1] for x in span],
-                    "digest": hashlib.blake2b(" ".join(plain[i : j + 1]).encode("utf-8", "surrogatepass"), digest_size=16).digest(),
-                } for i, j in ranges])
-            yield pd.Series(out)
-
-    rows = small_batches(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    return rows.select("row", "doc_id", F.explode(cut_up("text")).alias("u")).select("row", "doc_id", "u.*")
+            at = 0
+            while at < batch.num_rows:
+                spans, ends, digests, rows, counts = [], [0], [], at, []
+                while at < batch.num_rows and len(spans) < 1_000_000:
+                    counts.append(cut_up(batch.column("text")[at].as_py() or "", spans, ends, digests))
+                    at += 1
+                owner = pa.array([i for i, n in enumerate(counts, rows) for _ in range(n)], pa.int64())
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(spans, pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row").take(owner), batch.column("doc_id").take(owner), lists, pa.array(digests, pa.binary())],
+                    ["row", "doc_id", "spans", "digest"])
+
+    rows = small_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return rows.mapInArrow(run, "row long, doc_id long, spans array<int>, digest binary")
 
 
 def repeated_units(docs: DataFrame, sentences: bool = True, min_words: int = MIN_WORDS) -> DataFrame:
@@ -96,16 +108,19 @@ def repeated_units(docs: DataFrame, sentences: bool = True, min_words: int = MIN
     documents share is reduced before the shuffle; only then are its occurrences
     joined to the first one.
     """
-    found = cut(passages(docs, sentences, min_words))
+    scratch = Scratch(docs.sparkSession)
+    found = scratch.table(passages(docs, sentences, min_words))
     start, end = F.col("spans")[0], F.element_at("spans", -2)
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", start.alias("start"), end.alias("end"), "row")
-    first = found.groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = scratch.table(found.groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (start == F.col("first.start"))
-    later = found.join(first, "digest").where(~is_first)
+    later = scratch.table(found.join(first, "digest").where(~is_first))
+    scratch.drop(found, first)
     unit = F.explode(F.transform(
         F.sequence(F.lit(0), F.size("spans") - 3, F.lit(3)),
         lambda i: F.struct(F.get("spans", i).alias("start"), F.get("spans", i + 1).alias("end"), F.get("spans", i + 2).alias("n_words"))))
-    marked = later.select("row", "doc_id", "digest", "first", "n", F.size("spans").alias("size"), unit.alias("unit"))
+    # The passages of a text come together before they are cut in units again.
+    marked = later.repartition("row").select("row", "doc_id", "digest", "first", "n", F.size("spans").alias("size"), unit.alias("unit"))
     marked = marked.where((F.col("row") != F.col("first.row")) | (F.col("unit.start") >= F.col("first.end")))
     best = F.min(F.struct("size", "first", "digest", "n", "doc_id", "unit")).alias("b")
     return marked.groupBy("row", F.col("unit.start").alias("start")).agg(best).select(
