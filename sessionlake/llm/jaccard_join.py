@@ -267,6 +267,8 @@ def set_arrays(rows: DataFrame, measure: Measure) -> DataFrame:
         for batch in batches:
             yield pd.Series([shingles(t, measure.n, known).view(np.int64) for t in batch])
 
+    # Else Spark would move conditions on the sets, and with them this function, below the joins that choose the rows.
+    of = of.asNondeterministic()
     return rows.withColumn("elements", of(F.col("text").cast("binary"))).drop("text")
 
 
