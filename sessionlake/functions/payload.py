@@ -19,10 +19,16 @@ def string(v: Column, *path: str) -> Column:
 
 def number(v: Column, *path: str) -> Column:
     """A JSON number, truncated; texts do not count."""
-    at = F.try_variant_get(v, "$." + ".".join(path), "variant")
-    kind = F.schema_of_variant(at)
-    return F.when(kind.startswith("BIGINT") | kind.startswith("DECIMAL") | kind.startswith("DOUBLE") | kind.startswith("INT"),
-                  F.try_variant_get(v, "$." + ".".join(path), "double").cast("bigint"))
+    name = "$." + ".".join(path)
+    kind = F.schema_of_variant(F.try_variant_get(v, name, "variant"))
+    whole = kind.startswith("BIGINT") | kind.startswith("INT")
+    return F.when(whole, F.try_variant_get(v, name, "bigint")).when(
+        kind.startswith("DECIMAL") | kind.startswith("DOUBLE"), F.try_variant_get(v, name, "double").cast("bigint"))
+
+
+def integer(v: Column, *path: str) -> Column:
+    """A JSON number, truncated, or a text that is a whole number."""
+    return F.coalesce(number(v, *path), F.when(F.trim(string(v, *path)).rlike(r"^[+-]?[0-9]+$"), F.trim(string(v, *path)).try_cast("bigint")))
 
 
 def time(v: Column, *keys: str) -> Column:

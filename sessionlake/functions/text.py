@@ -94,13 +94,13 @@ def preview(c: Column, limit: int = 96) -> Column:
 
 def compact(c: Column, limit: int = 140) -> Column:
     plain = collapse(c)
-    return F.when(F.char_length(plain) <= limit, plain).otherwise(F.concat(F.substring(plain, 1, limit - 3), F.lit("...")))
+    return F.when(F.char_length(plain) <= limit, plain).otherwise(F.concat(F.trim(F.substring(plain, 1, limit - 3)), F.lit("...")))
 
 
 def unwrap_command(c: Column) -> Column:
     """The command inside a shell wrapper, without its quotes."""
-    inner = F.regexp_replace(F.trim(c), r"^(?:/bin/|/usr/bin/)?(?:bash|zsh|sh) -lc\s+", "")
-    return F.regexp_replace(F.trim(inner), r"""^(['"])(.*)\1$""", "$2")
+    inner = F.regexp_replace(F.trim(c), r"^(?:/bin/)?(?:bash|sh) -lc ", "")
+    return F.trim(F.regexp_replace(F.trim(inner), r"""^(['"])(.*)\1$""", "$2"))
 
 
 # What the first informative line of a failure looks like.

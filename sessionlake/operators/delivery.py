@@ -93,11 +93,26 @@ def object_key(template: str, prefix: str) -> Column:
     return out
 
 
-def classify_response(code: Column, has_token: Column) -> Column:
-    """Outcome of an HTTP status."""
-    return (F.when(code.between(200, 299), "success").when((code == 401) | ((code == 403) & ~has_token), "blocked_auth")
-            .when(code == 403, "blocked_config").when((code == 429) | (code >= 500), "retry")
-            .when(code.isin(400, 404, 410, 413, 422), "permanent").otherwise("retry"))
+#: Ranges of statuses: delivered, worth another try, and refused for good.
+SUCCESS, RETRY, PERMANENT = ((200, 299),), ((429, 429), (500, 599)), ((400, 499),)
+
+Ranges = tuple[tuple[int, int], ...]
+
+
+def classify_response(code: Column, has_token: Column, success: Ranges = SUCCESS, retry: Ranges = RETRY, permanent: Ranges = PERMANENT) -> Column:
+    """Outcome of an HTTP status.
+
+    401 and 403 are blocked only where a token was sent.  A status of 400 to 499 in no
+    range is tried again; anything else that is in none is permanent.
+    """
+    def within(ranges: Ranges) -> Column:
+        out = F.lit(False)
+        for low, high in ranges:
+            out = out | code.between(low, high)
+        return out
+
+    return (F.when(within(success), "success").when(has_token & (code == 401), "blocked_auth").when(has_token & (code == 403), "blocked_config")
+            .when(within(retry) | (code.between(400, 499) & ~within(permanent)), "retry").otherwise("permanent"))
 
 
 def backoff_seconds(attempt: Column, initial: int = 10, most: int = 300, jitter: Column | None = None) -> Column:
@@ -175,3 +190,13 @@ def export_lines(events: DataFrame) -> DataFrame:
     shown = [c for c in events.columns if c != "payload"]
     line = F.to_json(F.struct(*shown, F.try_parse_json("payload").alias("payload")))
     return events.select("ledger_offset", line.alias("value"))
+
+
+def replay(events: DataFrame, sinks: dict[str, policies.Policy], classes: DataFrame, after: int = 0, upto: int | None = None,
+           include_unsafe: bool = False, requested: list[str] | None = None) -> DataFrame:
+    """Outbox items of a range of the ledger for the sinks that :func:`replay_plan` includes."""
+    chosen = {r["sink_id"] for r in replay_plan(classes, include_unsafe, requested).where("included").collect()}  # a handful of sinks
+    rows = events.where(F.col("ledger_offset") > after)
+    rows = rows if upto is None else rows.where(F.col("ledger_offset") <= upto)
+    wanted = {name: policy for name, policy in sinks.items() if name in chosen}
+    return outbox(rows, wanted) if wanted else outbox(rows, sinks).where(F.lit(False))

@@ -60,9 +60,16 @@ def deduplicated(facts: DataFrame, key: str) -> DataFrame:
 
 
 def pair(commands: DataFrame, second_key: str | None = None) -> DataFrame:
-    """(session, start_key, finish_key): starts and finishes of commands, each in one row.
+    """(session, start_key, finish_key) of :func:`pair_sides`; ``commands`` needs no ``side``."""
+    pairs = pair_sides(commands.withColumn("side", F.struct("key")), second_key)
+    return pairs.select("session", F.col("s.key").alias("start_key"), F.col("f.key").alias("finish_key"))
 
-    ``commands`` has session, key, started, call_id and the order column ``at``.  A
+
+def pair_sides(commands: DataFrame, second_key: str | None = None) -> DataFrame:
+    """(session, s, f): starts and finishes of commands, each pair in one row.
+
+    ``commands`` has session, key, started, call_id, the order column ``at`` and ``side``,
+    a struct that becomes ``s`` of a start and ``f`` of a finish.  A
     finish takes the oldest open start with its call id; without one it takes the
     oldest open start of any kind, or (with ``second_key``) the oldest with equal text.
 
@@ -83,22 +90,23 @@ def pair(commands: DataFrame, second_key: str | None = None) -> DataFrame:
     ordered = rows.where("__ordered")
     number = F.row_number().over(Window.partitionBy("session", "call_id", "started").orderBy("at"))
     ordered = ordered.withColumn("__k", number)
-    starts = ordered.where("started").select("session", "call_id", "__k", F.col("key").alias("start_key"))
-    ends = ordered.where("not started").select("session", "call_id", "__k", F.col("key").alias("finish_key"))
-    by_call = starts.join(ends, ["session", "call_id", "__k"], "left").select("session", "start_key", "finish_key")
+    pick = lambda which: F.max(F.when(which, F.col("side")))
+    both = [pick(F.col("started")).alias("s"), pick(~F.col("started")).alias("f")]
+    by_call = ordered.groupBy("session", "call_id", "__k").agg(*both).select("session", "s", "f")
 
     low = F.least(F.lit(0), F.coalesce(F.min("__sum").over(whole.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     plain = rows.where(bare).withColumn("__lone", ~F.col("started") & (F.col("__sum") < low))
-    lone = plain.where("__lone").select("session", F.lit(None).cast("string").alias("start_key"), F.col("key").alias("finish_key"))
+    lone = plain.where("__lone").select("session", F.when(F.lit(False), F.col("side")).alias("s"), F.col("side").alias("f"))
     plain = plain.where("not __lone").withColumn("__k", F.row_number().over(Window.partitionBy("session", "started").orderBy("at")))
-    balanced = (plain.where("started").select("session", "__k", F.col("key").alias("start_key"))
-                .join(plain.where("not started").select("session", "__k", F.col("key").alias("finish_key")), ["session", "__k"], "left")
-                .select("session", "start_key", "finish_key"))
+    balanced = plain.groupBy("session", "__k").agg(*both).select("session", "s", "f")
     other = F.lit("") if second_key is None else F.col(second_key)
     place = F.row_number().over(Window.partitionBy("session").orderBy("at"))
     mixed = rows.where(~F.col("__ordered") & ~bare).select("session", "key", "started", "call_id", place.alias("n"), other.alias("second"))
     mixed = mixed.repartition("session").sortWithinPartitions("session", "n")
     folded = mixed.mapInPandas(_fold(second_key is not None), "session string, start_key string, finish_key string")
+    sides = rows.where(~F.col("__ordered") & ~bare)
+    folded = (folded.join(sides.select(F.col("key").alias("start_key"), F.col("side").alias("s")), "start_key", "left")
+              .join(sides.select(F.col("key").alias("finish_key"), F.col("side").alias("f")), "finish_key", "left").select("session", "s", "f"))
     return by_call.unionByName(lone).unionByName(balanced).unionByName(folded)
 
 
@@ -155,15 +163,11 @@ def _fold(by_text: bool):
 def command_rollups(events: DataFrame) -> DataFrame:
     """20 columns per command: completed, start_only or finish_only."""
     commands = events.where(F.col("kind").isin(STARTED, FINISHED))
-    pairs = pair(commands.select(
+    rows = pair_sides(commands.select(
         F.col("global_session_key").alias("session"), F.col("global_event_key").alias("key"), (F.col("kind") == STARTED).alias("started"),
-        "call_id", F.struct("sequence", "timestamp", "global_event_key").alias("at")))
-    side = F.struct(*[F.col(c) for c in (
-        "machine_id", "source_instance_id", "source_session_key", "tool_name", "actor_name", "call_id", "global_event_key",
-        "global_envelope_key", "sequence", "timestamp", "exit_code", "duration_ms")])
-    one = commands.select(F.col("global_event_key").alias("start_key"), side.alias("s"))
-    two = commands.select(F.col("global_event_key").alias("finish_key"), side.alias("f"))
-    rows = pairs.join(one, "start_key", "left").join(two, "finish_key", "left")
+        "call_id", F.struct("sequence", "timestamp", "global_event_key").alias("at"), F.struct(*[F.col(c) for c in (
+            "machine_id", "source_instance_id", "source_session_key", "tool_name", "actor_name", "call_id", "global_event_key",
+            "global_envelope_key", "sequence", "timestamp", "exit_code", "duration_ms")]).alias("side")))
     both = F.col("s").isNotNull() & F.col("f").isNotNull()
     either = lambda c: text.first_nonempty(F.col(f"s.{c}"), F.col(f"f.{c}"), trim=True)
     first = lambda c: F.coalesce(F.col(f"s.{c}"), F.col(f"f.{c}"))

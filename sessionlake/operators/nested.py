@@ -8,6 +8,8 @@ from sessionlake.operators.normalize import actor_of, kind_of
 
 _COMMAND = r"Command:\s+[^\n]*-lc '([^']*)'"
 _EXIT = r"Process exited with code (\d+)"
+# Messages of the system.
+_SYSTEM = ["task_started", "task_complete", "context_compacted", "turn_aborted", "item_completed"]
 _CALLS = ["function_call", "custom_tool_call"]
 _OUTPUTS = ["function_call_output", "custom_tool_call_output"]
 
@@ -53,17 +55,21 @@ def classify(rows: DataFrame) -> DataFrame:
     rows = call_names(rows)
     body, command, code = parse_output(text.first_given(s("payload", "output")))
     rows = rows.withColumns({"__body": body, "__command": text.first_given(command, F.col("__given")), "__exit": code})
-    top, kind, name = F.col("raw_kind"), F.col("__inner"), F.col("call_name")
+    top, kind = F.col("raw_kind"), F.col("__inner")
+    name = F.when(kind == "web_search_call", "web_search").when(
+        kind.isin(_OUTPUTS) & (F.col("call_name") == ""), "tool").otherwise(F.col("call_name"))
     role = s("payload", "role")
+    # Other types go by the table of aliases; a result counts as failed by the exit code in the payload.
+    alias = kind_of(kind, F.try_variant_get(v, "$.payload", "variant"))
     event_msg = (F.when(kind == "user_message", "message.user").when(kind == "agent_message", "message.agent")
-                 .when(kind == "token_count", "usage.reported").otherwise("message.system"))
+                 .when(kind == "token_count", "usage.reported").when(kind.isin(_SYSTEM) | (alias == "error"), "message.system").otherwise(alias))
     message = F.when(role == "user", "message.user").when(role == "assistant", "message.agent").otherwise("message.system")
     call = F.when(name == "exec_command", "command.started").when(name == "apply_patch", "file.patch").otherwise("tool.started")
     output = (F.when(name == "exec_command", "command.finished").when(name == "apply_patch", "file.patch")
               .when(F.coalesce(F.col("__exit"), F.lit(0)) > 0, "tool.failed").otherwise("tool.finished"))
-    search = F.when(s("payload", "status") == "failed", "tool.failed").when(s("payload", "status") == "completed", "tool.finished").otherwise("tool.started")
+    search = F.when(s("payload", "status") == "completed", "tool.finished").otherwise("tool.started")
     item = (F.when(kind == "message", message).when(kind == "reasoning", "message.agent").when(kind.isin(_CALLS), call)
-            .when(kind.isin(_OUTPUTS), output).when(kind == "web_search_call", search).otherwise("message.system"))
+            .when(kind.isin(_OUTPUTS), output).when(kind == "web_search_call", search).otherwise(alias))
     rows = rows.withColumn("kind", F.when(top == "session_meta", "session.started").when(top == "turn_context", "model.changed")
                            .when(top == "compacted", "message.system").when(top == "event_msg", event_msg).when(top == "response_item", item)
                            .otherwise(kind_of(top, v)))

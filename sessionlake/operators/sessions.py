@@ -4,17 +4,49 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlake.functions import payload, text
-from sessionlake.operators.facts import FINISHED, STARTED, pair
+from sessionlake.operators.facts import FINISHED, STARTED, pair_sides
 
-# Kinds shown on a session's timeline.
-TIMELINE = ["session.started", "session.resumed", "session.ended", "command.started", "command.finished", "tool.failed", "file.write",
-            "file.patch", "file.delete", "approval.requested", "approval.resolved", "git.commit", "model.changed", "error", "message.user"]
+# Kinds always shown on a session's timeline.
+TIMELINE = ["session.started", "session.resumed", "session.ended", "model.changed", "command.started", "command.finished", "tool.failed",
+            "file.patch", "approval.requested", "approval.resolved", "git.status", "git.diff", "git.commit", "git.checkout", "message.user"]
+
+
+_OUTPUT = ["output_text", "stderr", "stdout", "text", "reason"]
+_INNER = ", ".join(f"{x}: string" for x in ["call_id", "output", *_OUTPUT])
+_SHAPE = ", ".join(f"{x} string" for x in ["command", "message", "model", "name", "tool", "tool_name", *_OUTPUT]) + f", payload struct<{_INNER}>"
 
 
 def _fields(events: DataFrame) -> DataFrame:
-    v = F.try_parse_json("payload")
-    rows = events.withColumn("__v", v)
-    return rows.withColumn("exit_code", payload.number(F.col("__v"), "exit_code"))
+    """With ``exit_code`` and the payload's fields that are shown, read once."""
+    code = payload.integer(F.try_parse_json("payload"), "exit_code")
+    return events.withColumns({"exit_code": code, "__f": F.from_json("payload", _SHAPE)})
+
+
+def _text(*path: str) -> Column:
+    return F.coalesce(F.col(".".join(["__f", *path])), F.lit(""))
+
+
+def failure_output() -> Column:
+    """The output of a record: of its inner payload if that has one, else its own."""
+    return text.first_nonempty(*[_text("payload", k) for k in ("output", *_OUTPUT)], *[_text(k) for k in _OUTPUT])
+
+
+def with_context(rows: DataFrame) -> DataFrame:
+    """Adds ``call_id`` and ``context``: the command an event belongs to.
+
+    That is its own, else that of the latest earlier start of the same call that has
+    one, else what the first line of an earlier start's or of its own output says.
+    """
+    own, call = text.compact(_text("command")), F.trim(_text("payload", "call_id"))
+    first_line = F.col("__line")
+    rows = rows.withColumn("__line", F.trim(F.substring_index(F.replace(failure_output(), F.lit("\r\n"), F.lit("\n")), "\n", 1)))
+    head = F.when(first_line.startswith("Command:"), text.compact(text.unwrap_command(F.substring(first_line, 9, 1 << 20)))).otherwise("")
+    rows = rows.withColumns({"call_id": call, "__own": own, "__head": head})
+    before = Window.partitionBy("session_key", "call_id").orderBy("sequence").rowsBetween(Window.unboundedPreceding, -1)
+    start = lambda c: F.when((F.col("kind") == STARTED) & (F.col(c) != ""), F.col(c))
+    earlier = F.coalesce(F.last(start("__own"), ignorenulls=True).over(before), F.first(start("__head"), ignorenulls=True).over(before))
+    return rows.withColumn("context", text.first_nonempty(
+        F.col("__own"), F.when(F.col("call_id") != "", earlier), F.col("__head"))).drop("__own", "__head", "__line")
 
 
 def failed(kind: Column, exit_code: Column) -> Column:
@@ -53,28 +85,18 @@ def inspect_header(events: DataFrame, session: str | None = None) -> DataFrame:
 
 
 def command_events(events: DataFrame) -> DataFrame:
-    """Command events with call id, exit code and the command text, filled from the call's start or the output's head."""
-    v = F.col("__v")
-    rows = _fields(events).where(F.col("kind").isin(STARTED, FINISHED))
-    s = lambda *p: F.coalesce(payload.string(v, *p), F.lit(""))
-    rows = rows.withColumns({
-        "call_id": text.first_nonempty(s("payload", "call_id"), s("call_id")), "own": text.unwrap_command(text.first_nonempty(s("command"), s("cmd"))),
-        "output": text.first_nonempty(s("payload", "output"), s("output_text"), s("stderr"), s("stdout"), s("text"))})
-    before = Window.partitionBy("session_key", "call_id").orderBy("sequence").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.last(F.when((F.col("kind") == STARTED) & (F.col("own") != ""), F.col("own")), ignorenulls=True).over(before)
-    head = text.unwrap_command(F.regexp_extract("output", r"(?m)^Command:[ \t]*([^\n]*)$", 1))
-    return rows.withColumn("command", text.first_nonempty(F.col("own"), F.when(F.col("call_id") != "", earlier), head)).drop("__v", "own")
+    """Command events with call id, exit code, output and command text."""
+    rows = with_context(_fields(events)).where(F.col("kind").isin(STARTED, FINISHED))
+    return rows.withColumns({"output": failure_output(), "command": F.col("context")}).drop("__f", "context")
 
 
 def collapsed_commands(events: DataFrame) -> DataFrame:
     """Commands of each session: completed, started_only or finished_only, in order."""
     rows = command_events(events)
-    pairs = pair(rows.select(
+    out = pair_sides(rows.select(
         F.col("session_key").alias("session"), F.col("event_id").alias("key"), (F.col("kind") == STARTED).alias("started"), "call_id",
-        F.struct("sequence", "event_id").alias("at"), "command"), second_key="command")
-    side = F.struct("sequence", "timestamp", "command", "exit_code", "call_id", "output")
-    out = (pairs.join(rows.select(F.col("event_id").alias("start_key"), side.alias("s")), "start_key", "left")
-           .join(rows.select(F.col("event_id").alias("finish_key"), side.alias("f")), "finish_key", "left"))
+        F.struct("sequence", "event_id").alias("at"), "command",
+        F.struct("sequence", "timestamp", "command", "exit_code", "call_id", "output").alias("side")), second_key="command")
     status = F.when(F.col("s").isNull(), "finished_only").when(F.col("f").isNull(), "started_only").otherwise("completed")
     return out.select(
         F.col("session").alias("session_key"), status.alias("status"), text.first_nonempty(F.col("s.command"), F.col("f.command")).alias("command"),
@@ -95,36 +117,39 @@ def head_tail(rows: DataFrame, limit: int, partition: str = "session_key", order
     return out.where(keep).withColumn("omitted", F.greatest(F.col("__all") - limit, F.lit(0))).drop("__n", "__all")
 
 
-def event_summary(kind: Column, v: Column, exit_code: Column) -> Column:
-    """What an event says, in one line."""
-    s = lambda *p: F.coalesce(payload.string(v, *p), F.lit(""))
-    command = text.compact(text.unwrap_command(text.first_nonempty(s("command"), s("cmd"))))
-    said = text.compact(text.first_nonempty(s("text"), s("message"), s("content")))
-    tool = text.first_nonempty(s("tool_name"), s("tool"), s("name"))
-    coded = F.when(exit_code.isNotNull(), F.concat(command, F.lit(" (exit "), exit_code.cast("string"), F.lit(")"))).otherwise(command)
-    return (F.when(kind.startswith("message."), said).when(kind == FINISHED, F.trim(coded)).when(kind == STARTED, command)
-            .when(kind.startswith("tool."), F.concat_ws(" — ", text.not_blank(tool), text.not_blank(text.compact(s("text")))))
-            .when(kind.startswith("file."), text.first_nonempty(s("path"), s("file"))).otherwise(text.first_nonempty(said, s("model"), s("reason"))))
+def _joined(*parts: Column) -> Column:
+    return F.concat_ws(" — ", *[text.not_blank(text.compact(p)) for p in parts])
+
+
+def summarized(rows: DataFrame) -> DataFrame:
+    """Adds ``summary``, what an event says, in one line; ``rows`` has ``__f``, ``exit_code`` and ``context``."""
+    kind, code, command = F.col("kind"), F.col("exit_code"), text.first_nonempty(_text("command"), F.col("context"))
+    tool = text.first_nonempty(_text("tool_name"), _text("tool"), _text("name"), F.col("actor_name"))
+    exited = F.concat(F.lit("exit "), code.cast("string"))
+    coded = F.when(code.isNull(), command).when(command == "", exited).otherwise(F.concat(command, F.lit(" ("), exited, F.lit(")")))
+    said = (F.when(kind.isin("message.user", "message.agent", "message.system"), text.first_nonempty(_text("text"), _text("message"), _text("reason")))
+            .when(kind.isin(STARTED, FINISHED), coded)
+            .when(kind == "tool.failed", _joined(tool, command, F.coalesce(exited, F.lit("")), text.first_nonempty(_text("reason"), _text("output_text"), _text("text"))))
+            .when(kind == "file.patch", _joined(tool, _text("command")))
+            .when(kind == "model.changed", text.first_nonempty(_text("model"), _text("text")))
+            .otherwise(text.first_nonempty(_text("text"), _text("message"), _text("command"), _text("reason"))))
+    return rows.withColumn("__said", said).withColumn("summary", text.compact(F.col("__said"))).drop("__said")
 
 
 def timeline(events: DataFrame) -> DataFrame:
-    rows = _fields(events).withColumn("summary", event_summary(F.col("kind"), F.col("__v"), F.col("exit_code")))
-    shown = F.col("kind").isin(*TIMELINE) | (F.col("kind").isin("message.agent", "message.system") & (F.trim("summary") != ""))
+    rows = summarized(with_context(_fields(events)))
+    shown = F.col("kind").isin(*TIMELINE) | (F.col("kind").isin("message.agent", "message.system") & (F.col("summary") != ""))
     return rows.where(shown).select("session_key", "sequence", "timestamp", "kind", "summary")
 
 
 def attention_events(events: DataFrame) -> DataFrame:
     """Failures with the line that tells why."""
-    rows = _fields(events)
-    s = lambda *p: F.coalesce(payload.string(F.col("__v"), *p), F.lit(""))
-    output = text.first_nonempty(*[s("payload", k) for k in ("output", "output_text", "stderr", "stdout", "text", "reason")],
-                                 *[s(k) for k in ("output_text", "stderr", "stdout", "text", "reason")])
-    return rows.where(failed(F.col("kind"), F.col("exit_code")) | (F.col("kind") == "error")).select(
-        "session_key", "sequence", "kind", "exit_code", text.compact(text.failure_excerpt(output), 180).alias("detail"))
+    rows = summarized(with_context(_fields(events)).where(failed(F.col("kind"), F.col("exit_code"))))
+    return rows.select("session_key", "sequence", "kind", "exit_code", "summary",
+                       text.compact(text.failure_excerpt(failure_output()), 180).alias("detail"))
 
 
 def tool_failures(events: DataFrame) -> DataFrame:
-    rows = _fields(events).where("kind = 'tool.failed'")
-    s = lambda *p: F.coalesce(payload.string(F.col("__v"), *p), F.lit(""))
-    return rows.select("session_key", "sequence", text.first_nonempty(s("tool_name"), s("tool"), F.col("actor_name")).alias("tool"), "exit_code",
-                       text.compact(text.first_nonempty(s("text"), s("message"), s("reason"))).alias("summary"))
+    rows = summarized(with_context(_fields(events)).where("kind = 'tool.failed'"))
+    tool = text.first_nonempty(text.compact(text.first_nonempty(_text("tool_name"), _text("tool"), _text("name"))), text.compact(F.col("actor_name")))
+    return rows.select("session_key", "sequence", tool.alias("tool"), text.compact(F.col("context")).alias("command"), "exit_code", "summary")

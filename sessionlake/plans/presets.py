@@ -37,14 +37,15 @@ def row_counts(t: Tables) -> DataFrame:
     return out
 
 
-def overview(t: Tables) -> DataFrame:
+def overview(t: Tables, ledger: DataFrame | None = None) -> DataFrame:
+    """Sizes of the tables, and whether ``ledger``, what is retained of it, still covers them; without it all is."""
     one = F.lit(1).alias("__one")
     n = lambda df, name: df.agg(one, F.count(F.lit(1)).alias(name))
-    low = F.min("ledger_offset")
-    envelopes = t.envelope_facts.agg(one, F.count(F.lit(1)).alias("envelopes"), coverage_mode(low, low).alias("coverage"))
+    envelopes = t.envelope_facts.agg(one, F.count(F.lit(1)).alias("envelopes"), F.min("ledger_offset").alias("c0"))
+    kept = (t.envelope_facts if ledger is None else ledger).agg(one, F.min("ledger_offset").alias("r0"))
     sessions = t.session_rollups.agg(one, F.count(F.lit(1)).alias("sessions"), F.count_if(F.col("failure_signal_count") > 0).alias("sessions_with_failures"))
-    out = envelopes.join(n(t.event_facts, "events"), "__one").join(sessions, "__one").join(n(t.command_rollups, "command_rollups"), "__one")
-    return out.select("envelopes", "events", "sessions", "command_rollups", "sessions_with_failures", "coverage")
+    out = envelopes.join(kept, "__one").join(n(t.event_facts, "events"), "__one").join(sessions, "__one").join(n(t.command_rollups, "command_rollups"), "__one")
+    return out.select("envelopes", "events", "sessions", "command_rollups", "sessions_with_failures", coverage_mode(F.col("c0"), F.col("r0")).alias("coverage"))
 
 
 def _named(as_of: Column) -> dict[str, Column]:
@@ -132,14 +133,23 @@ RUN: dict[str, Callable] = {"attention": attention, "recent_sessions": recent_se
                             "command_health": command_health, "timeline": timeline}
 
 
-def preset(name: str, t: Tables, as_of: Column, limit: int = 0) -> DataFrame:
-    """A preset by name or alias; limit 0 is the preset's own."""
+def preset(name: str, t: Tables, as_of: Column, limit: int = 0, ledger: DataFrame | None = None,
+           built_at: Column | None = None, size_bytes: int = 0) -> DataFrame:
+    """A preset by name or alias; limit 0 is the preset's own.
+
+    ``overview`` and ``coverage`` compare with the retained ledger (without it, all is retained); ``coverage`` also
+    tells when and how large the tables were built.
+    """
     name = ALIASES.get(name.strip(), name.strip())
     if name not in LIMITS:
         raise ValueError(f"unknown preset {name!r}; known: {', '.join(LIMITS)}")
     if limit < 0:
         raise ValueError("limit must not be negative")
-    return overview(t) if name == "overview" else RUN[name](t, limit or LIMITS[name], as_of)
+    if name in RUN:
+        return RUN[name](t, limit or LIMITS[name], as_of)
+    if name == "overview":
+        return overview(t, ledger)
+    return coverage(t, t.envelope_facts if ledger is None else ledger, as_of if built_at is None else built_at, size_bytes)
 
 
 def previews(t: Tables, keys: DataFrame, events: DataFrame, policy) -> DataFrame:

@@ -36,8 +36,41 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as raw envelopes whose payload carries what the analytics need."""
     m = _mapped(spark, sf_dir)
     raw = F.to_json(F.struct("call_id", "duration_ms", "exit_code", "project", F.col("session").alias("session_id"), "text", F.col("kind").alias("type")))
+    return _enveloped(m.withColumn("raw_payload", raw))
+
+
+#: Types of records, aliases among them, that ``rich_ledger`` deals out in turn.
+RICH = ["session_start", "session_resume", "session_end", "user", "assistant", "system", "tool_use", "tool_result", "tool.failed", "command.started",
+        "command.finished", "file.read", "file_edit", "file.patch", "file.delete", "approval_request", "approval_result", "git.status", "git.diff",
+        "git.commit", "git.checkout", "model.changed", "usage.reported", "mystery", "broken", "agent", "command.started", "command.finished", "tool_result"]
+
+
+def rich_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as raw envelopes of all kinds, with texts, calls, outputs, exit codes and broken payloads."""
+    k, ks = F.col("k"), F.col("k").cast("string")
+    m = _mapped(spark, sf_dir).withColumn("kind", F.element_at(F.array(*[F.lit(x) for x in RICH]), ((F.col("ledger_offset") - 1) % len(RICH) + 1).cast("int")))
+    kind = F.col("kind")
+    command = kind.isin("command.started", "command.finished")
+    said = lambda head, n: F.concat(F.lit(head), (k % n).cast("string"))
+    head = F.when(k % 7 == 0, F.concat(F.lit("Command: bash -lc 'ls "), ks, F.lit("'\n"))).otherwise("")
+    fields = F.struct(
+        F.when(command & (k % 4 != 0), said("make t", 7)).when((kind == "file.patch") & (k % 2 == 0), said("apply  p", 3)).alias("command"),
+        F.when(kind.isin("command.finished", "tool_result") | ((kind == "tool.failed") & (k % 2 == 0)), k % 3).alias("exit_code"),
+        F.when(kind.startswith("git."), said("branch  b", 3)).alias("message"),
+        F.when((kind == "model.changed") & (k % 2 == 0), said("m", 4)).alias("model"),
+        F.when(kind == "tool.failed", F.concat(head, F.lit("step one\nboom: error "), ks, F.lit("\nrun again")))
+        .when((kind == "command.finished") & (k % 3 != 0), F.concat(F.lit("Wall time: 1s\nOutput:\nno such file "), ks)).alias("output_text"),
+        F.when(command & (k % 3 != 0), F.struct(said("c", 4).alias("call_id"))).alias("payload"),
+        F.when(kind == "mystery", F.concat(F.lit("odd "), ks)).when((kind == "tool.failed") & (k % 5 == 0), F.concat(F.lit("reason  "), ks)).alias("reason"),
+        F.when((kind == "user") | (kind.isin("assistant", "agent", "system") & (k % 5 != 0)), F.concat(F.lit("said   "), ks)).alias("text"),
+        F.when(kind.isin("tool_use", "tool_result", "tool.failed", "file.patch") & (k % 2 == 1), said("tool", 5)).alias("tool_name"),
+        kind.alias("type"))
+    return _enveloped(m.withColumn("raw_payload", F.when(kind == "broken", F.concat(F.lit("not json "), ks)).otherwise(F.to_json(fields))))
+
+
+def _enveloped(m: DataFrame) -> DataFrame:
     rows = m.withColumns({
-        "raw_payload": raw, "source_type": F.lit("test_local"), "artifact_id": F.concat(F.lit("events-"), "source_instance_id"),
+        "source_type": F.lit("test_local"), "artifact_id": F.concat(F.lit("events-"), "source_instance_id"),
         "cursor_kind": F.lit("line"), "cursor_value": F.col("ledger_offset").cast("string")})
     rows = rows.withColumn("content_hash", ids.content_hash(F.col("raw_payload")))
     return rows.select(

@@ -98,6 +98,44 @@ def _events(spark: SparkSession, sf: str, version: int = 1) -> DataFrame:
     return normalize.normalize(testbed.ledger(spark, sf), version=version)
 
 
+# Records of all kinds, as DuckDB computes them.
+_RX = """
+rm as (select event_id + 1 ledger_offset, 'src-' || (user_id % 3) inst, user_id || '-' || strftime(ts, '%Y-%m-%d') ssk, ts,
+  cast(json_extract_string(props, '$.k') as bigint) k, ({types})[event_id % {size} + 1] typ from events),
+rf as (select *, typ like 'command.%' cmd,
+  case when typ like 'command.%' and k % 4 <> 0 then 'make t' || (k % 7) when typ = 'file.patch' and k % 2 = 0 then 'apply p' || (k % 3) else '' end own,
+  case when typ in ('command.finished', 'tool_result') or (typ = 'tool.failed' and k % 2 = 0) then k % 3 end code,
+  case when typ like 'command.%' and k % 3 <> 0 then 'c' || (k % 4) else '' end cid,
+  case when typ in ('tool_use', 'tool_result', 'tool.failed', 'file.patch') and k % 2 = 1 then 'tool' || (k % 5) else '' end tool_name,
+  case when typ = 'mystery' then 'odd ' || k when typ = 'tool.failed' and k % 5 = 0 then 'reason ' || k else '' end reason,
+  case when typ = 'user' or (typ in ('assistant', 'agent', 'system') and k % 5 <> 0) then 'said ' || k else '' end said from rm),
+rk as (select *, case typ when 'session_start' then 'session.started' when 'session_resume' then 'session.resumed' when 'session_end' then 'session.ended'
+    when 'user' then 'message.user' when 'assistant' then 'message.agent' when 'agent' then 'message.agent' when 'system' then 'message.system'
+    when 'tool_use' then 'tool.started' when 'tool_result' then case when code > 0 then 'tool.failed' else 'tool.finished' end when 'file_edit' then 'file.write'
+    when 'approval_request' then 'approval.requested' when 'approval_result' then 'approval.resolved' when 'mystery' then 'error' when 'broken' then 'error' else typ end kind,
+  'sess_' || substr(sha256(inst || chr(31) || ssk), 1, 16) session_key from rf),
+rs as (select *, row_number() over (partition by session_key order by ledger_offset) seq from rk),
+rc as (select *, case when own <> '' then own when cid <> '' then coalesce(last_value(case when kind = 'command.started' then nullif(own, '') end ignore nulls)
+    over (partition by session_key, cid order by seq rows between unbounded preceding and 1 preceding), '')
+    when typ = 'tool.failed' and k % 7 = 0 then 'ls ' || k else '' end ctx,
+  case when kind = 'message.user' then 'user' when kind like 'command.%' or kind like 'tool.%' then 'shell' else 'test_local' end actor_name from rs),
+rx as (select *, case
+    when kind like 'message.%' then said
+    when cmd then case when code is null then ctx when ctx = '' then 'exit ' || code else ctx || ' (exit ' || code || ')' end
+    when kind = 'tool.failed' then concat_ws(' — ', case when tool_name <> '' then tool_name else actor_name end, nullif(ctx, ''), 'exit ' || code, case when reason <> '' then reason
+      when typ = 'tool.failed' then case when k % 7 = 0 then 'Command: bash -lc ' || chr(39) || 'ls ' || k || chr(39) || ' ' else '' end || 'step one boom: error ' || k || ' run again' end)
+    when kind = 'file.patch' then concat_ws(' — ', case when tool_name <> '' then tool_name else actor_name end, nullif(own, ''))
+    when kind = 'model.changed' then case when k % 2 = 0 then 'm' || (k % 4) else '' end
+    when kind like 'git.%' then 'branch b' || (k % 3)
+    when typ = 'broken' then 'payload is not an object' else reason end summary from rc)
+""".replace("({types})", "[" + ", ".join(f"'{x}'" for x in testbed.RICH) + "]").replace("{size}", str(len(testbed.RICH)))
+_R = f"with {_RX} "
+
+
+def _rich(spark: SparkSession, sf: str) -> DataFrame:
+    return normalize.normalize(testbed.rich_ledger(spark, sf))
+
+
 # --- sources and ledger -------------------------------------------------------------------
 
 _LINES = """
@@ -113,7 +151,7 @@ w as (select *, case when bad then '{"raw_text":"not json ' || k || '"}' else '{
 @query("a2_a9_line_envelopes", _LINES + """
 select 'env_' || substr(sha256(concat_ws(chr(31), 'flat_local', art, art, 'line', line, 'sha256:' || sha256(payload))), 1, 16) envelope_id, line,
   case when bad then 'unknown' else kind end raw_kind, payload raw_payload,
-  coalesce(last_value(s ignore nulls) over (partition by art order by line rows unbounded preceding), art) hint_session,
+  coalesce(last_value(s ignore nulls) over (partition by art order by line rows unbounded preceding), art || '.jsonl') hint_session,
   coalesce(last_value(pr ignore nulls) over (partition by art order by line rows unbounded preceding), '/logs') hint_project,
   case when not bad then date_trunc('second', ts) end source_timestamp, 'sha256:' || sha256(payload) content_hash
 from w""")
@@ -188,6 +226,12 @@ def normalized(spark, sf):
                                      "source_session_key", "ledger_offset", "envelope_id", "parse_status")
 
 
+@query("b7_b9_kinds", _R + """select ledger_offset, kind, case when kind = 'message.user' then 'user' when kind = 'message.agent' then 'agent'
+ when kind like 'tool.%' or kind like 'command.%' then 'tool' else 'system' end actor_kind, actor_name, case when kind = 'error' then 'failed' else 'ok' end parse_status from rx""")
+def kinds(spark, sf):
+    return _rich(spark, sf).select("ledger_offset", "kind", "actor_kind", "actor_name", "parse_status")
+
+
 @query("b3_continued_sequence", _E + "select session_key event_id, max(seq) + 7 sequence from ev group by 1")
 def continued(spark, sf):
     rows = testbed.ledger(spark, sf)
@@ -293,6 +337,16 @@ def session_rollups(spark, sf):
     return testbed.tables(spark, sf).session_rollups
 
 
+@query("d5_counters", _R + """select ssk source_session_key, inst source_instance_id, count(*) event_count, count(*) filter (kind = 'message.user') user_message_count,
+ count(*) filter (kind = 'message.agent') agent_message_count, count(*) filter (kind = 'message.system') system_message_count, count(*) filter (cmd) command_event_count,
+ count(*) filter (kind = 'tool.failed') tool_failure_count, count(*) filter (kind = 'file.patch') file_patch_count,
+ count(*) filter (kind = 'tool.failed' or (kind = 'command.finished' and code <> 0)) failure_signal_count, count(*) filter (kind = 'error') parse_failure_count from rx group by 1, 2""")
+def counters(spark, sf):
+    return build.tables(testbed.rich_ledger(spark, sf), testbed.LEDGER_INSTANCE).session_rollups.select(
+        "source_session_key", "source_instance_id", "event_count", "user_message_count", "agent_message_count", "system_message_count", "command_event_count",
+        "tool_failure_count", "file_patch_count", "failure_signal_count", "parse_failure_count")
+
+
 @query("d6_d7_incremental_build", _E + "select kind, count(*) n, max(seq) top, cast(sum(seq) as bigint) total from ev group by kind")
 def incremental(spark, sf):
     rows = testbed.ledger(spark, sf)
@@ -349,8 +403,13 @@ def _preset(name: str):
     return lambda spark, sf: presets.preset(name, testbed.tables(spark, sf), _as_of())
 
 
+def _retained(name: str):
+    return lambda spark, sf: presets.preset(name, testbed.tables(spark, sf), _as_of(), ledger=ledger.scan(testbed.ledger(spark, sf), 100), size_bytes=3 << 19)
+
+
 query("e1_overview", _ALL + """select (select count(*) from ev) envelopes, (select count(*) from ev) events, (select count(*) from sx) sessions,
- (select count(*) from crk) command_rollups, (select count(*) from sx where fs > 0) sessions_with_failures, 'complete_history' coverage""")(_preset("overview"))
+ (select count(*) from crk) command_rollups, (select count(*) from sx where fs > 0) sessions_with_failures,
+ (select case when min(ledger_offset) < min(ledger_offset) filter (ledger_offset > 100) then 'cache_preserved_history' end from ev) coverage""")(_retained("overview"))
 query("e2_attention", _ALL + f"""select gs global_session_key, {_SESS} as session, source_type || '/' || inst source, proj project,
  case when fs > 0 then 'failed' when ic > 0 then 'incomplete' else 'clean' end status, fs failures, fc failed_cmds, ic incomplete_cmds, {_T.format('last_timestamp')} last_seen,
  {_AGE} age, {_MS.format('duration_ms')} span from sx where fs > 0 or ic > 0 order by fs desc, ic desc, last_timestamp desc, gs limit 20""")(_preset("attention"))
@@ -369,11 +428,8 @@ query("e7_timeline", _E + f"""select {_T.format("date_trunc('day', ts)")} bucket
  from ev group by date_trunc('day', ts) order by 1 desc limit 30""")(_preset("timeline"))
 
 
-@query("e8_coverage", _E + """select 'machine-a' machine, 'ledger-1' ledger_instance, 'cache_preserved_history' coverage, '1..' || max(ledger_offset) cache_offsets,
- '101..' || max(ledger_offset) retained_offsets, max(ledger_offset) last_clean_offset, '2024-02-15T00:00:00Z' built_at, '1.5 MiB' db_size from ev""")
-def coverage(spark, sf):
-    rows = testbed.ledger(spark, sf)
-    return presets.coverage(testbed.tables(spark, sf), ledger.scan(rows, 100), _as_of(), 3 << 19)
+query("e8_coverage", _E + """select 'machine-a' machine, 'ledger-1' ledger_instance, 'cache_preserved_history' coverage, '1..' || max(ledger_offset) cache_offsets,
+ '101..' || max(ledger_offset) retained_offsets, max(ledger_offset) last_clean_offset, '2024-02-15T00:00:00Z' built_at, '1.5 MiB' db_size from ev""")(_retained("coverage"))
 
 
 @query("e9_e10_previews", _ALL + """, top as (select gs from sx order by last_timestamp desc, gs limit 20),
@@ -443,20 +499,23 @@ def head_tail(spark, sf):
     return sessions.head_tail(_events(spark, sf).select("session_key", "sequence"), 4)
 
 
-@query("g9_tool_failures", _E + "select session_key, seq sequence, 'shell' tool, null::bigint exit_code, '' summary from ev where kind = 'tool.failed'")
+@query("g9_tool_failures", _R + """select session_key, seq sequence, case when tool_name <> '' then tool_name else actor_name end tool, ctx command, code exit_code, summary
+ from rx where kind = 'tool.failed'""")
 def tool_failures(spark, sf):
-    return sessions.tool_failures(_events(spark, sf))
+    return sessions.tool_failures(_rich(spark, sf))
 
 
-@query("g10_attention_events", _E + """select session_key, seq sequence, kind, exit_code, '' detail from ev where kind = 'tool.failed' or (kind = 'command.finished' and exit_code <> 0)""")
+@query("g10_attention_events", _R + """select session_key, seq sequence, kind, code exit_code, summary, case when typ = 'tool.failed' then 'boom: error ' || k || ' run again'
+ when cmd then 'no such file ' || k else '' end detail from rx where kind = 'tool.failed' or (kind = 'command.finished' and code <> 0)""")
 def attention_events(spark, sf):
-    return sessions.attention_events(_events(spark, sf))
+    return sessions.attention_events(_rich(spark, sf))
 
 
-@query("g11_g13_timeline", _E + """select session_key, seq sequence, ts "timestamp", kind, case when kind = 'message.user' then txt
- when kind = 'command.finished' then '(exit ' || exit_code || ')' else '' end summary from ev""")
+@query("g11_g13_timeline", _R + """select session_key, seq sequence, ts "timestamp", kind, summary from rx where kind in ('session.started', 'session.resumed', 'session.ended', 'model.changed',
+ 'command.started', 'command.finished', 'tool.failed', 'file.patch', 'approval.requested', 'approval.resolved', 'git.status', 'git.diff', 'git.commit', 'git.checkout', 'message.user')
+ or (kind in ('message.agent', 'message.system') and summary <> '')""")
 def session_timeline(spark, sf):
-    return sessions.timeline(_events(spark, sf))
+    return sessions.timeline(_rich(spark, sf))
 
 
 # --- delivery -----------------------------------------------------------------------------
@@ -493,15 +552,19 @@ def release(spark, sf):
     return testbed.table(spark, sf, "events").select("event_id", delivery.released(F.col("ts"), at, 3600, 600).alias("released"))
 
 
+_CODES = [200, 204, 200, 503, 401, 403, 404, 429, 418, 301, 500, 402, 200]
+
+
 def _attempts(spark, sf):
     return testbed._mapped(spark, sf).select(
         F.concat(F.lit("sink-"), (F.col("k") % 3).cast("string")).alias("sink_id"), F.concat(F.lit("b"), (F.col("ledger_offset") % 500).cast("string")).alias("batch_id"),
         F.col("ts").alias("attempted_at"), F.col("ledger_offset").alias("attempt"), (F.col("k") + 1).alias("event_count"), (F.col("k") * 10).alias("payload_bytes"),
-        delivery.classify_response(F.when(F.col("k") % 10 < 5, 200).when(F.col("k") % 10 < 7, 503).when(F.col("k") % 10 == 7, 401).when(F.col("k") % 10 == 8, 403).otherwise(404), F.col("k") % 2 == 0).alias("outcome"))
+        delivery.classify_response(F.element_at(F.array(*[F.lit(c) for c in _CODES]), (F.col("k") % len(_CODES) + 1).cast("int")), F.col("k") % 2 == 0).alias("outcome"))
 
 
 _ATT = """, att as (select 'sink-' || (k % 3) sink_id, 'b' || (ledger_offset % 500) batch_id, ts, ledger_offset a, k + 1 ec, k * 10 pb,
- case when k % 10 < 5 then 'success' when k % 10 < 7 then 'retry' when k % 10 = 7 then 'blocked_auth' when k % 10 = 8 and k % 2 <> 0 then 'blocked_auth' when k % 10 = 8 then 'blocked_config' else 'permanent' end outcome from ev),
+ case when code between 200 and 299 then 'success' when k % 2 = 0 and code = 401 then 'blocked_auth' when k % 2 = 0 and code = 403 then 'blocked_config'
+ when code = 429 or code between 500 and 599 then 'retry' else 'permanent' end outcome from (select *, [200, 204, 200, 503, 401, 403, 404, 429, 418, 301, 500, 402, 200][k % 13 + 1] code from ev)),
 st as (select sink_id, batch_id, arg_max(outcome, (ts, a)) outcome, count(*) attempt_count, max(ts) last_attempt from att group by 1, 2),
 st2 as (select *, case when outcome = 'success' then 'acked' when outcome = 'permanent' or attempt_count >= 20 then 'quarantined' when outcome like 'blocked%' then outcome else 'retrying' end status,
  least(300.0, 10.0 * pow(2.0, attempt_count - 1)) wait from st),

@@ -10,13 +10,47 @@ from pyspark.sql import functions as F
 from sessionlake.functions import ids, payload, text
 
 _SUFFIX = r"(?i)\.(json|jsonl|ndjson)$"
+_LINES, _DOCUMENTS = "*.{[jJ][sS][oO][nN][lL],[nN][dD][jJ][sS][oO][nN]}", "*.[jJ][sS][oO][nN]"
+#: Lines of an artifact that share a window when session and project are carried forward.
+CHUNK = 100_000
+
+
+def roots(spark: SparkSession, root: str) -> list[str]:
+    """``root`` and all hidden folders below it, but ``.git``; Spark's own listing leaves hidden ones out.
+
+    Only names of folders come to the driver.
+    """
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    out, ahead = [root], [top]
+    while ahead:
+        for status in fs.listStatus(ahead.pop()):
+            name = status.getPath().getName()
+            if status.isDirectory() and name != ".git":
+                ahead.append(status.getPath())
+                if name.startswith((".", "_")):
+                    out.append(status.getPath().toString())
+    return out
+
+
+def _read(spark: SparkSession, root: str, pattern: str, kind: str, **options) -> DataFrame:
+    out = None
+    for path in roots(spark, root):  # hidden folders, each with what is not hidden below it
+        reader = spark.read.format(kind).options(recursiveFileLookup=True, pathGlobFilter=pattern, **options)
+        part = reader.load(path).select("*", "_metadata")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _plain(path: Column) -> Column:
+    return F.regexp_replace(path, r"^file:/+", "/")
 
 
 def discover(spark: SparkSession, root: str) -> DataFrame:
     """(artifact_id, locator, relative, size, modified, fingerprint, project_locator), in path order."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-             .select(F.col("path").alias("locator"), F.col("length").alias("size"), F.col("modificationTime").alias("modified")))
-    plain = F.regexp_replace("locator", r"^file:/+", "/")
+    files = _read(spark, root, "*", "binaryFile").select(
+        F.col("path").alias("locator"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    plain = _plain(F.col("locator"))
     relative = F.substring(plain, len(root.rstrip("/")) + 2, 1 << 20)
     return (files.withColumn("relative", relative)
             .where(F.col("relative").rlike(_SUFFIX) & ~F.concat(F.lit("/"), "relative").contains("/.git/"))
@@ -27,21 +61,54 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, root: str) -> DataFrame:
-    """(locator, line, value): physical lines from 1 on, blank ones not returned."""
-    raw = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{jsonl,ndjson}").text(root)
-           .select("value", F.col("_metadata.file_path").alias("locator"),
-                   F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at")))
-    numbered = raw.withColumn("line", F.row_number().over(Window.partitionBy("locator").orderBy("at")))
-    return numbered.where(F.trim("value") != "").select(
-        F.regexp_replace("locator", r"^file:/+", "/").alias("locator"), F.col("line").cast("bigint").alias("line"), F.trim("value").alias("value"))
+    """(locator, line, value): physical lines from 1 on, blank ones not returned.
+
+    Lines are numbered inside each split of a file; what the splits before hold is added.
+    """
+    raw = _read(spark, root, _LINES, "text").select(
+        "value", F.col("_metadata.file_path").alias("locator"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"))
+    inside = raw.withColumn("line", F.row_number().over(Window.partitionBy("locator", "split").orderBy("at")))
+    earlier = Window.partitionBy("locator").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = raw.groupBy("locator", "split").agg(F.count(F.lit(1)).alias("n"))  # a row for each split
+    sizes = sizes.select("locator", "split", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    return inside.join(sizes, ["locator", "split"]).where(F.trim("value") != "").select(
+        _plain(F.col("locator")).alias("locator"), (F.col("line") + F.col("before")).cast("bigint").alias("line"), F.trim("value").alias("value"))
+
+
+def _documents(spark: SparkSession, root: str) -> DataFrame:
+    raw = _read(spark, root, _DOCUMENTS, "text", wholetext=True)
+    rows = raw.select(_plain(F.col("_metadata.file_path")).alias("locator"), F.trim("value").alias("value"))
+    items = F.transform(F.from_json("value", "array<variant>"), lambda v: F.to_json(v))
+    array = F.col("value").startswith("[")
+    return rows.withColumns({
+        "items": F.when(array, items).otherwise(F.array("value")), "broken": array & F.try_parse_json("value").isNull()})
 
 
 def read_documents(spark: SparkSession, root: str) -> DataFrame:
-    """(locator, line, value): elements of JSON arrays, or whole documents, from 1 on."""
-    raw = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").option("wholetext", True).text(root)
-           .select(F.regexp_replace(F.col("_metadata.file_path"), r"^file:/+", "/").alias("locator"), F.trim("value").alias("value")))
-    items = F.when(F.col("value").startswith("["), F.transform(F.from_json("value", "array<variant>"), lambda v: F.to_json(v))).otherwise(F.array("value"))
-    return raw.select("locator", F.posexplode(items).alias("at", "value")).select("locator", (F.col("at") + 1).cast("bigint").alias("line"), "value")
+    """(locator, line, value): elements of JSON arrays, or whole documents, from 1 on.
+
+    Arrays that are no JSON are left to :func:`broken_documents`.
+    """
+    rows = _documents(spark, root).where(~F.col("broken"))
+    return rows.select("locator", F.posexplode("items").alias("at", "value")).select("locator", (F.col("at") + 1).cast("bigint").alias("line"), "value")
+
+
+def broken_documents(spark: SparkSession, root: str) -> DataFrame:
+    """Dead letters (kind, reference, message, payload) of files that start an array and are no JSON."""
+    return _documents(spark, root).where("broken").select(
+        F.lit("source_read").alias("kind"), F.col("locator").alias("reference"), F.lit("malformed JSON array").alias("message"), F.col("value").alias("payload"))
+
+
+def artifact_lines(spark: SparkSession, root: str, checkpoints: DataFrame | None = None) -> DataFrame:
+    """(artifact_id, locator, project_root, line, value, cursor_kind) of all artifacts under ``root``.
+
+    Lines and items beyond the cursor in ``checkpoints`` (artifact_id, cursor), if given.
+    """
+    found = discover(spark, root).select("artifact_id", "locator", F.col("project_locator").alias("project_root"))
+    rows = read_lines(spark, root).withColumn("cursor_kind", F.lit("line")).unionByName(
+        read_documents(spark, root).withColumn("cursor_kind", F.lit("item")))
+    rows = rows.join(found, "locator")
+    return rows if checkpoints is None else after_checkpoint(rows, checkpoints)
 
 
 def lenient(value: Column) -> Column:
@@ -75,20 +142,29 @@ def envelopes(lines: DataFrame, resolver: Resolver, source_type: str, instance:
     """Raw envelopes of (artifact_id, locator, project_root, line, value).
 
     Session and project are carried forward inside an artifact: the last one seen,
-    before that the file's base name and the root.
+    before that the file's name and the root.  Chunks of an artifact's lines are filled
+    each for itself, then from the last value of the chunks before.
     """
     col = lambda x: F.lit(x) if isinstance(x, str) else x
     rows = lines.withColumn("raw_payload", lenient(F.col("value"))).withColumn("__v", F.try_parse_json("raw_payload"))
     got = resolver(F.col("__v"))
-    seen = Window.partitionBy("artifact_id").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    base = F.regexp_replace(F.substring_index("locator", "/", -1), r"\.[^.]*$", "")
-    carried = lambda c, default: F.coalesce(F.last(F.when(c != "", c), ignorenulls=True).over(seen), default)
+    given = lambda c: F.when(c != "", c)
+    rows = rows.withColumns({"__session": given(got["session"]), "__project": given(got["project"]), "__chunk": F.floor(F.col("line") / CHUNK)})
+    seen = Window.partitionBy("artifact_id", "__chunk").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("artifact_id").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("line"))).alias(c)
+    before = rows.groupBy("artifact_id", "__chunk").agg(last("__session"), last("__project"))  # a row for each chunk
+    before = before.select("artifact_id", "__chunk", *[F.last(c, ignorenulls=True).over(earlier).alias(f"{c}_before") for c in ("__session", "__project")])
+    rows = rows.join(before, ["artifact_id", "__chunk"])
+    carried = lambda c, default: F.coalesce(F.last(c, ignorenulls=True).over(seen), F.col(f"{c}_before"), default)
+    name = F.substring_index("locator", "/", -1)
     rows = rows.withColumns({
         "source_type": F.lit(source_type), "source_instance_id": col(instance), "machine_id": col(machine),
-        "hint_session": carried(got["session"], base), "hint_project": carried(got["project"], F.col("project_root")),
+        "hint_session": carried("__session", name), "hint_project": carried("__project", F.col("project_root")),
         "source_timestamp": got["time"],
         "raw_kind": text.first_given(got["kind"], payload.string(F.col("__v"), "type"), payload.string(F.col("__v"), "kind"), F.lit("unknown")),
-        "cursor_kind": F.lit(cursor_kind), "cursor_value": F.col("line").cast("string"), "observed_at": observed_at,
+        "cursor_kind": F.col("cursor_kind") if "cursor_kind" in lines.columns else F.lit(cursor_kind),
+        "cursor_value": F.col("line").cast("string"), "observed_at": observed_at,
         "content_hash": ids.content_hash(F.col("raw_payload")), "confidence": F.lit(0.8),
         "capabilities": F.array(*[F.lit(c) for c in capabilities]),
     })

@@ -47,7 +47,7 @@ def test_rfc3339_fraction(spark):
 
 def test_carry_forward_and_fallbacks(spark):
     got = _envelopes(spark, [{"type": "a"}, {"type": "b", "session_id": "s1", "project": "/p"}, "broken", {"x": 1}]).orderBy("line").collect()
-    assert [r["hint_session"] for r in got] == ["s", "s1", "s1", "s1"]
+    assert [r["hint_session"] for r in got] == ["s.jsonl", "s1", "s1", "s1"]
     assert [r["hint_project"] for r in got] == ["/logs", "/p", "/p", "/p"]
     assert [r["raw_kind"] for r in got] == ["a", "b", "unknown", "unknown"]
     assert json.loads(got[2]["raw_payload"]) == {"raw_text": "broken"}
@@ -266,3 +266,40 @@ def test_chat_columns_and_empty_inputs(spark):
     assert build.tables(empty).session_rollups.count() == 0
     good, dead = ledger.bind_machine(_ledger(spark, [{"type": "x"}]), F.lit("machine-b"))
     assert good.count() == 0 and dead.first()["message"] == "machine ids differ"
+
+
+def test_hidden_folders_upper_case_names_and_broken_arrays(spark, tmp_path):
+    for name, body in {"a.jsonl": '{"n":1}\n\n{"n":2}\n', ".codex/deep/U.JSONL": '{"n":3}', "_old/b.json": '[{"n":4},{"n":5}]', ".git/c.jsonl": '{"n":6}',
+                       "bad.json": '[{"n":', "D.Json": '{"n":7}'}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(body)
+    root = str(tmp_path)
+    assert {r["relative"] for r in files.discover(spark, root).collect()} == {"a.jsonl", ".codex/deep/U.JSONL", "_old/b.json", "bad.json", "D.Json"}
+    rows = files.artifact_lines(spark, root)
+    got = {(r["locator"][len(root) + 1 :], r["line"], r["value"], r["cursor_kind"]) for r in rows.collect()}
+    assert got == {("a.jsonl", 1, '{"n":1}', "line"), ("a.jsonl", 3, '{"n":2}', "line"), (".codex/deep/U.JSONL", 1, '{"n":3}', "line"),
+                   ("_old/b.json", 1, '{"n":4}', "item"), ("_old/b.json", 2, '{"n":5}', "item"), ("D.Json", 1, '{"n":7}', "item")}
+    dead = files.broken_documents(spark, root).collect()
+    assert [(r["kind"], r["payload"]) for r in dead] == [("source_read", '[{"n":')]
+    done = files.next_checkpoints(rows)
+    assert files.artifact_lines(spark, root, done).count() == 0
+
+
+def test_values_are_carried_over_chunks_of_lines(spark, monkeypatch):
+    monkeypatch.setattr(files, "CHUNK", 3)
+    rows = [("art", "/d/s.jsonl", "/root", i, '{"conversation_id":"s%d"}' % i if i in (2, 7) else "{}") for i in range(1, 14)]
+    lines = spark.createDataFrame(rows, "artifact_id string, locator string, project_root string, line long, value string")
+    out = files.envelopes(lines, files.flat_resolver, "t", "i", "m", [], F.lit("2024-01-01").cast("timestamp"))
+    assert [r["hint_session"] for r in out.orderBy("line").collect()] == ["s.jsonl"] + ["s2"] * 5 + ["s7"] * 7
+
+
+def test_replay_takes_the_sinks_of_the_plan(spark):
+    from sessionlake.operators import delivery
+
+    events = spark.createDataFrame([(i, "p", "{}", f"e{i}", None) for i in range(1, 6)],
+                                   "ledger_offset long, project_locator string, payload string, event_id string, timestamp timestamp")
+    classes = spark.createDataFrame([("a", "idempotent"), ("b", "append_only")], "sink_id string, delivery_class string")
+    sinks = {"a": policy.Policy(), "b": policy.Policy()}
+    assert {(r["sink_id"], r["ledger_offset"]) for r in delivery.replay(events, sinks, classes, after=2, upto=4).collect()} == {("a", 3), ("a", 4)}
+    assert delivery.replay(events, sinks, classes, include_unsafe=True).count() == 10
+    assert delivery.replay(events, sinks, classes, requested=["b"]).count() == 0
