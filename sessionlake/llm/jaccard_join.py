@@ -38,8 +38,9 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 from itertools import combinations
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -63,8 +64,11 @@ BROADCAST_IDS = 1_000_000
 
 
 def _mix(x: np.ndarray, odd: int) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * _ODD[odd]
-    return x ^ (x >> np.uint64(29))
+    out = x >> np.uint64(31)
+    out ^= x
+    out *= _ODD[odd]
+    out ^= out >> np.uint64(29)
+    return out
 
 
 class _Hashes(dict):
@@ -82,12 +86,13 @@ def shingles(text: bytes | None, n: int, known: dict) -> np.ndarray:
     words = (text or b"").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter((known[w] for w in words), np.uint64, len(words))
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     count = max(1, len(h) - n + 1)
     out = np.zeros(count, np.uint64)
     for j in range(min(n, len(h))):
         out = _mix(out + h[j : j + count], j)
-    return np.unique(_mix(out, 7))
+    out = np.sort(_mix(out, 7))
+    return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
 @dataclass(frozen=True)
@@ -101,30 +106,40 @@ class Measure:
     def linked(self, common, a, b):
         return self.den * common >= self.num * (a + b - common)
 
-    def bands(self, up_to: int) -> np.ndarray:
-        """Lower ends of the bands, until one lies above ``up_to``."""
+    @cache
+    def bands(self, bits: int) -> np.ndarray:
+        """Lower ends of the bands, until two lie above all numbers of so many bits."""
         out = [1]
-        while out[-1] <= up_to:
+        while out[-1] < 1 << bits:
             out.append(out[-1] * self.den // self.num + 1)
         return np.array([*out, out[-1] * self.den // self.num + 1])
 
+    @cache
+    def parts(self, low: int) -> tuple[int, int, int, list[list[int]]]:
+        """Parts, sub-parts, spare parts and the enumerated subsets of the band from ``low`` on."""
+        top = low * self.den // self.num
+        return _parts(2 * (self.den - self.num) * top // (self.den + self.num))
+
     def signatures(self, elements: np.ndarray) -> np.ndarray:
         """Signatures of a nonempty set, for its own band and the next one.
 
         The lowest bit of a signature is that of its band's number.
         """
         out = []
+        low_bits = (elements & np.uint64(0xFFFFFFFF)).astype(np.float64)
+        high_bits = (elements >> np.uint64(32)).astype(np.float64)
         for i, n1, n2, spare, cell, subsets, full in self._signed_bands(elements):
-            low = np.bincount(cell, (elements & np.uint64(0xFFFFFFFF)).astype(np.float64), n1 * n2)
-            high = np.bincount(cell, (elements >> np.uint64(32)).astype(np.float64), n1 * n2)
+            low = np.bincount(cell, low_bits, n1 * n2)
+            high = np.bincount(cell, high_bits, n1 * n2)
             sums = low.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32))
             sums = _mix(sums, 5).reshape(n1, n2)
+            mixed = [_mix(sums[:, q], q) for q in range(n2)]
             part = np.arange(n1, dtype=np.uint64)
-            weak = int((~full).any(axis=1).sum())
+            weak = n1 - int(full.all(axis=1).sum())
             for s, subset in enumerate(subsets):
                 total = _mix(part + np.uint64((i * 8 + s + 1) * int(_ODD[0]) % (1 << 64)), 1)
                 for q in subset:
-                    total = _mix(total + _mix(sums[:, q], q), 2)
+                    total = _mix(total + mixed[q], 2)
                 total = (total << np.uint64(1)) | np.uint64(i & 1)
                 out.append(total[full[:, s]] if weak <= spare else total)
         return np.concatenate(out)
@@ -132,25 +147,23 @@ class Measure:
     def surplus(self, elements: np.ndarray) -> tuple[int, int]:
         """How many signatures a set may leave out, of its even and its odd band."""
         out = [0, 0]
-        for i, _, _, spare, _, _, full in self._signed_bands(elements):
-            weak = int((~full).any(axis=1).sum())
+        for i, n1, _, spare, _, _, full in self._signed_bands(elements):
+            weak = n1 - int(full.all(axis=1).sum())
             # Without signatures on empty subsets a weak part may not count.
             out[i & 1] = spare - weak if weak <= spare else spare
         return out[0], out[1]
 
     def _signed_bands(self, elements: np.ndarray) -> Iterator[tuple]:
         """Band, parts, sub-parts, spare parts, cell of each element, subsets, which of them are not empty."""
-        band = int(np.searchsorted(lows := self.bands(len(elements)), len(elements), "right")) - 1
+        lows = self.bands(len(elements).bit_length())
+        band = int(np.searchsorted(lows, len(elements), "right")) - 1
         x, y = _mix(elements, 3) >> np.uint64(32), _mix(elements, 4) >> np.uint64(32)
         for i in (band, band + 1):
-            top = int(lows[i]) * self.den // self.num
-            k = 2 * (self.den - self.num) * top // (self.den + self.num)
-            n1, n2, spare, subsets = _parts(k)
+            n1, n2, spare, subsets = self.parts(int(lows[i]))
             cell = ((x * np.uint64(n1)) >> np.uint64(32)) * np.uint64(n2) + ((y * np.uint64(n2)) >> np.uint64(32))
             cell = cell.astype(np.int64)
             some = np.bincount(cell, minlength=n1 * n2).reshape(n1, n2) > 0
-            full = some[:, subsets[0]].any(axis=1)[:, None] if len(subsets) == 1 else np.stack(
-                [some[:, q].any(axis=1) for q in subsets], axis=1)
+            full = np.stack([reduce(or_, (some[:, j] for j in q)) for q in subsets], axis=1)
             yield i, n1, n2, spare, cell, subsets, full
 
 
