@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sessionlake.llm import (
     decontaminate,
+    filter_audit,
     fingerprint,
     jaccard_join,
     katz,
@@ -71,6 +72,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 #: Target weights of the mixing query; names not listed weigh 1.
 PRODUCTION_WEIGHTS = {"domain": {"domain0": 3, "domain1": 2}, "lang": {"en": 2, "es": 3}}
 
@@ -85,6 +90,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -178,6 +184,33 @@ select page_id, payload_bytes, payload_digest,
 from d join o using (payload_digest)
 """
 
+_AUDIT = rf"""
+with t as (select doc_id, coalesce(text, '') x, coalesce(lang, '') part from documents),
+w as (select *, regexp_extract_all(x, '{_TOKEN}') w, min(doc_id) over (partition by x) least_id from t),
+l as (select doc_id, max((quality = 1)::int) good, max((toxic = 1)::int) toxic from labels group by doc_id),
+m as (select part, coalesce(good, 0) good, coalesce(toxic, 0) toxic,
+    (len(w) < 100)::int + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::int
+    + 4 * (100 * len(regexp_replace(x, '[^A-Z]+', '', 'g')) > 10 * len(x))::int
+    + 8 * regexp_matches(x, '[#$%&*|]')::int + 16 * coalesce(doc_id > least_id, false)::int mask
+  from w left join l using (doc_id)),
+c as (select part, mask, count(*) n, sum(good) good, sum(toxic) toxic from m group by 1, 2),
+f as (select * from (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) t(letter, bit)),
+o as (select a.letter || b.letter || c.letter || d.letter || e.letter filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] bits
+  from f a, f b, f c, f d, f e where a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s as (select filter_order, step, bits[step] own, coalesce(list_sum(bits[1 : step - 1]), 0)::int before
+  from o, (select unnest(range(1, 6))::int step)),
+r as (select part, filter_order, step, any_value(own) own,
+    sum(case when mask & (own | before) = 0 then n else 0 end) kept,
+    sum(case when mask & own > 0 and mask & before = 0 then n else 0 end) removed,
+    sum(case when mask & own > 0 and mask & before > 0 then n else 0 end) redundant,
+    sum(case when mask = own then n else 0 end) unique_fails,
+    sum(case when mask & own > 0 and mask & before = 0 then good else 0 end) good_lost,
+    sum(case when mask & own > 0 and mask & before = 0 then toxic else 0 end) toxic_lost
+  from c, s group by 1, 2, 3)
+select part, filter_order, step, kept::bigint kept, removed::bigint removed, redundant::bigint redundant, unique_fails::bigint unique_fails,
+  good_lost::bigint good_lost, toxic_lost::bigint toxic_lost, (sum(removed) over (partition by part, own))::bigint shapley from r
+"""
+
 #: Queries whose whole result SQL expresses.  The others depend on trained models
 #: (2, 5, 7), on xxHash fingerprints (1), on byte digests (6) or on hundreds of
 #: rules (8); they are tested against brute force.
@@ -186,4 +219,5 @@ ORACLE_SQL = {
     "op4_jaccard_join": _JACCARD,
     "op9_mixing": _MIXING,
     "op10_warc": _WARC,
+    "op11_filter_audit": _AUDIT,
 }
