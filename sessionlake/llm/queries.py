@@ -13,6 +13,7 @@ from sessionlake.llm import (
     katz,
     langid,
     licenses,
+    merkle,
     mixing,
     secrets,
     substring_dedup,
@@ -76,6 +77,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(_table(spark, sf_dir, "documents"))
+
+
 #: Target weights of the mixing query; names not listed weigh 1.
 PRODUCTION_WEIGHTS = {"domain": {"domain0": 3, "domain1": 2}, "lang": {"en": 2, "es": 3}}
 
@@ -91,6 +96,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
     "op11_filter_audit": op11_filter_audit,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -211,6 +217,56 @@ select part, filter_order, step, kept::bigint kept, removed::bigint removed, red
   good_lost::bigint good_lost, toxic_lost::bigint toxic_lost, (sum(removed) over (partition by part, own))::bigint shapley from r
 """
 
+def _merkle_levels(name: str, leaves: str, count: int) -> str:
+    """SQL of the levels of all trees above a leaf table (tree, idx, digest); a tree of one node has no more."""
+    out = [f"{name}0 as (select tree, idx, digest, count(*) over (partition by tree) n from {leaves})"]
+    out += [f"""{name}{k} as (select tree, idx, sha256(string_agg(digest, '' order by spot)) digest, any_value(n + 7) // 8 n
+  from (select tree, idx // 8 idx, idx spot, digest, n from {name}{k - 1} where n > 1) group by tree, idx)""" for k in range(1, count + 1)]
+    return ",\n".join(out)
+
+
+def _merkle_fold(name: str, start: str, levels: str, count: int, kept: str) -> str:
+    """SQL of folding: rows of ``start`` (tree, idx, digest, proof, kept...) climb all levels."""
+    out = [f"{name}0 as (select * from {start})"]
+    for k in range(1, count + 1):
+        out.append(f"""{name}{k} as (select tree, any_value(idx) // 8 idx, row,
+    case when any_value(n) = 1 then any_value(digest) else sha256(string_agg(case when spot = idx then digest else own end, '' order by spot)) end digest,
+    any_value(proof) || coalesce(string_agg(case when spot <> idx and n > 1 then own end, '' order by spot), '') proof, {kept}
+  from (select f.*, s.idx spot, s.digest own, s.n from {name}{k - 1} f join {levels}{k - 1} s on s.tree = f.tree and s.idx // 8 = f.idx // 8)
+  group by tree, row
+  union all select tree, idx, row, digest, proof, {kept.replace("any_value", "")} from {name}{k - 1} f
+  where not exists (select 1 from {levels}{k - 1} s where s.tree = f.tree))""")
+    return ",\n".join(out)
+
+
+def _merkle_leaf(text: str) -> str:
+    part = lambda c: f"coalesce(strlen({c})::varchar || ':' || {c}, '-')"
+    return "sha256(" + " || ".join(part(c) for c in ("doc_id::varchar", "source", "lang", "n_chars::varchar", text)) + ")"
+
+
+#: Levels of eight children each: as many as 8 ** 8 rows of a language need.
+_DEPTH = 8
+#: Unsigned crc32 in SQL, bit by bit over the decimal digits.
+_CRC = """list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(coalesce(doc_id::varchar, ''), ''), lambda c: ascii(c)::bigint)),
+    lambda r, c: list_reduce(list_prepend(xor(r, c), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end))"""
+_MERKLE = f"""
+with d as (select doc_id, coalesce('=' || lang, '-') tree, {_merkle_leaf('text')} leaf,
+    case when xor({_CRC}, 4294967295) % 3 = 0 then {_merkle_leaf(f"translate(text, {_AZ})")} end changed from documents),
+leaves as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 idx, row_number() over () as row,
+    leaf digest from d),
+{_merkle_levels("up", "leaves", _DEPTH)},
+subroots as ({" union all ".join(f"select tree, digest from up{k} where n = 1" for k in range(_DEPTH + 1))}),
+tops as (select '' tree, tree lang_tree, digest, row_number() over (order by tree) - 1 idx from subroots),
+{_merkle_levels("top", "tops", _DEPTH)},
+roots as ({" union all ".join(f"select digest root from top{k} where n = 1" for k in range(_DEPTH + 1))}),
+start as (select tree, idx, row, coalesce(changed, leaf) digest, '' proof, doc_id, leaf from leaves),
+{_merkle_fold("low", "start", "up", _DEPTH, "any_value(doc_id) doc_id, any_value(leaf) leaf")},
+middle as (select '' tree, t.idx, row, f.digest, proof, doc_id, leaf, t.digest subroot from low{_DEPTH} f join tops t on t.lang_tree = f.tree),
+{_merkle_fold("high", "middle", "top", _DEPTH, "any_value(doc_id) doc_id, any_value(leaf) leaf, any_value(subroot) subroot")}
+select doc_id, leaf, subroot, root, sha256(proof) proof_sha256, digest folded_root, digest = root verified from high{_DEPTH}, roots
+"""
+
 #: Queries whose whole result SQL expresses.  The others depend on trained models
 #: (2, 5, 7), on xxHash fingerprints (1), on byte digests (6) or on hundreds of
 #: rules (8); they are tested against brute force.
@@ -220,4 +276,5 @@ ORACLE_SQL = {
     "op9_mixing": _MIXING,
     "op10_warc": _WARC,
     "op11_filter_audit": _AUDIT,
+    "op13_merkle_manifest": _MERKLE,
 }
