@@ -17,6 +17,7 @@ from sessionlake.llm import (
     mixing,
     secrets,
     substring_dedup,
+    suffix_dedup,
     warc,
 )
 from sessionlake.llm.common import crc_mod
@@ -77,6 +78,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(_table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(_table(spark, sf_dir, "documents"))
 
@@ -96,6 +101,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
     "op11_filter_audit": op11_filter_audit,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -217,6 +223,26 @@ select part, filter_order, step, kept::bigint kept, removed::bigint removed, red
   good_lost::bigint good_lost, toxic_lost::bigint toxic_lost, (sum(removed) over (partition by part, own))::bigint shapley from r
 """
 
+#: Every string of 400 bytes by its digest; offsets count bytes, two hexadecimal digits each.
+_SUFFIX = """
+with d as (select row_number() over () r, doc_id, hex(encode(coalesce(text, ''))) h from documents),
+pieces as (select r, 400 * k low, least(400, len(h) // 2 - 399 - 400 * k) n, substr(h, 800 * k + 1, 1600) h
+  from (select r, h, unnest(range(0, (len(h) // 2 - 400) // 400 + 1)) k from d where len(h) >= 800)),
+w as (select r, low + k p, md5(substr(h, 2 * k + 1, 800)) m from (select *, unnest(range(0, n)) k from pieces)),
+hit as (select r, p, lag(p) over (partition by r order by p) before
+  from w semi join (select m from w group by m having count(*) > 1) using (m)),
+runs as (select r, min(p) low, max(p) + 400 high
+  from (select *, sum((before is null or p > before + 400)::int) over (partition by r order by p) k from hit) group by r, k),
+cut as (select r, h, low, high, coalesce(lag(high) over (partition by r order by low), 0) before, row_number() over (partition by r order by low desc) back
+  from runs join d using (r)),
+kept as (select r, count(*) n_spans, sum(high - low)::bigint n_removed,
+    string_agg(substr(h, 2 * before + 1, 2 * (low - before)) || case when back = 1 then substr(h, 2 * high + 1) else '' end, '' order by low) h
+  from cut group by r)
+select doc_id, (len(d.h) // 2)::bigint n_bytes, coalesce(n_removed, 0) n_removed, coalesce(n_spans, 0) n_spans, sha256(unhex(coalesce(kept.h, d.h))) kept_sha256
+from d left join kept using (r)
+"""
+
+
 def _merkle_levels(name: str, leaves: str, count: int) -> str:
     """SQL of the levels of all trees above a leaf table (tree, idx, digest); a tree of one node has no more."""
     out = [f"{name}0 as (select tree, idx, digest, count(*) over (partition by tree) n from {leaves})"]
@@ -276,5 +302,6 @@ ORACLE_SQL = {
     "op9_mixing": _MIXING,
     "op10_warc": _WARC,
     "op11_filter_audit": _AUDIT,
+    "op12_suffix_dedup": _SUFFIX,
     "op13_merkle_manifest": _MERKLE,
 }
