@@ -18,12 +18,12 @@ def string(v: Column, *path: str) -> Column:
 
 
 def number(v: Column, *path: str) -> Column:
-    """A JSON number, truncated; texts do not count."""
+    """A JSON number, truncated; texts do not count, and what does not fit 64 bits is missing."""
     name = "$." + ".".join(path)
     kind = F.schema_of_variant(F.try_variant_get(v, name, "variant"))
     whole = kind.startswith("BIGINT") | kind.startswith("INT")
     return F.when(whole, F.try_variant_get(v, name, "bigint")).when(
-        kind.startswith("DECIMAL") | kind.startswith("DOUBLE"), F.try_variant_get(v, name, "double").cast("bigint"))
+        kind.startswith("DECIMAL") | kind.startswith("DOUBLE"), F.try_variant_get(v, name, "double").try_cast("bigint"))
 
 
 def integer(v: Column, *path: str) -> Column:

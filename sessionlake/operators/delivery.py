@@ -1,12 +1,16 @@
 """Delivery as data: outbox, batches, attempts, progress."""
 
-from __future__ import annotations
+import gzip
+from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlake.functions import ids
+from sessionlake.operators import cutting
 from sessionlake.operators import policy as policies
+from sessionlake.sources import canonical
 
 
 def outbox(events: DataFrame, sinks: dict[str, policies.Policy], existing: DataFrame | None = None) -> DataFrame:
@@ -25,6 +29,25 @@ def outbox(events: DataFrame, sinks: dict[str, policies.Policy], existing: DataF
     return out if existing is None else out.join(existing.select("sink_id", "ledger_offset"), ["sink_id", "ledger_offset"], "left_anti")
 
 
+def outbox_batches(events: DataFrame, envelopes: DataFrame, sinks: dict[str, policies.Policy]) -> DataFrame:
+    """Outbox items with what is sent of them: ``event`` and ``raw``, JSON of the redacted event and raw envelope.
+
+    ``raw`` is missing where a sink drops raw data.
+    """
+    parts = []
+    for sink, policy in sinks.items():  # a handful of sinks
+        own = policies.apply(policy, events).select(
+            "ledger_offset", canonical.event_json().alias("event"), F.col("event_id").alias("last_event_id"), F.col("timestamp").alias("created_at"))
+        raw = policies.apply_raw(policy, envelopes).select("ledger_offset", canonical.envelope_json().alias("raw"))
+        parts.append(own.join(raw, "ledger_offset", "left").select(
+            F.lit(sink).alias("sink_id"), "ledger_offset", F.lit("pending").alias("status"), "event", "raw", "last_event_id", "created_at"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    size = F.octet_length("event") + F.coalesce(F.octet_length("raw"), F.lit(0))
+    return out.withColumn("payload_bytes", size.cast("bigint"))
+
+
 def released(created: Column, as_of: Column, every: int, offset: int = 0) -> Column:
     """Whether the window boundary after a time (epoch-aligned, seconds) has passed."""
     at = F.unix_seconds(created.cast("timestamp")) - offset
@@ -33,43 +56,57 @@ def released(created: Column, as_of: Column, every: int, offset: int = 0) -> Col
 
 
 def batches(items: DataFrame, max_events: int = 100) -> DataFrame:
-    """Pending items with ``batch_no``: consecutive offsets, at most ``max_events`` each.
+    """Pending items with ``batch_no``: consecutive offsets, at most ``max_events`` each; ``__island`` is the first of them."""
+    rows = cutting.islands(items.where("status = 'pending'"))
+    return rows.withColumn("batch_no", F.floor((F.col("ledger_offset") - F.col("__island")) / max_events))
+
 
-    Islands of consecutive offsets come from offset minus row number; inside an
-    island whole batches are cut by division.
+def byte_capped(items: DataFrame, max_bytes: int, max_events: int = 1000) -> DataFrame:
+    """Like :func:`batches`, also capped by bytes, with ``batch_start`` and ``batch_end``.
+
+    An item that would take a batch over ``max_bytes`` begins the next one, unless all
+    items before it are empty; at the limit or beyond, a batch is closed.  Where one
+    ends depends on the one before, which :mod:`~sessionlake.operators.cutting`
+    resolves by blocks of offsets.
     """
     pending = items.where("status = 'pending'")
-    rows = pending.withColumn("__n", F.row_number().over(Window.partitionBy("sink_id").orderBy("ledger_offset")))
-    rows = rows.withColumn("__island", F.col("ledger_offset") - F.col("__n"))
-    inside = F.row_number().over(Window.partitionBy("sink_id", "__island").orderBy("ledger_offset")) - 1
-    return rows.withColumn("batch_no", F.floor(inside / max_events)).drop("__n")
+    cut = cutting.numbered(cutting.islands(cutting.batch_starts(pending, (max_events, max_bytes))))
+    more = [c for c in items.columns if c not in cut.columns]
+    return cut.join(pending.select("sink_id", "ledger_offset", *more), ["sink_id", "ledger_offset"]) if more else cut
 
 
-def byte_capped(items: DataFrame, max_bytes: int, max_events: int = 1000) -> DataFrame:
-    """Like :func:`batches`, also capped by bytes; the first item always fits.
+@dataclass(frozen=True)
+class Batching:
+    """When batches of a sink are closed and handed out; times in seconds."""
 
-    Where a batch ends depends on the one before, so rows are folded as a stream, in
-    order; only the count and bytes of the open batch are kept, however long an
-    island is.
+    max_events: int = 1
+    max_bytes: int = 0
+    max_age: int = 0
+    window_every: int = 0
+    window_offset: int = 0
+
+
+def ready_batches(items: DataFrame, as_of: Column, rules: dict[str, Batching]) -> DataFrame:
+    """Pending items of the batches that may be sealed now, with ``batch_start`` and ``batch_end``.
+
+    A batch is ready when it is full by count or bytes, or its first item is old
+    enough, or batches hold one event; and its window has passed.  The first batch that
+    is not ready blocks all that follow it in its sink.
     """
-    import pandas as pd
-
-    def fold(batches):
-        island, n, size, count = None, 0, 0, 0
-        for pdf in batches:
-            numbers = []
-            for *key, b in zip(pdf["sink_id"], pdf["__island"], pdf["payload_bytes"]):
-                if key != island:
-                    island, n, size, count = key, 0, 0, 0
-                elif size + b > max_bytes or count >= max_events:
-                    n, size, count = n + 1, 0, 0
-                numbers.append(n)
-                size, count = size + b, count + 1
-            yield pdf.assign(batch_no=pd.Series(numbers, dtype="int64"))
-
-    rows = batches(items, 1 << 30).select("sink_id", "ledger_offset", "__island", "payload_bytes")
-    rows = rows.repartition("sink_id", "__island").sortWithinPartitions("sink_id", "__island", "ledger_offset")
-    return rows.mapInPandas(fold, "sink_id string, ledger_offset long, __island long, payload_bytes long, batch_no long")
+    pending = items.where((F.col("status") == "pending") & F.col("sink_id").isin(*rules))
+    cut = cutting.batch_starts(pending, {sink: (rule.max_events, rule.max_bytes) for sink, rule in rules.items()})
+    cut = cut.join(pending.drop("payload_bytes"), ["sink_id", "ledger_offset"])
+    born = F.max(F.when(F.col("ledger_offset") == F.col("batch_start"), F.col("created_at").cast("timestamp"))).alias("born")
+    heads = cut.groupBy("sink_id", "batch_start").agg(born, F.count(F.lit(1)).alias("n"), F.sum("payload_bytes").alias("size"))
+    now, ready = F.unix_micros(as_of.cast("timestamp")), F.lit(False)
+    for sink, rule in rules.items():  # a handful of sinks
+        full = (F.col("n") >= rule.max_events) | (F.lit(rule.max_bytes > 0) & (F.col("size") >= rule.max_bytes)) | F.lit(rule.max_events == 1)
+        old = F.lit(rule.max_age > 0) & (now - F.unix_micros("born") >= rule.max_age * 1_000_000)
+        passed = released(F.col("born"), as_of, rule.window_every, rule.window_offset) if rule.window_every > 0 else F.lit(True)
+        ready = ready | ((F.col("sink_id") == sink) & (full | old) & passed)
+    blocked = heads.groupBy("sink_id").agg(F.min(F.when(~ready, F.col("batch_start"))).alias("blocked_from"))  # a row for each sink
+    return cut.join(F.broadcast(blocked), "sink_id").where(
+        F.col("blocked_from").isNull() | (F.col("batch_start") < F.col("blocked_from"))).drop("blocked_from")
 
 
 def seal(batched: DataFrame, key_template: str = "{prefix}/{sink_id}/{batch_id}.jsonl", prefix: str = "batches") -> DataFrame:
@@ -83,6 +120,43 @@ def seal(batched: DataFrame, key_template: str = "{prefix}/{sink_id}/{batch_id}.
     return out.withColumn("object_key", object_key(key_template, prefix)).drop("__island", "batch_no")
 
 
+#: Formats of sealed batches: media type and further headers.
+FORMATS = {"oas_batch_json": ("application/json", {}), "canonical_jsonl": ("application/x-ndjson", {}),
+           "canonical_jsonl.gz": ("application/x-ndjson", {"Content-Encoding": "gzip"})}
+
+
+def seal_as(batched: DataFrame, fmt: str = "oas_batch_json", key_template: str = "{prefix}/{sink_id}/{batch_id}.json", prefix: str = "batches") -> DataFrame:
+    """One row per batch of :func:`outbox_batches` items, its ``payload`` (bytes) in one of :data:`FORMATS`."""
+    if fmt not in FORMATS:
+        raise ValueError(f"unsupported payload format: {fmt}")
+    rows = batched.groupBy("sink_id", "__island", "batch_no").agg(
+        F.min("ledger_offset").alias("ledger_min_offset"), F.max("ledger_offset").alias("ledger_max_offset"), F.count(F.lit(1)).alias("event_count"),
+        F.array_sort(F.collect_list(F.struct("ledger_offset", "event", "raw"))).alias("items"))
+    events = F.col("items.event")
+    if fmt == "oas_batch_json":
+        raws = F.filter("items.raw", lambda x: x.isNotNull())
+        raw = F.when(F.size(raws) > 0, F.concat(F.lit(',"raw_envelopes":['), F.array_join(raws, ","), F.lit("]"))).otherwise("")
+        payload = F.concat(F.lit('{"events":['), F.array_join(events, ","), F.lit("]"), raw, F.lit("}")).cast("binary")
+    else:
+        payload = F.concat(F.array_join(events, "\n"), F.lit("\n")).cast("binary")
+        if fmt.endswith(".gz"):
+            payload = _gzip(payload)
+    kind, headers = FORMATS[fmt]
+    rows = rows.withColumn("payload", payload).withColumns({
+        "batch_id": ids.stable_id("batch", F.col("sink_id"), F.col("ledger_min_offset"), F.col("ledger_max_offset")),
+        "payload_bytes": F.octet_length("payload").cast("bigint"), "payload_sha256": F.sha2("payload", 256), "content_type": F.lit(kind),
+        "headers": F.create_map(*[F.lit(x) for pair in ({"Content-Type": kind} | headers).items() for x in pair])})
+    return rows.withColumn("object_key", object_key(key_template, prefix)).drop("__island", "batch_no", "items")
+
+
+def _gzip(data: Column) -> Column:
+    @F.pandas_udf("binary")
+    def pack(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda x: gzip.compress(x, mtime=0))
+
+    return pack(data)
+
+
 def object_key(template: str, prefix: str) -> Column:
     unique = ("{batch_id}", "{payload_sha256}", "{ledger_min_offset}", "{ledger_max_offset}")
     if not any(u in template for u in unique):
@@ -186,10 +260,8 @@ def replay_plan(sinks: DataFrame, include_unsafe: bool = False, requested: list[
 
 
 def export_lines(events: DataFrame) -> DataFrame:
-    """Canonical events as JSON lines, in ledger order."""
-    shown = [c for c in events.columns if c != "payload"]
-    line = F.to_json(F.struct(*shown, F.try_parse_json("payload").alias("payload")))
-    return events.select("ledger_offset", line.alias("value"))
+    """Canonical events as JSON lines, in their public form."""
+    return events.select("ledger_offset", canonical.event_json().alias("value"))
 
 
 def replay(events: DataFrame, sinks: dict[str, policies.Policy], classes: DataFrame, after: int = 0, upto: int | None = None,

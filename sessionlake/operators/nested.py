@@ -14,15 +14,28 @@ _CALLS = ["function_call", "custom_tool_call"]
 _OUTPUTS = ["function_call_output", "custom_tool_call_output"]
 
 
-def call_names(rows: DataFrame, call_id: str = "call_id", name: str = "own_name", order: str = "ledger_offset") -> DataFrame:
-    """Adds ``call_name``: the own name, else the latest earlier name of the same call.
+#: Ledger offsets that share a window when names of calls are looked up.
+BUCKET = 100_000
 
-    Rows without a call id never enter the window, so they do not form one huge group.
+
+def call_names(rows: DataFrame, call_id: str = "call_id", name: str = "own_name", order: str = "ledger_offset", stored: str | None = None,
+               bucket: int = BUCKET) -> DataFrame:
+    """Adds ``call_name``: the own name, else the latest earlier name that was stored for the same call.
+
+    ``stored`` is the column of names to remember, by default the own ones.  Each range
+    of offsets of a call is filled for itself, then from the last name of the ranges
+    before, so a call with very many rows is many tasks; only a row for each call and
+    range is carried over.  Rows without a call id never enter a window.
     """
     given = F.coalesce(F.col(call_id), F.lit("")) != ""
-    before = Window.partitionBy(call_id).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    own = F.when(F.col(name) != "", F.col(name))
-    named = rows.where(given).withColumn("call_name", F.coalesce(own, F.last(own, ignorenulls=True).over(before), F.lit("")))
+    own, kept = F.when(F.col(name) != "", F.col(name)), F.when(F.col(stored or name) != "", F.col(stored or name))
+    called = rows.where(given).withColumn("__bucket", F.floor(F.col(order) / bucket))
+    last = called.groupBy(call_id, "__bucket").agg(F.max_by(kept, F.when(kept.isNotNull(), F.col(order))).alias("__last"))
+    ranges = Window.partitionBy(call_id).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(call_id, "__bucket", F.last("__last", ignorenulls=True).over(ranges).alias("__carried"))
+    before = Window.partitionBy(call_id, "__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    found = F.coalesce(own, F.last(kept, ignorenulls=True).over(before), F.col("__carried"), F.lit(""))
+    named = called.join(carried, [call_id, "__bucket"]).withColumn("call_name", found).select(*rows.columns, "call_name")
     return named.unionByName(rows.where(~given).withColumn("call_name", F.coalesce(own, F.lit(""))))
 
 
@@ -32,7 +45,7 @@ def parse_output(output: Column) -> tuple[Column, Column, Column]:
     body = F.coalesce(payload.string(v, "output"), output, F.lit(""))
     command = F.regexp_extract(body, _COMMAND, 1)
     code = F.regexp_extract(body, _EXIT, 1)
-    return body, command, F.coalesce(F.when(code != "", code.cast("bigint")), payload.number(v, "metadata", "exit_code"))
+    return body, command, F.coalesce(F.when(code != "", code.try_cast("bigint")), payload.number(v, "metadata", "exit_code"))
 
 
 def content_text(content: Column) -> Column:
@@ -44,46 +57,59 @@ def content_text(content: Column) -> Column:
 
 
 def classify(rows: DataFrame) -> DataFrame:
-    v = F.col("__v")
+    """Kind, status, actor and payload of nested records.
+
+    Names are stored by calls alone.  The table of aliases sees the payload of a
+    ``response_item``, but not that of an ``event_msg``.
+    """
+    v, inner = F.col("__v"), F.try_variant_get("__v", "$.payload", "variant")
     s = lambda *p: F.coalesce(payload.string(v, *p), F.lit(""))
-    inner = F.coalesce(s("payload", "type"), F.lit(""))
-    arguments = F.try_parse_json(text.first_given(s("payload", "arguments"), s("payload", "input")))
+    calls = F.col("__inner").isin(_CALLS) & (F.col("__top") == "response_item")
+    rows = rows.withColumns({
+        "__top": s("type"), "__inner": s("payload", "type"), "call_id": s("payload", "call_id"),
+        "own_name": text.first_nonempty(payload.string(inner, "name"), payload.string(inner, "tool_name"), payload.string(inner, "tool"))})
+    rows = call_names(rows.withColumn("__stored", F.when(calls, F.col("own_name")).otherwise("")), stored="__stored")
+    top, kind = F.col("__top"), F.col("__inner")
+    item = top == "response_item"
+    arguments = F.try_parse_json(text.first_nonempty(s("payload", "arguments"), s("payload", "input")))
+    body, command, code = parse_output(F.when(item & kind.isin(_OUTPUTS), s("payload", "output")).otherwise(""))
     rows = rows.withColumns({
-        "__inner": inner, "call_id": s("payload", "call_id"),
-        "own_name": text.first_given(s("payload", "name"), s("payload", "tool_name"), s("payload", "tool")),
-        "__given": text.first_given(payload.string(arguments, "cmd"), payload.string(arguments, "command"))})
-    rows = call_names(rows)
-    body, command, code = parse_output(text.first_given(s("payload", "output")))
-    rows = rows.withColumns({"__body": body, "__command": text.first_given(command, F.col("__given")), "__exit": code})
-    top, kind = F.col("raw_kind"), F.col("__inner")
-    name = F.when(kind == "web_search_call", "web_search").when(
-        kind.isin(_OUTPUTS) & (F.col("call_name") == ""), "tool").otherwise(F.col("call_name"))
-    role = s("payload", "role")
-    # Other types go by the table of aliases; a result counts as failed by the exit code in the payload.
-    alias = kind_of(kind, F.try_variant_get(v, "$.payload", "variant"))
+        "__body": body, "__exit": code,
+        "__command": F.when(item & kind.isin(_CALLS), text.first_nonempty(payload.string(arguments, "cmd"), payload.string(arguments, "command")))
+        .when(item & kind.isin(_OUTPUTS), text.first_given(command, text.not_blank(s("payload", "command")))).otherwise(""),
+        "__tool": F.when(item & (kind == "web_search_call"), "web_search").when(item & kind.isin(_CALLS), F.col("own_name"))
+        .when(item & kind.isin(_OUTPUTS), F.when(F.col("call_name") == "", "tool").otherwise(F.col("call_name"))).otherwise("")})
+    name, role, nothing = F.col("__tool"), s("payload", "role"), F.lit(None).cast("variant")
+    blind = kind_of(kind, nothing)
     event_msg = (F.when(kind == "user_message", "message.user").when(kind == "agent_message", "message.agent")
-                 .when(kind == "token_count", "usage.reported").when(kind.isin(_SYSTEM) | (alias == "error"), "message.system").otherwise(alias))
+                 .when(kind == "token_count", "usage.reported").when(kind.isin(_SYSTEM) | (blind == "error"), "message.system").otherwise(blind))
     message = F.when(role == "user", "message.user").when(role == "assistant", "message.agent").otherwise("message.system")
     call = F.when(name == "exec_command", "command.started").when(name == "apply_patch", "file.patch").otherwise("tool.started")
     output = (F.when(name == "exec_command", "command.finished").when(name == "apply_patch", "file.patch")
               .when(F.coalesce(F.col("__exit"), F.lit(0)) > 0, "tool.failed").otherwise("tool.finished"))
     search = F.when(s("payload", "status") == "completed", "tool.finished").otherwise("tool.started")
-    item = (F.when(kind == "message", message).when(kind == "reasoning", "message.agent").when(kind.isin(_CALLS), call)
-            .when(kind.isin(_OUTPUTS), output).when(kind == "web_search_call", search).otherwise(alias))
-    rows = rows.withColumn("kind", F.when(top == "session_meta", "session.started").when(top == "turn_context", "model.changed")
-                           .when(top == "compacted", "message.system").when(top == "event_msg", event_msg).when(top == "response_item", item)
-                           .otherwise(kind_of(top, v)))
-    tool = F.col("kind").startswith("tool.") | F.col("kind").startswith("command.") | (F.col("kind") == "file.patch")
+    response = (F.when(kind == "message", message).when(kind == "reasoning", "message.agent").when(kind.isin(_CALLS), call)
+                .when(kind.isin(_OUTPUTS), output).when(kind == "web_search_call", search).otherwise(kind_of(kind, inner)))
+    other = kind_of(text.first_nonempty(top, kind), inner)
+    rows = rows.withColumn("kind", F.when(~payload.is_object(v), "error").when(top == "session_meta", "session.started").when(top == "turn_context", "model.changed")
+                           .when(top == "compacted", "message.system").when(top == "event_msg", event_msg).when(item, response)
+                           .when(other == "error", kind_of(top, v)).otherwise(other))
+    command_kind = F.col("kind").startswith("command.")
+    tool = command_kind | F.col("kind").startswith("tool.") | (F.col("kind") == "file.patch")
     who, plain = actor_of(F.col("kind"), F.col("source_type"), v)
-    shown = F.when(tool, F.when(name == "exec_command", "shell").otherwise(text.first_given(name, F.lit("shell")))).when(
-        (F.col("kind") == "message.agent") & (role != ""), role).otherwise(plain)
-    said = F.when(top == "event_msg", s("payload", "message")).otherwise(content_text(F.try_variant_get(v, "$.payload.content", "variant")))
+    named = text.first_nonempty(name, payload.string(inner, "name"), payload.string(inner, "tool"))
+    shown = (F.when(command_kind, F.when(named.isin("", "exec_command"), "shell").otherwise(named)).when(tool, text.first_nonempty(named, F.lit("tool")))
+             .when(F.col("kind") == "message.agent", text.first_nonempty(role, F.col("source_type"))).otherwise(plain))
+    said = F.when(top == "event_msg", s("payload", "message")).when(
+        item & (kind == "message"), content_text(F.try_variant_get(v, "$.payload.content", "variant"))).otherwise("")
+    info = F.try_variant_get(v, "$.payload.info", "variant")
+    given = lambda c: F.when(c != "", c)
     extra = F.from_json(F.to_json(F.struct(
-        text.not_blank(said).alias("text"), F.when(tool & (name != ""), name).alias("tool_name"),
-        F.when(F.col("__command") != "", F.col("__command")).alias("command"), F.col("__exit").alias("exit_code"),
-        F.when(F.col("kind") == "usage.reported", F.try_variant_get(v, "$.payload.info", "variant")).alias("usage"))), "map<string,variant>")
+        given(said).alias("text"), given(name).alias("tool_name"), given(F.col("__command")).alias("command"), F.col("__exit").alias("exit_code"),
+        F.when(kind == "token_count", F.when(payload.is_object(info), info).otherwise(F.parse_json(F.lit("null")))).alias("usage"))), "map<string,variant>")
     merged = F.to_json(F.map_concat(F.map_filter(F.from_json("raw_payload", "map<string,variant>"), lambda k, _: ~F.map_contains_key(extra, k)), extra))
+    broken = F.to_json(F.struct(F.lit("payload is not an object").alias("reason"), "raw_kind", "source_type"))
     return rows.withColumns({
         "parse_status": F.when(F.col("kind") == "error", "failed").otherwise("ok"),
         "actor_kind": F.when(tool, "tool").otherwise(who), "actor_name": shown,
-        "payload": F.when(payload.is_object(v), F.to_json(F.try_parse_json(merged))).otherwise("{}")})
+        "payload": F.when(payload.is_object(v), F.to_json(F.try_parse_json(merged))).otherwise(broken)})

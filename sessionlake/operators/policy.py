@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Iterator
+import warnings
 from dataclasses import dataclass, field
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionlake.functions import jsontext, regexes
 from sessionlake.functions.text import clean_path
 
 REDACTED = "[REDACTED]"
@@ -46,46 +44,34 @@ def admitted(policy: Policy, locator: Column) -> Column:
 def redacted(policy: Policy, payload: Column) -> Column:
     """Payload JSON with keys and texts redacted at any depth; only objects change.
 
-    Nested rewriting has no built-in form, so it runs on Arrow batches, and only
-    where the raw text holds one of the keys or a pattern matches it.
+    Values of the keys are replaced whole; patterns are those of a linear-time engine
+    (see :mod:`~sessionlake.functions.regexes`) and are applied in turn to all other
+    strings that are not keys.  A pattern that is not valid there is left out, with a
+    warning.
     """
     if not policy.redact_keys and not policy.regexes:
         return payload
-    keys, rules = set(policy.redact_keys), []
-    for pattern, replacement in policy.regexes:
+    rules = []
+    for pattern, new in policy.regexes:
         try:
-            rules.append((re.compile(pattern), re.sub(r"\$\{?(\w+)\}?", r"\\g<\1>", replacement)))
-        except re.error:
+            rule = regexes.translate(pattern)
+        except ValueError as e:
+            warnings.warn(f"redaction rule left out: {e}", stacklevel=2)
             continue
+        rules.append((rule.pattern, regexes.replacement(new, rule)))
 
-    def walk(x):
-        if isinstance(x, dict):
-            return {k: REDACTED if k in keys else walk(v) for k, v in x.items()}
-        if isinstance(x, list):
-            return [walk(v) for v in x]
-        if isinstance(x, str):
-            for pattern, replacement in rules:
-                x = pattern.sub(replacement, x)
-        return x
-
-    def one(text: str | None) -> str | None:
-        try:
-            value = json.loads(text) if text else None
-        except ValueError:
-            return text
-        return json.dumps(walk(value), separators=(",", ":"), sort_keys=True, ensure_ascii=False) if isinstance(value, dict) else text
-
-    @F.pandas_udf("string")
-    def rewrite(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield batch.map(one)
+    def replaced(value: Column) -> Column:
+        for pattern, new in rules:
+            value = F.regexp_replace(value, F.lit(pattern), F.lit(new))
+        return value
 
+    out = jsontext.rewrite(payload, list(policy.redact_keys), REDACTED, replaced if rules else None)
     if rules:
-        return rewrite(payload)
-    touched = F.lit(False)
-    for key in keys:
-        touched = touched | payload.contains(f'"{key}"') | payload.contains("\\u")
-    return F.when(touched, rewrite(payload)).otherwise(payload)
+        return out
+    touched = payload.contains("\\")  # a key may be written with escapes
+    for key in policy.redact_keys:
+        touched = touched | payload.contains(f'"{key}"')
+    return F.when(touched, out).otherwise(payload)
 
 
 def apply(policy: Policy, rows: DataFrame, column: str = "payload") -> DataFrame:
@@ -93,5 +79,15 @@ def apply(policy: Policy, rows: DataFrame, column: str = "payload") -> DataFrame
     return rows.where(admitted(policy, F.col("project_locator"))).withColumn(column, redacted(policy, F.col(column)))
 
 
-def describe(policy: Policy, policy_id: str) -> list[tuple]:
-    return [(policy_id, policy.drop_raw, len(policy.redact_keys), len(policy.regexes), list(policy.allowed_projects), list(policy.denied_paths))]
+def apply_raw(policy: Policy, envelopes: DataFrame) -> DataFrame:
+    """Raw envelopes that a policy lets through, their ``raw_payload`` redacted; none where it drops raw data."""
+    if policy.drop_raw:
+        return envelopes.where(F.lit(False))
+    return apply(policy, envelopes, "raw_payload")
+
+
+def views(spark: SparkSession, policies: dict[str, Policy]) -> DataFrame:
+    """What a policy does, a row for each name, without its patterns."""
+    rows = [(name, p.drop_raw, list(p.redact_keys), len(p.regexes), list(p.allowed_projects), list(p.denied_paths)) for name, p in policies.items()]
+    return spark.createDataFrame(rows, "policy_id string, drop_raw boolean, redacted_keys array<string>, regex_count int, "
+                                       "allowed_projects array<string>, denied_paths array<string>")

@@ -53,16 +53,17 @@ def failed(kind: Column, exit_code: Column) -> Column:
     return (kind == "tool.failed") | ((kind == FINISHED) & F.coalesce(exit_code != 0, F.lit(False)))
 
 
-def summarize(events: DataFrame) -> DataFrame:
-    """One row per session: counts, span in seconds, kinds, first given identity."""
-    rows = _fields(events)
-    given = lambda c: F.coalesce(F.min_by(F.col(c), F.when(F.col(c) != "", F.col("ledger_offset"))), F.lit("")).alias(c)
+def summarize(events: DataFrame, order: str | Column = "ledger_offset") -> DataFrame:
+    """One row per session: counts, span in seconds, kinds, first given identity; ``position`` is where it begins in ``order``."""
+    at = F.col(order) if isinstance(order, str) else order
+    rows = _fields(events).withColumn("__order", at)
+    given = lambda c: F.coalesce(F.min_by(F.col(c), F.when(F.col(c) != "", F.col("__order"))), F.lit("")).alias(c)
     return rows.groupBy("session_key").agg(
         F.count(F.lit(1)).alias("events"), F.count_if(failed(F.col("kind"), F.col("exit_code"))).alias("failures"),
         F.min("timestamp").alias("first_timestamp"), F.max("timestamp").alias("last_timestamp"),
         F.timestamp_diff("SECOND", F.min("timestamp"), F.max("timestamp")).alias("duration_s"),
         F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("kinds"), given("source_type"), given("source_instance_id"),
-        given("source_session_key"), given("project_locator"), F.min("ledger_offset").alias("position"))
+        given("source_session_key"), given("project_locator"), F.min("__order").alias("position"))
 
 
 def order_summaries(summaries: DataFrame, by: str = "input", failed_only: bool = False, limit: int | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from sessionlake.functions import text as tx
 from sessionlake.operators import delivery, facts, ledger, normalize, sessions
 from sessionlake.operators.policy import Policy
 from sessionlake.plans import build, presets, sql, testbed
-from sessionlake.sources import chat, files
+from sessionlake.sources import canonical, chat, files
 
 
 def _as_of():
@@ -473,6 +473,32 @@ def summaries(spark, sf):
     return sessions.summarize(_events(spark, sf))
 
 
+def _canonical_lines(spark, sf):
+    """An export as lines of one file, every 90th of them cut short."""
+    lines = delivery.export_lines(_events(spark, sf)).select(F.lit("/export/events.jsonl").alias("locator"), F.col("ledger_offset").alias("line"), "value")
+    broken = F.expr("substring(value, 1, char_length(value) - 20)")
+    return lines.withColumn("value", F.when(F.col("line") % 90 == 0, broken).otherwise(F.col("value")))
+
+
+@query("a21_canonical_scan", _E.replace("ev as (select", "ev0 as (select") + ", ev as (select * from ev0 where ledger_offset % 90 <> 0)" + _SUM + " select * from sm")
+def canonical_scan(spark, sf):
+    return sessions.summarize(canonical.events(_canonical_lines(spark, sf)), "line")
+
+
+@query("a21_canonical_dead_letters", """select '/export/events.jsonl:' || (event_id + 1) reference, 'malformed event' message from events where (event_id + 1) % 90 = 0""")
+def canonical_dead_letters(spark, sf):
+    return canonical.dead_letters(_canonical_lines(spark, sf)).select("reference", "message")
+
+
+@query("a21_export_read_back", _E + """select event_id, session_key, seq sequence, ts "timestamp", kind, actor_kind, actor_name, project_key, proj project_locator, ssk source_session_key,
+ ledger_offset, envelope_id, 'ok' parse_status, json_extract_string(payload, '$.text') txt from ev""")
+def export_read_back(spark, sf):
+    lines = delivery.export_lines(_events(spark, sf)).select(F.lit("x").alias("locator"), F.col("ledger_offset").alias("line"), "value")
+    return canonical.events(lines).select(
+        "event_id", "session_key", "sequence", "timestamp", "kind", "actor_kind", "actor_name", "project_key", "project_locator", "source_session_key", "ledger_offset",
+        "envelope_id", "parse_status", F.get_json_object("payload", "$.text").alias("txt"))
+
+
 @query("g2_failed_summaries", _E + _SUM + " select session_key, events, failures from sm where failures > 0 order by failures desc, last_timestamp desc, events desc, position limit 25")
 def failed_summaries(spark, sf):
     return sessions.order_summaries(sessions.summarize(_events(spark, sf)), "failed", True, 25).select("session_key", "events", "failures")
@@ -540,12 +566,68 @@ def sealed(spark, sf):
         "sink_id", "ledger_min_offset", "ledger_max_offset", "event_count", "payload_sha256", "payload_bytes", "object_key")
 
 
-@query("h2_byte_capped_batches")
+# Batches of each sink one after the other: where a batch ends, from prefix sums, then the chain of starts.
+_CUT = _BOX + """, rl as (select * from (values {rules}) t(sink_id, me, mb, age, every, shift)),
+pe as (select *, row_number() over (partition by sink_id order by ledger_offset) r, sum(strlen(payload)) over (partition by sink_id order by ledger_offset)::bigint p,
+  strlen(payload) nb from box where status = 'pending'),
+pi as (select *, ledger_offset - r i, min(case when nb > 0 then r end) over (partition by sink_id order by r rows between current row and unbounded following) z from pe),
+pj as (select *, max(r) over (partition by sink_id, i) m, count(*) over (partition by sink_id) total from pi),
+pf as (select sink_id, p, min(r) f from pe group by 1, 2),
+su as materialized (select a.sink_id, a.r, a.total, least(a.m, a.r + me - 1, case when mb = 0 or f is null then a.m when f = z or q.p - (a.p - a.nb) = mb then f else f - 1 end) e
+  from (select *, p - nb + mb want from pj join rl using (sink_id)) a asof left join pf q on a.sink_id = q.sink_id and a.want <= q.p),
+st as (select sink_id, 1::bigint r from rl union all select st.sink_id, e + 1 from st join su using (sink_id, r) where e < total),
+ct as (select pj.*, case when st.r is not null then pj.r end s from pj left join st using (sink_id, r)),
+cu as (select *, count(s) over (partition by sink_id, i order by r) - 1 batch_no, last_value(s ignore nulls) over (partition by sink_id order by r) s0 from ct)"""
+
+
+@query("h2_byte_capped_batches", f"with recursive {_EV}" + _CUT.format(rules="('archive', 1000, 1000, 0, 0, 0), ('lake', 1000, 1000, 0, 0, 0)") + """
+select sink_id, ledger_offset, nb payload_bytes, batch_no from cu""")
 def byte_capped(spark, sf):
     rows = delivery.byte_capped(delivery.outbox(_events(spark, sf), _SINKS), 1000)
     return rows.select("sink_id", "ledger_offset", "payload_bytes", "batch_no")
 
 
+_BATCHING = {"archive": delivery.Batching(max_events=9, max_bytes=1200, max_age=5 * 86400, window_every=3600, window_offset=600),
+             "lake": delivery.Batching(max_events=3, max_age=10 * 86400)}
+
+
+@query("h2_ready_batches", f"with recursive {_EV}" + _CUT.format(rules=", ".join(
+    f"('{k}', {r.max_events}, {r.max_bytes}, {r.max_age}, {r.window_every}, {r.window_offset})" for k, r in _BATCHING.items())) + """,
+bt as (select sink_id, s0, min(ledger_offset) lo, max(ledger_offset) hi, count(*) n, sum(nb) size, arg_min(created_at, r) born from cu group by 1, 2),
+rd as (select *, (n >= me or (mb > 0 and size >= mb) or me = 1 or (age > 0 and epoch_us(timestamp '2024-01-16 00:00:00') - epoch_us(born) >= age::bigint * 1000000))
+  and (every = 0 or epoch(timestamp '2024-01-16 00:00:00')::bigint >= ((epoch_us(born) // 1000000 - shift) // greatest(every, 1) + 1) * every + shift) ready from bt join rl using (sink_id)),
+bl as (select sink_id, min(s0) filter (not ready) head from rd group by 1)
+select sink_id, lo ledger_min_offset, hi ledger_max_offset, n event_count, size::bigint payload_bytes from rd join bl using (sink_id) where head is null or s0 < head""")
+def ready_batches(spark, sf):
+    at = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    rows = delivery.ready_batches(delivery.outbox(_events(spark, sf), _SINKS), at, _BATCHING)
+    return rows.groupBy("sink_id", F.col("batch_start").alias("ledger_min_offset"), F.col("batch_end").alias("ledger_max_offset")).agg(
+        F.count(F.lit(1)).alias("event_count"), F.sum("payload_bytes").alias("payload_bytes"))
+
+
+_SENT = {"archive": Policy(redact_keys=("session_id",)), "lake": Policy(drop_raw=True, regexes=((r"^view ([[:digit:]]+)$", "seen ${1}"),), denied_paths=("repo://p1",))}
+
+
+@query("h5_batch_json", _E + """, bx as (select s sink_id, *, case s when 'archive' then replace(payload, '"session_id":"' || ssk || '"', '"session_id":"[REDACTED]"')
+    else replace(payload, '"text":"view ', '"text":"seen ') end shown from ev cross join (values ('archive'), ('lake')) t(s) where s = 'archive' or proj <> 'repo://p1'),
+js as (select *, ledger_offset - row_number() over (partition by sink_id order by ledger_offset) i, '{"event_version":1,"event_id":"' || event_id || '","source_type":"test_local","source_instance_id":"' || inst ||
+    '","session_key":"' || session_key || '","sequence":' || seq || ',"timestamp":"' || stamp || '","kind":"' || kind || '","actor":{"kind":"' || actor_kind || '","name":"' || actor_name ||
+    '"},"context":{"source_type":"test_local","project_key":"' || project_key || '","project_locator":"' || proj || '","source_session_key":"' || ssk || '","capabilities":["messages","commands"]},"payload":' ||
+    shown || ',"raw_ref":{"ledger_offset":' || ledger_offset || ',"envelope_id":"' || envelope_id || '"},"parse_status":"ok"}' e,
+  case s when 'archive' then '{"envelope_version":1,"envelope_id":"' || envelope_id || '","source_type":"test_local","source_instance_id":"' || inst || '","artifact_id":"events-' || inst ||
+    '","artifact_locator":"events-' || inst || '","project_locator":"' || proj || '","machine_id":"machine-a","cursor":{"kind":"line","value":"' || ledger_offset || '"},"observed_at":"' || stamp ||
+    '","source_timestamp":"' || stamp || '","raw_kind":"' || kind || '","raw_payload":' || shown || ',"content_hash":"' || chash || '","parse_hints":{"source_session_key":"' || ssk ||
+    '","confidence":0.8,"capabilities":["messages","commands"]}}' end v from bx),
+jb as (select *, (row_number() over (partition by sink_id, i order by ledger_offset) - 1) // 20 b from js),
+jo as (select sink_id, min(ledger_offset) lo, max(ledger_offset) hi, count(*) n, '{"events":[' || string_agg(e, ',' order by ledger_offset) || ']' ||
+  coalesce(',"raw_envelopes":[' || string_agg(v, ',' order by ledger_offset) || ']', '') || '}' body from jb group by sink_id, i, b)
+select sink_id, lo ledger_min_offset, hi ledger_max_offset, n event_count, sha256(body) payload_sha256, strlen(body)::bigint payload_bytes, 'application/json' content_type from jo""")
+def batch_json(spark, sf):
+    items = delivery.outbox_batches(_events(spark, sf), testbed.ledger(spark, sf), _SENT)
+    return delivery.seal_as(delivery.batches(items, 20)).select(
+        "sink_id", "ledger_min_offset", "ledger_max_offset", "event_count", "payload_sha256", "payload_bytes", "content_type")
+
+
 @query("h3_release_windows", """select event_id, epoch(timestamp '2024-01-16 00:00:00')::bigint >= ((epoch_us(ts) // 1000000 - 600) // 3600 + 1) * 3600 + 600 released from events""")
 def release(spark, sf):
     at = F.lit("2024-01-16 00:00:00").cast("timestamp")

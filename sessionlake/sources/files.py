@@ -60,13 +60,13 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
             .orderBy(F.split("relative", "/")))
 
 
-def read_lines(spark: SparkSession, root: str) -> DataFrame:
-    """(locator, line, value): physical lines from 1 on, blank ones not returned.
+def numbered(raw: DataFrame) -> DataFrame:
+    """(locator, line, value): physical lines from 1 on, of rows (value, _metadata) as read; blank ones are not returned.
 
     Lines are numbered inside each split of a file; what the splits before hold is added.
     """
-    raw = _read(spark, root, _LINES, "text").select(
-        "value", F.col("_metadata.file_path").alias("locator"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"))
+    raw = raw.select("value", F.col("_metadata.file_path").alias("locator"), F.col("_metadata.file_block_start").alias("split"),
+                     F.monotonically_increasing_id().alias("at"))
     inside = raw.withColumn("line", F.row_number().over(Window.partitionBy("locator", "split").orderBy("at")))
     earlier = Window.partitionBy("locator").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     sizes = raw.groupBy("locator", "split").agg(F.count(F.lit(1)).alias("n"))  # a row for each split
@@ -75,6 +75,11 @@ def read_lines(spark: SparkSession, root: str) -> DataFrame:
         _plain(F.col("locator")).alias("locator"), (F.col("line") + F.col("before")).cast("bigint").alias("line"), F.trim("value").alias("value"))
 
 
+def read_lines(spark: SparkSession, root: str) -> DataFrame:
+    """(locator, line, value): see :func:`numbered`."""
+    return numbered(_read(spark, root, _LINES, "text"))
+
+
 def _documents(spark: SparkSession, root: str) -> DataFrame:
     raw = _read(spark, root, _DOCUMENTS, "text", wholetext=True)
     rows = raw.select(_plain(F.col("_metadata.file_path")).alias("locator"), F.trim("value").alias("value"))
