@@ -149,8 +149,9 @@ class Measure:
         out = [0, 0]
         for i, n1, _, spare, _, _, full in self._signed_bands(elements):
             weak = n1 - int(full.all(axis=1).sum())
-            # Without signatures on empty subsets a weak part may not count.
-            out[i & 1] = spare - weak if weak <= spare else spare
+            # Without signatures on empty subsets a weak part may not count.  A set that
+            # makes them all meets sets that do not, and so leaves out nothing.
+            out[i & 1] = max(0, spare - weak)
         return out[0], out[1]
 
     def _signed_bands(self, elements: np.ndarray) -> Iterator[tuple]:
