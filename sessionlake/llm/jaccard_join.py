@@ -39,7 +39,7 @@ import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache, reduce
-from itertools import combinations
+from itertools import chain, combinations
 from operator import or_
 
 import numpy as np
@@ -71,28 +71,43 @@ def _mix(x: np.ndarray, odd: int) -> np.ndarray:
     return out
 
 
-class _Hashes(dict):
-    """Hash of a word, remembered; bounded."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 150_000:
-            self.clear()
-        self[word] = out = xxhash.xxh64_intdigest(word)
-        return out
-
-
-def shingles(text: bytes | None, n: int, known: dict) -> np.ndarray:
-    """Sorted distinct hashes of the n-word shingles of a text."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    count = max(1, len(h) - n + 1)
-    out = np.zeros(count, np.uint64)
-    for j in range(min(n, len(h))):
-        out = _mix(out + h[j : j + count], j)
-    out = np.sort(_mix(out, 7))
-    return out[np.concatenate(([True], out[1:] != out[:-1]))]
+def shingle_sets(texts: list[bytes | None], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of the n-word shingles of each text, one after the other, and how many each has."""
+    words = [(t or b"").lower().split() for t in texts]
+    counts = np.fromiter(map(len, words), np.int64, len(words))
+    total = int(counts.sum())
+    h = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(words)), np.uint64, total)
+    sizes = np.where(counts > 0, np.maximum(counts - n + 1, 1), 0)
+    ends = np.cumsum(sizes)
+    # Place of each shingle's first word; texts of fewer words than a shingle are one shingle.
+    at = np.arange(int(sizes.sum())) + np.repeat(np.cumsum(counts) - counts - (ends - sizes), sizes)
+    used = np.repeat(np.minimum(counts, n), sizes)
+    out = np.zeros(len(at), np.uint64)
+    h = np.append(h, np.zeros(n, np.uint64))
+    for j in range(n):
+        mixed = _mix(out + h[at + j], j)
+        out = mixed if (used > j).all() else np.where(used > j, mixed, out)
+    out = _mix(out, 7)
+    for low, high in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
+        out[low:high].sort()
+    first = np.zeros(len(out) + 1, bool)
+    first[ends - sizes] = True
+    first = first[:-1]
+    first[1:] |= out[1:] != out[:-1]
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    return out[first], np.bincount(owner[first], minlength=len(texts))
+
+
+def _batches(texts: list[bytes | None]) -> Iterator[slice]:
+    """Texts in slices of a few megabytes."""
+    low = size = 0
+    for i, t in enumerate(texts):
+        size += len(t or b"")
+        if size >= 2_000_000:
+            yield slice(low, i + 1)
+            low, size = i + 1, 0
+    if low < len(texts):
+        yield slice(low, len(texts))
 
 
 @dataclass(frozen=True)
@@ -125,47 +140,60 @@ class Measure:
 
         The lowest bit of a signature is that of its band's number.
         """
-        out = []
-        low_bits = (elements & np.uint64(0xFFFFFFFF)).astype(np.float64)
-        high_bits = (elements >> np.uint64(32)).astype(np.float64)
-        for i, n1, n2, spare, cell, subsets, full in self._signed_bands(elements):
-            low = np.bincount(cell, low_bits, n1 * n2)
-            high = np.bincount(cell, high_bits, n1 * n2)
-            sums = low.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32))
-            sums = _mix(sums, 5).reshape(n1, n2)
-            mixed = [_mix(sums[:, q], q) for q in range(n2)]
-            part = np.arange(n1, dtype=np.uint64)
-            weak = n1 - int(full.all(axis=1).sum())
-            for s, subset in enumerate(subsets):
-                total = _mix(part + np.uint64((i * 8 + s + 1) * int(_ODD[0]) % (1 << 64)), 1)
-                for q in subset:
-                    total = _mix(total + mixed[q], 2)
-                total = (total << np.uint64(1)) | np.uint64(i & 1)
-                out.append(total[full[:, s]] if weak <= spare else total)
-        return np.concatenate(out)
+        return self.signed_sets(elements, np.array([len(elements)]))[0]
 
     def surplus(self, elements: np.ndarray) -> tuple[int, int]:
         """How many signatures a set may leave out, of its even and its odd band."""
-        out = [0, 0]
-        for i, n1, _, spare, _, _, full in self._signed_bands(elements):
-            weak = n1 - int(full.all(axis=1).sum())
-            # Without signatures on empty subsets a weak part may not count.  A set that
-            # makes them all meets sets that do not, and so leaves out nothing.
-            out[i & 1] = max(0, spare - weak)
-        return out[0], out[1]
-
-    def _signed_bands(self, elements: np.ndarray) -> Iterator[tuple]:
-        """Band, parts, sub-parts, spare parts, cell of each element, subsets, which of them are not empty."""
-        lows = self.bands(len(elements).bit_length())
-        band = int(np.searchsorted(lows, len(elements), "right")) - 1
+        even, odd = self.signed_sets(elements, np.array([len(elements)]))[2][0]
+        return int(even), int(odd)
+
+    def signed_sets(self, elements: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Signatures of many nonempty sets, the set of each, and how many signatures each set may leave out.
+
+        A part is weak where a subset of its sub-parts is empty in the set.  Of two similar
+        sets, at least one more than ``spare`` parts share a signature, and where that is
+        on an empty subset the part is weak in both.  A set with no more weak parts than
+        that makes none on empty subsets; it shares at least spare + 1 - weak signatures
+        with the other and leaves out one less.  A set with more weak parts makes all its
+        signatures and leaves out none, as the other may share just one with it.
+        """
+        lows = self.bands(int(sizes.max()).bit_length())
+        band = np.searchsorted(lows, sizes, "right") - 1
+        owner = np.repeat(np.arange(len(sizes)), sizes)
         x, y = _mix(elements, 3) >> np.uint64(32), _mix(elements, 4) >> np.uint64(32)
+        low_bits = (elements & np.uint64(0xFFFFFFFF)).astype(np.float64)
+        high_bits = (elements >> np.uint64(32)).astype(np.float64)
+        found, sets, surplus = [], [], np.zeros((len(sizes), 2), np.int64)
         for i in (band, band + 1):
-            n1, n2, spare, subsets = self.parts(int(lows[i]))
-            cell = ((x * np.uint64(n1)) >> np.uint64(32)) * np.uint64(n2) + ((y * np.uint64(n2)) >> np.uint64(32))
-            cell = cell.astype(np.int64)
-            some = np.bincount(cell, minlength=n1 * n2).reshape(n1, n2) > 0
-            full = np.stack([reduce(or_, (some[:, j] for j in q)) for q in subsets], axis=1)
-            yield i, n1, n2, spare, cell, subsets, full
+            kinds, kind = np.unique(i, return_inverse=True)
+            known = [self.parts(int(lows[k])) for k in kinds]
+            n1, n2, spare = (np.array([p[c] for p in known])[kind] for c in range(3))
+            base = np.cumsum(n1 * n2) - n1 * n2
+            m1, m2 = n1.astype(np.uint64)[owner], n2.astype(np.uint64)[owner]
+            cell = (((x * m1) >> np.uint64(32)) * m2 + ((y * m2) >> np.uint64(32))).astype(np.int64) + base[owner]
+            cells = int(n1 @ n2)
+            some = np.bincount(cell, minlength=cells) > 0
+            sums = np.bincount(cell, low_bits, cells).astype(np.uint64) + (np.bincount(cell, high_bits, cells).astype(np.uint64) << np.uint64(32))
+            sums = _mix(sums, 5)
+            for width in np.unique(n2):
+                chosen = np.flatnonzero(n2 == width)
+                subsets = next(p[3] for p in known if p[1] == width)
+                of = np.repeat(chosen, n1[chosen])
+                part = np.arange(len(of)) - np.repeat(np.cumsum(n1[chosen]) - n1[chosen], n1[chosen])
+                at = base[of] + part * width
+                mixed = [_mix(sums[at + q], q) for q in range(width)]
+                full = np.stack([reduce(or_, (some[at + q] for q in subset)) for subset in subsets], axis=1)
+                weak = n1 - np.bincount(of, full.all(axis=1), len(sizes)).astype(np.int64)
+                surplus[chosen, i[chosen] & 1] = np.maximum(0, spare - weak)[chosen]
+                kept = full | (weak > spare)[of][:, None]
+                for s, subset in enumerate(subsets):
+                    total = _mix(part.astype(np.uint64) + (i[of] * 8 + s + 1).astype(np.uint64) * _ODD[0], 1)
+                    for q in subset:
+                        total = _mix(total + mixed[q], 2)
+                    total = (total << np.uint64(1)) | (i[of] & 1).astype(np.uint64)
+                    found.append(total[kept[:, s]])
+                    sets.append(of[kept[:, s]])
+        return np.concatenate(found), np.concatenate(sets), surplus
 
 
 @cache
@@ -184,15 +212,24 @@ def _text_bytes(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary").alias("text"))
 
 
-def _sketch(elements: np.ndarray) -> np.ndarray:
-    """Parities of the elements per hash bucket, a power of two of at least the set's size.
+def _sketches(elements: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Parities of the elements of each set per hash bucket, a power of two of at least the set's size.
 
     Sketches differ in at most as many bits as sets in elements.  Folding one by
     half gives the sketch of half the size.
     """
-    bits = max(SKETCH_BITS, 1 << (len(elements) - 1).bit_length()) if len(elements) else SKETCH_BITS
-    counts = np.bincount((_mix(elements, 6) % np.uint64(bits)).astype(np.int64), minlength=bits)
-    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+    bits = np.array([max(SKETCH_BITS, 1 << (int(n) - 1).bit_length()) if n else SKETCH_BITS for n in sizes], np.int64)
+    base = np.cumsum(bits) - bits
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    bucket = (_mix(elements, 6) & (bits - 1).astype(np.uint64)[owner]).astype(np.int64) + base[owner]
+    packed = np.packbits((np.bincount(bucket, minlength=int(bits.sum())) & 1).astype(np.uint8)).view(np.int64)
+    return np.split(packed, (np.cumsum(bits) // 64)[:-1])
+
+
+def _digests(elements: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
+    """Digest of each set, null for an empty one."""
+    ends = np.cumsum(sizes).tolist()
+    return [hashlib.blake2b(elements[end - n : end].tobytes(), digest_size=16).digest() if n else None for end, n in zip(ends, sizes.tolist(), strict=True)]
 
 
 def set_digests(docs: DataFrame, measure: Measure) -> DataFrame:
@@ -203,25 +240,20 @@ def set_digests(docs: DataFrame, measure: Measure) -> DataFrame:
 
     @F.pandas_udf("n long, digest binary, sketch array<bigint>, even int, odd int")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = _Hashes()
         for batch in batches:
-            sets = [shingles(t, measure.n, known) for t in batch]
-            surplus = [measure.surplus(s) if len(s) else (0, 0) for s in sets]
-            yield pd.DataFrame({
-                "n": [len(s) for s in sets],
-                "digest": [_digest(s) if len(s) else None for s in sets],
-                "sketch": [_sketch(s) for s in sets],
-                "even": [x for x, _ in surplus],
-                "odd": [x for _, x in surplus],
-            })
+            texts, parts = batch.tolist(), []
+            for piece in _batches(texts):
+                elements, sizes = shingle_sets(texts[piece], measure.n)
+                surplus = np.zeros((len(sizes), 2), np.int64)
+                if len(elements):
+                    surplus[sizes > 0] = measure.signed_sets(elements, sizes[sizes > 0])[2]
+                parts.append(pd.DataFrame({
+                    "n": sizes, "digest": _digests(elements, sizes), "sketch": _sketches(elements, sizes), "even": surplus[:, 0], "odd": surplus[:, 1]}))
+            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({c: [] for c in ("n", "digest", "sketch", "even", "odd")})
 
     return _text_bytes(docs).select("doc_id", of("text").alias("s")).select("doc_id", "s.*")
 
 
-def _digest(elements: np.ndarray) -> bytes:
-    return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
-
-
 def signed(docs: DataFrame, measure: Measure) -> DataFrame:
     """(signature, doc_id, others); sets that a task has met before are not signed again.
 
@@ -229,31 +261,25 @@ def signed(docs: DataFrame, measure: Measure) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, met = _Hashes(), set()
+        met: set[bytes | None] = {None}
         for batch in batches:
-            ids, sigs, rows = [], [], 0
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                s = shingles(text, measure.n, known)
-                if not len(s) or (digest := _digest(s)) in met:
-                    continue
-                met.add(digest)
-                ids.append(doc)
-                sigs.append(measure.signatures(s))
-                rows += len(sigs[-1])
-                if rows > 300_000:
-                    yield _rows(ids, sigs)
-                    ids, sigs, rows = [], [], 0
-            if ids:
-                yield _rows(ids, sigs)
+            ids, texts = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("text").to_pylist()
+            for piece in _batches(texts):
+                elements, sizes = shingle_sets(texts[piece], measure.n)
+                new = np.zeros(len(sizes), bool)
+                for i, digest in enumerate(_digests(elements, sizes)):
+                    new[i] = digest not in met
+                    met.add(digest)
+                if new.any():
+                    signature, at, _ = measure.signed_sets(elements[np.repeat(new, sizes)], sizes[new])
+                    yield _rows(signature.view(np.int64), ids[piece][new][at])
 
     return _text_bytes(docs.where(F.col("doc_id").isNotNull())).mapInArrow(
         run, "signature long, doc_id long, others array<long>")
 
 
-def _rows(ids: list, sigs: list[np.ndarray]) -> pa.RecordBatch:
+def _rows(signature: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
     """One row for each signature: those of one document in its place, others with a list."""
-    signature = np.concatenate(sigs).view(np.int64)
-    doc = np.repeat(np.array(ids, np.int64), [len(s) for s in sigs])
     order = np.argsort(signature, kind="stable")
     new = np.concatenate(([True], signature[order][1:] != signature[order][:-1]))
     first = np.sort(order[new])
@@ -277,9 +303,12 @@ def set_arrays(rows: DataFrame, measure: Measure) -> DataFrame:
 
     @F.pandas_udf("array<bigint>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = _Hashes()
         for batch in batches:
-            yield pd.Series([shingles(t, measure.n, known).view(np.int64) for t in batch])
+            texts, out = batch.tolist(), []
+            for piece in _batches(texts):
+                elements, sizes = shingle_sets(texts[piece], measure.n)
+                out += np.split(elements.view(np.int64), np.cumsum(sizes)[:-1])
+            yield pd.Series(out, dtype=object)
 
     # Else Spark would move conditions on the sets, and with them this function, below the joins that choose the rows.
     of = of.asNondeterministic()

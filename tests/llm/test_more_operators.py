@@ -141,6 +141,55 @@ def test_similar_sets_share_more_signatures_than_they_may_leave_out():
                     raise AssertionError((m, size))
 
 
+#: Two texts of similarity 12 / 15 whose sets have several weak parts.
+WEAK = ["w10141 w31929 w33219 w8778 w15893 w22601 w15503 w22336 w15429 w13538 w14622 w13701 w16375 w23966 w22714",
+        "w10141 w31929 w33219 w8778 w15893 w22601 w15429 w14622 w13701 w16375 w23966 w22714"]
+
+
+def test_sets_with_weak_parts_keep_their_links(spark):
+    got = jaccard_join.join_components(frame(spark, WEAK), jaccard_join.Measure(1, 80, 100)).collect()
+    assert {r["component_id"] for r in got} == {0}
+
+
+def test_small_sets_share_a_signature_that_both_keep():
+    """All sizes from 2 to 30: whatever is left out, similar sets keep the rarest signature they share."""
+    rnd = np.random.default_rng(12)
+    tried = 0
+    for m in (jaccard_join.Measure(1, 80, 100), jaccard_join.Measure(1, 90, 100)):
+        for size in range(2, 31):
+            for _ in range(120):
+                a = np.unique(rnd.integers(0, 2**63, size).astype(np.uint64))
+                gone, new = rnd.integers(0, size // 5 + 1), rnd.integers(0, size // 5 + 1)
+                b = np.unique(np.concatenate((a[gone:], rnd.integers(0, 2**63, new).astype(np.uint64))))
+                if not len(b) or not m.linked(len(np.intersect1d(a, b)), len(a), len(b)):
+                    continue
+                tried += 1
+                sa, sb = m.signatures(a), m.signatures(b)
+                kept = False
+                for parity, (x, y) in enumerate(zip(m.surplus(a), m.surplus(b), strict=True)):
+                    own, other = (np.unique(s[s & np.uint64(1) == parity]) for s in (sa, sb))
+                    both = np.intersect1d(own, other)
+                    # At worst the shared ones are the most frequent of either set.
+                    kept |= len(both) > max(x, y)
+                assert kept, (m, size)
+    assert tried > 3000
+
+
+def test_sets_of_a_batch_are_those_of_each_text():
+    rnd = random.Random(3)
+    texts = [None, b"", b"one", b"One two", b" a\tb  c "] + [" ".join(f"w{rnd.randrange(60)}" for _ in range(rnd.randrange(1, 90))).encode() for _ in range(60)]
+    for m in (jaccard_join.Measure(), jaccard_join.Measure(5, 80, 100)):
+        elements, sizes = jaccard_join.shingle_sets(texts, m.n)
+        each = [jaccard_join.shingle_sets([t], m.n)[0] for t in texts]
+        assert sizes.tolist() == [len(x) for x in each] and (elements == np.concatenate(each)).all()
+        for text, n in zip(texts, sizes, strict=True):
+            w = (text or b"").lower().split()
+            assert n == len({tuple(w[i : i + m.n]) for i in range(max(len(w) - m.n + 1, min(len(w), 1)))})
+        signature, at, surplus = m.signed_sets(elements, sizes[sizes > 0])
+        for i, one in enumerate(x for x in each if len(x)):
+            assert sorted(signature[at == i]) == sorted(m.signatures(one)) and tuple(surplus[i]) == m.surplus(one)
+
+
 def test_jaccard_rows_of_one_id_are_one_document(spark):
     rows = [(5, "a b c d"), (5, "p q r s"), (3, "a b c d"), (9, "p q r s"), (None, "a b c d"), (7, None)]
     got = sorted((r["doc_id"] or 0, r["component_id"]) for r in jaccard_join.join_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
