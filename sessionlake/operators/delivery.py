@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlake.functions import ids
-from sessionlake.operators import cutting
+from sessionlake.operators import cutting, normalize
 from sessionlake.operators import policy as policies
 from sessionlake.sources import canonical
 
@@ -218,18 +218,46 @@ def requeue(states: DataFrame, batch_ids: DataFrame) -> DataFrame:
     return marked.withColumn("status", F.when(F.col("__chosen") & (F.col("status") == "quarantined"), "pending").otherwise(F.col("status"))).drop("__chosen")
 
 
-def frontier(items: DataFrame, base: int = 0) -> DataFrame:
-    """Per sink: offsets up to which all is acked, and up to which all is settled."""
-    rows = items.withColumn("__gap", F.col("ledger_offset") != base + F.row_number().over(Window.partitionBy("sink_id").orderBy("ledger_offset")))
-    first_bad = lambda good: F.min(F.when(F.col("__gap") | ~F.col("status").isin(*good), F.col("ledger_offset")))
-    first_gap = F.min(F.when(F.col("__gap"), F.col("ledger_offset") - 1))
-    out = rows.groupBy("sink_id").agg(
-        first_bad(["acked", "skipped"]).alias("a"), first_bad(["acked", "skipped", "quarantined"]).alias("t"), F.max("ledger_offset").alias("top"),
-        F.max(F.when(~F.col("__gap"), F.col("ledger_offset"))).alias("whole"), first_gap.alias("__g"))
-    end = F.coalesce("whole", F.lit(base))
-    upto = lambda c: F.when(F.col(c).isNull(), end).otherwise(F.least(end, F.col(c) - 1))
-    return out.select("sink_id", upto("a").cast("bigint").alias("acked_contiguous_offset"), upto("t").cast("bigint").alias("terminal_contiguous_offset"),
-                      (upto("t") - upto("a")).cast("bigint").alias("gap_count"))
+def frontier(items: DataFrame, base: int | DataFrame = 0, width: int = cutting.RANGE) -> DataFrame:
+    """Per sink: offsets up to which all is acked, and up to which all is settled, and the last event delivered.
+
+    ``base`` is where all sinks begin, or a table (sink_id, acked_contiguous_offset,
+    terminal_contiguous_offset) of stored frontiers, which go on from there.  Ranges of
+    offsets are summarised each for itself (first, last, first gap, first bad item);
+    the summaries of a sink, a row for each range, are then read in order.  Sinks of the
+    table without items keep their frontier.
+    """
+    names = ["acked_contiguous_offset", "terminal_contiguous_offset"]
+    if isinstance(base, int):
+        begin = items.select("sink_id").distinct().select("sink_id", *[F.lit(base).cast("bigint").alias(c) for c in names])
+    else:
+        begin = base.select("sink_id", *names)
+    begin = begin.select("sink_id", F.col(names[0]).alias("__acked"), F.col(names[1]).alias("__terminal"))
+    settled = ["acked", "skipped", "quarantined"]
+    inside = Window.partitionBy("sink_id", "__range").orderBy("ledger_offset")
+    order = Window.partitionBy("sink_id").orderBy("__range")
+    ahead = items.join(F.broadcast(begin), "sink_id", "inner")  # a row for each sink
+
+    def reached(start: str, good: list[str]) -> DataFrame:
+        rows = ahead.where(F.col("ledger_offset") > F.col(start)).withColumn("__range", F.floor(F.col("ledger_offset") / width))
+        rows = rows.withColumn("__before", F.lag("ledger_offset").over(inside))
+        ranges = rows.groupBy("sink_id", "__range").agg(
+            F.min("ledger_offset").alias("low"), F.max("ledger_offset").alias("high"), F.first(start).alias("start"),
+            F.min(F.when(F.col("__before") != F.col("ledger_offset") - 1, F.col("__before"))).alias("gap"),
+            (F.min(F.when(~F.col("status").isin(good), F.col("ledger_offset"))) - 1).alias("bad"))
+        last = F.coalesce(F.lag("high").over(order), F.col("start"))
+        ranges = ranges.withColumn("end", F.least("gap", "bad", F.when(F.col("low") != last + 1, last)))
+        return ranges.groupBy("sink_id").agg(F.coalesce(F.min("end"), F.max("high")).alias(f"{start}_end"))
+
+    out = begin.join(reached("__acked", settled[:2]), "sink_id", "left").join(reached("__terminal", settled), "sink_id", "left")
+    acked, terminal = F.coalesce("__acked_end", "__acked"), F.coalesce("__terminal_end", "__terminal")
+    out = out.select("sink_id", acked.alias(names[0]), terminal.alias(names[1]), F.greatest(terminal - acked, F.lit(0)).alias("gap_count"), "__acked")
+    if "last_event_id" not in items.columns:
+        return out.drop("__acked")
+    done = items.where(F.col("last_event_id") != "").join(F.broadcast(out.select("sink_id", "__acked", F.col(names[0]).alias("__end"))), "sink_id")
+    last = done.where((F.col("ledger_offset") > F.col("__acked")) & (F.col("ledger_offset") <= F.col("__end"))).groupBy("sink_id").agg(
+        F.max_by("last_event_id", "ledger_offset").alias("last_event_id"))
+    return out.drop("__acked").join(last, "sink_id", "left").withColumn("last_event_id", F.coalesce("last_event_id", F.lit("")))
 
 
 def summary(items: DataFrame, attempts: DataFrame, as_of: Column) -> DataFrame:
@@ -272,3 +300,14 @@ def replay(events: DataFrame, sinks: dict[str, policies.Policy], classes: DataFr
     rows = rows if upto is None else rows.where(F.col("ledger_offset") <= upto)
     wanted = {name: policy for name, policy in sinks.items() if name in chosen}
     return outbox(rows, wanted) if wanted else outbox(rows, sinks).where(F.lit(False))
+
+
+def replay_ledger(ledger: DataFrame, sinks: dict[str, policies.Policy], classes: DataFrame, classify=normalize.generic,
+                  include_unsafe: bool = False, requested: list[str] | None = None) -> DataFrame:
+    """Outbox items of the whole ledger, normalized anew with fresh sequences, for the sinks of the plan; an error if there are none."""
+    plan = replay_plan(classes, include_unsafe, requested).collect()  # a handful of sinks
+    chosen = {r["sink_id"] for r in plan if r["included"]} & set(sinks)
+    if not chosen:
+        blocked = sorted(r["sink_id"] for r in plan if not r["included"])
+        raise ValueError("replay selected no sinks" + (f"; left out as not idempotent: {', '.join(blocked)}" if blocked else ""))
+    return outbox(normalize.normalize(ledger, classify), {name: policy for name, policy in sinks.items() if name in chosen})

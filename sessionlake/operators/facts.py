@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import defaultdict, deque
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,89 +73,79 @@ def pair_sides(commands: DataFrame, second_key: str | None = None) -> DataFrame:
     finish takes the oldest open start with its call id; without one it takes the
     oldest open start of any kind, or (with ``second_key``) the oldest with equal text.
 
-    Sessions in which every finish has a call id and a start before it are paired by
-    counting per call id; sessions without any call id by a running balance; only
-    the others are folded, on narrow rows, session by session.
+    One shuffle by session: its rows are read in order, as a stream, and only the sides
+    of open starts are kept.
     """
-    calls = Window.partitionBy("session", "call_id").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("session").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    step = F.when(F.col("started"), 1).otherwise(-1)
-    rows = commands.withColumns({"__open": F.sum(step).over(calls), "__sum": F.sum(step).over(whole)})
-    session = Window.partitionBy("session")
-    rows = rows.withColumns({
-        "__ordered": F.min(F.when(~F.col("started"), (F.col("call_id") != "") & (F.col("__open") >= 0)).otherwise(True)).over(session),
-        "__bare": F.max("call_id").over(session) == ""})
-    bare = F.col("__bare") & ~F.col("__ordered") if second_key is None else F.lit(False)
-
-    ordered = rows.where("__ordered")
-    number = F.row_number().over(Window.partitionBy("session", "call_id", "started").orderBy("at"))
-    ordered = ordered.withColumn("__k", number)
-    pick = lambda which: F.max(F.when(which, F.col("side")))
-    both = [pick(F.col("started")).alias("s"), pick(~F.col("started")).alias("f")]
-    by_call = ordered.groupBy("session", "call_id", "__k").agg(*both).select("session", "s", "f")
-
-    low = F.least(F.lit(0), F.coalesce(F.min("__sum").over(whole.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    plain = rows.where(bare).withColumn("__lone", ~F.col("started") & (F.col("__sum") < low))
-    lone = plain.where("__lone").select("session", F.when(F.lit(False), F.col("side")).alias("s"), F.col("side").alias("f"))
-    plain = plain.where("not __lone").withColumn("__k", F.row_number().over(Window.partitionBy("session", "started").orderBy("at")))
-    balanced = plain.groupBy("session", "__k").agg(*both).select("session", "s", "f")
     other = F.lit("") if second_key is None else F.col(second_key)
-    place = F.row_number().over(Window.partitionBy("session").orderBy("at"))
-    mixed = rows.where(~F.col("__ordered") & ~bare).select("session", "key", "started", "call_id", place.alias("n"), other.alias("second"))
-    mixed = mixed.repartition("session").sortWithinPartitions("session", "n")
-    folded = mixed.mapInPandas(_fold(second_key is not None), "session string, start_key string, finish_key string")
-    sides = rows.where(~F.col("__ordered") & ~bare)
-    folded = (folded.join(sides.select(F.col("key").alias("start_key"), F.col("side").alias("s")), "start_key", "left")
-              .join(sides.select(F.col("key").alias("finish_key"), F.col("side").alias("f")), "finish_key", "left").select("session", "s", "f"))
-    return by_call.unionByName(lone).unionByName(balanced).unionByName(folded)
+    rows = commands.select("session", "at", "started", F.coalesce("call_id", F.lit("")).alias("call_id"), F.coalesce(other, F.lit("")).alias("second"), "side")
+    rows = rows.repartition("session").sortWithinPartitions("session", "at").drop("at")
+    side = rows.schema["side"].dataType.simpleString()
+    return rows.mapInArrow(_fold(second_key is not None), f"session string, s {side}, f {side}")
 
 
 class _Open:
-    """Open starts of one session, oldest first, and where each call id or text waits."""
+    """Open starts of one session, oldest first: where their sides are, and where each call id or text waits."""
 
     def __init__(self):
-        self.keys: dict[int, str] = {}
+        self.sides: dict[int, int] = {}
         self.calls: dict[str, deque] = defaultdict(deque)
         self.texts: dict[str, deque] = defaultdict(deque)
 
-    def start(self, n: int, key: str, call: str, second: str) -> None:
-        self.keys[n] = key
+    def start(self, n: int, side: int, call: str, second: str) -> None:
+        self.sides[n] = side
         self.calls[call].append(n)
         self.texts[second].append(n)
 
-    def take(self, waiting: dict[str, deque], name: str) -> str | None:
+    def take(self, waiting: dict[str, deque], name: str) -> int | None:
         queue = waiting.get(name) if name else None
         while queue:
-            key = self.keys.pop(queue.popleft(), None)
-            if key is not None:
-                return key
+            side = self.sides.pop(queue.popleft(), None)
+            if side is not None:
+                return side
         return None
 
-    def oldest(self) -> str | None:
-        return self.keys.pop(next(iter(self.keys))) if self.keys else None
+    def oldest(self) -> int | None:
+        return self.sides.pop(next(iter(self.sides))) if self.sides else None
 
 
 def _fold(by_text: bool):
     """Folds sessions that lie in a row, in order; state is one session's open starts."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        session, state, out = None, _Open(), []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        session, state, n, held = object(), _Open(), 0, None
+
+        def pairs(sides: pa.Array, who: list, starts: list, finishes: list) -> pa.RecordBatch:
+            pick = lambda at: sides.take(pa.array(at, pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(who, pa.string()), pick(starts), pick(finishes)], ["session", "s", "f"])
+
         for batch in batches:
-            for name, key, started, call, n, second in batch.itertuples(index=False):
+            own = batch.column("side")
+            before = 0 if held is None else len(held)
+            sides = own if not before else pa.concat_arrays([held, own])
+            who, starts, finishes = [], [], []
+            columns = [batch.column(c).to_pylist() for c in ("session", "started", "call_id", "second")]
+            for i, (name, started, call, second) in enumerate(zip(*columns, strict=True), before):
                 if name != session:
-                    out += [(session, k, None) for k in state.keys.values()]
+                    for side in state.sides.values():
+                        who.append(session)
+                        starts.append(side)
+                        finishes.append(None)
                     session, state = name, _Open()
                 if started:
-                    state.start(n, key, call, second)
+                    n += 1
+                    state.start(n, i, call, second)
                     continue
                 found = state.take(state.calls, call)
                 if found is None:
                     found = state.take(state.texts, second) if by_text else state.oldest()
-                out.append((session, found, key))
-            yield pd.DataFrame(out, columns=["session", "start_key", "finish_key"])
-            out = []
-        out += [(session, k, None) for k in state.keys.values()]
-        yield pd.DataFrame(out, columns=["session", "start_key", "finish_key"])
+                who.append(session)
+                starts.append(found)
+                finishes.append(i)
+            yield pairs(sides, who, starts, finishes)
+            held = sides.take(pa.array(list(state.sides.values()), pa.int64()))
+            state.sides = dict(zip(state.sides, range(len(held)), strict=True))
+        if held is not None and len(held):
+            yield pairs(held, [session] * len(held), list(state.sides.values()), [None] * len(held))
 
     return run
 

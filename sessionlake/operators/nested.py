@@ -19,13 +19,14 @@ BUCKET = 100_000
 
 
 def call_names(rows: DataFrame, call_id: str = "call_id", name: str = "own_name", order: str = "ledger_offset", stored: str | None = None,
-               bucket: int = BUCKET) -> DataFrame:
+               bucket: int = BUCKET, known: DataFrame | None = None) -> DataFrame:
     """Adds ``call_name``: the own name, else the latest earlier name that was stored for the same call.
 
     ``stored`` is the column of names to remember, by default the own ones.  Each range
     of offsets of a call is filled for itself, then from the last name of the ranges
     before, so a call with very many rows is many tasks; only a row for each call and
-    range is carried over.  Rows without a call id never enter a window.
+    range is carried over.  Rows without a call id never enter a window.  ``known``
+    (call_id, name) has the names from before these rows.
     """
     given = F.coalesce(F.col(call_id), F.lit("")) != ""
     own, kept = F.when(F.col(name) != "", F.col(name)), F.when(F.col(stored or name) != "", F.col(stored or name))
@@ -34,6 +35,9 @@ def call_names(rows: DataFrame, call_id: str = "call_id", name: str = "own_name"
     ranges = Window.partitionBy(call_id).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = last.select(call_id, "__bucket", F.last("__last", ignorenulls=True).over(ranges).alias("__carried"))
     before = Window.partitionBy(call_id, "__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    if known is not None:
+        carried = carried.join(known.select(F.col("call_id").alias(call_id), F.col("name").alias("__known")), call_id, "left").withColumn(
+            "__carried", F.coalesce("__carried", "__known")).drop("__known")
     found = F.coalesce(own, F.last(kept, ignorenulls=True).over(before), F.col("__carried"), F.lit(""))
     named = called.join(carried, [call_id, "__bucket"]).withColumn("call_name", found).select(*rows.columns, "call_name")
     return named.unionByName(rows.where(~given).withColumn("call_name", F.coalesce(own, F.lit(""))))
@@ -56,19 +60,33 @@ def content_text(content: Column) -> Column:
     return F.coalesce(F.when(F.schema_of_variant(content) == "STRING", F.try_variant_get(content, "$", "string")), joined, F.lit(""))
 
 
-def classify(rows: DataFrame) -> DataFrame:
-    """Kind, status, actor and payload of nested records.
-
-    Names are stored by calls alone.  The table of aliases sees the payload of a
-    ``response_item``, but not that of an ``event_msg``.
-    """
+def _named_rows(rows: DataFrame) -> DataFrame:
+    """With type, inner type, call id, own name and the name that a call stores."""
     v, inner = F.col("__v"), F.try_variant_get("__v", "$.payload", "variant")
     s = lambda *p: F.coalesce(payload.string(v, *p), F.lit(""))
-    calls = F.col("__inner").isin(_CALLS) & (F.col("__top") == "response_item")
     rows = rows.withColumns({
         "__top": s("type"), "__inner": s("payload", "type"), "call_id": s("payload", "call_id"),
         "own_name": text.first_nonempty(payload.string(inner, "name"), payload.string(inner, "tool_name"), payload.string(inner, "tool"))})
-    rows = call_names(rows.withColumn("__stored", F.when(calls, F.col("own_name")).otherwise("")), stored="__stored")
+    calls = F.col("__inner").isin(_CALLS) & (F.col("__top") == "response_item")
+    return rows.withColumn("__stored", F.when(calls, F.col("own_name")).otherwise(""))
+
+
+def stored_names(envelopes: DataFrame) -> DataFrame:
+    """(call_id, name): the latest name that the calls among raw envelopes store."""
+    rows = _named_rows(envelopes.withColumn("__v", payload.parse(F.col("raw_payload")))).where((F.col("__stored") != "") & (F.col("call_id") != ""))
+    return rows.groupBy("call_id").agg(F.max_by("__stored", "ledger_offset").alias("name"))
+
+
+def classify(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Kind, status, actor and payload of nested records.
+
+    Names are stored by calls alone; ``known`` (call_id, name) has earlier ones.  The
+    table of aliases sees the payload of a ``response_item``, but not that of an
+    ``event_msg``.
+    """
+    v, inner = F.col("__v"), F.try_variant_get("__v", "$.payload", "variant")
+    s = lambda *p: F.coalesce(payload.string(v, *p), F.lit(""))
+    rows = call_names(_named_rows(rows), stored="__stored", known=known)
     top, kind = F.col("__top"), F.col("__inner")
     item = top == "response_item"
     arguments = F.try_parse_json(text.first_nonempty(s("payload", "arguments"), s("payload", "input")))

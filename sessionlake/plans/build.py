@@ -7,7 +7,6 @@ import json
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sessionlake.functions import ids
 from sessionlake.operators import facts, normalize
 from sessionlake.plans.presets import Tables
 
@@ -74,6 +73,3 @@ def merge(snapshots: list[tuple[str, DataFrame]], key: str) -> DataFrame:
         out = part if out is None else out.unionByName(part)
     last = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("__at")))
     return out.withColumn("__n", last).where("__n = 1").drop("__n", "__at")
-
-
-__all__ = ["tables", "machine_binding", "compatible", "export", "merge", "ids"]

@@ -88,7 +88,9 @@ def check_read_only(spark: SparkSession, query: str) -> None:
     _check(spark, spark._jsparkSession.sessionState().sqlParser().parsePlan(query), frozenset(TABLES))
 
 
-def run(spark: SparkSession, t: Tables, query: str) -> DataFrame:
+def run(spark: SparkSession, t: Tables, query: str, previews: bool = False) -> DataFrame:
+    if previews:
+        raise ValueError("previews cannot be combined with own SQL")
     check_read_only(spark, query)
     for name in TABLES:
         getattr(t, name).createOrReplaceTempView(name)

@@ -279,6 +279,61 @@ def nested_records(spark, sf):
     return out.select("ledger_offset", "kind", get("$.command").alias("command"), get("$.exit_code").cast("bigint").alias("exit_code"), get("$.text").alias("said"), "actor_name")
 
 
+#: Nested records of all types; C and D become call ids of their round.
+_NESTED = [
+    '{"type":"event_msg","payload":{"type":"tool_result","exit_code":2}}', '{"type":"event_msg","payload":{"kind":"user"}}', '{"type":"event_msg","payload":{"type":"tool_use","name":"grep"}}',
+    '{"type":"event_msg","payload":{"type":"user_message","message":"hi"}}', '{"type":"event_msg","payload":{"type":"agent_message","message":"yo"}}',
+    '{"type":"event_msg","payload":{"type":"context_compacted"}}', '{"type":"event_msg","payload":{"type":"token_count","info":{"n":1}}}',
+    '{"type":"response_item","payload":{"type":"tool_result","exit_code":2}}', '{"type":"response_item","payload":{"kind":"assistant"}}', '{"type":"response_item","payload":{"type":"strange"}}',
+    '{"type":"response_item","payload":{"type":"message","role":"developer","content":"x"}}', '{"type":"response_item","payload":{"type":"message","role":"assistant","content":[{"text":"a"},{"output_text":"b"},3]}}',
+    '{"type":"response_item","payload":{"type":"reasoning","content":"hidden"}}', '{"type":"response_item","payload":{"type":"function_call","name":"exec_command","call_id":"C","arguments":"{\\"cmd\\":\\"ls\\"}"}}',
+    '{"type":"response_item","payload":{"type":"function_call_output","call_id":"C","output":"Process exited with code 1","command":"given"}}',
+    '{"type":"response_item","payload":{"type":"custom_tool_call","tool_name":"apply_patch","call_id":"D","input":"no json"}}',
+    """{"type":"response_item","payload":{"type":"custom_tool_call_output","call_id":"D","output":"Command: sh -lc 'fix' Process exited with code 0"}}""",
+    '{"type":"response_item","payload":{"type":"function_call_output","call_id":"other","output":"Process exited with code 4"}}', '{"type":"response_item","payload":{"type":"function_call_output","name":"own","call_id":"C","output":""}}',
+    '{"type":"response_item","payload":{"type":"web_search_call","status":"completed"}}', '{"type":"response_item","payload":{"type":"web_search_call"}}', '{"type":"session_meta","payload":{"id":"x"}}',
+    '{"type":"turn_context"}', '{"type":"compacted"}', '{"payload":{"type":"assistant","role":"r"}}', '{"type":"git.diff","payload":{"type":"user"}}', '{"kind":"user","payload":{}}', "[1]"]
+_NESTED_SQL = """, raws as (select ledger_offset o, replace(replace((LIST)[(ledger_offset - 1) % N + 1], '"C"', '"c' || ((ledger_offset - 1) // N) || '"'), '"D"', '"d' || ((ledger_offset - 1) // N) || '"') raw from ev),
+ty as (select o, raw, json_type(raw) = 'OBJECT' ok, coalesce(raw ->> '$.type', '') top, coalesce(raw ->> '$.kind', '') tk, coalesce(raw ->> '$.payload.type', '') i, coalesce(raw ->> '$.payload.kind', '') ik,
+  coalesce(raw ->> '$.payload.role', '') role, coalesce(raw ->> '$.payload.call_id', '') cid, coalesce(raw ->> '$.payload.name', raw ->> '$.payload.tool_name', raw ->> '$.payload.tool', '') own,
+  coalesce(raw ->> '$.payload.output', '') outp, coalesce((raw ->> '$.payload.exit_code')::int, 0) ec from raws),
+nm as (select *, case when own <> '' then own when cid = '' then '' else coalesce(last_value(case when top = 'response_item' and i in ('function_call', 'custom_tool_call') then nullif(own, '') end ignore nulls)
+    over (partition by cid order by o rows between unbounded preceding and 1 preceding), '') end found from ty),
+tl as (select *, case when top <> 'response_item' then '' when i = 'web_search_call' then 'web_search' when i in ('function_call', 'custom_tool_call') then own
+    when i in ('function_call_output', 'custom_tool_call_output') then coalesce(nullif(found, ''), 'tool') else '' end tool, nullif(regexp_extract(outp, 'Process exited with code ([0-9]+)', 1), '')::bigint code,
+  case when top = 'event_msg' then i when top = 'response_item' then coalesce(nullif(i, ''), ik) else coalesce(nullif(top, ''), nullif(i, ''), tk) end a from nm),
+kd as (select *, case when not ok then 'error' when top = 'session_meta' then 'session.started' when top = 'turn_context' then 'model.changed' when top = 'compacted' then 'message.system'
+  when top = 'event_msg' and i = 'user_message' then 'message.user' when top = 'event_msg' and i = 'agent_message' then 'message.agent' when i = 'token_count' then 'usage.reported'
+  when top = 'response_item' and i = 'message' then case role when 'user' then 'message.user' when 'assistant' then 'message.agent' else 'message.system' end when top = 'response_item' and i = 'reasoning' then 'message.agent'
+  when top = 'response_item' and i in ('function_call', 'custom_tool_call') then case tool when 'exec_command' then 'command.started' when 'apply_patch' then 'file.patch' else 'tool.started' end
+  when top = 'response_item' and i like '%_call_output' then case when tool = 'exec_command' then 'command.finished' when tool = 'apply_patch' then 'file.patch' when code > 0 then 'tool.failed' else 'tool.finished' end
+  when i = 'web_search_call' then case when raw ->> '$.payload.status' = 'completed' then 'tool.finished' else 'tool.started' end
+  when a = 'tool_result' then case when top <> 'event_msg' and ec > 0 then 'tool.failed' else 'tool.finished' end when a = 'tool_use' then 'tool.started' when a = 'user' then 'message.user'
+  when a = 'assistant' then 'message.agent' when a like 'git.%' then a when top = 'event_msg' then 'message.system' else 'error' end kind from tl)
+select o ledger_offset, kind, case when kind = 'message.user' then 'user' when kind = 'message.agent' then coalesce(nullif(role, ''), 'test_local')
+    when kind like 'command.%' then case when tool in ('', 'exec_command') then 'shell' else tool end
+    when kind like 'tool.%' or kind = 'file.patch' then coalesce(nullif(tool, ''), raw ->> '$.payload.name', 'tool') else 'test_local' end actor_name,
+  case when kind = 'error' then 'failed' else 'ok' end parse_status, nullif(tool, '') tool_name, case when i like '%_call_output' then code end exit_code,
+  case when i = 'function_call' then (raw ->> '$.payload.arguments') ->> '$.cmd' when i like '%_call_output' then coalesce(nullif(regexp_extract(outp, '-lc ''([a-z]*)', 1), ''), raw ->> '$.payload.command') end command,
+  case when top = 'event_msg' then raw ->> '$.payload.message' when i = 'message' then coalesce(raw ->> '$.payload.content[0].text' || chr(10) || (raw ->> '$.payload.content[1].output_text'), raw ->> '$.payload.content') end said from kd"""
+_NESTED_SQL = _NESTED_SQL.replace("(LIST)", "([" + ", ".join("'" + x.replace("'", "''") + "'" for x in _NESTED) + "])").replace("% N", f"% {len(_NESTED)}").replace("// N", f"// {len(_NESTED)}")
+
+
+@query("b11_b14_nested_types", _E + _NESTED_SQL)
+def nested_types(spark, sf):
+    from sessionlake.operators import nested
+
+    n, at = len(_NESTED), F.col("ledger_offset") - 1
+    raw = F.element_at(F.array(*[F.lit(x) for x in _NESTED]), (at % n + 1).cast("int"))
+    turn = F.floor(at / n).cast("string")
+    for mark in "CD":
+        raw = F.replace(raw, F.lit(f'"{mark}"'), F.concat(F.lit(f'"{mark.lower()}'), turn, F.lit('"')))
+    out = normalize.normalize(testbed.ledger(spark, sf).withColumn("raw_payload", raw), nested.classify)
+    get = lambda p: F.get_json_object("payload", p)
+    return out.select("ledger_offset", "kind", "actor_name", "parse_status", get("$.tool_name").alias("tool_name"), get("$.exit_code").cast("bigint").alias("exit_code"),
+                      get("$.command").alias("command"), get("$.text").alias("said"))
+
+
 @query("b21_event_versions", _E + """
 select envelope_id, 2 event_version, 'sess_' || substr(sha256(concat_ws(chr(31), machine_id, inst, ssk)), 1, 16) session_key,
  'evt_' || substr(sha256(concat_ws(chr(31), source_type, machine_id, inst, 'sess_' || substr(sha256(concat_ws(chr(31), machine_id, inst, ssk)), 1, 16), seq, kind, stamp, chash)), 1, 16) event_id
@@ -684,6 +739,38 @@ def frontier(spark, sf):
     return delivery.frontier(rows.select(F.concat(F.lit("sink-"), F.col("s").cast("string")).alias("sink_id"), "ledger_offset", status_.alias("status")))
 
 
+@query("h13_resumed_frontier", _E + """, it as (select 'sink-' || s sink_id, ledger_offset o, event_id, case when s = 0 and ledger_offset = 700 then 'pending' when s = 1 and ledger_offset in (450, 460) then 'quarantined'
+ when s = 1 and ledger_offset = 900 then 'pending' when ledger_offset % 9 = 0 then 'skipped' else 'acked' end status from ev cross join (values (0), (1), (2), (3)) t(s) where not (s = 2 and ledger_offset = 500)),
+bs as (select * from (values ('sink-0', 300, 350), ('sink-1', 400, 400), ('sink-2', 0, 499), ('sink-3', 100000000, 100000000)) t(sink_id, a0, t0)),
+fa as (select sink_id, any_value(a0) a0, coalesce(min(o - 1) filter (o <> a0 + r or status not in ('acked', 'skipped')), max(o)) hi, min(a0 + r) filter (o <> a0 + r) g from
+  (select *, row_number() over (partition by sink_id order by o) r from it join bs using (sink_id) where o > a0) group by 1),
+ft as (select sink_id, coalesce(min(o - 1) filter (o <> t0 + r or status not in ('acked', 'skipped', 'quarantined')), max(o)) hi, min(t0 + r) filter (o <> t0 + r) g from
+  (select *, row_number() over (partition by sink_id order by o) r from it join bs using (sink_id) where o > t0) group by 1),
+fr as (select bs.sink_id, bs.a0, coalesce(least(fa.hi, fa.g - 1), bs.a0)::bigint a, coalesce(least(ft.hi, ft.g - 1), bs.t0)::bigint t from bs left join fa using (sink_id) left join ft using (sink_id))
+select sink_id, a acked_contiguous_offset, t terminal_contiguous_offset, greatest(t - a, 0) gap_count,
+ coalesce((select arg_max(event_id, o) from it where it.sink_id = fr.sink_id and o > a0 and o <= a), '') last_event_id from fr""")
+def resumed_frontier(spark, sf):
+    o = F.col("ledger_offset")
+    rows = _events(spark, sf).select("ledger_offset", "event_id", F.explode(F.array(*[F.lit(k) for k in range(4)])).alias("s")).where(~((F.col("s") == 2) & (o == 500)))
+    status_ = (F.when((F.col("s") == 0) & (o == 700), "pending").when((F.col("s") == 1) & o.isin(450, 460), "quarantined").when((F.col("s") == 1) & (o == 900), "pending")
+               .when(o % 9 == 0, "skipped").otherwise("acked"))
+    items = rows.select(F.concat(F.lit("sink-"), F.col("s").cast("string")).alias("sink_id"), "ledger_offset", status_.alias("status"), F.col("event_id").alias("last_event_id"))
+    base = spark.createDataFrame([("sink-0", 300, 350), ("sink-1", 400, 400), ("sink-2", 0, 499), ("sink-3", 100_000_000, 100_000_000)],
+                                 "sink_id string, acked_contiguous_offset long, terminal_contiguous_offset long")
+    return delivery.frontier(items, base)
+
+
+@query("h14_queue_by_state", """with it as (select 'sink-' || (user_id % 3) sink_id, ts, case event_id % 7 when 0 then 'acked' when 1 then 'skipped' when 2 then 'quarantined' when 3 then 'retrying' else 'pending' end st from events)
+select sink_id, count(*) filter (st not in ('acked', 'skipped')) queue_depth, min(ts) filter (st = 'pending') oldest_pending, count(*) filter (st = 'pending') pending,
+ count(*) filter (st = 'acked') acked, count(*) filter (st = 'skipped') skipped, count(*) filter (st = 'quarantined') quarantined from it group by 1""")
+def queue_by_state(spark, sf):
+    e = testbed.table(spark, sf, "events")
+    names = F.array(*[F.lit(x) for x in ("acked", "skipped", "quarantined", "retrying", "pending", "pending", "pending")])
+    items = e.select(F.concat(F.lit("sink-"), (F.col("user_id") % 3).cast("string")).alias("sink_id"), F.element_at(names, (F.col("event_id") % 7 + 1).cast("int")).alias("status"), F.col("ts").alias("created_at"))
+    return delivery.summary(items, _attempts(spark, sf), F.lit("2024-01-16 00:00:00").cast("timestamp")).select(
+        "sink_id", "queue_depth", "oldest_pending", "pending", "acked", "skipped", "quarantined")
+
+
 @query("h14_delivery_summary", _E + _ATT + """, dq as (select 'sink-' || (k % 3) sink_id, count(*) queue_depth, min(ts) oldest_pending, count(*) pending, 0::bigint acked, 0::bigint skipped, 0::bigint quarantined from ev group by 1),
 rc as (select sink_id, sum(ec)::bigint e, count(*) n, count(*) filter (outcome = 'success') s, max(pb) m from att where ts <= timestamp '2024-01-16 00:00:00' and epoch_us(ts) // 1000000 > epoch(timestamp '2024-01-16 00:00:00')::bigint - 60 group by 1)
 select dq.*, coalesce(e, 0) events_last_minute, coalesce(n, 0) attempts_last_minute, coalesce(s, 0) successes_last_minute, coalesce(m, 0) max_bytes_last_minute from dq left join rc using (sink_id)""")

@@ -44,7 +44,7 @@ def chat_records(messages: DataFrame, sessions: DataFrame, after: int = 0, reaso
 
 
 def chat_envelopes(records: DataFrame, profile: str, path: str, instance: str, machine: str, observed_at: Column) -> DataFrame:
-    artifact = ids.stable_id("art", F.lit("hermes"), F.lit(profile), F.lit(path))
+    artifact = artifact_id(profile, path)
     rows = records.withColumns({"source_type": F.lit("chat_local"), "source_instance_id": F.lit(instance), "artifact_id": artifact,
                                 "cursor_kind": F.lit("message_id"), "cursor_value": F.col("id").cast("string"),
                                 "content_hash": ids.content_hash(F.col("raw_payload"))})
@@ -57,8 +57,61 @@ def chat_envelopes(records: DataFrame, profile: str, path: str, instance: str, m
         F.col("id").alias("line"))
 
 
+def is_profile_name(name: str) -> bool:
+    return name not in ("", ".", "..") and "/" not in name and "\\" not in name
+
+
 def profiles(tables: dict[str, tuple[DataFrame, DataFrame]], chosen: str = "default") -> list[str]:
     """Profile names: the default, 'all' (sorted), or a list; unknown names are dropped."""
-    if chosen == "all":
+    if chosen.strip().lower() == "all":
         return sorted(tables)
     return list(dict.fromkeys(x.strip() for x in chosen.split(",") if x.strip() in tables))
+
+
+def artifact_id(profile: str, path: str) -> Column:
+    return ids.stable_id("art", F.lit("hermes"), F.lit(profile), F.lit(path))
+
+
+def start_after(cursor: str | None, token: str | None, artifact: str) -> int:
+    """The message id to go on after, from a stored cursor and the artifact it was stored for.
+
+    A cursor of another artifact is not used; one without an artifact, or that is no
+    number, is an error.
+    """
+    cursor = (cursor or "").strip()
+    if not cursor:
+        return 0
+    if not token:
+        raise ValueError(f"checkpoint cursor {cursor!r} is missing artifact token")
+    if token != artifact:
+        return 0
+    if not cursor.lstrip("+-").isdigit() or not cursor.isascii():
+        raise ValueError(f"checkpoint cursor {cursor!r} is no message id")
+    return int(cursor)
+
+
+def read_profiles(databases: dict[str, tuple[str, DataFrame, DataFrame]], chosen: str, instance: str, machine: str, observed_at: Column,
+                  checkpoints: dict[str, tuple[str, str]] | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """(envelopes, checkpoints) of the default profile and the chosen ones, as one table.
+
+    ``databases`` has path, messages and sessions of each profile; ``chosen`` is 'all',
+    a list of names or empty.  ``checkpoints`` has cursor and token of each profile; new
+    ones are (profile, artifact_id, cursor, token), the cursor being the largest id read,
+    or the old one where nothing was read.
+    """
+    spark = next(iter(databases.values()))[1].sparkSession
+    names = {x: databases[x] for x in databases if x == "default" or is_profile_name(x)}
+    wanted = [x for x in ["default", *sorted(names)] if x in names] if chosen.strip().lower() == "all" else [
+        x for x in dict.fromkeys(["default", *(x.strip() for x in chosen.split(","))]) if x in names]
+    envelopes, next_ones = None, None
+    for name in dict.fromkeys(wanted):  # a handful of databases
+        path, messages, sessions = names[name]
+        own = spark.range(1).select(artifact_id(name, path)).first()[0]
+        cursor, token = (checkpoints or {}).get(name, (None, None))
+        after = start_after(cursor, token, own)
+        part = chat_envelopes(chat_records(messages, sessions, after, **options), name, path, instance, machine, observed_at)
+        done = messages.where(F.col("id") > after).agg(F.coalesce(F.max("id"), F.lit(after)).cast("string").alias("cursor")).select(
+            F.lit(name).alias("profile"), F.lit(own).alias("artifact_id"), "cursor", F.lit(own).alias("token"))
+        envelopes = part if envelopes is None else envelopes.unionByName(part)
+        next_ones = done if next_ones is None else next_ones.unionByName(done)
+    return envelopes, next_ones

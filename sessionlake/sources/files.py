@@ -147,27 +147,39 @@ def envelopes(lines: DataFrame, resolver: Resolver, source_type: str, instance:
     """Raw envelopes of (artifact_id, locator, project_root, line, value).
 
     Session and project are carried forward inside an artifact: the last one seen,
-    before that the file's name and the root.  Chunks of an artifact's lines are filled
-    each for itself, then from the last value of the chunks before.
+    before that the file's name and the root.  Chunks of a large artifact's lines are
+    filled each for itself, then from the last value of the chunks before.
     """
     col = lambda x: F.lit(x) if isinstance(x, str) else x
-    rows = lines.withColumn("raw_payload", lenient(F.col("value"))).withColumn("__v", F.try_parse_json("raw_payload"))
-    got = resolver(F.col("__v"))
     given = lambda c: F.when(c != "", c)
-    rows = rows.withColumns({"__session": given(got["session"]), "__project": given(got["project"]), "__chunk": F.floor(F.col("line") / CHUNK)})
+
+    def resolved(part: DataFrame) -> DataFrame:
+        part = part.withColumn("raw_payload", lenient(F.col("value"))).withColumn("__v", F.try_parse_json("raw_payload"))
+        got = resolver(F.col("__v"))
+        kind = text.first_given(got["kind"], payload.string(F.col("__v"), "type"), payload.string(F.col("__v"), "kind"), F.lit("unknown"))
+        return part.withColumns({"__session": given(got["session"]), "__project": given(got["project"]), "__time": got["time"], "raw_kind": kind}).drop("__v")
+
+    both = ("__session", "__project")
+    # Only the sizes of artifacts are needed to tell large ones; nothing is parsed for that.
+    sized = lines.join(lines.groupBy("artifact_id").agg(F.max("line").alias("__top")), "artifact_id")
+    rows = resolved(sized.where(F.col("__top") <= CHUNK))
+    upto = Window.partitionBy("artifact_id").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({f"{c}_seen": F.last(c, ignorenulls=True).over(upto) for c in both})
+    large = resolved(sized.where(F.col("__top") > CHUNK)).withColumn("__chunk", F.floor(F.col("line") / CHUNK))
     seen = Window.partitionBy("artifact_id", "__chunk").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy("artifact_id").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("line"))).alias(c)
-    before = rows.groupBy("artifact_id", "__chunk").agg(last("__session"), last("__project"))  # a row for each chunk
-    before = before.select("artifact_id", "__chunk", *[F.last(c, ignorenulls=True).over(earlier).alias(f"{c}_before") for c in ("__session", "__project")])
-    rows = rows.join(before, ["artifact_id", "__chunk"])
-    carried = lambda c, default: F.coalesce(F.last(c, ignorenulls=True).over(seen), F.col(f"{c}_before"), default)
+    before = large.groupBy("artifact_id", "__chunk").agg(last("__session"), last("__project"))  # a row for each chunk
+    before = before.select("artifact_id", "__chunk", *[F.last(c, ignorenulls=True).over(earlier).alias(f"{c}_before") for c in both])
+    large = large.join(before, ["artifact_id", "__chunk"]).withColumns(
+        {f"{c}_seen": F.coalesce(F.last(c, ignorenulls=True).over(seen), F.col(f"{c}_before")) for c in both})
+    rows = rows.unionByName(large.select(*rows.columns))
+    carried = lambda c, default: F.coalesce(F.col(f"{c}_seen"), default)
     name = F.substring_index("locator", "/", -1)
     rows = rows.withColumns({
         "source_type": F.lit(source_type), "source_instance_id": col(instance), "machine_id": col(machine),
         "hint_session": carried("__session", name), "hint_project": carried("__project", F.col("project_root")),
-        "source_timestamp": got["time"],
-        "raw_kind": text.first_given(got["kind"], payload.string(F.col("__v"), "type"), payload.string(F.col("__v"), "kind"), F.lit("unknown")),
+        "source_timestamp": F.col("__time"),
         "cursor_kind": F.col("cursor_kind") if "cursor_kind" in lines.columns else F.lit(cursor_kind),
         "cursor_value": F.col("line").cast("string"), "observed_at": observed_at,
         "content_hash": ids.content_hash(F.col("raw_payload")), "confidence": F.lit(0.8),
