@@ -17,9 +17,10 @@ _SHAPE = ", ".join(f"{x} string" for x in ["command", "message", "model", "name"
 
 
 def _fields(events: DataFrame) -> DataFrame:
-    """With ``exit_code`` and the payload's fields that are shown, read once."""
-    code = payload.integer(F.try_parse_json("payload"), "exit_code")
-    return events.withColumns({"exit_code": code, "__f": F.from_json("payload", _SHAPE)})
+    """With ``exit_code``, ``duration_ms`` and the payload's fields that are shown, read once."""
+    v = F.try_parse_json("payload")
+    return events.withColumns({"exit_code": payload.integer(v, "exit_code"), "duration_ms": payload.integer(v, "duration_ms"),
+                               "__f": F.from_json("payload", _SHAPE)})
 
 
 def _text(*path: str) -> Column:
@@ -92,17 +93,23 @@ def command_events(events: DataFrame) -> DataFrame:
 
 
 def collapsed_commands(events: DataFrame) -> DataFrame:
-    """Commands of each session: completed, started_only or finished_only, in order."""
+    """Commands of each session: completed, started_only or finished_only.
+
+    The duration is the one that a finish tells, else the time between both ends, if
+    the finish is not the earlier one.
+    """
     rows = command_events(events)
     out = pair_sides(rows.select(
         F.col("session_key").alias("session"), F.col("event_id").alias("key"), (F.col("kind") == STARTED).alias("started"), "call_id",
         F.struct("sequence", "event_id").alias("at"), "command",
-        F.struct("sequence", "timestamp", "command", "exit_code", "call_id", "output").alias("side")), second_key="command")
+        F.struct("sequence", "timestamp", "command", "exit_code", "duration_ms", "call_id", "output").alias("side")), second_key="command")
     status = F.when(F.col("s").isNull(), "finished_only").when(F.col("f").isNull(), "started_only").otherwise("completed")
+    between = F.timestamp_diff("MILLISECOND", F.col("s.timestamp"), F.col("f.timestamp"))
     return out.select(
         F.col("session").alias("session_key"), status.alias("status"), text.first_nonempty(F.col("s.command"), F.col("f.command")).alias("command"),
-        F.col("s.sequence").alias("start_sequence"), F.col("f.sequence").alias("finish_sequence"), F.col("f.exit_code").alias("exit_code"),
-        F.timestamp_diff("MILLISECOND", F.col("s.timestamp"), F.col("f.timestamp")).alias("duration_ms"))
+        F.col("s.sequence").alias("start_sequence"), F.col("f.sequence").alias("finish_sequence"),
+        F.when(F.col("f").isNull(), F.col("s.exit_code")).otherwise(F.col("f.exit_code")).alias("exit_code"),
+        F.coalesce("f.duration_ms", F.when(F.col("f.timestamp") >= F.col("s.timestamp"), between)).alias("duration_ms"))
 
 
 def filter_commands(commands: DataFrame, which: str = "all") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -24,7 +26,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again; lost executors cost nothing of it."""
-    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    """``df`` written as Parquet in the shared folder and read again; lost executors cost nothing of it.
+
+    The table is deleted when the driver's Python ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    atexit.register(_delete, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone already
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

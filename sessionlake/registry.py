@@ -569,11 +569,37 @@ def histogram(spark, sf):
     return sessions.kind_histogram(_events(spark, sf))
 
 
-@query("g6_g7_collapsed_commands")
+# Commands of each session one after the other: a finish takes the oldest open start of its call, else of its text.
+_COLLAPSE = """
+fold(gs, n, ids, calls, texts, s, f) as (select gs, 0::bigint, []::bigint[], []::varchar[], []::varchar[], null::bigint, null::bigint from (select distinct gs from cmd)
+  union all
+  select gs, n, case when st then list_append(ids, seq) when pos > 0 then list_concat(ids[: pos - 1], ids[pos + 1 :]) else ids end,
+    case when st then list_append(calls, cid) when pos > 0 then list_concat(calls[: pos - 1], calls[pos + 1 :]) else calls end,
+    case when st then list_append(texts, ctx) when pos > 0 then list_concat(texts[: pos - 1], texts[pos + 1 :]) else texts end,
+    case when not st and pos > 0 then ids[pos] end, case when not st then seq end
+  from (select c.*, fold.ids, fold.calls, fold.texts, case when c.cid <> '' and list_position(fold.calls, c.cid) > 0 then list_position(fold.calls, c.cid)
+        when c.ctx <> '' and list_position(fold.texts, c.ctx) > 0 then list_position(fold.texts, c.ctx) else 0 end pos
+    from fold join cmd c on c.gs = fold.gs and c.n = fold.n + 1)),
+pr as (select gs, s, f from fold where f is not null union all select gs, unnest(ids) s, null f from fold where (gs, n) in (select (gs, max(n)) from fold group by gs)),
+cc as (select p.gs session_key, case when p.s is null then 'finished_only' when p.f is null then 'started_only' else 'completed' end status, coalesce(nullif(a.ctx, ''), b.ctx, '') command,
+    p.s start_sequence, p.f finish_sequence, case when p.f is null then a.code else b.code end exit_code,
+    coalesce(b.dur, case when b.ts >= a.ts then (epoch_us(b.ts) - epoch_us(a.ts)) // 1000 end) duration_ms
+  from pr p left join cmd a on a.gs = p.gs and a.seq = p.s left join cmd b on b.gs = p.gs and b.seq = p.f)
+"""
+
+
+@query("g6_g7_collapsed_commands", f"with recursive {_EV}" + """, cmd as (select session_key gs, seq, kind = 'command.started' st, '' cid, '' ctx, exit_code code, duration_ms dur, ts,
+  row_number() over (partition by session_key order by seq) n from ev where kind like 'command.%'),""" + _COLLAPSE + "select * from cc where status <> 'completed' or exit_code <> 0")
 def collapsed(spark, sf):
     return sessions.filter_commands(sessions.collapsed_commands(_events(spark, sf)), "attention")
 
 
+@query("g6_g7_all_commands", f"with recursive {_RX}" + """, cmd as (select session_key gs, seq, kind = 'command.started' st, cid, ctx, code, null::bigint dur, ts,
+  row_number() over (partition by session_key order by seq) n from rx where cmd),""" + _COLLAPSE + "select * from cc")
+def all_commands(spark, sf):
+    return sessions.collapsed_commands(_rich(spark, sf))
+
+
 @query("g8_head_tail", _E + """select session_key, sequence, omitted from (select session_key, seq sequence, greatest(count(*) over (partition by session_key) - 4, 0) omitted,
  count(*) over (partition by session_key) a from ev) where a <= 4 or sequence <= 2 or sequence > a - 2""")
 def head_tail(spark, sf):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,19 +19,19 @@ CHUNK = 100_000
 def roots(spark: SparkSession, root: str) -> list[str]:
     """``root`` and all hidden folders below it, but ``.git``; Spark's own listing leaves hidden ones out.
 
-    Only names of folders come to the driver.
+    Two listings for each depth; only the names of hidden entries come to the driver's Python.
     """
-    top = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
-    out, ahead = [root], [top]
-    while ahead:
-        for status in fs.listStatus(ahead.pop()):
-            name = status.getPath().getName()
-            if status.isDirectory() and name != ".git":
-                ahead.append(status.getPath())
-                if name.startswith((".", "_")):
-                    out.append(status.getPath().toString())
-    return out
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    out, level = [root], re.sub(r"([\\\[\]{},*?])", r"\\\1", root.rstrip("/"))
+    while True:
+        for status in fs.globStatus(path(level + "/{.*,_*}")) or ():
+            name = status.getPath().toString()
+            if status.isDirectory() and "/.git/" not in f"{name}/".partition(root.rstrip("/"))[2]:
+                out.append(name)
+        level += "/*"
+        if not len(fs.globStatus(path(level)) or ()):
+            return out
 
 
 def _read(spark: SparkSession, root: str, pattern: str, kind: str, **options) -> DataFrame:
