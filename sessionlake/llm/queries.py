@@ -51,7 +51,7 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.repeated_units(_table(spark, sf_dir, "documents"))
+    return substring_dedup.repeated_units(_table(spark, sf_dir, "documents"), min_words=1)
 
 
 def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
