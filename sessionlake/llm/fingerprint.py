@@ -81,7 +81,7 @@ def bounds(docs: DataFrame) -> list[tuple[int, int]]:
 
 
 def _bucket(place: Column, firsts: list[tuple[int, int]]) -> Column:
-    """How many bounds lie at or before a place, looked up in two steps."""
+    """(n, first): how many bounds lie at or before a place, and whether it is the last of them; looked up in two steps."""
     width = max(1, int(len(firsts) ** 0.5))
     chunks = [firsts[i : i + width] for i in range(0, len(firsts), width)]
     array = lambda rows, kind: F.from_json(F.lit(json.dumps(rows)), kind)
@@ -89,7 +89,9 @@ def _bucket(place: Column, firsts: list[tuple[int, int]]) -> Column:
     heads = array([pair(c[0]) for c in chunks], f"array<{_PLACE}>")
     table = array([[pair(x) for x in c] for c in chunks], f"array<array<{_PLACE}>>")
     up_to = lambda items: F.size(F.filter(items, lambda x: x <= place))
-    return let(up_to(heads), lambda i: (i - 1) * width + up_to(F.get(table, i - 1)))
+    found = lambda i, items: let(up_to(items), lambda j: F.struct(
+        ((i - 1) * width + j).alias("n"), F.coalesce(F.get(items, j - 1) == place, F.lit(False)).alias("first")))
+    return let(up_to(heads), lambda i: let(F.coalesce(F.get(table, i - 1), F.array().cast(f"array<{_PLACE}>")), lambda items: found(i, items)))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -106,8 +108,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     if not firsts:
         placed = base.withColumns({"__bucket": F.lit(1), "__copy": F.lit(False)})
     else:
-        base = base.withColumn("__own", _bucket(F.col("__place"), firsts))
-        head = F.array_contains(F.from_json(F.lit(json.dumps([{"k": k, "h": h} for k, h in firsts])), f"array<{_PLACE}>"), F.col("__place"))
+        base = base.withColumn("__at", _bucket(F.col("__place"), firsts)).withColumns({"__own": F.col("__at.n"), "__head": F.col("__at.first")})
+        head = F.col("__head")
         to = lambda bucket, copy: F.struct(bucket.alias("bucket"), F.lit(copy).alias("copy"))
         own = to(F.col("__own"), False)
         before = to(F.when(F.col("__own") > 1, F.col("__own") - 1).otherwise(F.lit(len(firsts))), True)
