@@ -266,13 +266,14 @@ def _counted(surroundings: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([gram] * len(hashes), pa.int64()), pa.array(np.array(hashes, np.uint64).view(np.int64)),
                      pa.array([alone] * len(hashes), pa.bool_()), pa.array([id_] * len(hashes), pa.binary()),
-                     pa.array(np.arange(low + skip, low + skip + len(hashes)))],
-                    ["gram", "string", "alone", "id", "low"])
+                     pa.array(np.arange(low + skip, low + skip + len(hashes))), pa.array(place - np.arange(low + skip, low + skip + len(hashes)))],
+                    ["gram", "string", "alone", "id", "low", "back"])
 
-    strings = surroundings.mapInArrow(run, "gram long, string long, alone boolean, id binary, low long")
+    strings = surroundings.mapInArrow(run, "gram long, string long, alone boolean, id binary, low long, back long")
+    # One string may hold its gram several times, so the place of the gram in it counts too.
     # A row that stands for several equal surroundings counts as two.
-    shared = strings.groupBy("gram", "string").agg(F.sum(F.when(F.col("alone"), 1).otherwise(2)).alias("n")).where("n > 1").drop("n")
-    return strings.where("alone").join(shared, ["gram", "string"]).select("id", "low", (F.col("low") + LENGTH).alias("high"))
+    shared = strings.groupBy("gram", "back", "string").agg(F.sum(F.when(F.col("alone"), 1).otherwise(2)).alias("n")).where("n > 1").drop("n")
+    return strings.where("alone").join(shared, ["gram", "back", "string"]).select("id", "low", (F.col("low") + LENGTH).alias("high"))
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:

@@ -28,8 +28,8 @@ def frame(spark, rows):
 
 
 def brute_audit(rows, labels):
-    good = {i for i, q, _ in labels if q == 1}
-    toxic = {i for i, _, t in labels if t == 1}
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
     docs = []
     for i, t, lang in rows:
         t = t or ""
