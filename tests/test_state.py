@@ -119,7 +119,7 @@ def test_commands_are_paired_in_one_shuffle(spark):
             want |= {(s, x[0], None) for x in left}
         out = facts.pair(df, second)
         assert {tuple(r) for r in out.collect()} == want
-        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(session") == 1
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression [session") == 1
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
 
 
