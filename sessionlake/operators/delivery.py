@@ -32,14 +32,15 @@ def outbox(events: DataFrame, sinks: dict[str, policies.Policy], existing: DataF
 def outbox_batches(events: DataFrame, envelopes: DataFrame, sinks: dict[str, policies.Policy]) -> DataFrame:
     """Outbox items with what is sent of them: ``event`` and ``raw``, JSON of the redacted event and raw envelope.
 
-    ``raw`` is missing where a sink drops raw data.
+    ``raw`` is missing where a sink drops raw data.  Texts are joined by merging: Spark's
+    estimate of them is far below their size, and a broadcast passes through the driver.
     """
     parts = []
     for sink, policy in sinks.items():  # a handful of sinks
         own = policies.apply(policy, events).select(
             "ledger_offset", canonical.event_json().alias("event"), F.col("event_id").alias("last_event_id"), F.col("timestamp").alias("created_at"))
         raw = policies.apply_raw(policy, envelopes).select("ledger_offset", canonical.envelope_json().alias("raw"))
-        parts.append(own.join(raw, "ledger_offset", "left").select(
+        parts.append(own.join(raw.hint("merge"), "ledger_offset", "left").select(
             F.lit(sink).alias("sink_id"), "ledger_offset", F.lit("pending").alias("status"), "event", "raw", "last_event_id", "created_at"))
     out = parts[0]
     for part in parts[1:]:

@@ -81,6 +81,15 @@ def test_ready_batches_stop_at_the_first_that_is_not_ready(spark):
     assert {(r.sink_id, r.ledger_offset, r.batch_start, r.batch_end) for r in got.collect()} == want and want
 
 
+def test_texts_of_batches_are_never_broadcast(spark):
+    events = events_of(spark, 9)
+    raw = events.select("*", *[F.lit("x").alias(c) for c in ("artifact_id", "artifact_locator", "cursor_kind", "cursor_value", "raw_kind", "content_hash", "hint_session", "hint_project")],
+                        F.col("timestamp").alias("observed_at"), F.col("timestamp").alias("source_timestamp"), F.col("payload").alias("raw_payload"), F.lit(0.8).alias("confidence"))
+    out = delivery.outbox_batches(events, raw, {"all": policy.Policy()})
+    assert "BroadcastExchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.where("raw is not null").count() == 8
+
+
 def test_empty_queue(spark):
     df = spark.createDataFrame([], ITEMS)
     assert delivery.byte_capped(df, 10).count() == 0 and delivery.batches(df).count() == 0
