@@ -21,9 +21,17 @@ KINDS = {
 
 def kind_of(raw_kind: Column, v: Column) -> Column:
     """Canonical kind; unknown ones are errors."""
-    name = text.first_nonempty(raw_kind, payload.string(v, "type"), payload.string(v, "kind"))
+    return kind_named(text.first_nonempty(raw_kind, payload.string(v, "type"), payload.string(v, "kind")), failed(v))
+
+
+def failed(v: Column) -> Column:
+    """Whether a payload has an exit code above 0."""
+    return F.coalesce(payload.number(v, "exit_code"), F.lit(0)) > 0
+
+
+def kind_named(name: Column, failed: Column) -> Column:
+    """Canonical kind of a name; results of tools are told apart by ``failed``."""
     table = F.create_map(*[F.lit(x) for kind, names in KINDS.items() for alias in names for x in (alias, kind)])
-    failed = F.coalesce(payload.number(v, "exit_code"), F.lit(0)) > 0
     return F.when(name == "tool_result", F.when(failed, "tool.failed").otherwise("tool.finished")).otherwise(
         F.coalesce(F.try_element_at(table, name), F.lit("error")))
 
@@ -39,7 +47,9 @@ def generic(rows: DataFrame) -> DataFrame:
     """Kind, status, actor and payload of flat records."""
     v = F.col("__v")
     ok = payload.is_object(v) | (F.trim("raw_payload") == "") | (F.trim("raw_payload") == "null")
-    rows = rows.withColumn("kind", F.when(ok, kind_of(F.col("raw_kind"), v)).otherwise("error"))
+    rows = rows.withColumns({"__ok": ok, "__name": text.first_nonempty(F.col("raw_kind"), payload.string(v, "type"), payload.string(v, "kind"))})
+    ok = F.col("__ok")  # used several times, as is the name, but read once
+    rows = rows.withColumn("kind", F.when(ok, kind_named(F.col("__name"), failed(v))).otherwise("error"))
     who, name = actor_of(F.col("kind"), F.col("source_type"), v)
     broken = F.to_json(F.struct(F.lit("payload is not an object").alias("reason"), "raw_kind", "source_type"))
     return rows.withColumns({

@@ -50,8 +50,12 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
-    """``lines`` with the event ``__e`` and ``__bad``, what is wrong with it."""
-    rows = lines.withColumn("__e", F.from_json("value", SHAPE, _OPTIONS))
+    """``lines`` with the event ``__e`` and ``__bad``, what is wrong with it.
+
+    The event comes out of an ``explode``, as filters stay behind it: pushed through a
+    plain column, one on ``__bad`` would repeat all that made the line several times.
+    """
+    rows = lines.withColumn("__e", F.explode(F.array(F.from_json("value", SHAPE, _OPTIONS))))
     time = F.try_to_timestamp(F.when(F.col("__e.timestamp").rlike(_TIME), F.col("__e.timestamp")))
     bad = F.when(F.col("__e").isNull() | F.col("__e.__corrupt").isNotNull(), "malformed event").when(
         F.col("__e.timestamp").isNotNull() & time.isNull(), "time is not RFC 3339")

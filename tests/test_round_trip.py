@@ -259,6 +259,13 @@ def test_an_export_is_read_back(spark, tmp_path):
     assert sessions.summarize(got.where("event_id <> 'few'"), F.struct("locator", "line")).drop("position").count() == 3
 
 
+def test_lines_are_read_once_for_events_and_dead_letters(spark):
+    lines = delivery.export_lines(events_of(spark, 9)).select(F.lit("x").alias("locator"), F.col("ledger_offset").alias("line"), "value")
+    for out in (canonical.events(lines), canonical.dead_letters(lines)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1 and plan.count("StructsToJsonEvaluator") <= 2
+
+
 def test_sealed_formats_and_objects(spark, tmp_path):
     events = events_of(spark, 30).withColumn("project_locator", F.lit("p"))
     raw = spark.createDataFrame([(i, f"v{i}", "t", "i", "art", "", "p", "", "line", str(i), dt.datetime(2024, 1, 1), None, "k", '{"z":1}', "h", "ss", "", 0.5, ["a"]) for i in range(1, 30)],
