@@ -221,6 +221,19 @@ def test_nested_records_of_all_types(spark):
     assert nested_events(spark, ["[1]"])[0][:4] == ("error", "system", "codex_local", "failed")
 
 
+def test_nested_records_are_made_twice_and_fields_read_once(spark):
+    rows = normalize.normalize(spark.read.schema("ledger_offset long, envelope_id string, source_type string, source_instance_id string, artifact_id string, project_locator string, machine_id string, observed_at timestamp, "
+                                                 "source_timestamp timestamp, raw_kind string, raw_payload string, hint_session string, hint_project string, capabilities array<string>").json(
+        spark.sparkContext.parallelize([])), nested.classify)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 2 and plan.count("try_variant_get(") < 250
+
+
+def test_rows_without_a_call_keep_their_own_names(spark):
+    df = spark.createDataFrame([(1, None, "a"), (1, None, ""), (2, "", ""), (2, "", "b")], "ledger_offset long, call_id string, own_name string").repartition(1)
+    assert sorted(r.call_name for r in nested.call_names(df).collect()) == ["", "", "a", "b"]
+
+
 def test_names_of_calls_are_carried_over_ranges(spark):
     rnd = random.Random(6)
     rows = [(i, rnd.choice(["hot", "hot", "b", "", None]), rnd.choice(["", "", "n%d" % i])) for i in range(1, 400)]
