@@ -127,10 +127,41 @@ def batch_starts(items: DataFrame, limits: dict[str, tuple[int, int]] | tuple[in
 
     ``limits`` are events and bytes (0: any number) of a batch, for all sinks or by name.
     """
+
+    def rows(pdf: pd.DataFrame, first: np.ndarray, last: np.ndarray) -> dict:
+        offsets, size, own = pdf["ledger_offset"].to_numpy(), last - first + 1, slice(first[0], last[-1] + 1)
+        return {"ledger_offset": offsets[own], "payload_bytes": pdf["payload_bytes"].to_numpy()[own],
+                "batch_start": np.repeat(offsets[first], size), "batch_end": np.repeat(offsets[last], size)}
+
+    return _cut(items.select("sink_id", "ledger_offset", "payload_bytes"), limits, blocks_per_event, rows,
+                "ledger_offset long, payload_bytes long, batch_start long, batch_end long")
+
+
+def batch_spans(items: DataFrame, limits: dict[str, tuple[int, int]] | tuple[int, int], blocks_per_event: int = 16) -> DataFrame:
+    """A row for each batch: (sink_id, batch_start, batch_end, n, size, born), ``born`` being its first item's ``created_at`` in microseconds.
+
+    Offsets of a batch are consecutive, so its items need no rows of their own.
+    """
+
+    def rows(pdf: pd.DataFrame, first: np.ndarray, last: np.ndarray) -> dict:
+        offsets, total = pdf["ledger_offset"].to_numpy(), np.append(0, np.cumsum(pdf["payload_bytes"].to_numpy()))
+        return {"batch_start": offsets[first], "batch_end": offsets[last], "n": last - first + 1, "size": total[last + 1] - total[first], "born": pdf["born"].to_numpy()[first]}
+
+    born = F.unix_micros(F.col("created_at").cast("timestamp")).alias("born")
+    return _cut(items.select("sink_id", "ledger_offset", "payload_bytes", born), limits, blocks_per_event, rows,
+                "batch_start long, batch_end long, n long, size long, born long")
+
+
+def _cut(items: DataFrame, limits: dict[str, tuple[int, int]] | tuple[int, int], blocks_per_event: int,
+         rows: Callable[[pd.DataFrame, np.ndarray, np.ndarray], dict], schema: str) -> DataFrame:
+    """``rows`` of the items of each block and the places of its batches' first and last items.
+
+    Blocks have a least width: with few events to a batch, they would else be too many small groups.
+    """
     of = (lambda sink: limits) if isinstance(limits, tuple) else (lambda sink: limits[sink])
     max_events = limits[0] if isinstance(limits, tuple) else max(n for n, _ in limits.values())
-    width = max_events * blocks_per_event
-    own = stored(items.select("sink_id", "ledger_offset", "payload_bytes"))
+    width = max(max_events * blocks_per_event, RANGE // 8)
+    own = stored(items)
     narrow = _blocks(own, width, max_events)
 
     def sorted_ends(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -145,14 +176,15 @@ def batch_starts(items: DataFrame, limits: dict[str, tuple[int, int]] | tuple[in
         if not own:
             return None
         follows = offsets[end] + 1  # where the next batch starts
-        leaves = np.zeros(own + 1, np.int64)
-        after = np.searchsorted(offsets, follows)
+        leaves = [0] * (own + 1)
+        after, follows = np.searchsorted(offsets, follows).tolist(), follows.tolist()
         for i in range(own - 1, -1, -1):  # a batch ends in its block or in the items behind
             leaves[i] = follows[i] - high if follows[i] >= high else leaves[after[i]] if after[i] < own else 0
+        leaves = np.array(leaves, np.int64)
         enter = np.searchsorted(offsets[:own], low + np.arange(max_events + 1))
         return pd.DataFrame({"sink_id": _named(key[0], 1), "at": [block], "first": [block], "last": [block], "leaves": [leaves[enter]]})
 
-    tables = _each(narrow, ["sink_id", "__block"], "ledger_offset", table, _NODE)
+    tables = _each(narrow.select("sink_id", "ledger_offset", "payload_bytes", "__block"), ["sink_id", "__block"], "ledger_offset", table, _NODE)
     top = own.agg(F.max("ledger_offset")).first()[0]
     entered = stored(_entries(tables, 0 if top is None else top // width))
 
@@ -160,23 +192,23 @@ def batch_starts(items: DataFrame, limits: dict[str, tuple[int, int]] | tuple[in
         """The first row says where the block is entered, the others are its items."""
         enters, pdf = pdf["payload_bytes"].iloc[0], pdf.iloc[1:]
         offsets, end = sorted_ends(pdf)
-        sizes, high = pdf["payload_bytes"].to_numpy(), (int(key[1]) + 1) * width
-        i, spans = int(np.searchsorted(offsets, int(key[1]) * width + enters)), []
-        while i < len(offsets) and offsets[i] < high:
-            spans.append((i, int(end[i])))
-            i = int(end[i]) + 1
-        if not spans:
+        high = (int(key[1]) + 1) * width
+        i, inside, firsts = int(np.searchsorted(offsets, int(key[1]) * width + enters)), int(np.searchsorted(offsets, high)), []
+        ends = end.tolist()
+        while i < inside:
+            firsts.append(i)
+            i = ends[i] + 1
+        if not firsts:
             return None
-        first, last = np.array(spans).T
-        size, own = last - first + 1, slice(first[0], last[-1] + 1)
-        return pd.DataFrame({"sink_id": _named(key[0], int(size.sum())), "ledger_offset": offsets[own], "payload_bytes": sizes[own],
-                             "batch_start": np.repeat(offsets[first], size), "batch_end": np.repeat(offsets[last], size)})
+        first = np.array(firsts)
+        out = rows(pdf, first, end[first])
+        return pd.DataFrame({"sink_id": _named(key[0], len(next(iter(out.values()))))} | out)
 
     # Blocks with entries only: what lies in front of a sink's first block ends nothing.
-    heads = entered.select("sink_id", F.col("at").alias("__block"), F.lit(-1).cast("bigint").alias("ledger_offset"), F.col("enters").alias("payload_bytes"))
+    heads = entered.select("sink_id", F.col("at").alias("__block"), F.lit(-1).cast("bigint").alias("ledger_offset"), F.col("enters").alias("payload_bytes"),
+                           *[F.lit(0).cast("bigint").alias(c) for c in items.columns[3:]])
     inside = narrow.join(heads.select("sink_id", "__block"), ["sink_id", "__block"], "left_semi")
-    return _each(heads.unionByName(inside), ["sink_id", "__block"], "ledger_offset", cut,
-                 "sink_id string, ledger_offset long, payload_bytes long, batch_start long, batch_end long")
+    return _each(heads.unionByName(inside), ["sink_id", "__block"], "ledger_offset", cut, f"sink_id string, {schema}")
 
 
 def _passed(pdf: pd.DataFrame, enters: np.ndarray | int) -> list:

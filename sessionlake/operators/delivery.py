@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sessionlake.functions import ids
 from sessionlake.operators import cutting, normalize
 from sessionlake.operators import policy as policies
+from sessionlake.operators.stored import stored
 from sessionlake.sources import canonical
 
 
@@ -73,7 +74,7 @@ def byte_capped(items: DataFrame, max_bytes: int, max_events: int = 1000) -> Dat
     pending = items.where("status = 'pending'")
     cut = cutting.numbered(cutting.islands(cutting.batch_starts(pending, (max_events, max_bytes))))
     more = [c for c in items.columns if c not in cut.columns]
-    return cut.join(pending.select("sink_id", "ledger_offset", *more), ["sink_id", "ledger_offset"]) if more else cut
+    return cut.hint("merge").join(pending.select("sink_id", "ledger_offset", *more), ["sink_id", "ledger_offset"]) if more else cut
 
 
 @dataclass(frozen=True)
@@ -87,27 +88,32 @@ class Batching:
     window_offset: int = 0
 
 
-def ready_batches(items: DataFrame, as_of: Column, rules: dict[str, Batching]) -> DataFrame:
-    """Pending items of the batches that may be sealed now, with ``batch_start`` and ``batch_end``.
+def ready_spans(items: DataFrame, as_of: Column, rules: dict[str, Batching]) -> DataFrame:
+    """The batches of pending items that may be sealed now: (sink_id, batch_start, batch_end, event_count, payload_bytes).
 
     A batch is ready when it is full by count or bytes, or its first item is old
     enough, or batches hold one event; and its window has passed.  The first batch that
     is not ready blocks all that follow it in its sink.
     """
     pending = items.where((F.col("status") == "pending") & F.col("sink_id").isin(*rules))
-    cut = cutting.batch_starts(pending, {sink: (rule.max_events, rule.max_bytes) for sink, rule in rules.items()})
-    cut = cut.join(pending.drop("payload_bytes"), ["sink_id", "ledger_offset"])
-    born = F.max(F.when(F.col("ledger_offset") == F.col("batch_start"), F.col("created_at").cast("timestamp"))).alias("born")
-    heads = cut.groupBy("sink_id", "batch_start").agg(born, F.count(F.lit(1)).alias("n"), F.sum("payload_bytes").alias("size"))
+    heads = stored(cutting.batch_spans(pending, {sink: (rule.max_events, rule.max_bytes) for sink, rule in rules.items()}))
     now, ready = F.unix_micros(as_of.cast("timestamp")), F.lit(False)
     for sink, rule in rules.items():  # a handful of sinks
         full = (F.col("n") >= rule.max_events) | (F.lit(rule.max_bytes > 0) & (F.col("size") >= rule.max_bytes)) | F.lit(rule.max_events == 1)
-        old = F.lit(rule.max_age > 0) & (now - F.unix_micros("born") >= rule.max_age * 1_000_000)
-        passed = released(F.col("born"), as_of, rule.window_every, rule.window_offset) if rule.window_every > 0 else F.lit(True)
+        old = F.lit(rule.max_age > 0) & (now - F.col("born") >= rule.max_age * 1_000_000)
+        passed = released(F.timestamp_micros("born"), as_of, rule.window_every, rule.window_offset) if rule.window_every > 0 else F.lit(True)
         ready = ready | ((F.col("sink_id") == sink) & (full | old) & passed)
     blocked = heads.groupBy("sink_id").agg(F.min(F.when(~ready, F.col("batch_start"))).alias("blocked_from"))  # a row for each sink
-    return cut.join(F.broadcast(blocked), "sink_id").where(
-        F.col("blocked_from").isNull() | (F.col("batch_start") < F.col("blocked_from"))).drop("blocked_from")
+    return heads.join(F.broadcast(blocked), "sink_id").where(F.col("blocked_from").isNull() | (F.col("batch_start") < F.col("blocked_from"))).select(
+        "sink_id", "batch_start", "batch_end", F.col("n").alias("event_count"), F.col("size").alias("payload_bytes"))
+
+
+def ready_batches(items: DataFrame, as_of: Column, rules: dict[str, Batching]) -> DataFrame:
+    """Pending items of the :func:`ready_spans`, with ``batch_start`` and ``batch_end``."""
+    pending = items.where((F.col("status") == "pending") & F.col("sink_id").isin(*rules))
+    spans = ready_spans(items, as_of, rules).select(
+        "sink_id", F.explode(F.sequence("batch_start", "batch_end")).alias("ledger_offset"), "batch_start", "batch_end")
+    return pending.join(spans.hint("merge"), ["sink_id", "ledger_offset"])
 
 
 def seal(batched: DataFrame, key_template: str = "{prefix}/{sink_id}/{batch_id}.jsonl", prefix: str = "batches") -> DataFrame:

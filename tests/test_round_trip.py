@@ -81,6 +81,17 @@ def test_ready_batches_stop_at_the_first_that_is_not_ready(spark):
     assert {(r.sink_id, r.ledger_offset, r.batch_start, r.batch_end) for r in got.collect()} == want and want
 
 
+def test_queues_are_cut_once_into_a_row_for_each_batch(spark):
+    rules = {"a": delivery.Batching(max_events=4, max_bytes=200, max_age=600 * 60), "b": delivery.Batching(max_events=2)}
+    items = spark.createDataFrame(queue(random.Random(9), 0.05, 300), ITEMS)
+    now = F.lit("2024-01-01 14:00:00").cast("timestamp")
+    rows, spans = delivery.ready_batches(items, now, rules), delivery.ready_spans(items, now, rules)
+    for out in (rows, spans):  # the cut is stored: what follows runs no Python
+        assert "MapInPandas" not in out._jdf.queryExecution().executedPlan().toString()
+    want = rows.groupBy("sink_id", "batch_start", "batch_end").agg(F.count(F.lit(1)), F.sum("payload_bytes"))
+    assert sorted(map(tuple, spans.collect())) == sorted(map(tuple, want.collect())) != []
+
+
 def test_texts_of_batches_are_never_broadcast(spark):
     events = events_of(spark, 9)
     raw = events.select("*", *[F.lit("x").alias(c) for c in ("artifact_id", "artifact_locator", "cursor_kind", "cursor_value", "raw_kind", "content_hash", "hint_session", "hint_project")],
