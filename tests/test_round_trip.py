@@ -92,8 +92,9 @@ def test_queues_are_cut_once_into_a_row_for_each_batch(spark):
     assert sorted(map(tuple, spans.collect())) == sorted(map(tuple, want.collect())) != []
 
 
-def test_texts_of_batches_are_never_broadcast(spark):
-    events = events_of(spark, 9)
+def test_texts_of_batches_are_never_broadcast(spark, tmp_path):
+    events_of(spark, 9).write.parquet(str(tmp_path / "events"))
+    events = spark.read.parquet(str(tmp_path / "events"))  # files have a size, by which Spark would broadcast
     raw = events.select("*", *[F.lit("x").alias(c) for c in ("artifact_id", "artifact_locator", "cursor_kind", "cursor_value", "raw_kind", "content_hash", "hint_session", "hint_project")],
                         F.col("timestamp").alias("observed_at"), F.col("timestamp").alias("source_timestamp"), F.col("payload").alias("raw_payload"), F.lit(0.8).alias("confidence"))
     out = delivery.outbox_batches(events, raw, {"all": policy.Policy()})
