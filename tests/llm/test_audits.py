@@ -207,6 +207,22 @@ def test_suffix_dedup_equals_brute_force(spark, shard, monkeypatch):
     assert sum(w[2] for w in want) > 10_000
 
 
+def test_no_join_of_suffix_dedup_is_a_broadcast(spark, monkeypatch):
+    table, plans = Scratch.table, []
+
+    def noted(scratch, df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return table(scratch, df)
+
+    monkeypatch.setattr(Scratch, "table", noted)
+    monkeypatch.setattr(suffix_dedup.changed_texts, "__defaults__", (2,))  # shards are counted by hash too
+    docs = frame(spark, [(i, t, "en") for i, t in enumerate(edited_copies(random.Random(5), 12))])
+    for out in suffix_dedup.report(docs), suffix_dedup.without_repeats(docs):
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+    joins = "".join(plans)
+    assert "SortMergeJoin [gram" in joins and ", back" in joins and "Broadcast" not in joins
+
+
 def test_long_texts_are_cut_in_pieces(monkeypatch):
     rnd = random.Random(9)
     texts = [bytes(rnd.choice(b"abcd") for _ in range(n)) for n in (5000, 400, 399, 1200, 0)]
